@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clock import Span, from_micros, micros, span_us
-from tidemark.operators.slices import null_safe_join, slice_width, with_halo
+from tidemark.operators.slices import hide_nulls, show_nulls, slice_width, with_halo
 
 _NEVER = -(1 << 62)
 
@@ -48,29 +48,29 @@ def failure_bursts(
     keys = list(keys)
     span = span_us(within)
     kind = df.schema[ts].dataType
-    fails = _own_failures(df, keys, ts, seq, failed, span, slice_width(span, slice), min_failures)
-
-    by_slice = Window.partitionBy(*keys).orderBy("_slice")
-    slices = (
-        fails.groupBy(*keys, "_slice")
-        .agg(F.min_by("_root", F.struct("_us", "_seq")).alias("_fresh"))
-        .withColumn("_feeds", ~F.coalesce(F.lead("_fresh").over(by_slice), F.lit(True)))
+    rows = df.select(
+        *keys, micros(df, ts).alias("_us"), F.col(seq).alias("_seq"), F.coalesce(failed, F.lit(False)).alias("_fail")
     )
-    crossing = slices.where(~F.col("_fresh") | F.col("_feeds")).select(*keys, "_slice")
+    rows, full = hide_nulls(rows, keys)
+    grouped = [*full, "_slice"]
+    # One exchange feeds the tables and the final pass, so the windows run once.
+    fails = _own_failures(rows, grouped, span, slice_width(span, slice), min_failures).repartition(*grouped)
+
     tables = (
-        null_safe_join(fails.select(*keys, "_slice", "_us", "_seq", "_root"), crossing, [*keys, "_slice"], "left_semi")
-        .groupBy(*keys, "_slice")
-        .applyInArrow(_transfer_table(span), _schema(fails, [*keys, "_slice"], "_until array<bigint>, _out array<bigint>"))
+        fails.where("_crossing")
+        .select(*grouped, "_us", "_seq", "_root")
+        .groupBy(*grouped)
+        .applyInArrow(_transfer_table(span), _schema(fails, grouped, "_until array<bigint>, _out array<bigint>"))
     )
-    entries = tables.groupBy(*keys).applyInArrow(_chain_tables, _schema(fails, [*keys, "_slice"], "_entry bigint"))
+    entries = tables.groupBy(*full).applyInArrow(_chain_tables, _schema(fails, grouped, "_entry bigint"))
 
-    start = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy("_us", "_seq")) == 1
-    entered = null_safe_join(fails, entries, [*keys, "_slice"], "left").withColumns(
+    start = F.row_number().over(Window.partitionBy(*grouped).orderBy("_us", "_seq")) == 1
+    entered = fails.join(entries, grouped, "left").withColumns(
         {"_head": start, "_entry": F.coalesce("_entry", F.lit(_NEVER)), "_opens": F.col("_root")}
     )
-    ordered = entered.sortWithinPartitions(*keys, "_slice", "_us", "_seq")
+    ordered = entered.drop("_crossing").sortWithinPartitions(*grouped, "_us", "_seq")
     opened = ordered.mapInArrow(_mark_openings(span), ordered.schema)
-    return opened.where(F.col("_opens") & F.col("_alarm")).select(
+    return show_nulls(opened.where(F.col("_opens") & F.col("_alarm")), keys).select(
         *keys,
         from_micros(F.col("_us"), kind).alias("first_ts"),
         F.col("_seq").alias("first_seq"),
@@ -79,40 +79,45 @@ def failure_bursts(
     )
 
 
-def _own_failures(
-    df: DataFrame, keys: list[str], ts: str, seq: str, failed: Column, span: int, width: int, min_failures: int
-) -> DataFrame:
-    """Failures with ``_root`` and, if they opened a burst, its size, last time and whether it would alarm."""
-    rows = df.select(
-        *keys, micros(df, ts).alias("_us"), F.col(seq).alias("_seq"), F.coalesce(failed, F.lit(False)).alias("_fail")
-    )
-    rows = with_halo(rows, "_us", width, back=span, ahead=span)
-    forward = Window.partitionBy(*keys, "_slice").orderBy("_us", "_seq")
-    backward = Window.partitionBy(*keys, "_slice").orderBy(F.desc("_us"), F.desc("_seq"))
-    to_deadline = Window.partitionBy(*keys, "_slice").orderBy("_us").rangeBetween(Window.unboundedPreceding, span)
+def _own_failures(rows: DataFrame, grouped: list[str], span: int, width: int, min_failures: int) -> DataFrame:
+    """Failures with ``_root`` and, if they opened a burst, its size, last time and whether it would alarm.
+
+    ``_crossing`` marks all failures of a slice whose first or last one belongs
+    to a run that goes on in the neighbour slice.
+    """
+    forward = Window.partitionBy(*grouped).orderBy("_us", "_seq")
+    backward = Window.partitionBy(*grouped).orderBy(F.desc("_us"), F.desc("_seq"))
+    to_deadline = Window.partitionBy(*grouped).orderBy("_us").rangeBetween(Window.unboundedPreceding, span)
     fail_us = F.when(F.col("_fail"), F.col("_us"))
-    seen = forward.rowsBetween(Window.unboundedPreceding, 0)
-    counted = rows.withColumns(
+    here = F.struct("_us", "_fail", "_own")
+    success_after = F.last(F.when(~F.col("_fail"), F.col("_us")), ignorenulls=True)
+    counted = with_halo(rows, "_us", width, back=span, ahead=span).withColumns(
         {
-            "_prev": F.lag(F.struct("_us", "_fail")).over(forward),
-            "_so_far": F.count(fail_us).over(seen),
+            "_prev": F.lag(here).over(forward),
+            "_next": F.lead(here).over(forward),
+            "_so_far": F.count(fail_us).over(forward.rowsBetween(Window.unboundedPreceding, 0)),
             "_by_deadline": F.count(fail_us).over(to_deadline),
             "_last": F.max(fail_us).over(to_deadline),
+            "_success": success_after.over(backward.rowsBetween(Window.unboundedPreceding, -1)),
         }
-    ).withColumn(
-        "_success",
-        F.last(F.when(~F.col("_fail"), F.col("_us")), ignorenulls=True).over(
-            backward.rowsBetween(Window.unboundedPreceding, -1)
-        ),
     )
-    own = counted.where(F.col("_own") & F.col("_fail"))
-    paused = F.col("_prev").isNull() | ~F.col("_prev._fail") | (F.col("_us") - F.col("_prev._us") > span)
+    follows = F.coalesce(F.col("_prev._fail") & (F.col("_us") - F.col("_prev._us") <= span), F.lit(False))
+    followed = F.coalesce(F.col("_next._fail") & (F.col("_next._us") - F.col("_us") <= span), F.lit(False))
+    crosses = (follows & ~F.col("_prev._own")) | (followed & ~F.col("_next._own"))
     n = F.col("_by_deadline") - F.col("_so_far") + 1
     unbroken = F.col("_success").isNull() | (F.col("_success") > F.col("_us") + span)
-    return own.select(
-        *keys, "_slice", "_us", "_seq", paused.alias("_root"), n.alias("_n"), "_last",
+    own = counted.where(F.col("_own") & F.col("_fail")).select(
+        *grouped,
+        "_us",
+        "_seq",
+        (~follows).alias("_root"),
+        n.alias("_n"),
+        "_last",
         (unbroken & (n >= min_failures)).alias("_alarm"),
+        F.coalesce(crosses, F.lit(False)).alias("_crosses"),
     )
+    crossing = F.max("_crosses").over(Window.partitionBy(*grouped))
+    return own.withColumn("_crossing", crossing).drop("_crosses")
 
 
 def _schema(df: DataFrame, columns: list[str], extra: str) -> T.StructType:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import Span, floor_div, from_micros, micros, span_us
-from tidemark.operators.slices import null_safe_join
 from tidemark.operators.windows import sliding_counts
 
 # Fixed value: a window's last instant lies one millisecond before its end.
@@ -31,7 +30,7 @@ def _with_watermark(df: DataFrame, ts: str, seq: str, delay: Span, chunk_rows: i
         .withColumn("_earlier", F.max("_chunk_max").over(before))
         .drop("_chunk_max")
     )
-    seen = null_safe_join(rows.withColumn("_seen", F.max("_us").over(inside)), summary, ["_chunk"], "inner")
+    seen = rows.withColumn("_seen", F.max("_us").over(inside)).join(summary, "_chunk")
     return seen.withColumn("_wm", F.greatest("_seen", "_earlier") - F.lit(span_us(delay))).drop(
         "_seen", "_earlier", "_chunk"
     )

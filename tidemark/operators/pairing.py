@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import Span, floor_div, from_micros, micros, span_us
-from tidemark.operators.slices import null_safe_join, slice_width, with_halo
+from tidemark.operators.slices import hide_nulls, show_nulls, slice_width, with_halo
 
 PAIRED, LEFT_ONLY, RIGHT_ONLY = "matched", "single_pay", "single_receipt"
 
@@ -140,6 +140,10 @@ def _composed(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> Data
     return ordered.mapInArrow(_running_composition, ordered.schema)
 
 
+def _clip(value: Column) -> Column:
+    return F.greatest(F.least(value, F.col("_high")), F.col("_low"))
+
+
 def reconcile(
     left: DataFrame,
     right: DataFrame,
@@ -178,77 +182,78 @@ def reconcile(
             *keys, micros(right, right_ts).alias("_us"), F.lit(1).alias("_side"), F.col(right_seq).alias("_seq")
         )
     )
+    rows, full = hide_nulls(rows, keys)
+    grouped = [*full, "_slice"]
     order = ["_us", "_side", "_seq"]
-    by_row = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    by_time = Window.partitionBy(*keys, "_slice").orderBy("_us")
+    by_row = Window.partitionBy(*grouped).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    by_time = Window.partitionBy(*grouped).orderBy("_us")
+    is_left = F.col("_side") == 0
 
-    def upto(side: int) -> Column:
-        return F.count(F.when(F.col("_side") == side, 1)).over(by_row)
+    def so_far(side: int, own: bool = False) -> Column:
+        counted = F.col("_side") == side
+        return F.count(F.when(counted & F.col("_own") if own else counted, 1)).over(by_row)
 
     def expired(side: int, wait: int) -> Column:
-        return F.count(F.when(F.col("_side") == side, 1)).over(by_time.rangeBetween(Window.unboundedPreceding, -wait - 1))
+        gone = by_time.rangeBetween(Window.unboundedPreceding, -wait - 1)
+        return F.count(F.when(F.col("_side") == side, 1)).over(gone)
 
     counted = with_halo(rows, "_us", width, back=reach).withColumns(
-        {"_lefts": upto(0), "_rights": upto(1), "_gone0": expired(0, left_wait), "_gone1": expired(1, right_wait)}
+        {
+            "_live_left": so_far(0) - expired(0, left_wait),
+            "_live_right": so_far(1) - expired(1, right_wait),
+            "_lefts": so_far(0, own=True),
+            "_rights": so_far(1, own=True),
+        }
     )
-    is_left = F.col("_side") == 0
-    live_left, live_right = F.col("_lefts") - F.col("_gone0"), F.col("_rights") - F.col("_gone1")
     moves = counted.where("_own").select(
-        *keys,
-        "_slice",
+        *grouped,
         *order,
         "_lefts",
         "_rights",
         F.when(is_left, 1).otherwise(-1).cast("bigint").alias("_shift"),
-        F.when(is_left, 1 - live_right).otherwise(-live_right).alias("_low"),
-        F.when(is_left, live_left).otherwise(live_left - 1).alias("_high"),
+        F.when(is_left, 1 - F.col("_live_right")).otherwise(-F.col("_live_right")).alias("_low"),
+        F.when(is_left, F.col("_live_left")).otherwise(F.col("_live_left") - 1).alias("_high"),
     )
-    moved = _composed(moves, [*keys, "_slice"], order).drop("_head")
+    # One exchange feeds the summary and the rows, so the composition runs once.
+    moved = _composed(moves, grouped, order).drop("_head").repartition(*grouped)
 
-    per_slice = moved.groupBy(*keys, "_slice").agg(
-        F.max_by(F.struct("_shift", "_low", "_high"), F.struct(*order)).alias("_all")
+    per_slice = moved.groupBy(*grouped).agg(
+        F.max_by(F.struct("_shift", "_low", "_high"), F.struct(*order)).alias("_all"),
+        F.max("_lefts").alias("_n_left"),
+        F.max("_rights").alias("_n_right"),
     )
-    chained = _composed(per_slice.select(*keys, "_slice", "_all.*"), keys, ["_slice"])
-    after = F.greatest(F.least(F.col("_shift"), F.col("_high")), F.col("_low"))
+    chained = _composed(per_slice.select(*grouped, "_n_left", "_n_right", "_all.*"), full, ["_slice"])
+    by_slice = Window.partitionBy(*full).orderBy("_slice")
+    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
     entries = chained.select(
-        *keys,
-        "_slice",
-        F.coalesce(F.lag(after).over(Window.partitionBy(*keys).orderBy("_slice")), F.lit(0)).alias("_entry"),
+        *grouped,
+        F.coalesce(F.lag(_clip(F.col("_shift"))).over(by_slice), F.lit(0)).alias("_entry"),
+        F.coalesce(F.sum("_n_left").over(earlier), F.lit(0)).alias("_left_before"),
+        F.coalesce(F.sum("_n_right").over(earlier), F.lit(0)).alias("_right_before"),
     )
-    state = F.greatest(F.least(F.col("_entry") + F.col("_shift"), F.col("_high")), F.col("_low"))
-    stated = null_safe_join(moved, entries, [*keys, "_slice"], "inner").withColumn("_k", state)
-
-    # A left row that leaves k <= 0 took a waiting right row, and the reverse. The partner is
-    # counted back from the newest row of the other side, within the slice and its halo.
-    took = F.when(is_left & (F.col("_k") <= 0), F.col("_rights") + F.col("_k")).when(
-        ~is_left & (F.col("_k") >= 0), F.col("_lefts") - F.col("_k")
+    # A left row that leaves k <= 0 took the longest-waiting right row, and the reverse.
+    k = _clip(F.col("_entry") + F.col("_shift"))
+    left_rank, right_rank = F.col("_lefts") + F.col("_left_before"), F.col("_rights") + F.col("_right_before")
+    stated = moved.join(entries, grouped).select(
+        *full,
+        *order,
+        F.when(is_left, left_rank).otherwise(right_rank).alias("_rank"),
+        F.when(is_left & (k <= 0), right_rank + k).when(~is_left & (k >= 0), left_rank - k).alias("_took"),
     )
-    takers = stated.withColumn("_partner", took).where(F.col("_partner").isNotNull())
-    takers = takers.select(
-        *keys, "_slice", (1 - F.col("_side")).alias("_side"), F.col("_partner").alias("_rank"),
+    takers = stated.where(F.col("_took").isNotNull()).select(
+        *full,
+        (1 - F.col("_side")).alias("_side"),
+        F.col("_took").alias("_rank"),
         F.struct("_us", "_seq").alias("_taker"),
     )
-    ranked = counted.select(
-        *keys, "_slice", "_side", F.when(is_left, F.col("_lefts")).otherwise(F.col("_rights")).alias("_rank"),
-        F.struct("_us", "_seq").alias("_taken"),
-    )
-    taken = null_safe_join(takers, ranked, [*keys, "_slice", "_side", "_rank"], "inner")
-    pairs = taken.select(
-        *keys,
-        F.when(is_left, F.col("_taken")).otherwise(F.col("_taker")).alias("_l"),
-        F.when(is_left, F.col("_taker")).otherwise(F.col("_taken")).alias("_r"),
-    )
-    members = pairs.select(
-        *keys, F.inline(F.array(F.struct(F.lit(0).alias("_side"), F.col("_l._seq").alias("_seq")),
-                                F.struct(F.lit(1).alias("_side"), F.col("_r._seq").alias("_seq"))))
-    )
-    single = null_safe_join(rows, members, [*keys, "_side", "_seq"], "left_anti")
-    lone = single.select(
-        *keys,
-        F.when(is_left, F.struct("_us", "_seq")).alias("_l"),
-        F.when(~is_left, F.struct("_us", "_seq")).alias("_r"),
+    waited = stated.where(F.col("_took").isNull()).drop("_took")
+    met = waited.join(takers, [*full, "_side", "_rank"], "left").withColumn("_waiter", F.struct("_us", "_seq"))
+    sided = met.select(
+        *full,
+        F.when(is_left, F.col("_waiter")).otherwise(F.col("_taker")).alias("_l"),
+        F.when(is_left, F.col("_taker")).otherwise(F.col("_waiter")).alias("_r"),
     )
-    return pairs.unionByName(lone).select(
+    return show_nulls(sided, keys).select(
         *keys,
         F.when(F.col("_r").isNull(), LEFT_ONLY).when(F.col("_l").isNull(), RIGHT_ONLY).otherwise(PAIRED).alias("outcome"),
         from_micros(F.col("_l._us"), kind).alias("pay_ts"),

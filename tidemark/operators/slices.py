@@ -6,8 +6,8 @@ the slices agree in one of three exact ways:
 
 * ``with_halo``    copies the rows near a slice border into the neighbour, for
   operators that only look a bounded time back or ahead;
-* ``running_rank`` / ``carried_last`` add what earlier slices contribute, taken
-  from one summary row per (key, slice);
+* ``running_rank`` adds what earlier slices contribute, taken from one summary
+  row per (key, slice);
 * ``neighbours``   resolves the first and last row of each slice in a second,
   small window.
 """
@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.clock import Span, floor_div, span_us
 
@@ -42,58 +43,61 @@ def with_halo(df: DataFrame, us: str, width: int, back: int = 0, ahead: int = 0)
     )
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Equi-join in which null keys meet, keeping the left copy of the key columns."""
-    names = {name: f"_r_{name}" for name in on}
-    renamed = right.withColumnsRenamed(names)
-    condition = F.lit(True)
-    for name in on:
-        condition = condition & left[name].eqNullSafe(renamed[names[name]])
-    return left.join(renamed, condition, how).drop(*names.values())
+NULLS = "_nulls"
+
+
+def hide_nulls(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Replace null keys by a plain value plus a mark, and return the frame and its full key.
+
+    Windows group null keys but joins drop them; with plain values both work on
+    the same hash partitioning, so a join after a window needs no further shuffle.
+    """
+    flags = F.lit(0)
+    plain = {}
+    for bit, key in enumerate(keys):
+        flags = flags + F.when(F.col(key).isNull(), 1 << bit).otherwise(0)
+        plain[key] = F.coalesce(F.col(key), _plain_value(df.schema[key].dataType))
+    return df.withColumns({NULLS: flags, **plain}), [*keys, NULLS]
+
+
+def show_nulls(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Undo ``hide_nulls``."""
+    shown = {
+        key: F.when(F.col(NULLS).bitwiseAND(1 << bit) == 0, F.col(key)) for bit, key in enumerate(keys)
+    }
+    return df.withColumns(shown).drop(NULLS)
+
+
+def _plain_value(kind: T.DataType) -> Column:
+    if isinstance(kind, T.NumericType):
+        return F.lit(0).cast(kind)
+    if isinstance(kind, T.StringType):
+        return F.lit("")
+    if isinstance(kind, T.BooleanType):
+        return F.lit(False)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(kind)
+    raise TypeError(f"unsupported key type: {kind.simpleString()}")
 
 
 def running_rank(
-    df: DataFrame, keys: Sequence[str], slice_col: str, order: Sequence[Column | str], name: str = "rank"
+    df: DataFrame, keys: Sequence[str], slice_col: str, order: Sequence[str], name: str = "rank"
 ) -> DataFrame:
     """``row_number`` per key over ``order`` without one task per key.
 
     ``slice_col`` must not decrease along ``order``. The rank inside a slice is
     raised by the row count of the key's earlier slices.
     """
-    keys = list(keys)
-    before = Window.partitionBy(*keys).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
+    rows, full = hide_nulls(df, [*keys, slice_col])
+    before = Window.partitionBy(*keys, NULLS).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.groupBy(*keys, slice_col)
+        rows.groupBy(*full)
         .agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
-    )
-    inside = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, slice_col).orderBy(*order)))
-    joined = null_safe_join(inside, offsets, [*keys, slice_col], "inner")
-    return joined.withColumn(name, (F.col("_rank") + F.col("_before")).cast("bigint")).drop("_rank", "_before")
-
-
-def carried_last(
-    df: DataFrame, keys: Sequence[str], slice_col: str, order: Sequence[str], value: Column, name: str
-) -> DataFrame:
-    """Latest non-null ``value`` at or before each row of its key.
-
-    ``value`` must start with the order columns (a struct), so that the latest
-    value of a slice is its greatest.
-    """
-    keys = list(keys)
-    inside = Window.partitionBy(*keys, slice_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
-    valued = df.withColumn("_value", value)
-    summary = (
-        valued.groupBy(*keys, slice_col)
-        .agg(F.max("_value").alias("_latest"))
-        .withColumn("_carried", F.max("_latest").over(before))
-        .drop("_latest")
+        .select(*full, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    rows = valued.withColumn("_inside", F.last("_value", ignorenulls=True).over(inside))
-    joined = null_safe_join(rows, summary, [*keys, slice_col], "inner")
-    return joined.withColumn(name, F.coalesce("_inside", "_carried")).drop("_value", "_inside", "_carried")
+    inside = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*full).orderBy(*order)))
+    ranked = inside.join(offsets, full).withColumn(name, (F.col("_rank") + F.col("_before")).cast("bigint"))
+    return show_nulls(ranked, [*keys, slice_col]).select(*df.columns, name)
 
 
 def neighbours(

@@ -54,6 +54,11 @@ def sliding_direct(
     )
 
 
+def _parallelism(df: DataFrame) -> int:
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def _window_range(us: Column, size_us: int, slide_us: int) -> tuple[Column, Column]:
     """First and last index of the windows holding ``us``; window ``i`` starts at ``i * slide``."""
     return floor_div(us - F.lit(size_us), slide_us) + 1, floor_div(us, slide_us)
@@ -109,6 +114,9 @@ def sliding_counts(
 
     spanned = F.sequence(floor_div(F.col("_first"), per_slice), floor_div(F.col("_last"), per_slice))
     moves = panes.select(*keys, F.inline(F.flatten(F.transform(spanned, changes))))
+    # The few changes grow into many windows below, so keep the full parallelism here: a
+    # given partition count is not coalesced by the size of the changes.
+    moves = moves.repartition(_parallelism(df), *keys, "_slice")
     in_slice = Window.partitionBy(*keys, "_slice").orderBy("_i")
     steps = moves.select(
         *keys,

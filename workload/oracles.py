@@ -59,7 +59,7 @@ def windows(source: str, keys: str, size: int, slide: int, where: str = "TRUE",
 
 def top(counts: str, key: str, n: int) -> str:
     return f"""
-SELECT {key}, window_end, cnt, row_num FROM (
+SELECT {key}, window_end, cnt, CAST(row_num AS INTEGER) AS row_num FROM (
   SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, {key}) AS row_num FROM ({counts})
 ) WHERE row_num <= {n}"""
 
