@@ -47,6 +47,9 @@ def failure_bursts(
     """
     keys = list(keys)
     span = span_us(within)
+    width = slice_width(span, slice)
+    if width < span:
+        raise ValueError("a slice must not be shorter than a burst")
     kind = df.schema[ts].dataType
     rows = df.select(
         *keys, micros(df, ts).alias("_us"), F.col(seq).alias("_seq"), F.coalesce(failed, F.lit(False)).alias("_fail")
@@ -54,7 +57,7 @@ def failure_bursts(
     rows, full = hide_nulls(rows, keys)
     grouped = [*full, "_slice"]
     # One exchange feeds the tables and the final pass, so the windows run once.
-    fails = _own_failures(rows, grouped, span, slice_width(span, slice), min_failures).repartition(*grouped)
+    fails = _own_failures(rows, grouped, span, width, min_failures).repartition(*grouped)
 
     tables = (
         fails.where("_crossing")
