@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clock import Span, from_micros, micros, span_us
-from tidemark.operators.slices import hide_nulls, show_nulls, slice_width, with_halo
+from tidemark.operators.slices import hide_nulls, show_nulls, with_halo
 
 _NEVER = -(1 << 62)
+SLICE_SPANS = 64  # default slice width, in burst lengths
+HALO_SPANS = 4  # how far before its slice a run may begin without being chained
 
 
 def failure_bursts(
@@ -39,15 +41,15 @@ def failure_bursts(
 
     Columns: keys, ``first_ts``, ``first_seq``, ``last_ts``, ``n_fails``.
 
-    Counts and roots come from one window per (key, time slice) with a halo.
-    Which other failures open a burst is then followed inside each slice. Only
-    where a run of failures crosses a slice border does a slice need the state
-    it starts from; for those slices a small table "state in, state out" is
-    built in parallel and chained per key.
+    Counts and roots come from windows per (key, time slice) with a halo. Which
+    other failures open a burst is then followed from root to root inside each
+    slice. Only a run of failures that began long before a slice needs the
+    state that slice starts from; for such slices a small table "state in,
+    state out" is built in parallel and chained per key.
     """
     keys = list(keys)
     span = span_us(within)
-    width = slice_width(span, slice)
+    width = span_us(slice) if slice is not None else max(span, 1) * SLICE_SPANS
     if width < span:
         raise ValueError("a slice must not be shorter than a burst")
     kind = df.schema[ts].dataType
@@ -56,22 +58,30 @@ def failure_bursts(
     )
     rows, full = hide_nulls(rows, keys)
     grouped = [*full, "_slice"]
-    # One exchange feeds the tables and the final pass, so the windows run once.
-    fails = _own_failures(rows, grouped, span, width, min_failures).repartition(*grouped)
+    fails = _rooted_failures(rows, grouped, span, width, min_failures)
 
     tables = (
-        fails.where("_crossing")
+        fails.where("_chained")
         .select(*grouped, "_us", "_seq", "_root")
         .groupBy(*grouped)
         .applyInArrow(_transfer_table(span), _schema(fails, grouped, "_until array<bigint>, _out array<bigint>"))
     )
     entries = tables.groupBy(*full).applyInArrow(_chain_tables, _schema(fails, grouped, "_entry bigint"))
 
-    start = F.row_number().over(Window.partitionBy(*grouped).orderBy("_us", "_seq")) == 1
-    entered = fails.join(entries, grouped, "left").withColumns(
-        {"_head": start, "_entry": F.coalesce("_entry", F.lit(_NEVER)), "_opens": F.col("_root")}
+    # Roots open bursts. Of the others, only those after the deadline of the latest root may.
+    deadline = F.col("_latest_root") + span
+    beyond = ~F.col("_root") & (F.col("_latest_root").isNull() | (F.col("_us") > deadline))
+    order = Window.partitionBy(*grouped).orderBy("_us", "_seq")
+    undecided = (
+        fails.where((F.col("_root") & F.col("_alarm")) | beyond)
+        .select(*grouped, "_us", "_seq", "_root", "_n", "_last", "_alarm", "_latest_root")
+        .withColumn("_head", ~F.coalesce(F.lag("_latest_root").over(order) == F.col("_latest_root"), F.lit(False)))
+        .withColumn("_head", F.col("_head") & (F.col("_latest_root").isNotNull() | (F.row_number().over(order) == 1)))
     )
-    ordered = entered.drop("_crossing").sortWithinPartitions(*grouped, "_us", "_seq")
+    entered = undecided.join(entries, grouped, "left").withColumns(
+        {"_entry": F.coalesce(deadline, "_entry", F.lit(_NEVER)), "_opens": F.col("_root")}
+    )
+    ordered = entered.drop("_latest_root").sortWithinPartitions(*grouped, "_us", "_seq")
     opened = ordered.mapInArrow(_mark_openings(span), ordered.schema)
     return show_nulls(opened.where(F.col("_opens") & F.col("_alarm")), keys).select(
         *keys,
@@ -82,45 +92,54 @@ def failure_bursts(
     )
 
 
-def _own_failures(rows: DataFrame, grouped: list[str], span: int, width: int, min_failures: int) -> DataFrame:
-    """Failures with ``_root`` and, if they opened a burst, its size, last time and whether it would alarm.
+def _rooted_failures(rows: DataFrame, grouped: list[str], span: int, width: int, min_failures: int) -> DataFrame:
+    """The failures of each slice, preceded by those of the run it starts in if that run's root is near.
 
-    ``_crossing`` marks all failures of a slice whose first or last one belongs
-    to a run that goes on in the neighbour slice.
+    ``_root`` tells roots; ``_alarm``, ``_n`` and ``_last`` describe the burst an own failure would
+    open; ``_chained`` marks all failures of a slice that takes or gives a state across its border.
     """
+    halo = HALO_SPANS * span
     forward = Window.partitionBy(*grouped).orderBy("_us", "_seq")
-    backward = Window.partitionBy(*grouped).orderBy(F.desc("_us"), F.desc("_seq"))
+    seen = forward.rowsBetween(Window.unboundedPreceding, 0)
     to_deadline = Window.partitionBy(*grouped).orderBy("_us").rangeBetween(Window.unboundedPreceding, span)
     fail_us = F.when(F.col("_fail"), F.col("_us"))
-    here = F.struct("_us", "_fail", "_own")
-    success_after = F.last(F.when(~F.col("_fail"), F.col("_us")), ignorenulls=True)
-    counted = with_halo(rows, "_us", width, back=span, ahead=span).withColumns(
+    success = F.when(~F.col("_fail"), 1)
+    counted = with_halo(rows, "_us", width, back=halo + span, ahead=span).withColumns(
         {
-            "_prev": F.lag(here).over(forward),
-            "_next": F.lead(here).over(forward),
-            "_so_far": F.count(fail_us).over(forward.rowsBetween(Window.unboundedPreceding, 0)),
-            "_by_deadline": F.count(fail_us).over(to_deadline),
+            "_prev_us": F.lag("_us").over(forward),
+            "_prev_fail": F.lag("_fail").over(forward),
+            "_next_us": F.lead("_us").over(forward),
+            "_next_fail": F.lead("_fail").over(forward),
+            "_next_own": F.lead("_own").over(forward),
+            "_n": F.count(fail_us).over(to_deadline) - F.count(fail_us).over(seen) + 1,
+            "_successes": F.count(success).over(to_deadline) - F.count(success).over(seen),
             "_last": F.max(fail_us).over(to_deadline),
-            "_success": success_after.over(backward.rowsBetween(Window.unboundedPreceding, -1)),
         }
     )
-    follows = F.coalesce(F.col("_prev._fail") & (F.col("_us") - F.col("_prev._us") <= span), F.lit(False))
-    followed = F.coalesce(F.col("_next._fail") & (F.col("_next._us") - F.col("_us") <= span), F.lit(False))
-    crosses = (follows & ~F.col("_prev._own")) | (followed & ~F.col("_next._own"))
-    n = F.col("_by_deadline") - F.col("_so_far") + 1
-    unbroken = F.col("_success").isNull() | (F.col("_success") > F.col("_us") + span)
-    own = counted.where(F.col("_own") & F.col("_fail")).select(
+    follows = F.coalesce(F.col("_prev_fail") & (F.col("_us") - F.col("_prev_us") <= span), F.lit(False))
+    followed = F.coalesce(F.col("_next_fail") & (F.col("_next_us") - F.col("_us") <= span), F.lit(False))
+    begin, end = F.col("_slice") * width, (F.col("_slice") + 1) * width
+    leaves = followed & F.col("_own") & ~F.col("_next_own")
+    fails = counted.where(F.col("_fail") & (F.col("_us") >= begin - halo) & (F.col("_us") < end)).select(
         *grouped,
         "_us",
         "_seq",
+        "_own",
         (~follows).alias("_root"),
-        n.alias("_n"),
+        "_n",
         "_last",
-        (unbroken & (n >= min_failures)).alias("_alarm"),
-        F.coalesce(crosses, F.lit(False)).alias("_crosses"),
+        (F.col("_own") & (F.col("_successes") == 0) & (F.col("_n") >= min_failures)).alias("_alarm"),
+        F.coalesce(leaves, F.lit(False)).alias("_leaves"),
+    )
+    latest_root = F.max(F.when(F.col("_root"), F.col("_us"))).over(seen)
+    takes = F.col("_own") & F.col("_latest_root").isNull()
+    gives = F.col("_leaves") & (F.col("_latest_root").isNull() | (F.col("_latest_root") < end - halo))
+    return (
+        fails.withColumn("_latest_root", latest_root)
+        .where(F.col("_own") | F.col("_latest_root").isNotNull())
+        .withColumn("_chained", F.max(takes | gives).over(Window.partitionBy(*grouped)))
+        .drop("_leaves")
     )
-    crossing = F.max("_crosses").over(Window.partitionBy(*grouped))
-    return own.withColumn("_crossing", crossing).drop("_crosses")
 
 
 def _schema(df: DataFrame, columns: list[str], extra: str) -> T.StructType:
