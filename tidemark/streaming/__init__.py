@@ -1,0 +1,36 @@
+from tidemark.streaming.sinks import (
+    changelog_sink,
+    console_sink,
+    latest,
+    memory_sink,
+    ranked_sink,
+    route_late,
+    routed_sink,
+)
+from tidemark.streaming.stateful import (
+    stream_cap_outcomes,
+    stream_failure_bursts,
+    stream_followed_by,
+    stream_open_close_outcomes,
+    stream_reconcile,
+)
+from tidemark.streaming.windows import event_time, stream_counts, stream_interval_join, stream_visitors
+
+__all__ = [
+    "changelog_sink",
+    "console_sink",
+    "event_time",
+    "latest",
+    "memory_sink",
+    "ranked_sink",
+    "route_late",
+    "routed_sink",
+    "stream_cap_outcomes",
+    "stream_counts",
+    "stream_failure_bursts",
+    "stream_followed_by",
+    "stream_interval_join",
+    "stream_open_close_outcomes",
+    "stream_reconcile",
+    "stream_visitors",
+]
