@@ -1,11 +1,8 @@
-"""Session defaults and the shared checkpoint folder."""
+"""Session defaults."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -36,21 +33,3 @@ def local_session(cores: int | str = 8, memory: str = "8g", app: str = "tidemark
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's shared checkpoint folder and read it back.
-
-    The folder comes from ``spark.checkpoint.dir``. Only a session on one
-    machine that names none gets a temporary folder.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="tidemark-checkpoint-", dir=os.environ.get("TMPDIR"))
-        context.setCheckpointDir(folder)
-    return df.checkpoint()

@@ -363,4 +363,8 @@ SELECT '10.0.0.' || (user_id % 256) AS ip, CAST(user_id AS VARCHAR) AS user_id,
 SELECT user_id AS order_id, event_type, CASE WHEN event_type = 'purchase' THEN 'tx-' || event_id ELSE '' END AS tx_id,
        epoch_us(ts) // 1000000 AS epoch_s
 FROM events""",
+    "stream_hot_items": f"WITH {BEHAVIOR} {HOT_ITEMS}",
+    "stream_page_views": hourly("count(*)"),
+    "stream_order_outcomes": PAY_OUTCOMES,
+    "stream_fail_bursts": BURSTS,
 }

@@ -13,6 +13,7 @@ from tidemark.functions import micros, poly_hash
 from tidemark.sources import parse_access_log, parse_lines
 from tidemark.sources.lines import as_messages
 from workload import roles
+from workload.streams import STREAM_QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -243,4 +244,4 @@ QUERIES: dict[str, Query] = {
         log_parse,
         csv_round_trip,
     )
-}
+} | STREAM_QUERIES
