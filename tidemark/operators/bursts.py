@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clock import Span, from_micros, micros, span_us
-from tidemark.operators.slices import hide_nulls, show_nulls, with_halo
+from tidemark.operators.slices import hide_nulls, show_nulls, slice_width, with_halo
 
 _NEVER = -(1 << 62)
 SLICE_SPANS = 64  # default slice width, in burst lengths
-HALO_SPANS = 4  # how far before its slice a run may begin without being chained
+HALO_SPANS = 4  # how far before its slice a run may begin without being chained, in burst lengths …
+HALO_PART = 8  # … and at most this part of the slice
 
 
 def failure_bursts(
@@ -49,7 +50,7 @@ def failure_bursts(
     """
     keys = list(keys)
     span = span_us(within)
-    width = span_us(slice) if slice is not None else max(span, 1) * SLICE_SPANS
+    width = slice_width(span, slice, SLICE_SPANS)
     if width < span:
         raise ValueError("a slice must not be shorter than a burst")
     kind = df.schema[ts].dataType
@@ -98,7 +99,7 @@ def _rooted_failures(rows: DataFrame, grouped: list[str], span: int, width: int,
     ``_root`` tells roots; ``_alarm``, ``_n`` and ``_last`` describe the burst an own failure would
     open; ``_chained`` marks all failures of a slice that takes or gives a state across its border.
     """
-    halo = HALO_SPANS * span
+    halo = min(HALO_SPANS * span, width // HALO_PART)
     forward = Window.partitionBy(*grouped).orderBy("_us", "_seq")
     seen = forward.rowsBetween(Window.unboundedPreceding, 0)
     to_deadline = Window.partitionBy(*grouped).orderBy("_us").rangeBetween(Window.unboundedPreceding, span)

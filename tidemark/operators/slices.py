@@ -22,12 +22,20 @@ from pyspark.sql import types as T
 
 from tidemark.functions.clock import Span, floor_div, span_us
 
-SLICES_PER_SPAN = 16
+DAY_US = 86_400_000_000
 
 
-def slice_width(look_us: int, width: Span | None) -> int:
-    """Slice width in microseconds: given, or 16 times the time an operator looks around."""
-    return span_us(width) if width is not None else max(look_us, 1) * SLICES_PER_SPAN
+def slice_width(look_us: int, width: Span | None, spans: int = 16) -> int:
+    """Slice width in microseconds, if not given by ``width``.
+
+    ``spans`` times the time an operator looks around keeps halo copies rare;
+    at most a day keeps a hot key's slices many; at least twice the time looked
+    around keeps the copies below half of the rows.
+    """
+    if width is not None:
+        return span_us(width)
+    look_us = max(look_us, 1)
+    return max(2 * look_us, min(spans * look_us, DAY_US))
 
 
 def with_halo(df: DataFrame, us: str, width: int, back: int = 0, ahead: int = 0) -> DataFrame:
