@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.support import START, at, by_key, expect, frame, random_events
-from tidemark.operators import failure_bursts
+from tidemark.operators import bursts, failure_bursts
 
 COLUMNS = "seq bigint, key bigint, kind string, ts timestamp_ntz"
 
@@ -32,13 +32,24 @@ def test_bursts_equal_the_state_machine(spark, kinds, gap, slice):
     expect(got, brute(events, 5, 3))
 
 
-def test_one_key_failing_without_pause_crosses_many_slices(spark):
+@pytest.mark.parametrize("per_block", [1, 7, 256])
+def test_one_key_failing_without_pause_crosses_many_slices(spark, monkeypatch, per_block):
+    monkeypatch.setattr(bursts, "SLICES_PER_BLOCK", per_block)
     events = [(i, 1, "fail", START + i) for i in range(2000)]
     df = frame(spark, events, COLUMNS)
     got = failure_bursts(df, ["key"], "ts", "seq", F.col("kind") == "fail", "7 seconds", 2, "10 seconds")
     expect(got, brute(events, 7, 2))
 
 
+@pytest.mark.parametrize("width", ["5 seconds", "11 seconds"])
+def test_long_uneven_runs_are_chained_over_blocks(spark, monkeypatch, width):
+    monkeypatch.setattr(bursts, "SLICES_PER_BLOCK", 3)
+    events = random_events(12, 12, 150, ["fail"] * 60 + ["success"], gap=5, hot=400)
+    df = frame(spark, events, COLUMNS)
+    got = failure_bursts(df, ["key"], "ts", "seq", F.col("kind") == "fail", "5 seconds", 3, width)
+    expect(got, brute(events, 5, 3))
+
+
 def test_success_at_the_deadline_cancels(spark):
     shape = [(0, 1, "fail", 10), (1, 1, "fail", 11), (2, 1, "fail", 12), (3, 1, "success", 15), (4, 1, "fail", 16)]
     df = frame(spark, shape, COLUMNS)

@@ -18,6 +18,7 @@ from tidemark.operators.sequences import (
     match,
     open_close_outcomes,
 )
+from tidemark.operators.slices import fitting_width
 from tidemark.operators.windows import sliding_counts, sliding_direct, sliding_merge, tumbling
 
 __all__ = [
@@ -31,6 +32,7 @@ __all__ = [
     "consecutive_hits",
     "exact_visitors",
     "failure_bursts",
+    "fitting_width",
     "hashed_visitors",
     "interval_join",
     "interval_outer_join",

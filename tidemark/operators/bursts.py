@@ -19,12 +19,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.clock import Span, from_micros, micros, span_us
+from tidemark.functions.clock import Span, floor_div, from_micros, micros, span_us
 from tidemark.operators.slices import hide_nulls, show_nulls, slice_width, with_halo
 
 _NEVER = -(1 << 62)
 SLICE_SPANS = 64  # default slice width, in burst lengths
 HALO_SPANS = 4  # how far before its slice a run may begin without being chained, in burst lengths …
+SLICES_PER_BLOCK = 256
 HALO_PART = 8  # … and at most this part of the slice
 
 
@@ -67,20 +68,41 @@ def failure_bursts(
         .groupBy(*grouped)
         .applyInArrow(_transfer_table(span), _schema(fails, grouped, "_until array<bigint>, _out array<bigint>"))
     )
-    entries = tables.groupBy(*full).applyInArrow(_chain_tables, _schema(fails, grouped, "_entry bigint"))
+    # Blocks of slices are composed in parallel, chained per key by one table each, and then
+    # resolved slice by slice, again in parallel.
+    per_block = [*full, "_block"]
+    tables = tables.withColumn("_block", floor_div(F.col("_slice"), SLICES_PER_BLOCK))
+    blocks = tables.groupBy(*per_block).applyInArrow(
+        _compose_tables(len(per_block)), _schema(tables, per_block, "_until array<bigint>, _out array<bigint>")
+    )
+    block_entries = (
+        blocks.withColumn("_state", F.lit(_NEVER))
+        .groupBy(*full)
+        .applyInArrow(_chain_tables("_block"), _schema(blocks, per_block, "_entry bigint"))
+    )
+    entries = (
+        tables.join(block_entries.withColumnRenamed("_entry", "_state"), per_block)
+        .groupBy(*per_block)
+        .applyInArrow(_chain_tables("_slice"), _schema(tables, [*grouped, "_block"], "_entry bigint"))
+        .drop("_block")
+    )
 
     # Roots open bursts. Of the others, only those after the deadline of the latest root may.
     deadline = F.col("_latest_root") + span
     beyond = ~F.col("_root") & (F.col("_latest_root").isNull() | (F.col("_us") > deadline))
     order = Window.partitionBy(*grouped).orderBy("_us", "_seq")
-    undecided = (
-        fails.where((F.col("_root") & F.col("_alarm")) | beyond)
-        .select(*grouped, "_us", "_seq", "_root", "_n", "_last", "_alarm", "_latest_root")
-        .withColumn("_head", ~F.coalesce(F.lag("_latest_root").over(order) == F.col("_latest_root"), F.lit(False)))
-        .withColumn("_head", F.col("_head") & (F.col("_latest_root").isNotNull() | (F.row_number().over(order) == 1)))
+    undecided = fails.where((F.col("_root") & F.col("_alarm")) | beyond).select(
+        *grouped, "_us", "_seq", "_root", "_n", "_last", "_alarm", "_latest_root"
     )
+    # The window comes after the join, so Spark must keep each slice in one partition for it.
+    same_run = F.coalesce(F.lag("_latest_root").over(order) == F.col("_latest_root"), F.lit(False))
+    unrooted = F.col("_latest_root").isNull() & (F.row_number().over(order) > 1)
     entered = undecided.join(entries, grouped, "left").withColumns(
-        {"_entry": F.coalesce(deadline, "_entry", F.lit(_NEVER)), "_opens": F.col("_root")}
+        {
+            "_head": ~same_run & ~unrooted,
+            "_entry": F.coalesce(deadline, "_entry", F.lit(_NEVER)),
+            "_opens": F.col("_root"),
+        }
     )
     ordered = entered.drop("_latest_root").sortWithinPartitions(*grouped, "_us", "_seq")
     opened = ordered.mapInArrow(_mark_openings(span), ordered.schema)
@@ -190,19 +212,50 @@ def _transfer_table(span: int) -> Callable[[tuple, pa.Table], pa.Table]:
     return table
 
 
-def _chain_tables(rows: pa.Table) -> pa.Table:
-    """Deadline carried into each slice of one key."""
-    rows = rows.sort_by("_slice")
-    state, previous, entries = _NEVER, None, []
-    for number, until, out in zip(*(rows.column(c).to_pylist() for c in ("_slice", "_until", "_out"))):
-        if previous is None or number != previous + 1:
-            state = _NEVER
-        entries.append(state)
-        at = int(np.searchsorted(np.array(until), state, side="right"))
-        state = out[at] if at < len(out) else state
-        previous = number
-    keep = [n for n in rows.schema.names if n not in ("_until", "_out")]
-    return rows.select(keep).append_column("_entry", pa.array(entries, type=pa.int64()))
+def _advance(until: np.ndarray, out: np.ndarray, state: np.ndarray) -> np.ndarray:
+    """Look states up in a table; a state that outlasts the table stays as it is."""
+    at = np.searchsorted(until, state, side="right")
+    return np.where(at < len(out), out[np.minimum(at, len(out) - 1)], state)
+
+
+def _table_columns(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for until, out in zip(rows.column("_until"), rows.column("_out")):
+        yield until.values.to_numpy(), out.values.to_numpy()
+
+
+def _compose_tables(n_keys: int) -> Callable[[pa.Table], pa.Table]:
+    """One table for a block of slices. A slice whose predecessor is missing starts from a root, so gaps need no care."""
+
+    def compose(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_slice")
+        until, out = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        for next_until, next_out in _table_columns(rows):
+            later = next_until > until[-1] if len(until) else np.ones(len(next_until), dtype=bool)
+            until = np.append(until, next_until[later])
+            out = np.append(_advance(next_until, next_out, out), next_out[later])
+            step = np.append(out[1:] != out[:-1], True)
+            until, out = until[step], out[step]
+        names = [n for n in rows.schema.names if n not in ("_slice", "_until", "_out")][:n_keys]
+        lists = [pa.array([v], type=pa.list_(pa.int64())) for v in (until, out)]
+        first = rows.slice(0, 1)
+        return pa.table([*(first.column(n) for n in names), *lists], names=[*names, "_until", "_out"])
+
+    return compose
+
+
+def _chain_tables(order: str) -> Callable[[pa.Table], pa.Table]:
+    """Deadline carried into each row's slice or block, starting from the group's ``_state``."""
+
+    def chain(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by(order)
+        state, entries = rows.column("_state")[0].as_py(), []
+        for until, out in _table_columns(rows):
+            entries.append(state)
+            state = int(_advance(until, out, np.array([state]))[0])
+        kept = rows.drop_columns(["_until", "_out", "_state"])
+        return kept.append_column("_entry", pa.array(entries, type=pa.int64()))
+
+    return chain
 
 
 def _mark_openings(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

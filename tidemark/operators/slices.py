@@ -15,12 +15,13 @@ the slices agree in one of three exact ways:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.clock import Span, floor_div, span_us
+from tidemark.functions.clock import Span, floor_div, micros, span_us
 
 DAY_US = 86_400_000_000
 
@@ -38,6 +39,33 @@ def slice_width(look_us: int, width: Span | None, spans: int = 16) -> int:
     return max(2 * look_us, min(spans * look_us, DAY_US))
 
 
+def fitting_width(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    widest: Span,
+    narrowest: Span = "1 millisecond",
+    max_rows: int = 20_000_000,
+) -> timedelta:
+    """Measure how wide slices may be for no (key, slice) to hold more than ``max_rows`` rows.
+
+    Pass the result as ``slice=``, ``piece=`` or ``bucket=``. Each look is one
+    scan of keys and time that counts in the map tasks and returns one number;
+    the width shrinks by the factor it was exceeded, until it fits or is
+    ``narrowest``. With a halo, a width below the time looked around copies
+    every row into several slices, so ``narrowest`` is best set to that time.
+    """
+    width, floor = span_us(widest), max(1, span_us(narrowest))
+    rows = df.select(*keys, micros(df, ts).alias("_us"))
+    while width > floor:
+        counts = rows.groupBy(*keys, floor_div(F.col("_us"), width).alias("_slice")).agg(F.count("*").alias("_n"))
+        largest = counts.agg(F.max("_n")).first()[0] or 0
+        if largest <= max_rows:
+            break
+        width = max(floor, width // -(-largest // max_rows))
+    return timedelta(microseconds=width)
+
+
 def with_halo(df: DataFrame, us: str, width: int, back: int = 0, ahead: int = 0) -> DataFrame:
     """Add ``_slice`` and ``_own``; rows within reach of another slice appear there too.
 
@@ -96,8 +124,11 @@ def running_rank(
     ``slice_col`` must not decrease along ``order``. The rank inside a slice is
     raised by the row count of the key's earlier slices.
     """
-    rows, full = hide_nulls(df, [*keys, slice_col])
-    before = Window.partitionBy(*keys, NULLS).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
+    rows, key = hide_nulls(df, keys)
+    # Rows without a time come first, as in any ascending order.
+    rows = rows.withColumn("_piece_no", F.coalesce(F.col(slice_col), F.lit(-(1 << 62))))
+    full = [*key, "_piece_no"]
+    before = Window.partitionBy(*key).orderBy("_piece_no").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(*full)
         .agg(F.count("*").alias("_n"))
@@ -105,7 +136,7 @@ def running_rank(
     )
     inside = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*full).orderBy(*order)))
     ranked = inside.join(offsets, full).withColumn(name, (F.col("_rank") + F.col("_before")).cast("bigint"))
-    return show_nulls(ranked, [*keys, slice_col]).select(*df.columns, name)
+    return show_nulls(ranked, keys).select(*df.columns, name)
 
 
 def neighbours(
