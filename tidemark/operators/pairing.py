@@ -231,33 +231,33 @@ def reconcile(
         F.coalesce(F.sum("_n_left").over(earlier), F.lit(0)).alias("_left_before"),
         F.coalesce(F.sum("_n_right").over(earlier), F.lit(0)).alias("_right_before"),
     )
-    # A left row that leaves k <= 0 took the longest-waiting right row, and the reverse.
+    # A left row that leaves k <= 0 took the longest-waiting right row, and the reverse. Both are
+    # filed under the side and rank of the row that waited, so a pair meets in one group of two.
     k = _clip(F.col("_entry") + F.col("_shift"))
     left_rank, right_rank = F.col("_lefts") + F.col("_left_before"), F.col("_rights") + F.col("_right_before")
-    stated = moved.join(entries, grouped).select(
-        *full,
-        *order,
-        F.when(is_left, left_rank).otherwise(right_rank).alias("_rank"),
-        F.when(is_left & (k <= 0), right_rank + k).when(~is_left & (k >= 0), left_rank - k).alias("_took"),
-    )
-    takers = stated.where(F.col("_took").isNotNull()).select(
-        *full,
-        (1 - F.col("_side")).alias("_side"),
-        F.col("_took").alias("_rank"),
-        F.struct("_us", "_seq").alias("_taker"),
+    took = F.when(is_left & (k <= 0), right_rank + k).when(~is_left & (k >= 0), left_rank - k)
+    filed = (
+        moved.join(entries, grouped)
+        .withColumn("_took", took)
+        .select(
+            *full,
+            *order,
+            F.when(F.col("_took").isNull(), F.col("_side")).otherwise(1 - F.col("_side")).alias("_waiter"),
+            F.coalesce("_took", F.when(is_left, left_rank).otherwise(right_rank)).alias("_rank"),
+        )
     )
-    waited = stated.where(F.col("_took").isNull()).drop("_took")
-    met = waited.join(takers, [*full, "_side", "_rank"], "left").withColumn("_waiter", F.struct("_us", "_seq"))
-    sided = met.select(
-        *full,
-        F.when(is_left, F.col("_waiter")).otherwise(F.col("_taker")).alias("_l"),
-        F.when(is_left, F.col("_taker")).otherwise(F.col("_waiter")).alias("_r"),
+    met = filed.groupBy(*full, "_waiter", "_rank").agg(
+        F.max(F.when(is_left, F.col("_us"))).alias("_left_us"),
+        F.max(F.when(is_left, F.col("_seq"))).alias("pay_seq"),
+        F.max(F.when(~is_left, F.col("_us"))).alias("_right_us"),
+        F.max(F.when(~is_left, F.col("_seq"))).alias("receipt_seq"),
     )
-    return show_nulls(sided, keys).select(
+    outcome = F.when(F.col("_right_us").isNull(), LEFT_ONLY).when(F.col("_left_us").isNull(), RIGHT_ONLY)
+    return show_nulls(met, keys).select(
         *keys,
-        F.when(F.col("_r").isNull(), LEFT_ONLY).when(F.col("_l").isNull(), RIGHT_ONLY).otherwise(PAIRED).alias("outcome"),
-        from_micros(F.col("_l._us"), kind).alias("pay_ts"),
-        F.col("_l._seq").alias("pay_seq"),
-        from_micros(F.col("_r._us"), kind).alias("receipt_ts"),
-        F.col("_r._seq").alias("receipt_seq"),
+        outcome.otherwise(PAIRED).alias("outcome"),
+        from_micros(F.col("_left_us"), kind).alias("pay_ts"),
+        "pay_seq",
+        from_micros(F.col("_right_us"), kind).alias("receipt_ts"),
+        "receipt_seq",
     )
