@@ -39,19 +39,29 @@ def interval_join(
     keys = list(keys)
     before_us, after_us = span_us(before), span_us(after)
     width = span_us(bucket) if bucket is not None else max(before_us + after_us, 1)
+    l, r = _bucketed(left, right, keys, left_ts, right_ts, before_us, after_us, width)
+    gap = F.col("r__us") - F.col("l__us")
+    joined = l.join(r, [*keys, "_bucket"]).where(gap.between(-before_us, after_us))
+    return joined.drop("_bucket", "_copies", "l__us", "r__us")
+
+
+def _bucketed(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    left_ts: str,
+    right_ts: str,
+    before_us: int,
+    after_us: int,
+    width: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_bucket``; a left row has ``_copies``, one per bucket its interval touches."""
     l = _prefixed(left.withColumn("_us", micros(left, left_ts)), "l_", keys)
     r = _prefixed(right.withColumn("_us", micros(right, right_ts)), "r_", keys)
-    l = l.withColumn(
-        "_bucket",
-        F.explode(
-            F.sequence(
-                floor_div(F.col("l__us") - F.lit(before_us), width), floor_div(F.col("l__us") + F.lit(after_us), width)
-            )
-        ),
-    )
-    r = r.withColumn("_bucket", floor_div(F.col("r__us"), width))
-    gap = F.col("r__us") - F.col("l__us")
-    return l.join(r, [*keys, "_bucket"]).where(gap.between(-before_us, after_us)).drop("_bucket", "l__us", "r__us")
+    first = floor_div(F.col("l__us") - F.lit(before_us), width)
+    last = floor_div(F.col("l__us") + F.lit(after_us), width)
+    l = l.withColumns({"_copies": last - first + 1, "_bucket": F.explode(F.sequence(first, last))})
+    return l, r.withColumn("_bucket", floor_div(F.col("r__us"), width))
 
 
 def interval_outer_join(
@@ -66,20 +76,37 @@ def interval_outer_join(
     after: Span,
     bucket: Span | None = None,
 ) -> DataFrame:
-    """``interval_join`` plus the rows of both sides that meet nobody, told apart by ``outcome``."""
+    """``interval_join`` plus the rows of both sides that meet nobody, told apart by ``outcome``.
+
+    A right row has one bucket, so a full outer join shows at once whether it
+    meets anybody. A left row meets nobody if none of its copies does.
+    """
     keys = list(keys)
-    pairs = interval_join(left, right, keys, left_ts, right_ts, before, after, bucket)
-    lone_left = _prefixed(left, "l_", keys).join(
-        pairs.select(*keys, f"l_{left_seq}").distinct(), [*keys, f"l_{left_seq}"], "left_anti"
-    )
-    lone_right = _prefixed(right, "r_", keys).join(
-        pairs.select(*keys, f"r_{right_seq}").distinct(), [*keys, f"r_{right_seq}"], "left_anti"
+    before_us, after_us = span_us(before), span_us(after)
+    width = span_us(bucket) if bucket is not None else max(before_us + after_us, 1)
+    l, r = _bucketed(left, right, keys, left_ts, right_ts, before_us, after_us, width)
+    l_columns = [c for c in l.columns if c.startswith("l_") and c != "l__us"]
+    r_columns = [c for c in r.columns if c.startswith("r_") and c != "r__us"]
+    r = r.withColumnsRenamed({c: f"_right_{c}" for c in [*keys, "_bucket"]})
+    near = (F.col("_bucket") == F.col("_right__bucket")) & (F.col("r__us") - F.col("l__us")).between(-before_us, after_us)
+    for key in keys:
+        near = near & (F.col(key) == F.col(f"_right_{key}"))
+    met = l.join(r, near, "full_outer")
+    has_left, has_right = F.col("_copies").isNotNull(), F.col("_right__bucket").isNotNull()
+    answered = met.where(has_right).select(
+        *[F.when(has_left, F.col(key)).otherwise(F.col(f"_right_{key}")).alias(key) for key in keys],
+        *l_columns,
+        *r_columns,
+        F.when(has_left, PAIRED).otherwise(RIGHT_ONLY).alias("outcome"),
     )
-    return (
-        pairs.withColumn("outcome", F.lit(PAIRED))
-        .unionByName(lone_left.withColumn("outcome", F.lit(LEFT_ONLY)), allowMissingColumns=True)
-        .unionByName(lone_right.withColumn("outcome", F.lit(RIGHT_ONLY)), allowMissingColumns=True)
+    unanswered = (
+        met.where(~has_right)
+        .groupBy(*keys, f"l_{left_seq}")
+        .agg(F.count("*").alias("_missed"), F.first(F.struct("_copies", *l_columns)).alias("_row"))
+        .where(F.col("_missed") == F.col("_row._copies"))
+        .select(*keys, *[F.col("_row")[c].alias(c) for c in l_columns], F.lit(LEFT_ONLY).alias("outcome"))
     )
+    return answered.unionByName(unanswered, allowMissingColumns=True)
 
 
 def _compose(

@@ -1,6 +1,6 @@
 """The test tables seen as the event kinds the library works on.
 
-Every view keeps all rows of its table; only names and labels change. Events of
+A view keeps all rows that are events of its kind; names and labels change. Events of
 one user are hours apart here, so the queries scale the usual seconds and
 minutes up accordingly.
 """
@@ -67,11 +67,10 @@ def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A signup creates the user's order, a purchase pays it."""
-    kind = F.when(F.col("event_type") == "signup", "create").when(F.col("event_type") == "purchase", "pay")
-    return events(spark, sf_dir).select(
-        "event_id", F.col("user_id").alias("order_id"), kind.otherwise(F.col("event_type")).alias("event_type"), "ts"
-    )
+    """A signup creates the user's order, a purchase pays it; other events are no order events."""
+    rows = events(spark, sf_dir).where(F.col("event_type").isin("signup", "purchase"))
+    kind = F.when(F.col("event_type") == "signup", "create").otherwise("pay")
+    return rows.select("event_id", F.col("user_id").alias("order_id"), kind.alias("event_type"), "ts")
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
