@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .pieces import encoding_digests
+from .pii import personal_data_digests
+from .secret_scan import secret_digests
 from .simhash import near_duplicates
 
 
@@ -21,11 +23,21 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
+    "op5_secrets": op5_secrets,
+    "op8_pii": op8_pii,
     "op10_simhash": op10_simhash,
 }
