@@ -247,11 +247,13 @@ def personal_data_digests(docs: DataFrame) -> DataFrame:
     def written(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    by_kind = [F.filter(F.concat("plain_spans", "hidden_spans"), lambda s, k=k: s["kind"] == k) for k in KINDS]
-    by_start = [F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"]))) for spans in by_kind]
+    def by_start(kind: str):
+        spans = F.filter(F.concat("plain_spans", "hidden_spans"), lambda s: s["kind"] == kind)
+        return F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
+
     return found.select(
         "doc_id",
         *[counted(k) for k in KINDS],
         F.sha2(written(F.col("plain_spans")), 256).alias("base_sha256"),
-        written(F.concat(*by_start)).alias("spans"),
+        written(F.concat(*[by_start(k) for k in KINDS])).alias("spans"),
     )
