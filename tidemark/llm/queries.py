@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .pieces import encoding_digests
 from .pii import personal_data_digests
+from .quality import quality_verdicts
 from .secret_scan import secret_digests
 from .simhash import near_duplicates
 
@@ -23,6 +24,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(table(spark, sf_dir, "documents"))
 
@@ -37,6 +42,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
     "op8_pii": op8_pii,
     "op10_simhash": op10_simhash,
