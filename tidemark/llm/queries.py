@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import contamination_digests
 from .pieces import encoding_digests
 from .pii import personal_data_digests
 from .quality import quality_verdicts
@@ -32,6 +33,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_digests(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
+    "op6_decontaminate": op6_decontaminate,
     "op8_pii": op8_pii,
     "op10_simhash": op10_simhash,
 }
