@@ -12,6 +12,7 @@ from .pieces import encoding_digests
 from .pii import personal_data_digests
 from .quality import quality_verdicts
 from .secret_scan import secret_digests
+from .sharding import shard_plan
 from .simhash import near_duplicates
 
 
@@ -41,6 +42,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_plan(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -51,5 +56,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secrets": op5_secrets,
     "op6_decontaminate": op6_decontaminate,
     "op8_pii": op8_pii,
+    "op9_sharding": op9_sharding,
     "op10_simhash": op10_simhash,
 }
