@@ -37,15 +37,18 @@ codecs.register_error("llm-each-byte", _each_byte)
 
 
 class Remembered(dict):
-    """Values of a function by its argument, up to ``most`` of them; long strings are not kept."""
+    """Values of a function by its argument: the latest ones, between ``most`` and twice as many; long strings are not kept."""
 
     def __init__(self, function: Callable, most: int) -> None:
-        self.function, self.most = function, most
+        self.function, self.most, self.before = function, most, {}
 
     def __missing__(self, key):
-        value = self.function(key)
+        value = self.before.get(key)
+        if value is None:
+            value = self.function(key)
         if len(key) <= 64:
             if len(self) >= self.most:
+                self.before = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -68,6 +71,9 @@ class PieceModel:
         self.byte_of = {i: b for b, i in self.bytes.items()}
         texts = set(plain)
         self.texts = [p.replace(SPACE, " ") if i in texts else "" for i, p in enumerate(self.pieces)]
+        self.partial = {i for i, b in self.byte_of.items() if b >= 128}
+        for i in self.byte_of.keys() - self.partial:
+            self.texts[i] = chr(self.byte_of[i])
         letters = set("".join(self.ids))
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece has white space after other characters; stretches would not be independent")
@@ -140,8 +146,9 @@ class PieceModel:
 
     def stretch_ids(self, stretch: str) -> tuple[int, ...]:
         if self.letters.issuperset(stretch):
-            known = self.ids
-            return tuple(chain.from_iterable((known[p],) if p in known else [self.bytes[b] for b in p.encode()] for p in self.split(stretch)))
+            whole = tuple(map(self.ids.get, self.split(stretch)))
+            if None not in whole:
+                return whole
         ids: list[int] = []
         run = 0
         for i, c in enumerate(chain(stretch, [None])):
@@ -175,6 +182,8 @@ class PieceModel:
     def decode(self, ids: list[int]) -> str:
         """The text of ids: byte ids join to characters, control ids vanish, the first piece loses one leading blank."""
         texts, byte_of = self.texts, self.byte_of
+        if ids and ids[0] not in byte_of and texts[ids[0]] and self.partial.isdisjoint(ids):
+            return "".join(map(texts.__getitem__, ids)).removeprefix(" ")
         out: list[str] = []
         held = bytearray()
         first = True
@@ -221,12 +230,16 @@ def encode_documents(docs: DataFrame, model_path: str, text: str = "text", end:
     return add_columns(docs, text, made, start)
 
 
-def encoding_digests(docs: DataFrame, model_path: str) -> DataFrame:
-    """Per document the number of ids and digests of the ids and of the decoded text."""
-    coded = encode_documents(docs.select("doc_id", "text"), model_path)
+def encoding_digests_of(coded: DataFrame, *others: str) -> DataFrame:
+    """``doc_id``, the number of ids, digests of the ids and of the decoded text, and ``others``."""
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *others,
     )
+
+
+def encoding_digests(docs: DataFrame, model_path: str) -> DataFrame:
+    return encoding_digests_of(encode_documents(docs.select("doc_id", "text"), model_path))
