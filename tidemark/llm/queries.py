@@ -14,6 +14,7 @@ from .quality import quality_verdicts
 from .secret_scan import secret_digests
 from .sharding import shard_plan
 from .simhash import near_duplicates
+from .toxicity import toxicity_scores
 
 
 def tokenizer_file() -> str:
@@ -38,6 +39,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_digests(table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
     "op6_decontaminate": op6_decontaminate,
+    "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
     "op9_sharding": op9_sharding,
     "op10_simhash": op10_simhash,
