@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import contamination_digests
+from .html_text import main_texts
 from .pieces import encoding_digests
 from .pii import personal_data_digests
 from .quality import quality_verdicts
@@ -23,6 +24,10 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), tokenizer_file())
 
@@ -56,6 +61,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html": op1_html,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
