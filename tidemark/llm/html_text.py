@@ -15,6 +15,7 @@ import random
 import re
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,6 +34,7 @@ BATCH = 40
 SEED = 11
 #: Blocks times pages that one pass of the network holds; longer pages pass alone.
 CELLS = 60_000
+CACHED_WORDS = 200_000
 
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form frameset"
@@ -49,6 +51,7 @@ _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPLIT_NAME = re.compile(r"[^\W_]+")
 _WORD = re.compile(r"[^\W_]+")
+_DIGITS = re.compile(r"\d")
 _MARKS = re.compile(r"[.,;:!?…]")
 
 
@@ -58,6 +61,20 @@ def _place(token: str) -> tuple[int, float]:
     return code % HASHED, 1.0 if code & 0x10000 else -1.0
 
 
+class _Codes(dict):
+    """Signed places of words, counted from one; up to CACHED_WORDS are remembered."""
+
+    def __missing__(self, word: str) -> int:
+        at, sign = _place(word[:12].lower())
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        self[word] = code = int(sign) * (at + 1)
+        return code
+
+
+_codes = _Codes()
+
+
 def _path_vector(parent: np.ndarray | None, tag: str, names: list[str]) -> np.ndarray:
     vector = np.zeros(HASHED, np.float32) if parent is None else parent.copy()
     for token in (tag, *(f".{n}" for n in names)):
@@ -148,26 +165,29 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def features(found: list[Block]) -> np.ndarray:
-    out = np.zeros((len(found), INPUTS), np.float32)
+    count = len(found)
+    if not count:
+        return np.zeros((0, INPUTS), np.float32)
+    words = [_WORD.findall(b.text) for b in found]
+    sizes = np.array([len(w) for w in words])
+    codes = np.fromiter(map(_codes.__getitem__, chain.from_iterable(words)), np.int64, sizes.sum())
+    cells = np.repeat(np.arange(count) * HASHED, sizes) + np.abs(codes) - 1
+    hashed = np.bincount(cells, np.sign(codes), count * HASHED).reshape(count, HASHED)
+    paths = np.clip(np.stack([b.path for b in found]), -2, 2)
     for i, block in enumerate(found):
-        row, text = out[i], block.text
-        row[:HASHED] = np.clip(block.path, -2, 2)
         at, sign = _place(f"leaf:{block.tag}")
-        row[at] += 2 * sign
-        words = _WORD.findall(text)
-        for word in words:
-            at, sign = _place(word[:12].lower())
-            row[HASHED + at] += sign
-        row[HASHED : 2 * HASHED] /= 4 * max(1.0, len(words)) ** 0.5
-        row[2 * HASHED :] = (
-            np.log1p(len(text)) / 6,
-            min(1.0, block.linked / len(text)),
-            min(1.0, 10 * len(_MARKS.findall(text)) / len(text)),
-            min(1.0, 5 * sum(map(str.isdigit, text[:2000])) / min(len(text), 2000)),
-            (i + 1) / len(found),
-            1 / (i + 1),
-        )
-    return out
+        paths[i, at] += 2 * sign
+    lengths = np.array([len(b.text) for b in found])
+    order = np.arange(1, count + 1)
+    densities = (
+        np.log1p(lengths) / 6,
+        np.minimum(1.0, np.array([b.linked for b in found]) / lengths),
+        np.minimum(1.0, 10 * np.array([len(_MARKS.findall(b.text)) for b in found]) / lengths),
+        np.minimum(1.0, 5 * np.array([len(_DIGITS.findall(b.text)) for b in found]) / lengths),
+        order / count,
+        1 / order,
+    )
+    return np.concatenate([paths, hashed / (4 * np.sqrt(np.maximum(1, sizes)))[:, None], np.stack(densities, axis=1)], axis=1).astype(np.float32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
