@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontaminate import contamination_digests
 from .html_text import main_texts
+from .masked_lm import corpus_scores
 from .pieces import encoding_digests
 from .pii import personal_data_digests
 from .quality import quality_verdicts
@@ -28,6 +29,10 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages"))
 
 
+def op2_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), tokenizer_file())
 
@@ -62,6 +67,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
+    "op2_masked_lm": op2_masked_lm,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
