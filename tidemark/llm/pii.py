@@ -90,7 +90,7 @@ _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _GAP = r"(?<![ \t])[ \t]*+"  # a run of blanks is entered at its begin only
 _AT = re.compile(rf"{_GAP}{_OPEN}[ \t]*(?:at|@)[ \t]*{_CLOSE}[ \t]*|(?<=[A-Za-z0-9])[ \t]+@[ \t]+(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])_at_(?=[A-Za-z0-9])", re.I | re.A)
 _DOT = re.compile(rf"{_GAP}{_OPEN}[ \t]*(?:dot|\.)[ \t]*{_CLOSE}[ \t]*|(?<=[A-Za-z0-9])_dot_(?=[A-Za-z0-9])", re.I | re.A)
-_WORDY = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]{1,64}(?:(?: dot |\.)[A-Za-z0-9_%+-]{1,64}){0,4}( at )[A-Za-z0-9-]{1,63}(?:(?: dot |\.)[A-Za-z0-9-]{1,63}){0,4} dot [A-Za-z]{2,24}(?![A-Za-z0-9])", re.I | re.A)
+_WORDY = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]{1,64}(?:(?: dot |\.)[A-Za-z0-9_%+-]{1,64}){0,4}( at )[A-Za-z0-9-]{1,63}(?:(?: dot |\.)(?!dot\b)[A-Za-z0-9-]{1,63}){0,4} dot (?!dot\b)[A-Za-z]{2,24}(?![A-Za-z0-9])", re.I | re.A)
 _AT_OR_DOT_WORD = re.compile(r" at | dot ", re.I | re.A)
 _SPELLED = re.compile(r"(?<![A-Za-z0-9])(?:plus[ -]+)?(?:(?:zero|oh|one|two|three|four|five|six|seven|eight|nine|[0-9]+)[ -]+){4,}(?:zero|oh|one|two|three|four|five|six|seven|eight|nine|[0-9]+)(?![A-Za-z0-9])", re.I | re.A)
 _SPELLED_PART = re.compile(r"plus|[a-z]+|[0-9]+", re.I | re.A)
