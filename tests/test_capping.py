@@ -31,17 +31,26 @@ def test_cap_equals_counter(spark, cap):
     assert warned == {s for s, (_, o) in want.items() if o == "warn"}
 
 
-def test_cap_beyond_the_group_limit_uses_slices(spark):
+@pytest.mark.parametrize("piece", ["1 second", "10 minutes", "2 days"])
+def test_cap_has_one_plan_at_any_width_and_limit(spark, piece):
     df = frame(spark, EVENTS, "seq bigint, key bigint, kind string, ts timestamp_ntz")
     before = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
-    plain = rows_of(within_cap(df, ["key"], "ts", "seq", 5))
+    plain = rows_of(within_cap(df, ["key"], "ts", "seq", 5, piece=piece))
+    assert plain == rows_of(within_cap(df, ["key"], "ts", "seq", 5))
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "3")
     try:
-        assert rows_of(within_cap(df, ["key"], "ts", "seq", 5)) == plain
+        assert rows_of(within_cap(df, ["key"], "ts", "seq", 5, piece=piece)) == plain
     finally:
         spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", before)
 
 
+def test_cap_above_a_thousand_and_rows_without_a_time(spark):
+    rows = [(0, i, at(START + i)) for i in range(1500)] + [(0, 5000 + i, None) for i in range(1200)]
+    df = spark.createDataFrame(rows, "key bigint, seq bigint, ts timestamp_ntz")
+    kept = {r.seq for r in within_cap(df, ["key"], "ts", "seq", 1100, piece="1 minute").collect()}
+    assert kept == {*range(1100), *range(5000, 6100)}
+
+
 def test_cap_keeps_null_keys(spark):
     df = spark.createDataFrame([(None, 1, at(1)), (None, 2, at(2)), (7, 3, at(3))], "key bigint, seq bigint, ts timestamp_ntz")
     got = cap_outcomes(df, ["key"], "ts", "seq", 1)
@@ -49,18 +58,17 @@ def test_cap_keeps_null_keys(spark):
 
 
 def test_hot_pair_is_capped_and_province_counts_follow(spark):
-    """One user clicks one ad 121 times; 22 other clicks are spread over provinces."""
-    hot = [(i, 937166, 1715, "beijing", START + 30 * i + 1) for i in range(121)]
-    provinces = ["guangdong", "shanghai", "zhejiang", "jiangsu"]
-    other = [(121 + i, 1000 + i, 2000 + i % 3, provinces[i % 4], START + 160 * i + 2) for i in range(22)]
+    """Somebody clicks one ad ten times more than the cap allows; others click here and there."""
+    hot = [(i, 5, 80, "region 1", START + 20 * i + 1) for i in range(110)]
+    other = [(200 + i, 10 + i, 81 + i % 2, f"region {2 + i % 3}", START + 90 * i + 2) for i in range(15)]
     clicks = frame(spark, hot + other, "event_id bigint, user_id bigint, ad_id bigint, province string, ts timestamp_ntz")
-    assert ad_clicks_passed(clicks, "event_id").count() == 122
+    assert ad_clicks_passed(clicks, "event_id").count() == 115
     warnings = ad_click_warnings(clicks, "event_id").collect()
-    assert [(w.user_id, w.ad_id, w.cap, w.first_over_ts) for w in warnings] == [(937166, 1715, 100, at(START + 3001))]
+    assert [(w.user_id, w.ad_id, w.cap, w.first_over_ts) for w in warnings] == [(5, 80, 100, at(START + 2001))]
     counts = ad_clicks_by_province(clicks, "event_id").collect()
-    assert sum(r.cnt for r in counts) == 122 * 720
+    assert sum(r.cnt for r in counts) == 115 * 720
     assert min(r.window_end for r in counts) == at(START + 5)
-    assert max(r.cnt for r in counts if r.province == "beijing") == 100
+    assert max(r.cnt for r in counts if r.province == "region 1") == 100
 
 
 def test_rank_order_within_the_day_does_not_depend_on_input_order(spark):

@@ -37,3 +37,10 @@ def test_lateness_and_counts(spark, chunk):
     expect(
         got.select("key", "window_end", "cnt"), [(k, at(i * SLIDE + SIZE), n) for (k, i), n in counts.items()]
     )
+
+
+def test_rows_without_time_or_number_are_kept_and_not_late(spark):
+    rows = [(0, at(1000)), (None, at(1)), (1, None), (2, at(1)), (None, None)]
+    df = spark.createDataFrame(rows, "seq bigint, ts timestamp_ntz")
+    got = classify_lateness(df, "ts", "seq", "3 seconds", "30 seconds", "60 seconds", chunk_rows=1)
+    assert sorted((str(r.seq), r.is_late) for r in got.collect()) == [("0", False), ("1", False), ("2", True), ("None", False), ("None", False)]

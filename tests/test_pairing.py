@@ -1,4 +1,5 @@
 from collections import defaultdict, deque
+from datetime import date
 
 import pytest
 
@@ -73,23 +74,58 @@ def test_interval_join(spark, bucket):
     expect(outer.select("key", "l_seq", "r_seq", "outcome"), want)
 
 
-def test_transaction_shape(spark):
-    """Gaps of +3, -3 (the bound), 0 and far apart; pays and receipts nobody answers; creates without a transaction."""
-    orders = [
-        (0, "", START), (1, "ewr", START + 5), (2, "3hu", START + 20), (3, "sad", START + 30), (4, "one", START + 40),
-        (5, "far", START + 50), (6, "", START + 55),
-    ]
+def test_transactions_at_the_bounds(spark):
+    """A payment answered at either bound, one a second outside each, one twice answered, one never; a receipt of nobody."""
+    pays = [(0, "low", START), (1, "high", START), (2, "before", START + 9), (3, "after", START + 9), (4, "twice", START), (5, "none", START), (6, "", START)]
     receipts = [
-        (0, "ewr", START + 8), (1, "3hu", START + 17), (2, "sad", START + 30), (3, "two", START + 41),
-        (4, "far", START + 56),
-    ]
+        (0, "low", START - 3), (1, "high", START + 5), (2, "before", START + 5), (3, "after", START + 15), (4, "twice", START + 1),
+        (5, "twice", START + 2), (6, "lost", START),
+    ]
     columns = "event_id bigint, tx_id string, ts timestamp_ntz"
-    o, r = frame(spark, orders, columns), frame(spark, receipts, columns)
-    joined = payments_with_receipts(o, r)
-    assert rows_of(joined.select("tx_id")) == [("3hu",), ("ewr",), ("sad",)]
-    outcomes = reconciled_payments(o, r, "event_id").select("tx_id", "outcome")
+    o, r = frame(spark, pays, columns), frame(spark, receipts, columns)
+    assert rows_of(payments_with_receipts(o, r).select("tx_id")) == [("high",), ("low",), ("twice",), ("twice",)]
     expect(
-        outcomes,
-        [("3hu", "matched"), ("ewr", "matched"), ("sad", "matched"), ("one", "single_pay"), ("two", "single_receipt"),
-         ("far", "single_pay"), ("far", "single_receipt")],
+        reconciled_payments(o, r, "event_id").select("tx_id", "outcome"),
+        [(t, "matched") for t in ("low", "high", "twice")]
+        + [(t, "single_pay") for t in ("before", "after", "none")]
+        + [(t, "single_receipt") for t in ("before", "after", "twice", "lost")],
     )
+
+
+PATCHY = "key bigint, seq bigint, ts timestamp_ntz"
+
+
+def patchy_sides(spark):
+    left = [(1, 1, at(10)), (1, 1, at(10)), (None, 2, at(10)), (2, 3, None), (3, None, at(10)), (3, None, at(10)), (4, 7, at(10)), (4, 7, at(10)), (None, None, None)]
+    right = [(None, 2, at(10)), (2, 3, None), (3, 5, at(11)), (9, 1, at(1)), (9, 1, at(1)), (4, 8, at(12))]
+    return spark.createDataFrame(left, PATCHY), spark.createDataFrame(right, PATCHY)
+
+
+def test_reconcile_keeps_rows_that_lack_a_key_time_or_number(spark):
+    left, right = patchy_sides(spark)
+    rows = reconcile(left, right, ["key"], "ts", "ts", "seq", "seq", "5 seconds", "3 seconds").collect()
+    outcomes = sorted((str(r.key), r.outcome) for r in rows)
+    assert outcomes == sorted(
+        [("1", "single_pay")] * 2 + [("None", "single_pay")] * 2 + [("None", "single_receipt"), ("2", "single_pay"), ("2", "single_receipt")]
+        + [("3", "matched"), ("3", "single_pay"), ("4", "matched"), ("4", "single_pay")] + [("9", "single_receipt")] * 2
+    )
+
+
+@pytest.mark.parametrize("bucket", [None, "1 second"])
+def test_outer_join_keeps_rows_that_lack_a_key_time_or_number(spark, bucket):
+    left, right = patchy_sides(spark)
+    rows = interval_outer_join(left, right, ["key"], "ts", "ts", "seq", "seq", "3 seconds", "5 seconds", bucket).collect()
+    outcomes = sorted((str(r.key), r.outcome) for r in rows)
+    assert outcomes == sorted(
+        [("1", "single_pay")] * 2 + [("None", "single_pay")] * 2 + [("None", "single_receipt"), ("2", "single_pay"), ("2", "single_receipt")]
+        + [("3", "matched")] * 2 + [("4", "matched")] * 2 + [("9", "single_receipt")] * 2
+    )
+
+
+def test_keys_may_be_named_like_sides_and_times_be_dates(spark):
+    left = spark.createDataFrame([(1, date(2024, 1, 1), 5)], "l_key bigint, day date, seq bigint")
+    right = spark.createDataFrame([(1, date(2024, 1, 3), 6), (2, date(2024, 1, 3), 7)], "l_key bigint, day date, seq bigint")
+    got = interval_outer_join(left, right, ["l_key"], "day", "day", "seq", "seq", "1 day", "2 days")
+    assert rows_of(got.select("l_key", "l_seq", "r_seq", "outcome")) == [(1, 5, 6, "matched"), (2, None, 7, "single_receipt")]
+    single = reconcile(left, right, ["l_key"], "day", "day", "seq", "seq", "1 day", "1 day").orderBy("pay_ts").collect()
+    assert {(r.l_key, r.outcome, r.pay_ts) for r in single if r.pay_ts} == {(1, "single_pay", date(2024, 1, 1))}

@@ -5,10 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from tests.support import START, frame
 from tidemark import plans
-from tidemark.operators import Pattern, consecutive_hits, interval_join, match, within_cap
+from tidemark.operators import Pattern, classify_lateness, consecutive_hits, interval_join, match, within_cap
+from workload.queries import QUERIES
 
 
 def plan(df):
@@ -39,7 +39,8 @@ def test_shuffle_counts(behavior):
     assert exchanges(consecutive_hits(behavior, ["user_id"], "ts", "event_id", hit, 3, "5 seconds")) == 1
     pattern = Pattern.begin("a", hit).followed_by("b", ~hit).followed_by("c", hit).within("5 minutes")
     assert exchanges(match(behavior, ["user_id"], "ts", "event_id", pattern)) == 1
-    assert exchanges(within_cap(behavior, ["user_id"], "ts", "event_id", 2)) == 1
+    # The rows left of each piece, the counts of the pieces, and their sums before each piece.
+    assert exchanges(within_cap(behavior, ["user_id"], "ts", "event_id", 2)) == 3
     assert exchanges(plans.page_view_totals(behavior)) == 1
     # Counting per pane, spreading the changes, ranking.
     assert exchanges(plans.hot_items(behavior)) == 3
@@ -59,7 +60,13 @@ def test_hot_keys_are_joined_by_time_bucket(spark, behavior):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if not n.startswith("stream")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("stream")])
 def test_no_query_pairs_everything_with_everything(spark, name):
-    text = plan(contract.queries()[name](spark, "/root/testdata/sf0.001"))
+    text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_lateness_has_no_single_task_over_chunks(spark, behavior):
+    classified = classify_lateness(behavior, "ts", "event_id", "3 seconds", "1 minute", "10 minutes", chunk_rows=2)
+    text = plan(classified)
+    assert len(re.findall(r"Exchange SinglePartition", text)) == 1 and "hashpartitioning(_group" in text

@@ -135,39 +135,43 @@ def test_open_close_outcomes(steps, slice):
     expect(got, want)
 
 
-# One login user whose rows arrive out of order: fails at 842, 843, 844, success at 845.
-LOGIN_SHAPE = [
-    (0, 1035, "fail", 842), (1, 1035, "success", 845), (2, 1035, "fail", 843), (3, 1036, "success", 843),
-    (4, 1035, "success", 849), (5, 1035, "fail", 844), (6, 1037, "fail", 850),
-]
-
-
-def test_login_shape(spark):
-    df = frame(spark, LOGIN_SHAPE, COLUMNS)
+def test_event_order_counts_and_arrival_order_does_not(spark):
+    """Fails at 10, 11 and 12 that arrive mixed with a success of second 13; another key never fails twice."""
+    rows = [(0, 1, "fail", 12), (1, 1, "success", 13), (2, 1, "fail", 10), (3, 2, "fail", 11), (4, 1, "success", 30), (5, 1, "fail", 11)]
+    df = frame(spark, rows, COLUMNS)
     triples = consecutive_hits(df, ["key"], "ts", "seq", failed(), 3, "5 seconds")
-    expect(triples.select("key", "first_ts", "last_ts"), [(1035, at(842), at(844))])
-    pairs = consecutive_hits(df, ["key"], "ts", "seq", failed(), 2, "2 seconds", inclusive=True)
-    expect(pairs.select("key", "first_ts", "last_ts"), [(1035, at(842), at(843)), (1035, at(843), at(844))])
+    expect(triples.select("key", "first_ts", "last_ts"), [(1, at(10), at(12))])
+    pairs = consecutive_hits(df, ["key"], "ts", "seq", failed(), 2, "1 second", inclusive=True)
+    expect(pairs.select("key", "first_ts", "last_ts"), [(1, at(10), at(11)), (1, at(11), at(12))])
     assert adjacent_pairs_by_arrival(df, ["key"], "ts", "seq", failed(), "2 seconds").count() == 0
 
 
-# Paid in time, paid in the same second though late in the file, paid late, never paid, never created.
-ORDER_SHAPE = [
-    (0, 34729, "create", START), (1, 34747, "pay", START + 10), (2, 34756, "create", START + 20),
-    (3, 34729, "pay", START + 30), (4, 34747, "create", START + 10), (5, 34767, "create", START + 50),
-    (6, 34768, "pay", START + 60), (7, 34756, "pay", START + 20 + 1038),
-]
-
-
-def test_order_shape(spark):
-    df = frame(spark, ORDER_SHAPE, COLUMNS)
+def test_five_fates_of_an_order(spark):
+    """Paid early, paid in the same second by an earlier row, paid too late, never paid, never created."""
+    rows = [
+        (0, 1, "create", START), (1, 1, "pay", START + 100), (2, 2, "pay", START + 7), (3, 2, "create", START + 7),
+        (4, 3, "create", START), (5, 3, "pay", START + 901), (6, 4, "create", START + 3), (7, 5, "pay", START),
+    ]
+    df = frame(spark, rows, COLUMNS)
     kind = F.col("kind")
     outcomes = open_close_outcomes(df, ["key"], "ts", "seq", kind == "create", kind == "pay", "15 minutes")
-    expect(
-        outcomes.select("key", "outcome"),
-        [(34729, "paid"), (34747, "paid"), (34756, "paid_late"), (34767, "timeout"), (34768, "orphan_pay")],
-    )
+    expect(outcomes.select("key", "outcome"), [(1, "paid"), (2, "paid"), (3, "paid_late"), (4, "timeout"), (5, "orphan_pay")])
     pattern = Pattern.begin("create", kind == "create").followed_by("pay", kind == "pay").within("15 minutes")
     timeouts = match(df, ["key"], "ts", "seq", pattern).where("outcome = 'timeout'").select("key", "at")
-    # By sequence number the pay of 34747 precedes its create in the same second.
-    expect(timeouts, [(34747, at(START + 910)), (34756, at(START + 920)), (34767, at(START + 950))])
+    # By sequence number the pay of order 2 precedes its create in the same second.
+    expect(timeouts, [(2, at(START + 907)), (3, at(START + 900)), (4, at(START + 903))])
+
+
+def test_where_after_times_narrows_every_repeat(spark):
+    df = frame(spark, [(i, 1, "fail", 10 + i) for i in range(6)], COLUMNS)
+    pattern = Pattern.begin("f", failed()).times(3).where(F.col("seq") >= 2).within("9 seconds")
+    got = match(df, ["key"], "ts", "seq", pattern).where("outcome = 'matched'").select("f_1_seq", "f_2_seq", "f_3_seq")
+    expect(got, [(2, 3, 4), (3, 4, 5)])
+
+
+def test_unknown_conditions_and_times_take_no_part(spark):
+    rows = [(0, 1, "a", at(1)), (1, 1, "b", at(2)), (2, 1, None, at(3)), (3, 2, "a", None), (4, 2, "b", at(9))]
+    df = spark.createDataFrame(rows, "seq bigint, key bigint, kind string, ts timestamp_ntz")
+    opens, closes = F.col("kind") == "a", F.col("kind").isin("b") | F.col("kind").isNull()
+    got = open_close_outcomes(df, ["key"], "ts", "seq", opens, closes, "6 seconds").select("key", "outcome", "open_seq", "close_seq")
+    expect(got, [(1, "paid", 0, 1), (1, "orphan_pay", None, 2), (2, "orphan_pay", None, 4)])

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 Span = str | timedelta
 
+DAY_US = 86_400_000_000
 _UTC_ZONES = {"UTC", "Etc/UTC", "Z", "GMT", "Etc/GMT"}
 
 
@@ -27,13 +28,15 @@ def span_us(span: Span) -> int:
 
 
 def micros(df: DataFrame, ts: str) -> Column:
-    """Microseconds since the epoch of timestamp column ``ts``.
+    """Microseconds since the epoch of timestamp or date column ``ts``.
 
-    A zone-less timestamp is read as UTC under every session zone.
+    A zone-less timestamp is read as UTC under every session zone, a date as its midnight there.
     """
     kind = df.schema[ts].dataType
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(ts)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(ts).cast("bigint") * DAY_US
     if not isinstance(kind, T.TimestampNTZType):
         raise TypeError(f"{ts} must be a timestamp, not {kind.simpleString()}")
     if df.sparkSession.conf.get("spark.sql.session.timeZone") in _UTC_ZONES:
@@ -42,9 +45,11 @@ def micros(df: DataFrame, ts: str) -> Column:
 
 
 def from_micros(us: Column, like: T.DataType) -> Column:
-    """The timestamp of type ``like`` that lies ``us`` microseconds after the epoch."""
+    """The timestamp, or date, of type ``like`` that lies ``us`` microseconds after the epoch."""
     if isinstance(like, T.TimestampType):
         return F.timestamp_micros(us)
+    if isinstance(like, T.DateType):
+        return F.date_from_unix_date(floor_div(us, DAY_US).cast("int"))
     return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + us * F.expr("interval '0.000001' second")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import Span, floor_div, local_day, micros, span_us
-from tidemark.operators.slices import running_rank
+from tidemark.operators.slices import NULLS, hide_nulls, running_rank, show_nulls
 
 PASS, WARN, DROP = "pass", "warn", "drop"
 
@@ -39,16 +39,21 @@ def cap_outcome(rank: Column, cap: int) -> Column:
 def _ranked_head(
     df: DataFrame, keys: Sequence[str], ts: str, seq: str, limit: int, utc_offset: Span, piece: Span
 ) -> DataFrame:
-    dated = _with_day(df, ts, utc_offset)
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if limit <= threshold:
-        # Spark keeps at most `limit` rows per key and day in each map task.
-        order = Window.partitionBy(*keys, "day").orderBy(ts, seq)
-        ranked = dated.withColumn("day_rank", F.row_number().over(order))
-    else:
-        sliced = dated.withColumn("_piece", floor_div(micros(df, ts), span_us(piece)))
-        ranked = running_rank(sliced, [*keys, "day"], "_piece", [ts, seq], name="day_rank").drop("_piece")
-    return ranked.where(F.col("day_rank") <= limit)
+    """The first ``limit`` rows per key and day with their ``day_rank``.
+
+    No more than ``limit`` rows of a piece of the day can be among them, which Spark cuts in the map tasks; the counts
+    of the earlier pieces, taken before that cut, turn ranks of the piece into ranks of the day.
+    """
+    dated = _with_day(df, ts, utc_offset).withColumn("_piece", floor_div(micros(df, ts), span_us(piece)))
+    rows, day = hide_nulls(dated, [*keys, "day", "_piece"])
+    order = Window.partitionBy(*day).orderBy(ts, seq)
+    heads = rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= limit)
+    # Rows without a time are a day of their own, so pieces need no order among nulls.
+    before = Window.partitionBy(*keys, "day", NULLS).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*day).agg(F.count("*").alias("_n"))
+    offsets = counts.select(*day, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).where(F.col("_before") < limit)
+    ranked = heads.join(offsets, day).withColumn("day_rank", (F.col("_rank") + F.col("_before")).cast("int"))
+    return show_nulls(ranked.where(F.col("day_rank") <= limit), [*keys, "day", "_piece"]).select(*df.columns, "day", "day_rank")
 
 
 def within_cap(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import Span, floor_div, from_micros, micros, span_us
-from tidemark.operators.slices import hide_nulls, show_nulls, slice_width, with_halo
+from tidemark.operators.slices import slice_width, with_halo
 
 PAIRED, LEFT_ONLY, RIGHT_ONLY = "matched", "single_pay", "single_receipt"
 
@@ -60,7 +60,8 @@ def _bucketed(
     r = _prefixed(right.withColumn("_us", micros(right, right_ts)), "r_", keys)
     first = floor_div(F.col("l__us") - F.lit(before_us), width)
     last = floor_div(F.col("l__us") + F.lit(after_us), width)
-    l = l.withColumns({"_copies": last - first + 1, "_bucket": F.explode(F.sequence(first, last))})
+    # A row without a time is a copy of its own that no bucket holds.
+    l = l.withColumns({"_copies": F.coalesce(last - first + 1, F.lit(1)), "_bucket": F.explode_outer(F.sequence(first, last))})
     return l, r.withColumn("_bucket", floor_div(F.col("r__us"), width))
 
 
@@ -79,31 +80,38 @@ def interval_outer_join(
     """``interval_join`` plus the rows of both sides that meet nobody, told apart by ``outcome``.
 
     A right row has one bucket, so a full outer join shows at once whether it
-    meets anybody. A left row meets nobody if none of its copies does.
+    meets anybody. A left row meets nobody if none of its copies does; equal
+    left rows, which meet the same rows, keep their number. Rows without a key
+    or a time meet nobody.
     """
     keys = list(keys)
     before_us, after_us = span_us(before), span_us(after)
     width = span_us(bucket) if bucket is not None else max(before_us + after_us, 1)
     l, r = _bucketed(left, right, keys, left_ts, right_ts, before_us, after_us, width)
-    l_columns = [c for c in l.columns if c.startswith("l_") and c != "l__us"]
-    r_columns = [c for c in r.columns if c.startswith("r_") and c != "r__us"]
-    r = r.withColumnsRenamed({c: f"_right_{c}" for c in [*keys, "_bucket"]})
+    l_columns = [f"l_{c}" for c in left.columns if c not in keys]
+    r_columns = [f"r_{c}" for c in right.columns if c not in keys]
+    r = r.withColumn("_is_right", F.lit(True)).withColumnsRenamed({c: f"_right_{c}" for c in [*keys, "_bucket"]})
     near = (F.col("_bucket") == F.col("_right__bucket")) & (F.col("r__us") - F.col("l__us")).between(-before_us, after_us)
     for key in keys:
         near = near & (F.col(key) == F.col(f"_right_{key}"))
     met = l.join(r, near, "full_outer")
-    has_left, has_right = F.col("_copies").isNotNull(), F.col("_right__bucket").isNotNull()
+    has_left, has_right = F.col("_copies").isNotNull(), F.col("_is_right").isNotNull()
     answered = met.where(has_right).select(
         *[F.when(has_left, F.col(key)).otherwise(F.col(f"_right_{key}")).alias(key) for key in keys],
         *l_columns,
         *r_columns,
         F.when(has_left, PAIRED).otherwise(RIGHT_ONLY).alias("outcome"),
     )
+    # Equal rows miss the same buckets, so each bucket missed shows how many they are.
+    row = [*keys, "_row"]
+    missed = met.where(~has_right).select(*keys, F.struct("_copies", *l_columns).alias("_row"), "_bucket")
     unanswered = (
-        met.where(~has_right)
-        .groupBy(*keys, f"l_{left_seq}")
-        .agg(F.count("*").alias("_missed"), F.first(F.struct("_copies", *l_columns)).alias("_row"))
+        missed.groupBy(*row, "_bucket")
+        .agg(F.count("*").alias("_equal"))
+        .groupBy(*row)
+        .agg(F.count("*").alias("_missed"), F.max("_equal").alias("_equal"))
         .where(F.col("_missed") == F.col("_row._copies"))
+        .withColumn("_each", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_equal"))))
         .select(*keys, *[F.col("_row")[c].alias(c) for c in l_columns], F.lit(LEFT_ONLY).alias("outcome"))
     )
     return answered.unionByName(unanswered, allowMissingColumns=True)
@@ -188,7 +196,8 @@ def reconcile(
     A left row waits ``left_waits`` for a right row, a right row waits
     ``right_waits`` for a left row; each takes the longest-waiting partner
     still there (left rows first at equal times). Every input row appears once:
-    ``outcome`` is matched, single_pay or single_receipt.
+    ``outcome`` is matched, single_pay or single_receipt. Rows without a key or
+    a time are single.
 
     At any time only one side waits, so the state of a key is one signed number
     ``k``: the latest ``k`` left rows (or ``-k`` right rows) are waiting. A row
@@ -209,7 +218,11 @@ def reconcile(
             *keys, micros(right, right_ts).alias("_us"), F.lit(1).alias("_side"), F.col(right_seq).alias("_seq")
         )
     )
-    rows, full = hide_nulls(rows, keys)
+    lacking = F.col("_us").isNull()
+    for key in keys:
+        lacking = lacking | F.col(key).isNull()
+    lone = rows.where(lacking)
+    rows, full = rows.where(~lacking), keys
     grouped = [*full, "_slice"]
     order = ["_us", "_side", "_seq"]
     by_row = Window.partitionBy(*grouped).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -280,9 +293,18 @@ def reconcile(
         F.max(F.when(~is_left, F.col("_seq"))).alias("receipt_seq"),
     )
     outcome = F.when(F.col("_right_us").isNull(), LEFT_ONLY).when(F.col("_left_us").isNull(), RIGHT_ONLY)
-    return show_nulls(met, keys).select(
+    single = lone.select(
+        *keys,
+        F.when(is_left, F.col("_us")).alias("_left_us"),
+        F.when(is_left, F.col("_seq")).alias("pay_seq"),
+        F.when(~is_left, F.col("_us")).alias("_right_us"),
+        F.when(~is_left, F.col("_seq")).alias("receipt_seq"),
+        F.when(is_left, LEFT_ONLY).otherwise(RIGHT_ONLY).alias("outcome"),
+    )
+    paired = met.select(*keys, "_left_us", "pay_seq", "_right_us", "receipt_seq", outcome.otherwise(PAIRED).alias("outcome"))
+    return paired.unionByName(single).select(
         *keys,
-        outcome.otherwise(PAIRED).alias("outcome"),
+        "outcome",
         from_micros(F.col("_left_us"), kind).alias("pay_ts"),
         "pay_seq",
         from_micros(F.col("_right_us"), kind).alias("receipt_ts"),

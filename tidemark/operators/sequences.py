@@ -24,6 +24,16 @@ class Stage:
     name: str
     condition: Column
     strict: bool
+    count: int | None = None
+    consecutive: bool = False
+
+    def repeats(self) -> list[Stage]:
+        if self.count is None:
+            return [self]
+        return [
+            Stage(f"{self.name}_{i + 1}", self.condition, self.strict if i == 0 else self.consecutive)
+            for i in range(self.count)
+        ]
 
 
 @dataclass(frozen=True)
@@ -49,7 +59,7 @@ class Pattern:
         return replace(self, stages=(*self.stages, Stage(name, condition, False)))
 
     def where(self, condition: Column) -> Pattern:
-        """Narrow the latest stage."""
+        """Narrow the latest stage, with all its repeats."""
         last = self.stages[-1]
         return replace(self, stages=(*self.stages[:-1], replace(last, condition=last.condition & condition)))
 
@@ -57,11 +67,12 @@ class Pattern:
         """Repeat the latest stage ``n`` times as ``name_1 … name_n``."""
         if n < 1:
             raise ValueError("times needs n >= 1")
-        last = self.stages[-1]
-        repeats = [
-            Stage(f"{last.name}_{i + 1}", last.condition, last.strict if i == 0 else consecutive) for i in range(n)
-        ]
-        return replace(self, stages=(*self.stages[:-1], *repeats))
+        last = replace(self.stages[-1], count=n, consecutive=consecutive)
+        return replace(self, stages=(*self.stages[:-1], last))
+
+    def steps(self) -> list[Stage]:
+        """The stages one by one, repeats written out."""
+        return [step for stage in self.stages for step in stage.repeats()]
 
     def within(self, span: Span) -> Pattern:
         return replace(self, span=span)
@@ -80,7 +91,7 @@ def match(
     if pattern.span is None:
         raise ValueError("close the pattern with within(...)")
     keys = list(keys)
-    stages = pattern.stages
+    stages = pattern.steps()
     span = span_us(pattern.span)
     width = slice_width(span, slice)
     kind = df.schema[ts].dataType
@@ -218,12 +229,14 @@ def open_close_outcomes(
     An opening directly followed by a closing is ``paid`` (gap below ``within``)
     or ``paid_late``, whatever the gap; otherwise it is a ``timeout``. A closing
     not directly preceded by an opening is an ``orphan_pay``. At equal times
-    openings come first.
+    openings come first. A row that meets both conditions is an opening; an unknown
+    condition is not met; rows without a time take no part.
     """
     keys = list(keys)
     span = span_us(within)
     kind = df.schema[ts].dataType
-    rows = df.where(opens | closes).select(
+    opens, closes = (F.coalesce(c, F.lit(False)) for c in (opens, closes))
+    rows = df.where((opens | closes) & F.col(ts).isNotNull()).select(
         *keys, micros(df, ts).alias("_us"), (~opens).cast("int").alias("_close"), F.col(seq).alias("_seq")
     )
     rows = rows.withColumn("_slice", floor_div(F.col("_us"), slice_width(span, slice)))

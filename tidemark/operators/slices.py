@@ -111,6 +111,8 @@ def _plain_value(kind: T.DataType) -> Column:
         return F.lit("")
     if isinstance(kind, T.BooleanType):
         return F.lit(False)
+    if isinstance(kind, T.BinaryType):
+        return F.lit(bytearray())
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.lit("1970-01-01").cast(kind)
     raise TypeError(f"unsupported key type: {kind.simpleString()}")

@@ -11,14 +11,18 @@ from tidemark.operators.windows import sliding_counts
 KEYS = ["user_id", "ad_id"]
 
 
-def ad_clicks_passed(clicks: DataFrame, seq: str, cap: int = 100, utc_offset: Span = "8 hours") -> DataFrame:
+def ad_clicks_passed(
+    clicks: DataFrame, seq: str, cap: int = 100, utc_offset: Span = "8 hours", piece: Span = "15 minutes"
+) -> DataFrame:
     """Clicks up to the cap (``user_id, ad_id, province, ts``)."""
-    return within_cap(clicks, KEYS, "ts", seq, cap, utc_offset)
+    return within_cap(clicks, KEYS, "ts", seq, cap, utc_offset, piece)
 
 
-def ad_click_warnings(clicks: DataFrame, seq: str, cap: int = 100, utc_offset: Span = "8 hours") -> DataFrame:
+def ad_click_warnings(
+    clicks: DataFrame, seq: str, cap: int = 100, utc_offset: Span = "8 hours", piece: Span = "15 minutes"
+) -> DataFrame:
     """One warning per user, ad and day over the cap."""
-    return cap_warnings(clicks, KEYS, "ts", seq, cap, utc_offset)
+    return cap_warnings(clicks, KEYS, "ts", seq, cap, utc_offset, piece)
 
 
 def ad_clicks_by_province(
@@ -28,7 +32,8 @@ def ad_clicks_by_province(
     utc_offset: Span = "8 hours",
     size: Span = "1 hour",
     slide: Span = "5 seconds",
+    piece: Span = "15 minutes",
 ) -> DataFrame:
     """Clicks within the cap per province and sliding window."""
-    passed = ad_clicks_passed(clicks.select(*KEYS, "province", "ts", seq), seq, cap, utc_offset)
+    passed = ad_clicks_passed(clicks.select(*KEYS, "province", "ts", seq), seq, cap, utc_offset, piece)
     return sliding_counts(passed, "ts", size, slide, ["province"]).drop("window_start")

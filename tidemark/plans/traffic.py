@@ -45,9 +45,11 @@ def page_flow(access: DataFrame, n: int = 3, size: Span = "10 minutes", slide: S
     return ranking.top_n(windows.sliding_counts(reads, "ts", size, slide, ["url"]), n, ["url"]).drop("window_start")
 
 
-def _late_classified(access: DataFrame, seq: str, delay: Span, allowed: Span, size: Span, slide: Span) -> DataFrame:
+def _late_classified(
+    access: DataFrame, seq: str, delay: Span, allowed: Span, size: Span, slide: Span, chunk_rows: int
+) -> DataFrame:
     # Every request moves the watermark, also those that are filtered out afterwards.
-    classified = lateness.classify_lateness(access, "ts", seq, delay, allowed, size, slide)
+    classified = lateness.classify_lateness(access, "ts", seq, delay, allowed, size, slide, chunk_rows)
     return classified.where(F.col("method") == READ_METHOD)
 
 
@@ -59,9 +61,10 @@ def page_flow_with_lateness(
     slide: Span = "5 seconds",
     delay: Span = "3 seconds",
     allowed: Span = "1 minute",
+    chunk_rows: int = 5_000_000,
 ) -> DataFrame:
     """``page_flow`` where a late request only counts in windows that are still open."""
-    reads = _late_classified(access, seq, delay, allowed, size, slide)
+    reads = _late_classified(access, seq, delay, allowed, size, slide, chunk_rows)
     counts = lateness.sliding_counts_with_lateness(reads, "ts", allowed, size, slide, ["url"])
     return ranking.top_n(counts, n, ["url"]).drop("window_start")
 
@@ -73,9 +76,10 @@ def page_flow_late_rows(
     slide: Span = "5 seconds",
     delay: Span = "3 seconds",
     allowed: Span = "1 minute",
+    chunk_rows: int = 5_000_000,
 ) -> DataFrame:
     """Requests that arrived too late for every window they belong to."""
-    return _late_classified(access, seq, delay, allowed, size, slide).where("is_late").drop("is_late")
+    return _late_classified(access, seq, delay, allowed, size, slide, chunk_rows).where("is_late").drop("is_late")
 
 
 def page_view_totals(behavior: DataFrame, seq: str | None = None, size: Span = "1 hour", salts: int = 64) -> DataFrame:

@@ -16,26 +16,27 @@ def parse_access_log(lines: DataFrame, quarantine: bool = False) -> DataFrame:
     ``quarantine`` its text is kept in ``_corrupt_record`` and the rest is null.
     """
     parts = F.split("value", " ")
-    at = F.get if quarantine else (lambda a, i: F.element_at(a, i + 1))
-    field = {name: at(parts, F.lit(i)) for name, i in ACCESS_LOG_FIELDS.items()}
+    field = {name: F.get(parts, F.lit(i)) for name, i in ACCESS_LOG_FIELDS.items()}
     rest = [c for c in lines.columns if c != "value"]
     parsed = lines.select(
         *rest,
         field["ip"].alias("ip"),
         field["user_id"].alias("user_id"),
-        access_log_time(field["time"], lenient=quarantine).alias("ts"),
+        access_log_time(field["time"], lenient=True).alias("ts"),
         field["method"].alias("method"),
         field["url"].alias("url"),
         "value",
     )
+    good = F.col("ts").isNotNull() & F.col("url").isNotNull()
+    names = ("ip", "user_id", "ts", "method", "url")
     if quarantine:
-        good = F.col("ts").isNotNull() & F.col("url").isNotNull()
         return parsed.select(
             *rest,
-            *[F.when(good, F.col(c)).alias(c) for c in ("ip", "user_id", "ts", "method", "url")],
+            *[F.when(good, F.col(c)).alias(c) for c in names],
             F.when(~good, F.col("value")).alias("_corrupt_record"),
         )
-    return parsed.drop("value")
+    bad = F.raise_error(F.concat(F.lit("MALFORMED access log line: "), F.coalesce("value", F.lit("null"))))
+    return parsed.select(*rest, *[F.when(good, F.col(c)).otherwise(bad.cast(parsed.schema[c].dataType)).alias(c) for c in names])
 
 
 def read_access_log(spark: SparkSession, path: str | list[str], quarantine: bool = False) -> DataFrame:

@@ -29,8 +29,7 @@ delayed AS (
 AD_CLICKS = """
 clicks AS (
   SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 AS ad_id,
-         list_extract(['beijing', 'shanghai', 'guangdong', 'zhejiang', 'jiangsu', 'henan', 'hebei'],
-                      CAST(user_id % 7 AS INTEGER) + 1) AS province,
+         'region ' || (user_id % 7) AS province,
          ts, CAST(ts + INTERVAL 8 HOUR AS DATE) AS day
   FROM events
 ),
@@ -275,6 +274,20 @@ SELECT w.tx_id, outcome, make_timestamp(lt[li]) AS pay_ts, lid[li] AS pay_seq, m
        rid[ri] AS receipt_seq
 FROM walk w JOIN both_sides b ON b.tx_id = w.tx_id WHERE outcome IS NOT NULL"""
 
+# The same over the rows that have an id and a time; the others are single.
+TX_PATCHY = """
+all_pays AS (SELECT CASE WHEN event_id % 7 <> 0 THEN CAST(user_id AS VARCHAR) END AS tx_id, event_id,
+                    CASE WHEN event_id % 11 <> 0 THEN ts END AS ts FROM events WHERE event_type = 'purchase'),
+all_receipts AS (SELECT CASE WHEN event_id % 7 <> 0 THEN CAST(user_id AS VARCHAR) END AS tx_id, event_id,
+                        CASE WHEN event_id % 11 <> 0 THEN ts END AS ts FROM events WHERE event_type = 'click'),
+pays AS (SELECT * FROM all_pays WHERE tx_id IS NOT NULL AND ts IS NOT NULL),
+receipts AS (SELECT * FROM all_receipts WHERE tx_id IS NOT NULL AND ts IS NOT NULL)"""
+RECONCILE_PATCHY = RECONCILE.replace(TX, TX_PATCHY) + """
+UNION ALL
+SELECT tx_id, 'single_pay', ts, event_id, NULL, NULL FROM all_pays WHERE tx_id IS NULL OR ts IS NULL
+UNION ALL
+SELECT tx_id, 'single_receipt', NULL, NULL, ts, event_id FROM all_receipts WHERE tx_id IS NULL OR ts IS NULL"""
+
 ORACLES: dict[str, str] = {
     "item_view_counts": f"WITH {BEHAVIOR} " + windows("behavior", "item_id", HOUR, 5 * MINUTE, "behavior = 'pv'"),
     "hot_items_topn": f"WITH {BEHAVIOR} {HOT_ITEMS}",
@@ -293,17 +306,35 @@ FROM top GROUP BY window_end""",
 WITH {WATERMARKED}
 SELECT event_id, user_id, method, url, ts, make_timestamp(wm) AS watermark
 FROM classified WHERE method = 'GET' AND is_late""",
+    "late_rows_nulls": f"""
+WITH {DELAYED},
+patchy AS (SELECT event_id AS request, CASE WHEN event_id % 13 <> 0 THEN event_id END AS seq,
+                  CASE WHEN event_id % 11 <> 0 THEN ts END AS ts FROM delayed),
+arrived AS (
+  SELECT *, CASE WHEN seq IS NOT NULL THEN
+           max(CASE WHEN seq IS NOT NULL THEN epoch_us(ts) END)
+             OVER (ORDER BY seq NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {3 * SECOND} END AS wm
+  FROM patchy
+)
+SELECT request, ts, make_timestamp(wm) AS watermark,
+       coalesce(epoch_us(ts) // {5 * SECOND} * {5 * SECOND} + {10 * MINUTE} - 1000 + {MINUTE} <= wm, FALSE) AS is_late
+FROM arrived""",
     "page_view_hourly": hourly("count(*)"),
     "page_view_salted": hourly("count(*)"),
     "uv_exact": hourly("count(DISTINCT user_id)"),
     "uv_hashed": hourly(f"count(DISTINCT {HASH})"),
     "uv_bitmap": hourly("count(DISTINCT user_id)"),
+    "uv_approx": f"SELECT *, TRUE AS near FROM ({hourly('count(DISTINCT user_id)')})",
+    "value_range_sliding": f"""
+SELECT event_type, make_timestamp(i * {HOUR} + {DAY}) AS window_end, min(value) AS low, max(value) AS high, count(value) AS n
+FROM (SELECT event_type, value, unnest(range((epoch_us(ts) - {DAY}) // {HOUR} + 1, epoch_us(ts) // {HOUR} + 1)) AS i FROM events)
+GROUP BY event_type, i""",
     "uv_running": running("user_id"),
     "uv_running_hashed": running(HASH),
     "marketing_by_channel": """
 WITH marketing AS (
   SELECT event_type AS behavior,
-         list_extract(['AppStore', 'HuaweiStore', 'wechat', 'weibo'], CAST(user_id % 4 AS INTEGER) + 1) AS channel, ts
+         list_extract(['search', 'mail', 'partner', 'direct'], CAST(user_id % 4 AS INTEGER) + 1) AS channel, ts
   FROM events
 ) """
     + windows("marketing", "channel, behavior", HOUR, 5 * SECOND, "behavior IS DISTINCT FROM 'signup'"),
@@ -351,6 +382,7 @@ SELECT coalesce(l.tx_id, r.tx_id) AS tx_id, l.event_id AS l_event_id, l.ts AS l_
             ELSE 'matched' END AS outcome
 FROM pays l FULL JOIN receipts r ON {NEAR}""",
     "tx_reconcile": RECONCILE,
+    "tx_reconcile_nulls": RECONCILE_PATCHY,
     "interval_join_orders": """
 SELECT o_orderkey AS orderkey, o_orderdate AS orderdate, l_linenumber AS linenumber, l_shipdate AS shipdate
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey
@@ -360,7 +392,7 @@ WITH {ACCESS}
 SELECT '10.0.0.' || (user_id % 256) AS ip, CAST(user_id AS VARCHAR) AS user_id, date_trunc('second', ts) AS ts,
        method, url FROM access""",
     "csv_round_trip": """
-SELECT user_id AS order_id, event_type, CASE WHEN event_type = 'purchase' THEN 'tx-' || event_id ELSE '' END AS tx_id,
+SELECT user_id AS order_id, ' ' || event_type || ' ' AS event_type, CASE WHEN event_type = 'purchase' THEN 'tx-' || event_id ELSE '' END AS tx_id,
        epoch_us(ts) // 1000000 AS epoch_s
 FROM events""",
     "stream_hot_items": f"WITH {BEHAVIOR} {HOT_ITEMS}",

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from tidemark import operators as ops
 from tidemark import plans, schemas
-from tidemark.functions import micros, poly_hash
+from tidemark.functions import poly_hash
 from tidemark.sources import parse_access_log, parse_lines
 from tidemark.sources.lines import as_messages
 from workload import roles
 from workload.streams import STREAM_QUERIES
 
+#: Sequence numbers per chunk in the lateness queries, so that even small tables have many chunks.
+CHUNK = 100
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -40,11 +43,20 @@ def page_flow_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_flow_late_aware(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.page_flow_with_lateness(roles.delayed_access(spark, sf_dir), "event_id")
+    return plans.page_flow_with_lateness(roles.delayed_access(spark, sf_dir), "event_id", chunk_rows=CHUNK)
 
 
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.page_flow_late_rows(roles.delayed_access(spark, sf_dir), "event_id")
+    return plans.page_flow_late_rows(roles.delayed_access(spark, sf_dir), "event_id", chunk_rows=CHUNK)
+
+
+def late_rows_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lateness of every request when some lack a time and some a place in the order."""
+    rows = roles.patchy(roles.delayed_access(spark, sf_dir), "ts", 11)
+    rows = rows.withColumn("request", F.col("event_id"))
+    rows = roles.patchy(rows, "event_id", 13, by="request")
+    classified = ops.classify_lateness(rows, "ts", "event_id", "3 seconds", "1 minute", "10 minutes", "5 seconds", CHUNK)
+    return classified.select("request", "ts", "watermark", "is_late")
 
 
 def page_view_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +80,12 @@ def uv_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def uv_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.visitors(roles.behavior(spark, sf_dir), "approx")
+    """Per window the exact count, and whether the estimate lies within five hundredths (or one) of it."""
+    behavior = roles.behavior(spark, sf_dir)
+    exact = plans.visitors(behavior, "exact")
+    estimated = plans.visitors(behavior, "approx").withColumnRenamed("cnt", "estimate")
+    near = F.abs(F.col("estimate") - F.col("cnt")) <= F.greatest(F.lit(1.0), 0.05 * F.col("cnt"))
+    return exact.join(estimated, "window_end").select("window_end", "cnt", near.alias("near"))
 
 
 def uv_running(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +98,16 @@ def uv_running_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.running_visitors(views, "ts", "event_id", "1 hour", poly_hash("user_id"))
 
 
+def value_range_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smallest, largest and number of values per event type in sliding days, merged from panes."""
+    merged = ops.sliding_merge(
+        roles.events(spark, sf_dir), "ts", "1 day", "1 hour", ["event_type"],
+        [F.min("value").alias("_low"), F.max("value").alias("_high"), F.count("value").alias("_n")],
+        [F.min("_low").alias("low"), F.max("_high").alias("high"), F.sum("_n").alias("n")],
+    )
+    return merged.drop("window_start")
+
+
 def marketing_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.channel_behavior_counts(roles.marketing(spark, sf_dir), excluded="signup")
 
@@ -176,6 +203,15 @@ def tx_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tx_reconcile_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reconciliation when some payments and receipts lack an id and some a time."""
+    pays = roles.payments(spark, sf_dir).where(F.col("tx_id") != "")
+    pays, receipts = (
+        roles.patchy(roles.patchy(side, "tx_id", 7), "ts", 11) for side in (pays, roles.receipts(spark, sf_dir))
+    )
+    return plans.reconciled_payments(pays, receipts, "event_id", pay_waits="5 hours", receipt_waits="3 hours")
+
+
 def interval_join_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = roles.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"), "o_orderdate")
     lines = roles.table(spark, sf_dir, "lineitem").select(
@@ -198,9 +234,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments and other events written as lines, as a topic carries them, and parsed back."""
     rows = roles.events(spark, sf_dir)
     tx = F.when(F.col("event_type") == "purchase", F.format_string("tx-%d", "event_id")).otherwise("")
-    written = rows.withColumn("_us", micros(rows, "ts")).select(
-        "user_id", "event_type", tx.alias("tx_id"), F.expr("_us div 1000000").alias("ts")
-    )
+    written = rows.select("user_id", F.format_string(" %s ", "event_type").alias("event_type"), tx.alias("tx_id"), "ts")
     parsed = parse_lines(as_messages(written).select("value"), schemas.ORDER)
     return parsed.select("order_id", "event_type", "tx_id", F.unix_seconds("ts").alias("epoch_s"))
 
@@ -215,12 +249,14 @@ QUERIES: dict[str, Query] = {
         page_flow_topn,
         page_flow_late_aware,
         late_rows,
+        late_rows_nulls,
         page_view_hourly,
         page_view_salted,
         uv_exact,
         uv_hashed,
         uv_bitmap,
         uv_approx,
+        value_range_sliding,
         uv_running,
         uv_running_hashed,
         marketing_by_channel,
@@ -240,6 +276,7 @@ QUERIES: dict[str, Query] = {
         tx_interval_join,
         tx_interval_outer,
         tx_reconcile,
+        tx_reconcile_nulls,
         interval_join_orders,
         log_parse,
         csv_round_trip,

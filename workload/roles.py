@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PROVINCES = ["beijing", "shanghai", "guangdong", "zhejiang", "jiangsu", "henan", "hebei"]
-CHANNELS = ["AppStore", "HuaweiStore", "wechat", "weibo"]
+PROVINCES = [f"region {i}" for i in range(7)]
+CHANNELS = ["search", "mail", "partner", "direct"]
 
 
 def label(key: str, names: list[str]) -> Column:
@@ -84,6 +84,11 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", F.col("user_id").cast("string").alias("tx_id"), "ts")
 
 
+def patchy(rows: DataFrame, column: str, every: int, by: str = "event_id") -> DataFrame:
+    """``rows`` with ``column`` null in one of ``every`` rows."""
+    return rows.withColumn(column, F.when(F.pmod(by, F.lit(every)) != 0, F.col(column)))
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Access log text written from the events."""
     rows = access(spark, sf_dir)
