@@ -1,5 +1,90 @@
-"""SQL counterparts of the registered queries that SQL can express."""
+"""SQL counterparts of the registered queries that SQL can express.
+
+Fingerprints (XXH64), token ids, trained models and seeded shuffles are beyond it, and regular expressions there give no
+positions; those queries are tested against plain Python.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from .decontaminate import SHARE, WINDOW
+from .quality import ALPHA, DELTA, MIN_WORDS
+
+QUALITY = rf"""
+WITH split AS (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+cut AS (
+  SELECT *, [array_to_string(words[i : i + 4], ' ') FOR i IN range(1, len(words) - 3)] AS windows,
+         list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines
+  FROM split
+),
+placed AS (SELECT doc_id, unnest(windows) AS w, generate_subscripts(windows, 1) AS i FROM cut WHERE len(windows) > len(list_distinct(windows))),
+twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n FROM placed),
+repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice WHERE n > 1) GROUP BY doc_id
+),
+counted AS (
+  SELECT c.doc_id, stratum, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines, coalesce(r.n, 0) AS n_repeat_words
+  FROM cut c LEFT JOIN repeats r ON r.doc_id = c.doc_id
+),
+judged AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         [coalesce(n_symbols * 1000 // nullif(word_chars, 0), 0), coalesce(n_dup_lines * 1000 // nullif(n_lines, 0), 0),
+          coalesce(n_repeat_words * 1000 // nullif(n_words, 0), 0), coalesce(n_words * 1000 // nullif(word_chars, 0), 0)] AS vals
+  FROM counted
+),
+holdout AS (
+  SELECT stratum, vals, quality = 1 AS good
+  FROM judged j JOIN (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) l ON l.doc_id = j.doc_id
+  WHERE NOT base_failed
+),
+cells AS (
+  SELECT stratum, rule, vals[rule] AS v, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE NOT good) AS bad
+  FROM holdout, range(1, 5) AS rules(rule) GROUP BY ALL
+),
+reached AS (
+  SELECT stratum, rule, v, sum(good) OVER down AS k, sum(bad) OVER down AS b,
+         sum(good) OVER (PARTITION BY stratum, rule) AS goods, sum(bad) OVER (PARTITION BY stratum, rule) AS bads
+  FROM cells WINDOW down AS (PARTITION BY stratum, rule ORDER BY v DESC)
+),
+terms AS (
+  SELECT n, i, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({ALPHA / 4}) + (n - i) * ln(1 - {ALPHA / 4})))
+                 OVER (PARTITION BY n ORDER BY i) AS p
+  FROM (SELECT DISTINCT goods AS n, unnest(range(0, CAST(least(goods, ceil(goods * {ALPHA / 4})) AS BIGINT) + 1)) AS i FROM reached)
+),
+most AS (SELECT n, max(i) AS k FROM terms WHERE p <= {DELTA} / (4 * (SELECT count(DISTINCT stratum) FROM holdout)) GROUP BY n),
+cutoffs AS (
+  SELECT stratum, rule, min(v) AS cutoff FROM reached r JOIN most m ON m.n = r.goods
+  WHERE v > 0 AND r.k <= m.k AND b * goods > r.k * bads GROUP BY stratum, rule
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT EXISTS (SELECT 1 FROM cutoffs c WHERE c.stratum = j.stratum AND j.vals[c.rule] >= c.cutoff) AS kept
+FROM judged j"""
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+DECONTAMINATE = f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+items AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS words FROM benchmark),
+sized AS (SELECT *, least(len(words), {WINDOW}) AS n FROM items WHERE len(words) > 0),
+windows AS (
+  SELECT DISTINCT item, n, array_to_string(words[s : s + n - 1], ' ') AS w
+  FROM (SELECT item, words, n, unnest(range(1, len(words) - n + 2)) AS s FROM sized)
+),
+places AS (
+  SELECT doc_id, n, s, array_to_string(words[s : s + n - 1], ' ') AS w
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS s FROM docs, (SELECT DISTINCT n FROM windows))
+),
+found AS (SELECT doc_id, n, s, item FROM places JOIN windows USING (n, w)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM found) GROUP BY doc_id),
+held AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(words) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AND {SHARE} * coalesce(h.n, 0) >= len(words) AS contaminated
+FROM docs d LEFT JOIN hits h ON h.doc_id = d.doc_id LEFT JOIN held i ON i.doc_id = d.doc_id"""
+
+ORACLES: dict[str, str] = {"op4_quality": QUALITY, "op6_decontaminate": DECONTAMINATE}
