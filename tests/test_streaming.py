@@ -87,6 +87,47 @@ def test_updates_are_kept_as_a_changelog(replay):
     assert replay.spark.read.parquet(path).count() > got.count()
 
 
+def test_ranks_come_early_and_are_corrected(spark, tmp_path):
+    """A late row moves an item up in a window that has been ranked before."""
+    rows = [(0, 1, "a", START), (1, 1, "a", START + 1), (2, 2, "a", START + 2)]
+    replay = Replay(spark, tmp_path, rows, files=1)
+    path, seen = str(tmp_path / "ranked"), []
+
+    def counts():
+        timed = streaming.event_time(replay.stream().where("key <> -1"), "ts", "1 hour")
+        by_key = timed.groupBy("key", F.window("ts", "1 minute").alias("w")).agg(F.count("*").alias("cnt"))
+        return by_key.select("key", F.col("w.end").alias("window_end"), "cnt")
+
+    for late in (None, [(10 + i, 2, "a", START + 3 + i) for i in range(3)]):
+        if late:
+            target = tmp_path / "events" / "part-9.parquet"
+            frame(spark, late, COLUMNS).toPandas().to_parquet(target, coerce_timestamps="us", index=False)
+        replay.run(streaming.corrected_ranked_sink(counts(), 1, ["key"], path), "ranked")
+        seen.append([(r.key, r.cnt) for r in streaming.upserted(spark, f"{path}/top").collect()])
+    assert seen == [[(1, 2)], [(2, 4)]]
+    assert streaming.upserted(spark, f"{path}/counts").count() == 2
+
+
+def test_a_new_stream_must_not_continue_an_old_log(replay):
+    path = str(replay.folder / "twice")
+    for name in ("first", "second"):
+        changes = replay.stream().select("key", "seq")
+        if name == "first":
+            replay.run(streaming.changelog_sink(changes, path, mode="append"), name)
+        else:
+            with pytest.raises(Exception, match="earlier stream"):
+                replay.run(streaming.changelog_sink(changes, path, mode="append"), name)
+
+
+def test_a_row_that_closes_and_opens_does_both(spark, tmp_path):
+    rows = [(0, 1, "a", START), (1, 1, "ab", START + 2), (2, 1, "b", START + 4)]
+    replay = Replay(spark, tmp_path, rows, files=1)
+    opens, closes = F.col("kind").contains("a"), F.col("kind").contains("b")
+    stream = streaming.stream_followed_by(replay.stream(), ["key"], "ts", "seq", opens, closes, "6 seconds")
+    pattern = ops.Pattern.begin("open", opens).followed_by("close", closes).within("6 seconds")
+    same(replay.collect(stream, "both"), ops.match(replay.batch(), ["key"], "ts", "seq", pattern))
+
+
 def test_interval_join_with_unmatched_rows(replay):
     a, b = replay.stream().where("kind <> 'b'"), replay.stream().where("kind <> 'a'")
     got = replay.collect(

@@ -1,11 +1,14 @@
 from tidemark.streaming.sinks import (
     changelog_sink,
     console_sink,
+    corrected_ranked_sink,
     latest,
     memory_sink,
     ranked_sink,
     route_late,
     routed_sink,
+    upsert_sink,
+    upserted,
 )
 from tidemark.streaming.stateful import (
     stream_cap_outcomes,
@@ -19,6 +22,7 @@ from tidemark.streaming.windows import event_time, stream_counts, stream_interva
 __all__ = [
     "changelog_sink",
     "console_sink",
+    "corrected_ranked_sink",
     "event_time",
     "latest",
     "memory_sink",
@@ -33,4 +37,6 @@ __all__ = [
     "stream_open_close_outcomes",
     "stream_reconcile",
     "stream_visitors",
+    "upsert_sink",
+    "upserted",
 ]

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.functions.clock import Span, floor_div, micros, span_us
@@ -44,9 +45,15 @@ def ranked_sink(counts: DataFrame, n: int, keys: Sequence[str], path: str) -> Da
 
 
 def changelog_sink(stream: DataFrame, path: str, mode: str = "update") -> DataStreamWriter:
-    """Append every changed row with its batch number; ``latest`` gives the current table."""
+    """Append every changed row with its batch number; ``latest`` gives the current table.
+
+    The log grows with the stream; ``upsert_sink`` keeps current rows only. A stream begun anew (batch 0 without a
+    checkpoint) must not find the log of an earlier one.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 0 and _exists(batch.sparkSession, f"{path}/{BATCH}=1"):
+            raise ValueError(f"{path} holds the changes of an earlier stream; take a new folder for a new checkpoint")
         _append_batch(batch, path, batch_id)
 
     return stream.writeStream.outputMode(mode).foreachBatch(write)
@@ -60,10 +67,88 @@ def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     return newest.select(*keys, "_row.*")
 
 
+def upsert_sink(
+    stream: DataFrame, path: str, keys: Sequence[str], bucket: Column, mode: str = "update"
+) -> DataStreamWriter:
+    """Keep one row per key in a table of buckets: each batch replaces its rows in the buckets it touches.
+
+    ``bucket`` cuts the table, e.g. by days of the window; a batch reads and rewrites touched buckets only, so the table
+    never holds more than the current rows. A repeated batch gives the same table. Read it with ``upserted``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        upsert(batch, path, keys, bucket, batch_id)
+
+    return stream.writeStream.outputMode(mode).foreachBatch(write)
+
+
+def upsert(batch: DataFrame, path: str, keys: Sequence[str], bucket: Column, batch_id: int) -> None:
+    spark = batch.sparkSession
+    staged = f"{path}/staged/{batch_id % 2}"
+    fresh = batch.withColumns({"_bucket": bucket.cast("string"), "_new": F.lit(True)}).persist()
+    try:
+        touched = [r[0] for r in fresh.select("_bucket").distinct().toLocalIterator()]
+        if not touched:
+            return
+        schema = T.StructType([f for f in fresh.schema if f.name != "_new"])
+        both = fresh
+        if batch_id and _exists(spark, f"{path}/table"):
+            table = spark.read.schema(schema).option("basePath", f"{path}/table").parquet(f"{path}/table")
+            both = fresh.unionByName(table.where(F.col("_bucket").isin(touched)).withColumn("_new", F.lit(False)))
+        values = [c for c in batch.columns if c not in keys]
+        newest = both.groupBy(*keys, "_bucket").agg(F.max_by(F.struct(*values), "_new").alias("_row"))
+        newest.select(*keys, "_row.*", "_bucket").write.mode("overwrite").parquet(staged)
+        spark.read.schema(schema).parquet(staged).repartition("_bucket").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic" if batch_id else "static"
+        ).partitionBy("_bucket").parquet(f"{path}/table")
+    finally:
+        fresh.unpersist()
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The current rows of an ``upsert_sink``."""
+    return spark.read.parquet(f"{path}/table").drop("_bucket")
+
+
+def corrected_ranked_sink(
+    counts: DataFrame, n: int, keys: Sequence[str], path: str, width: Span = "1 day"
+) -> DataStreamWriter:
+    """The top ``n`` of every window, early and then corrected as late rows raise counts.
+
+    ``counts`` has ``window_end``, ``cnt`` and the keys, and is in update mode. Counts are kept in ``path/counts``, in
+    buckets of ``width`` of the window's end; each batch ranks anew the windows it changed and replaces their rows in
+    ``path/top``. Read with ``upserted(spark, f"{path}/top")``.
+    """
+    window = ["window_end"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        bucket = floor_div(micros(batch, "window_end"), span_us(width))
+        kept = batch.persist()
+        try:
+            upsert(kept, f"{path}/counts", [*window, *keys], bucket, batch_id)
+            if not _exists(spark, f"{path}/counts/table"):
+                return
+            changed = kept.select(*window, bucket.cast("string").alias("_bucket")).distinct()
+            # The bucket is the table's folder: only touched folders are read.
+            current = spark.read.parquet(f"{path}/counts/table").withColumn("_bucket", F.col("_bucket").cast("string"))
+            ranked = top_n(current.join(changed, ["_bucket", *window], "left_semi").drop("_bucket"), n, keys)
+            upsert(ranked, f"{path}/top", [*window, "row_num"], bucket, batch_id)
+        finally:
+            kept.unpersist()
+
+    return counts.writeStream.outputMode("update").foreachBatch(write)
+
+
 def routed_sink(
     stream: DataFrame, column: str, targets: Mapping[str, str], mode: str = "append"
 ) -> DataStreamWriter:
-    """Send each row to the folder ``targets`` names for its value in ``column``, in one write per batch."""
+    """Send each row to the folder ``targets`` names for its value in ``column``; each batch is computed once and written once per target."""
     unknown = F.raise_error(F.concat(F.lit("no target for "), F.coalesce(F.col(column).cast("string"), F.lit("null"))))
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -103,15 +188,16 @@ def route_late(
         if batch_id == 0:
             watermark = None
         else:
-            progress = spark.read.schema(f"max_us bigint, {BATCH} bigint").parquet(progress_path)
-            watermark = progress.where(F.col(BATCH) < batch_id).agg(F.max("max_us")).first()[0]
+            # Each batch leaves the greatest time of all so far, so only the one before is read.
+            watermark = spark.read.schema("max_us bigint").parquet(f"{progress_path}/{BATCH}={batch_id - 1}").first()[0]
         kept = batch.persist()
         try:
             closed_at = floor_div(us, slide_us) * slide_us + (span_us(size) - LAST_INSTANT_US + span_us(allowed))
             is_late = F.lit(False) if watermark is None else closed_at <= F.lit(watermark - span_us(delay))
             _append_batch(kept.where(is_late), late_path, batch_id)
             on_time(kept.where(~is_late), batch_id)
-            _append_batch(kept.agg(F.max(us).alias("max_us")), progress_path, batch_id)
+            reached = F.greatest(F.max(us), F.lit(watermark).cast("bigint"))
+            _append_batch(kept.agg(reached.alias("max_us")), progress_path, batch_id)
         finally:
             kept.unpersist()
 

@@ -26,12 +26,18 @@ from tidemark.streaming.windows import event_time
 Output = tuple[str, int | None, int | None, int | None, int | None, int | None, int | None]
 _OUTPUT = "outcome STRING, a_us BIGINT, a_seq BIGINT, b_us BIGINT, b_seq BIGINT, n BIGINT, at_us BIGINT"
 _DAY_US = 86_400_000_000
+#: Rows of a key wait in stretches of this length.
+STRETCH_US = 60_000_000
 
 
 class Rule:
     """Reacts to one key's events in order. ``state`` is a JSON-able list, empty when nothing is pending."""
 
-    kind_before_seq = False  # whether rows of equal time are ordered by kind first
+    @staticmethod
+    def order(row: tuple) -> tuple:
+        """Sort key of (us, kind, seq). A row that closes and opens comes twice and closes first."""
+        us, kind, seq = row
+        return us, seq, -kind
 
     def on_row(self, state: list, us: int, seq: int, kind: int) -> Iterator[Output]:
         raise NotImplementedError
@@ -69,7 +75,10 @@ class FollowedBy(Rule):
 class OpenClose(Rule):
     """kind 0 opens, kind 1 closes; only the latest open row counts, and only for ``patience``."""
 
-    kind_before_seq = True
+    @staticmethod
+    def order(row: tuple) -> tuple:
+        """Rows of equal time by kind first."""
+        return row
 
     def __init__(self, span: int, patience: int):
         self.span, self.patience = span, patience
@@ -141,7 +150,10 @@ class DailyCap(Rule):
 class Reconcile(Rule):
     """kind 0 is left, kind 1 right. State: waiting rows of whichever side waits, oldest first."""
 
-    kind_before_seq = True
+    @staticmethod
+    def order(row: tuple) -> tuple:
+        """Rows of equal time by kind first."""
+        return row
 
     def __init__(self, left_wait: int, right_wait: int):
         self.waits = (left_wait, right_wait)
@@ -174,48 +186,59 @@ class OrderedReplay(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buffer = handle.getListState("buffer", "us BIGINT, kind INT, seq BIGINT")
+        # Rows wait by stretch of time, so a firing reads those that are ready and leaves the others untouched.
+        self.buffer = handle.getMapState("buffer", "stretch BIGINT", "rows ARRAY<STRUCT<us: BIGINT, kind: INT, seq: BIGINT>>")
         self.pending = handle.getValueState("pending", "json STRING")
         self.timer = handle.getValueState("timer", "ms BIGINT")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        waiting = [(r["_us"], r["_kind"], r["_seq"]) for r in rows]
-        self.buffer.appendList(waiting)
-        self._wake_at(min(w[0] for w in waiting))
+        arrived: dict[int, list[tuple]] = {}
+        for r in rows:
+            arrived.setdefault(r["_us"] // STRETCH_US, []).append((r["_us"], r["_kind"], r["_seq"]))
+        for stretch, new in arrived.items():
+            self.buffer.updateValue((stretch,), ([*self._rows(stretch), *new],))
+        self._wake_at(min(row[0] for new in arrived.values() for row in new))
         return iter(())
 
+    def _rows(self, stretch: int) -> list[tuple]:
+        return [tuple(r) for r in self.buffer.getValue((stretch,))[0]] if self.buffer.containsKey((stretch,)) else []
+
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        by_kind = self.rule.kind_before_seq
-        waiting = sorted(
-            (tuple(r) for r in self.buffer.get()), key=lambda r: r if by_kind else (r[0], r[2])
-        )
-        ready = [r for r in waiting if r[0] <= now]
-        rest = waiting[len(ready):]
         state = json.loads(self.pending.get()[0]) if self.pending.exists() else []
-        outputs: list[Output] = []
-        for us, kind, seq in ready:
-            self._settle(state, us - 1, outputs)
-            outputs.extend(self.rule.on_row(state, us, seq, kind))
-        self._settle(state, now, outputs)
-        if rest:
-            self.buffer.put(rest)
-        else:
-            self.buffer.clear()
+        stretches = sorted(stretch for (stretch,) in self.buffer.keys())
+        later = [stretch for stretch in stretches if stretch * STRETCH_US > now]
+        due = [later[0] * STRETCH_US] if later else []
+        for stretch in stretches[: len(stretches) - len(later)]:
+            waiting = sorted(self._rows(stretch), key=self.rule.order)
+            ready = [r for r in waiting if r[0] <= now]
+            rest = waiting[len(ready) :]
+            if rest:
+                self.buffer.updateValue((stretch,), (rest,))
+                due.append(rest[0][0])
+            else:
+                self.buffer.removeKey((stretch,))
+            for us, kind, seq in ready:
+                yield from self._named(key, self._settled(state, us - 1))
+                yield from self._named(key, self.rule.on_row(state, us, seq, kind))
+        yield from self._named(key, self._settled(state, now))
         if state:
             self.pending.update((json.dumps(state),))
         else:
             self.pending.clear()
         self.timer.clear()
-        due = [t for t in (rest[0][0] if rest else None, self.rule.deadline(state)) if t is not None]
+        if (deadline := self.rule.deadline(state)) is not None:
+            due.append(deadline)
         if due:
             self._wake_at(min(due))
+
+    def _named(self, key: Any, outputs: Iterator[Output]) -> Iterator[Row]:
         for output in outputs:
             yield Row(**dict(zip(self.columns, (*key, *output))))
 
-    def _settle(self, state: list, until: int, outputs: list[Output]) -> None:
+    def _settled(self, state: list, until: int) -> Iterator[Output]:
         while (due := self.rule.deadline(state)) is not None and due <= until:
-            outputs.extend(self.rule.on_deadline(state))
+            yield from self.rule.on_deadline(state)
 
     def _wake_at(self, us: int) -> None:
         """Keep one timer per key, at the earliest time anything is due."""
@@ -239,8 +262,11 @@ def _replayed(
     keys = list(keys)
     timed = event_time(stream, ts, delay)
     events = timed.select(
-        *keys, ts, micros(timed, ts).alias("_us"), F.col(seq).cast("bigint").alias("_seq"), kind.cast("int").alias("_kind")
+        *keys, ts, micros(timed, ts).alias("_us"), F.col(seq).cast("bigint").alias("_seq"), kind.alias("_kind")
     )
+    if isinstance(events.schema["_kind"].dataType, T.ArrayType):
+        events = events.withColumn("_kind", F.explode_outer("_kind"))
+    events = events.withColumn("_kind", F.col("_kind").cast("int"))
     # Rows without a kind still move the watermark: a condition on the event time stays above it.
     events = events.where(F.when(F.col("_kind").isNotNull(), F.col("_us")).isNotNull())
     schema = T.StructType([events.schema[k] for k in keys] + T.StructType.fromDDL(_OUTPUT).fields)
@@ -255,6 +281,11 @@ def _two_kinds(first: Column, second: Column) -> Column:
     return F.when(first, 0).when(second, 1)
 
 
+def _both_kinds(first: Column, second: Column) -> Column:
+    """A row that meets both conditions counts as either."""
+    return F.filter(F.array(F.when(second, 1), F.when(first, 0)), lambda kind: kind.isNotNull())
+
+
 def stream_followed_by(
     stream: DataFrame,
     keys: Sequence[str],
@@ -266,7 +297,7 @@ def stream_followed_by(
     delay: Span = "1 millisecond",
 ) -> DataFrame:
     """``match`` of "opens followed by closes within" over a stream, with timeouts."""
-    out = _replayed(stream, keys, ts, seq, _two_kinds(opens, closes), FollowedBy(span_us(within)), delay)
+    out = _replayed(stream, keys, ts, seq, _both_kinds(opens, closes), FollowedBy(span_us(within)), delay)
     return out.select(
         *keys, "outcome", _time("a_us").alias("open_ts"), F.col("a_seq").alias("open_seq"),
         _time("b_us").alias("close_ts"), F.col("b_seq").alias("close_seq"), _time("at_us").alias("at"),

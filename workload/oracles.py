@@ -399,4 +399,14 @@ FROM events""",
     "stream_page_views": hourly("count(*)"),
     "stream_order_outcomes": PAY_OUTCOMES,
     "stream_fail_bursts": BURSTS,
+    "stream_hot_items_corrected": f"WITH {BEHAVIOR} "
+    + top(windows("behavior", "item_id", HOUR, HOUR, "behavior = 'pv'"), "item_id", 5),
+    "stream_visitors": hourly("count(DISTINCT user_id)"),
+    "stream_order_pay": PAY_PATTERN,
+    "stream_reconcile": RECONCILE,
+    "stream_click_cap": f"""
+WITH {AD_CLICKS}
+SELECT event_id, user_id, ad_id, ts, day_rank,
+       CASE WHEN day_rank <= 2 THEN 'pass' WHEN day_rank = 3 THEN 'warn' ELSE 'drop' END AS outcome
+FROM ranked""",
 }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark import streaming
+from tidemark.functions import micros
 from tidemark.session import SETTINGS
 
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -23,11 +24,12 @@ PARTITIONS = "spark.sql.shuffle.partitions"
 
 def scratch(spark: SparkSession) -> str:
     """A new folder name under the cluster's shared checkpoint folder; a local session without one uses a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         root = tempfile.mkdtemp(prefix="stream-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root}/stream-{uuid.uuid4().hex}"
 
 
@@ -56,6 +58,20 @@ def events(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     return table.unionByName(spark.readStream.schema(EVENTS).parquet(f"{folder}/closing"))
 
 
+def ordered_events(spark: SparkSession, sf_dir: str, folder: str, pieces: int = 3) -> DataFrame:
+    """``events`` in several files of growing times, one per trigger, so that more than one batch has data."""
+    rows = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    us = micros(rows, "ts")
+    low, high = rows.agg(F.min(us), F.max(us)).first()
+    if low is not None:
+        piece = F.least(F.floor((us - low) * pieces / (high - low + 1)), F.lit(pieces - 1))
+        for k in range(pieces):
+            rows.where(piece == k).coalesce(1).write.parquet(f"{folder}/events/{k}")
+    closing = [(1 << 60, datetime(2100, 1, 1), -1, CLOSING, 0.0, "{}")]
+    spark.createDataFrame(closing, EVENTS).coalesce(1).write.parquet(f"{folder}/events/{pieces}")
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", "1").parquet(f"{folder}/events/*")
+
+
 def finish(writer: DataStreamWriter, folder: str) -> None:
     writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
 
@@ -119,6 +135,79 @@ def stream_fail_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(spark.read.parquet(f"{folder}/bursts").drop("_batch"))
 
 
+def stream_hot_items_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hot items ranked early and corrected as the counts grow; the final table."""
+    folder = scratch(spark)
+    with stream_settings(spark):
+        item = F.get_json_object("props", "$.k").cast("bigint")
+        views = ordered_events(spark, sf_dir, folder).where("event_type = 'view'").withColumn("item_id", item)
+        timed = streaming.event_time(views, "ts", "63 seconds")
+        counts = timed.groupBy("item_id", F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("cnt"))
+        counts = counts.select("item_id", F.col("w.end").alias("window_end"), "cnt")
+        finish(streaming.corrected_ranked_sink(counts, 5, ["item_id"], folder, "7 days"), folder)
+    return _zoneless(streaming.upserted(spark, f"{folder}/top").select("item_id", "window_end", "cnt", "row_num"))
+
+
+def stream_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct visitors per hour."""
+    folder = scratch(spark)
+    with stream_settings(spark):
+        views = ordered_events(spark, sf_dir, folder).where(F.col("event_type").isin("view", CLOSING))
+        counts = streaming.stream_visitors(views, "ts", "1 hour", "user_id")
+        finish(streaming.changelog_sink(counts, f"{folder}/visitors", mode="append"), folder)
+    found = spark.read.parquet(f"{folder}/visitors").where("window_end < timestamp'2099-01-01'")
+    return _zoneless(found.select("window_end", "cnt"))
+
+
+def stream_order_pay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every create with its first later pay, or a timeout."""
+    folder = scratch(spark)
+    with stream_settings(spark):
+        rows = ordered_events(spark, sf_dir, folder).withColumnRenamed("user_id", "order_id")
+        kind = F.col("event_type")
+        paid = streaming.stream_followed_by(rows, ["order_id"], "ts", "event_id", kind == "signup", kind == "purchase", "1 day")
+        finish(streaming.changelog_sink(paid, f"{folder}/paid", mode="append"), folder)
+    names = {"open_ts": "create_ts", "open_seq": "create_seq", "close_ts": "pay_ts", "close_seq": "pay_seq"}
+    return _zoneless(spark.read.parquet(f"{folder}/paid").drop("_batch").withColumnsRenamed(names))
+
+
+def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments and receipts matched one to one."""
+    folder = scratch(spark)
+    with stream_settings(spark):
+        rows = ordered_events(spark, sf_dir, folder).withColumn("tx_id", F.col("user_id").cast("string"))
+        # The closing row belongs to both sides, so that it moves both watermarks.
+        pays, receipts = (rows.where(F.col("event_type").isin(kind, CLOSING)) for kind in ("purchase", "click"))
+        met = streaming.stream_reconcile(pays, receipts, ["tx_id"], "ts", "event_id", "5 hours", "3 hours")
+        finish(streaming.changelog_sink(met, f"{folder}/met", mode="append"), folder)
+    return _zoneless(spark.read.parquet(f"{folder}/met").drop("_batch").where("tx_id <> '-1'"))
+
+
+def stream_click_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every click with its rank of the day and outcome, routed to a folder per outcome and read back."""
+    folder = scratch(spark)
+    outcomes = ("pass", "warn", "drop")
+    with stream_settings(spark):
+        ad = F.pmod(F.get_json_object("props", "$.k").cast("bigint"), F.lit(3))
+        clicks = ordered_events(spark, sf_dir, folder).withColumn("ad_id", F.coalesce(ad, F.lit(-1)))
+        capped = streaming.stream_cap_outcomes(clicks, ["user_id", "ad_id"], "ts", "event_id", 2)
+        finish(streaming.routed_sink(capped, "outcome", {o: f"{folder}/{o}" for o in outcomes}), folder)
+    parts = [spark.read.parquet(f"{folder}/{o}") for o in outcomes]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _zoneless(rows.drop("_batch").where("user_id <> -1"))
+
+
 STREAM_QUERIES = {
-    f.__name__: f for f in (stream_hot_items, stream_page_views, stream_order_outcomes, stream_fail_bursts)
+    f.__name__: f
+    for f in (
+        stream_hot_items,
+        stream_hot_items_corrected,
+        stream_page_views,
+        stream_visitors,
+        stream_order_pay,
+        stream_order_outcomes,
+        stream_fail_bursts,
+        stream_reconcile,
+        stream_click_cap,
+    )
 }
