@@ -52,6 +52,14 @@ def test_query_matches_sql(spark, name):
     assert sorted(map(tuple, got.astype(str).values)) == sorted(map(tuple, want.astype(str).values))
 
 
+@needs_tables
+@pytest.mark.parametrize("name", ["op4_quality", "op6_decontaminate", "op9_sharding"])
+def test_results_do_not_depend_on_broadcasts(spark, monkeypatch, name):
+    sent = result(spark, name)
+    monkeypatch.setattr("tidemark.llm.common.BROADCAST_BYTES", -1)
+    assert result(spark, name) == sent
+
+
 def test_pieces_equal_the_library():
     model, library = pieces.PieceModel(tokenizer_file()), SentencePieceProcessor(model_file=tokenizer_file())
     rng = random.Random(1)
