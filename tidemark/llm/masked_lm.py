@@ -3,56 +3,65 @@
 Every word is predicted from the words on both sides of it, itself masked; a document's score is the sum of the
 conditional log-probabilities of its words.
 
-* Vocabulary: words are counted over the whole corpus. The most frequent ones are tokens of their own; the others fall
-  into RARE_CLASSES hashed classes, within which a word has the probability 1 / (distinct words of the class).
+* Vocabulary: words are counted over the whole corpus. Those used at least sqrt(words of the corpus) / GROWTH times, and
+  FREQUENT ones in any case, are tokens of their own, so the network grows with the square root of the corpus. The others
+  fall into RARE_CLASSES hashed classes, within which a word has the probability (its uses) / (uses of the class).
 * Network: vectors of the WINDOW words before and after, scaled by place, are added and passed through tanh; a softmax over
   groups and one over the members of the group give the probability of the token.
-* Training: each task trains a copy on masked words of all the texts it holds; copies are averaged, weighted by the words
-  they saw, and the average starts the next of ROUNDS. So everything the corpus holds enters, and what is gathered is
-  the word counts and a few hundred kilobytes per task.
+* Training: each task trains a copy on masked words of all the texts it holds; copies are
+  averaged, weighted by the words they saw, and the average starts the next of ROUNDS. What is gathered is the frequent
+  words, the sizes of the classes and the averaged network. The uses of rare words stay in their table and are joined.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .common import BLANKS, add_columns, keep, slices
+from .common import BLANKS, add_columns, all_of, keep, slices
 
+#: Of the smallest network; a vocabulary of more words has more groups.
 GROUPS = 32
 TOKENS = GROUPS * GROUPS
 RARE_CLASSES = 64
 FREQUENT = TOKENS - RARE_CLASSES
+GROWTH = 4
 WINDOW = 2
 WIDTH = 24
 ROUNDS = 1
-#: One word in so many is masked and predicted in training; all are in scoring.
-MASKED = 6
 BATCH = 4096
 STEP = 0.08
 SEED = 7
 AT_ONCE = 1 << 16
 CACHED_WORDS = 300_000
+#: One word in so many is masked and predicted in training; all are in scoring.
+MASKED = 6
+#: Values of the network that are averaged as one row.
+CHUNK = 4096
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _PLACES = [k for k in range(-WINDOW, WINDOW + 1) if k]
-#: Shapes of the network's arrays; the last vector stands for the edges of a text.
-SHAPES = {
-    "vectors": (TOKENS + 1, WIDTH),
-    "places": (len(_PLACES), WIDTH),
-    "shift": (WIDTH,),
-    "group": (WIDTH, GROUPS),
-    "group_bias": (GROUPS,),
-    "member": (GROUPS, WIDTH, GROUPS),
-    "member_bias": (GROUPS, GROUPS),
-}
+
+
+def shapes(groups: int) -> dict[str, tuple[int, ...]]:
+    """Of the network's arrays; the last vector stands for the edges of a text."""
+    return {
+        "vectors": (groups * groups + 1, WIDTH),
+        "places": (len(_PLACES), WIDTH),
+        "shift": (WIDTH,),
+        "group": (WIDTH, groups),
+        "group_bias": (groups,),
+        "member": (groups, WIDTH, groups),
+        "member_bias": (groups, groups),
+    }
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -62,30 +71,38 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 class Vocabulary:
-    """Tokens of words: rank among the frequent ones, else a hashed class; and the log of each class's size."""
+    """Tokens of words: rank among the frequent ones, else a hashed class; and the log of each class's uses.
+
+    ``rare`` has the uses of the words in the classes. It stays with the driver as a frame; a word it lacks has one use.
+    """
 
-    def __init__(self, frequent: list[str], class_sizes: dict[int, int]) -> None:
-        self.frequent, self.class_sizes = frequent, class_sizes
+    def __init__(self, frequent: list[str], class_uses: dict[int, int], rare: DataFrame | None = None) -> None:
+        self.frequent, self.class_uses, self.rare = frequent, class_uses, rare
         self.known = {w: i for i, w in enumerate(frequent)}
-        self.fixed = len(self.known)
-        self.within = np.zeros(TOKENS)
-        for c, n in class_sizes.items():
-            self.within[FREQUENT + c] = -np.log(max(1, n))
+        self.groups = max(GROUPS, math.isqrt(len(frequent) + RARE_CLASSES - 1) + 1)
+        self.first_class = self.groups**2 - RARE_CLASSES
+        self.within = np.zeros(self.groups**2)
+        for c, n in class_uses.items():
+            self.within[self.first_class + c] = -np.log(max(1, n))
 
     @classmethod
     def of(cls, counts: DataFrame) -> Vocabulary:
-        top = counts.orderBy(F.desc("uses"), "word").limit(FREQUENT)
-        frequent = [r["word"] for r in top.collect()]
-        rare = counts if len(frequent) < FREQUENT else counts.join(F.broadcast(top.select("word")), "word", "left_anti")
+        """``counts`` are read several times, so they should be kept."""
+        least = math.sqrt(counts.agg(F.sum("uses")).first()[0] or 0) / GROWTH
+        top, rare = counts.where(F.col("uses") >= least), counts.where(F.col("uses") < least)
+        if top.count() < FREQUENT:
+            top = counts.orderBy(F.desc("uses"), "word").limit(FREQUENT)
+            rare = counts.join(F.broadcast(top.select("word")), "word", "left_anti")
+        rows = sorted(top.collect(), key=lambda r: (-r["uses"], r["word"]))
         rare_class = F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(RARE_CLASSES)).cast("int")
-        sizes = rare.groupBy(rare_class.alias("class")).agg(F.count("*").alias("n")).collect()
-        return cls(frequent, {r["class"]: r["n"] for r in sizes})
+        sizes = rare.groupBy(rare_class.alias("class")).agg(F.sum("uses").alias("n")).collect()
+        return cls([r["word"] for r in rows], {r["class"]: r["n"] for r in sizes}, rare)
 
     def token(self, word: str) -> int:
         found = self.known.get(word)
         if found is None:
-            found = FREQUENT + zlib.crc32(word.encode()) % RARE_CLASSES
-            if len(self.known) >= CACHED_WORDS:
+            found = self.first_class + zlib.crc32(word.encode()) % RARE_CLASSES
+            if len(self.known) >= CACHED_WORDS + len(self.frequent):
                 self.known = {w: i for i, w in enumerate(self.frequent)}
             self.known[word] = found
         return found
@@ -95,28 +112,29 @@ class Vocabulary:
         return np.fromiter(map(self.token, words), np.int32, len(words))
 
 
-def fresh_network(seed: int = SEED) -> dict[str, np.ndarray]:
+def fresh_network(seed: int = SEED, groups: int = GROUPS) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    net = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-    net["vectors"] = rng.normal(0, 0.3, SHAPES["vectors"]).astype(np.float32)
+    sizes = shapes(groups)
+    net = {k: np.zeros(s, np.float32) for k, s in sizes.items()}
+    net["vectors"] = rng.normal(0, 0.3, sizes["vectors"]).astype(np.float32)
     net["places"] += 1 / np.sqrt(len(_PLACES))
     for k in ("group", "member"):
-        net[k] = rng.normal(0, 0.1, SHAPES[k]).astype(np.float32)
+        net[k] = rng.normal(0, 0.1, sizes[k]).astype(np.float32)
     return net
 
 
 def _flat(net: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([net[k].ravel() for k in SHAPES])
+    return np.concatenate([net[k].ravel() for k in shapes(GROUPS)])
 
 
-def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
-    sizes = [int(np.prod(s)) for s in SHAPES.values()]
-    return {k: part.reshape(s) for (k, s), part in zip(SHAPES.items(), np.split(flat.astype(np.float32), np.cumsum(sizes)[:-1]), strict=True)}
+def _shaped(flat: np.ndarray, groups: int) -> dict[str, np.ndarray]:
+    sizes = [int(np.prod(s)) for s in shapes(groups).values()]
+    return {k: part.reshape(s) for (k, s), part in zip(shapes(groups).items(), np.split(flat.astype(np.float32), np.cumsum(sizes)[:-1]), strict=True)}
 
 
-def _laid_out(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _laid_out(texts: list[np.ndarray], groups: int = GROUPS) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of all texts with edges between them, and the positions of the words."""
-    edge = np.full(WINDOW, TOKENS, np.int32)
+    edge = np.full(WINDOW, groups * groups, np.int32)
     parts, at, places = [edge], WINDOW, []
     for t in texts:
         parts += (t, edge)
@@ -143,7 +161,7 @@ def log_probabilities(net: dict[str, np.ndarray], row: np.ndarray, at: np.ndarra
         here = at[low : low + AT_ONCE]
         target = row[here]
         h, _ = _hidden(net, row, here)
-        groups, members = np.divmod(target, GROUPS)
+        groups, members = np.divmod(target, len(net["group_bias"]))
         out[low : low + len(here)] = _log_softmax(h @ net["group"] + net["group_bias"])[np.arange(len(here)), groups]
         for g in np.unique(groups):
             own = np.flatnonzero(groups == g)
@@ -156,9 +174,9 @@ def slopes(net: dict[str, np.ndarray], row: np.ndarray, at: np.ndarray) -> dict[
     """Gradient of the mean log-probability of the tokens at these positions."""
     n = len(at)
     h, around = _hidden(net, row, at)
-    groups, members = np.divmod(row[at], GROUPS)
+    groups, members = np.divmod(row[at], len(net["group_bias"]))
     every = np.arange(n)
-    out = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
+    out = {k: np.zeros(v.shape, np.float32) for k, v in net.items()}
     miss = -np.exp(_log_softmax(h @ net["group"] + net["group_bias"]))
     miss[every, groups] += 1
     out["group"], out["group_bias"] = h.T @ miss / n, miss.sum(axis=0) / n
@@ -189,60 +207,100 @@ def climb(net: dict[str, np.ndarray], squares: dict[str, np.ndarray], row: np.nd
 def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """The averaged network after all texts have been read ``rounds`` times."""
     spark = docs.sparkSession
-    net = fresh_network()
+    groups = vocabulary.groups
+    net = fresh_network(groups=groups)
     content = docs.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    words = spark.sparkContext.broadcast((vocabulary.frequent, vocabulary.class_sizes))
+    words = spark.sparkContext.broadcast((vocabulary.frequent, vocabulary.class_uses))
     for round_ in range(rounds):
         begin = spark.sparkContext.broadcast(_flat(net))
 
         def run(batches: Iterator[pa.RecordBatch], begin=begin, round_=round_) -> Iterator[pa.RecordBatch]:
             known = Vocabulary(*words.value)
-            own = {k: v.copy() for k, v in _shaped(begin.value).items()}
-            squares = {k: np.full(s, 1e-6, np.float32) for k, s in SHAPES.items()}
+            own = {k: v.copy() for k, v in _shaped(begin.value, groups).items()}
+            squares = {k: np.full(v.shape, 1e-6, np.float32) for k, v in own.items()}
             rng = np.random.default_rng([SEED, round_])
             seen = 0
             for batch in batches:
                 texts = batch.column(0)
                 for low, high in slices(texts):
-                    row, at = _laid_out([known.tokens(t) for t in texts.slice(low, high - low).to_pylist()])
+                    row, at = _laid_out([known.tokens(t) for t in texts.slice(low, high - low).to_pylist()], groups)
                     seen += len(at)
                     masked = rng.permutation(at[rng.integers(0, MASKED, len(at)) == 0])
                     for k in range(0, len(masked), BATCH):
                         climb(own, squares, row, masked[k : k + BATCH])
             if seen:
                 flat = _flat(own).astype(float) * seen
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), seen))], names=["place", "total", "seen"])
-
-        parts = content.mapInArrow(run, "place bigint, total double, seen bigint")
-        mean = parts.groupBy("place").agg((F.sum("total") / F.sum("seen")).alias("value")).orderBy("place").collect()
-        if mean:
-            net = _shaped(np.array([r["value"] for r in mean]))
+                parts = [flat[k : k + CHUNK].tobytes() for k in range(0, len(flat), CHUNK)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts), dtype=np.int32)), pa.array(parts, pa.binary()), pa.array(np.full(len(parts), seen))], names=["chunk", "total", "seen"])
+
+        def mean(parts: pa.Table) -> pa.Table:
+            totals = sum(np.frombuffer(t) for t in parts["total"].to_pylist())
+            value = (totals / sum(parts["seen"].to_pylist())).tobytes()
+            return pa.table({"chunk": parts["chunk"][:1], "value": pa.array([value], pa.binary())})
+
+        parts = content.mapInArrow(run, "chunk int, total binary, seen bigint")
+        means = parts.groupBy("chunk").applyInArrow(mean, "chunk int, value binary").collect()
+        if means:
+            net = _shaped(np.concatenate([np.frombuffer(r["value"]) for r in sorted(means, key=lambda r: r["chunk"])]), groups)
     return net
 
 
+def rare_uses(docs: DataFrame, rare: DataFrame, frequent: DataFrame, text: str = "text") -> DataFrame:
+    """``text_key, rare_log``: per distinct text, the mean log of the uses of its rare words; copies do not change it."""
+    content = F.col(f"`{text}`").cast("string")
+    words = docs.select(text_key(content).alias("text_key"), F.explode(F.split(content, BLANKS)).alias("word")).where("word <> ''")
+    # No rare word is used often, so none weighs in its task.
+    found = words.join(F.broadcast(frequent), "word", "left_anti").join(rare, "word", "left")
+    sums = found.groupBy("text_key").agg(F.sum(F.log("uses")).alias("total"), F.count("*").alias("n"))
+    return sums.select("text_key", (F.coalesce("total", F.lit(0.0)) / F.col("n")).alias("rare_log"))
+
+
+def text_key(content: Column) -> Column:
+    """128 bits of a text."""
+    return F.struct(F.xxhash64(content).alias("a"), F.xxhash64(F.lit(SEED), content).alias("b"))
+
+
 def pseudo_likelihoods(docs: DataFrame, vocabulary: Vocabulary, net: dict[str, np.ndarray], text: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``log_likelihood`` (summed) and ``mean_log_likelihood`` (null without words).
 
     Null and empty texts have no words and the sum zero; texts are read whole; equal texts get equal scores; an empty frame
     gives an empty frame. Columns of these names are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.frequent, vocabulary.class_sizes, _flat(net)))
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((vocabulary.frequent, vocabulary.class_uses, _flat(net)))
+    groups, joined = vocabulary.groups, vocabulary.rare is not None
 
     def start():
-        frequent, sizes, flat = shared.value
-        known, own = Vocabulary(frequent, sizes), _shaped(flat)
+        frequent, uses, flat = shared.value
+        known, own = Vocabulary(frequent, uses), _shaped(flat, groups)
 
         def compute(texts: list[str]) -> list[list]:
             tokens = [known.tokens(t) for t in texts]
-            row, at = _laid_out(tokens)
+            row, at = _laid_out(tokens, groups)
             each = log_probabilities(own, row, at) + known.within[row[at]]
             sums = [float(p.sum()) for p in np.split(each, np.cumsum([len(t) for t in tokens])[:-1])]
-            return [[len(t) for t in tokens], sums, [s / len(t) if len(t) else None for s, t in zip(sums, tokens, strict=True)]]
+            counts = [len(t) for t in tokens]
+            means = [s / n if n else None for s, n in zip(sums, counts, strict=True)]
+            return [counts, sums, means, [int((t >= known.first_class).sum()) for t in tokens]][: len(made)]
 
         return compute
 
     made = StructType([StructField("n_words", LongType()), StructField("log_likelihood", DoubleType()), StructField("mean_log_likelihood", DoubleType())])
-    return add_columns(docs, text, made, start)
+    if not joined:
+        return add_columns(docs, text, made, start)
+    made = StructType([*made, StructField("n_rare", LongType())])
+    names = [c for c in docs.columns if c not in made.names[:3]]
+    packed = docs.select(all_of(docs).alias("row"), F.col(f"`{text}`").cast("string").alias("text"), text_key(F.col(f"`{text}`").cast("string")).alias("text_key"))
+    frequent = spark.createDataFrame([(w,) for w in vocabulary.frequent], "word string")
+    logs = rare_uses(docs, vocabulary.rare, frequent, text)
+    scored = add_columns(packed, "text", made, start).drop("text").join(logs, "text_key", "left")
+    total = F.col("log_likelihood") + F.coalesce(F.col("rare_log"), F.lit(0.0)) * F.col("n_rare")
+    return scored.select(
+        *[F.col("row").getField(c).alias(c) for c in names],
+        "n_words",
+        total.alias("log_likelihood"),
+        F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_likelihood"),
+    )
 
 
 def corpus_scores(docs: DataFrame) -> DataFrame:
