@@ -32,3 +32,10 @@ def test_vocabulary_grows_with_the_corpus(spark):
     net = masked_lm.train(docs, words)
     assert len(net["vectors"]) == words.groups**2 + 1
     assert masked_lm.pseudo_likelihoods(docs, words, net).first()["log_likelihood"] < 0
+
+
+def test_training_predicts_every_word(spark):
+    names = [f"w{i}" for i in range(12)]
+    docs = spark.createDataFrame([(" ".join(names),)], "text string")
+    net = masked_lm.train(docs, masked_lm.Vocabulary(names, {}))
+    assert (net["member_bias"][0][:12] > 0).all() and (net["member_bias"][0][12:] < 0).all()

@@ -8,7 +8,7 @@ conditional log-probabilities of its words.
   fall into RARE_CLASSES hashed classes, within which a word has the probability (its uses) / (uses of the class).
 * Network: vectors of the WINDOW words before and after, scaled by place, are added and passed through tanh; a softmax over
   groups and one over the members of the group give the probability of the token.
-* Training: each task trains a copy on masked words of all the texts it holds; copies are
+* Training: each task trains a copy on every word of all the texts it holds, each masked once in a round; copies are
   averaged, weighted by the words they saw, and the average starts the next of ROUNDS. What is gathered is the frequent
   words, the sizes of the classes and the averaged network. The uses of rare words stay in their table and are joined.
 """
@@ -42,8 +42,6 @@ STEP = 0.08
 SEED = 7
 AT_ONCE = 1 << 16
 CACHED_WORDS = 300_000
-#: One word in so many is masked and predicted in training; all are in scoring.
-MASKED = 6
 #: Values of the network that are averaged as one row.
 CHUNK = 4096
 
@@ -225,7 +223,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", rounds: i
                 for low, high in slices(texts):
                     row, at = _laid_out([known.tokens(t) for t in texts.slice(low, high - low).to_pylist()], groups)
                     seen += len(at)
-                    masked = rng.permutation(at[rng.integers(0, MASKED, len(at)) == 0])
+                    masked = rng.permutation(at)
                     for k in range(0, len(masked), BATCH):
                         climb(own, squares, row, masked[k : k + BATCH])
             if seen:
