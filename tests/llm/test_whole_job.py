@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 import zlib
 
-from tidemark.llm import masked_lm
+import pytest
+
+from tidemark.llm import masked_lm, pii
 from tidemark.llm.common import keep
 
 
@@ -39,3 +41,19 @@ def test_training_predicts_every_word(spark):
     docs = spark.createDataFrame([(" ".join(names),)], "text string")
     net = masked_lm.train(docs, masked_lm.Vocabulary(names, {}))
     assert (net["member_bias"][0][:12] > 0).all() and (net["member_bias"][0][12:] < 0).all()
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("bob@example_dot_com", "email"),
+        ("bob@example·com", "email"),
+        ("bob﹫example.com", "email"),
+        ("+44–20–7946–0958", "phone"),
+        ("+44 ②0 7946 0958", "phone"),
+        ("plus 4 four 2 zero 7 nine 4 six 0 nine", "phone"),
+    ],
+)
+def test_every_transducer_runs_whatever_else_the_text_holds(text, kind):
+    for around in ("", " x [at] y zero one "):
+        assert (kind, 0, len(text)) in [x for side in pii.find_all(text + around) for x in side]

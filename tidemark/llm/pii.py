@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
+_NOT_ASCII = re.compile(r"[^\x00-\x7f]")
 
 
 def emails(text: str) -> Iterable[tuple[int, int]]:
@@ -85,7 +87,6 @@ LOOKALIKES = {
 UNSEEN = "­​‌‍⁠﻿"
 DIGIT_WORDS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())} | {"oh": "0"}
 
-_SUSPECT_CHARS = re.compile("[" + "".join(re.escape(c) for c in LOOKALIKES if c not in "–·") + UNSEEN + "]|(?![0-9])\\d|[！-～\U0001d400-\U0001d7ff]")
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _GAP = r"(?<![ \t])[ \t]*+"  # a run of blanks is entered at its begin only
 _AT = re.compile(rf"{_GAP}{_OPEN}[ \t]*(?:at|@)[ \t]*{_CLOSE}[ \t]*|(?<=[A-Za-z0-9])[ \t]+@[ \t]+(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])_at_(?=[A-Za-z0-9])", re.I | re.A)
@@ -94,7 +95,6 @@ _WORDY = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]{1,64}(?:(?: dot |\.)[
 _AT_OR_DOT_WORD = re.compile(r" at | dot ", re.I | re.A)
 _SPELLED = re.compile(r"(?<![A-Za-z0-9])(?:plus[ -]+)?(?:(?:zero|oh|one|two|three|four|five|six|seven|eight|nine|[0-9]+)[ -]+){4,}(?:zero|oh|one|two|three|four|five|six|seven|eight|nine|[0-9]+)(?![A-Za-z0-9])", re.I | re.A)
 _SPELLED_PART = re.compile(r"plus|[a-z]+|[0-9]+", re.I | re.A)
-_DISGUISED = re.compile(rf"{_OPEN}[ \t]*(?:at|dot|@|\.)[ \t]*{_CLOSE}|[A-Za-z0-9][ \t]+@|_at_| dot |(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)[ -]+(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)", re.I | re.A)
 
 
 class Mapped:
@@ -123,6 +123,7 @@ class Mapped:
         return self.starts[low], self.stops[high - 1]
 
 
+@lru_cache(maxsize=100_000)
 def _plain_character(c: str) -> str:
     if c in LOOKALIKES:
         return LOOKALIKES[c]
@@ -136,8 +137,9 @@ def _plain_character(c: str) -> str:
 
 
 def fold_characters(m: Mapped) -> Mapped:
-    edits = [(i, i + 1, new) for i, c in enumerate(m.text) if not c.isascii() and (new := _plain_character(c)) != c]
-    return m.replaced(edits)
+    if m.text.isascii():
+        return m
+    return m.replaced([(x.start(), x.end(), new) for x in _NOT_ASCII.finditer(m.text) if (new := _plain_character(x[0])) != x[0]])
 
 
 def fold_digit_words(m: Mapped) -> Mapped:
@@ -154,6 +156,9 @@ def fold_digit_words(m: Mapped) -> Mapped:
 def fold_at_and_dot(m: Mapped) -> Mapped:
     edits = [(x.start(), x.end(), "@") for x in _AT.finditer(m.text)] + [(x.start(), x.end(), ".") for x in _DOT.finditer(m.text)]
     m = m.replaced(sorted(edits))
+    lowered = m.text.lower()
+    if " at " not in lowered or " dot " not in lowered:  # _WORDY needs both
+        return m
     edits = []
     for x in _WORDY.finditer(m.text):
         edits += [(y.start(), y.end(), "@" if y[0].lower() == " at " else ".") for y in _AT_OR_DOT_WORD.finditer(m.text, *x.span())]
@@ -166,8 +171,6 @@ TRANSDUCERS = (fold_characters, fold_digit_words, fold_at_and_dot)
 def find_all(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Plain finds, and disguised ones that overlap no plain find of their kind; each by kind, then start."""
     plain = [(kind, *span) for kind in KINDS for span in FINDERS[kind](text)]
-    if not (_DISGUISED.search(text) or not text.isascii() and _SUSPECT_CHARS.search(text)):
-        return plain, []
     m = Mapped.of(text)
     for transducer in TRANSDUCERS:
         m = transducer(m)
