@@ -7,7 +7,7 @@ import zlib
 
 import pytest
 
-from tidemark.llm import masked_lm, pii
+from tidemark.llm import html_text, masked_lm, pii
 from tidemark.llm.common import keep
 
 
@@ -57,3 +57,15 @@ def test_training_predicts_every_word(spark):
 def test_every_transducer_runs_whatever_else_the_text_holds(text, kind):
     for around in ("", " x [at] y zero one "):
         assert (kind, 0, len(text)) in [x for side in pii.find_all(text + around) for x in side]
+
+
+@pytest.mark.parametrize(
+    "inside",
+    ["<svg width=1 />", "<svg/>", "<object data=x>", "<audio src=x>", "<canvas/>", "<SCRIPT>no</SCRIPT>\u0130", "<svg/><svg><g/>no</SVG>", "<style>no</style >"],
+)
+def test_silent_tags_end_where_they_end(inside):
+    assert [b.text.strip("\u0130 ") for b in html_text.blocks_of(f"<p>one</p>{inside}<p>two</p>") if b.text != "\u0130"] == ["one", "two"]
+
+
+def test_raw_text_without_an_end_holds_the_rest():
+    assert [b.text for b in html_text.blocks_of("<p>one</p><script/><p>two</p>")] == ["one"]

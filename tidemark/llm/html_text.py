@@ -43,11 +43,14 @@ BLOCKS = frozenset(
 )
 #: Their content is no text of the page.
 SILENT = frozenset("script style noscript template iframe textarea title svg object canvas audio video".split())
+#: Of these, the tags whose content browsers read as text: they cannot be closed in the opening tag, and unclosed hold the rest.
+RAW = frozenset("script style textarea title iframe".split())
 EMPTY = frozenset("br hr img input meta link wbr source area base col embed track param".split())
 #: An opening tag of the first kind ends an open one of the second.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_CLOSING = {tag: re.compile(rf"</{tag}(?![^\s/>])", re.I | re.A) for tag in SILENT}
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPLIT_NAME = re.compile(r"[^\W_]+")
 _WORD = re.compile(r"[^\W_]+")
@@ -107,7 +110,8 @@ def blocks_of(page: str) -> list[Block]:
             parts.clear()
         linked = 0
 
-    at, size, lowered = 0, len(page), None
+    at, size = 0, len(page)
+    ends: dict[str, int] = {}  # of silent tags: where the next closing one begins, or the page's size
     while at < size:
         begin = page.find("<", at)
         if begin < 0:
@@ -137,10 +141,13 @@ def blocks_of(page: str) -> list[Block]:
         at = m.end()
         closing, tag = m[1], m[2].lower()
         if tag in SILENT and not closing:
-            if lowered is None:
-                lowered = page.lower() if len(page.lower()) == size else page
-            end = lowered.find(f"</{tag}", at)
-            at = size if end < 0 else end
+            if tag not in RAW and m[3].endswith("/"):
+                continue
+            if ends.get(tag, -1) < at:
+                found_end = _CLOSING[tag].search(page, at)
+                ends[tag] = found_end.start() if found_end else size
+            if ends[tag] < size or tag in RAW:
+                at = ends[tag]
             continue
         if tag == "a":
             links = 0 if closing else 1
