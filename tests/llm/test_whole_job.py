@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 import zlib
+from pathlib import Path
 
 import pytest
 
-from tidemark.llm import html_text, masked_lm, pii
-from tidemark.llm.common import keep
+from tidemark.llm import html_text, masked_lm, pii, sharding
+from tidemark.llm.common import keep, scratch
 
 
 def test_rare_words_keep_their_uses(spark):
@@ -69,3 +70,19 @@ def test_silent_tags_end_where_they_end(inside):
 
 def test_raw_text_without_an_end_holds_the_rest():
     assert [b.text for b in html_text.blocks_of("<p>one</p><script/><p>two</p>")] == ["one"]
+
+
+def test_shard_plan_is_read_from_whole_records(spark):
+    docs = spark.createDataFrame([(i, f"text {i} " * 50) for i in range(40)], "doc_id bigint, text string")
+    folders = lambda: set(Path(scratch(spark).removeprefix("file:")).glob("shards-*"))
+    before = folders()
+    plan = {(r["doc_id"], r["shard"], r["slot"]) for r in sharding.shard_plan(docs, 4).collect()}
+    (folder,) = folders() - before
+    written = spark.read.parquet(str(folder)).collect()
+    assert plan == {(r["doc_id"], r["shard"], r["slot"]) for r in written} and len(plan) == 40
+    assert {(r["doc_id"], r["text"]) for r in written} == {tuple(r) for r in docs.collect()}
+
+
+def test_buckets_follow_the_bytes(spark):
+    short, long = (spark.createDataFrame([(i, "x" * n) for i in range(20)], "doc_id bigint, text string") for n in (10, 1 << 20))
+    assert sharding.bucket_rows_for(short) == sharding.BUCKET_ROWS and 1 <= sharding.bucket_rows_for(long) <= 16

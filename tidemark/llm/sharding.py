@@ -11,15 +11,19 @@ Equal records are told apart by a copy number, so that even one record repeated
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from .common import keep, small
+from .common import keep, scratch, small
 
 SEED = 20240229
-#: Records of a bucket, on average. Records are small here (an id, sizes, a digest), some tens of bytes.
+#: Small records of a bucket, on average (an id, sizes, a digest), some tens of bytes.
 BUCKET_ROWS = 20_000
+#: Bytes of whole records that one bucket, or one range of a shard, is to hold; the bytes are measured.
+BUCKET_BYTES = 16 << 20
 
 
 def shuffled(records: DataFrame, shards: int, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -34,8 +38,8 @@ def shuffled(records: DataFrame, shards: int, seed: int = SEED, bucket_rows: int
     copies = packed.groupBy("record").agg(F.count("*").alias("times"))
     numbered = copies.select("record", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))).alias("copy"))
     key = F.xxhash64(F.lit(seed), F.col("record"), F.col("copy"))
-    scattered = keep(numbered.select("record", "copy", key.alias("key")), "records")
-    buckets = max(1, math.ceil(scattered.count() / bucket_rows))
+    scattered = numbered.select("record", "copy", key.alias("key"))
+    buckets = max(1, math.ceil(records.count() / bucket_rows))
     # The bucket takes the upper bits of the key; the order within it all of them, then the record.
     bucket = F.pmod(F.shiftrightunsigned("key", 20), F.lit(buckets)).cast("int")
     gathered = scattered.repartition(buckets, bucket).groupBy(bucket.alias("bucket")).agg(F.collect_list(F.struct("key", "record", "copy")).alias("all"))
@@ -50,24 +54,34 @@ def shuffled(records: DataFrame, shards: int, seed: int = SEED, bucket_rows: int
     return placed.select("drawn.record.*", F.pmod(rank, F.lit(shards)).cast("int").alias("shard"), F.floor(rank / shards).cast("bigint").alias("slot"))
 
 
+def bucket_rows_for(docs: DataFrame) -> int:
+    """How many records of average measured size make BUCKET_BYTES."""
+    measured = docs.select(F.octet_length(F.to_json(F.struct("*"))).cast("bigint").alias("bytes")).agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).first()
+    return max(1, min(BUCKET_ROWS, BUCKET_BYTES * measured["n"] // max(1, measured["bytes"] or 0)))
+
+
 def shard_plan(docs: DataFrame, shards: int = 16, seed: int = SEED) -> DataFrame:
-    """Per document ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
+    """Per document ``doc_id, size, text_crc32, law, shard, slot, grown_shard``, read from the shards that were written.
 
     The law is ``rows``: counts of shards differ by one at most. A null text has size 1 and the checksum of an empty
-    text; documents without an id are dealt like others. ``grown_shard`` belongs to another law and is null.
+    text; documents without an id are dealt like others. ``grown_shard`` belongs to another law and is null. Whole
+    records go through both passes and are left in the shared folder.
     """
+    path = f"{scratch(docs.sparkSession)}/shards-{uuid.uuid4().hex}"
+    written = write_shards(docs, path, shards, seed)
     content = F.coalesce(F.col("text"), F.lit(""))
-    sizes = docs.select("doc_id", (F.octet_length(content) + 1).cast("bigint").alias("size"), F.crc32(content.cast("binary")).alias("text_crc32"))
-    dealt = shuffled(sizes, shards, seed)
-    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    sizes = (F.octet_length(content) + 1).cast("bigint").alias("size"), F.crc32(content.cast("binary")).alias("text_crc32")
+    return written.select("doc_id", *sizes, F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = 16, seed: int = SEED, bucket_rows: int = 2_000) -> DataFrame:
+def write_shards(docs: DataFrame, path: str, shards: int = 16, seed: int = SEED, bucket_rows: int | None = None) -> DataFrame:
     """Whole records shuffled and written to ``path``, one folder per shard, each in slot order; returns what was written.
 
-    Here whole texts are gathered in buckets, so ``bucket_rows`` is smaller. Each task writes a range of one shard.
+    Without ``bucket_rows`` buckets are sized by the measured bytes of the records. Each task writes a range of one shard.
     """
-    dealt = shuffled(docs, shards, seed, bucket_rows)
-    ranges: Column = F.floor(F.col("slot") / bucket_rows)
+    rows = bucket_rows or bucket_rows_for(docs)
+    dealt = shuffled(docs, shards, seed, rows)
+    ranges: Column = F.floor(F.col("slot") / rows)
     dealt.repartition("shard", ranges).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    schema = StructType([*docs.schema, StructField("slot", LongType()), StructField("shard", IntegerType())])
+    return docs.sparkSession.read.schema(schema).parquet(path)
