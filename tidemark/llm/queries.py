@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontaminate import contamination_digests
 from .html_text import main_texts
+from .line_dedup import line_digests
 from .masked_lm import corpus_scores
+from .merkle import tamper_evidence
 from .pieces import encoding_digests
 from .pii import personal_data_digests
 from .quality import quality_verdicts
 from .secret_scan import secret_digests
 from .sharding import shard_plan
 from .simhash import near_duplicates
+from .spelling import spelling_variants
 from .toxicity import toxicity_scores
 
 
@@ -65,6 +68,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tamper_evidence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_masked_lm": op2_masked_lm,
@@ -76,4 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_sharding": op9_sharding,
     "op10_simhash": op10_simhash,
+    "op11_lines": op11_lines,
+    "op12_spelling": op12_spelling,
+    "op13_merkle": op13_merkle,
 }
