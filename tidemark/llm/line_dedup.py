@@ -117,10 +117,13 @@ class LineIndex:
         same[same] = self.fingerprints[at[same]] == low[same]
         return np.where(same, at, -1)
 
-    def dropped(self, high: np.ndarray, low: np.ndarray, doc: int | None) -> np.ndarray:
-        """Which of a document's keys it loses: those found, unless it is the one that keeps them."""
+    def dropped(self, high: np.ndarray, low: np.ndarray, docs: np.ndarray, given: np.ndarray) -> np.ndarray:
+        """Which keys their documents lose: those found, unless the document is the one that keeps them.
+
+        ``given`` tells which of ``docs`` are not null.
+        """
         at = self.probe(high, low)
-        keeps = (self.known[at] & (self.keepers[at] == doc)) if doc is not None else ~self.known[at]
+        keeps = np.where(given, self.known[at] & (self.keepers[at] == docs), ~self.known[at])
         return (at >= 0) & ~keeps
 
     def arrays(self) -> dict[str, bytes]:
@@ -207,21 +210,34 @@ def _answer_schema(packed: DataFrame) -> StructType:
 
 
 def _answered(batch: pa.RecordBatch, losing) -> Iterator[pa.RecordBatch]:
-    """Rows with their kept text. ``losing(row number, keys)`` tells for a document's keys whether it loses them."""
+    """Rows with their kept text. ``losing(rows, keys)`` tells for each key whether the document in that row loses it."""
     for low, high, texts in _texts(batch, "text"):
-        n_lines, n_dropped, kept = [], [], []
+        split, rows, asked = [], [], []
         for at, value in enumerate(texts, low):
             lines = value.split(b"\n")
             keys = [key_of(line) for line in lines]
-            long = list({key for key in keys if key is not None})
-            lost = {key for key, gone in zip(long, losing(at, long)) if gone} if long else ()
-            stay = [line for line, key in zip(lines, keys) if key not in lost] if lost else lines
+            split.append((lines, keys))
+            long = {key for key in keys if key is not None}
+            rows.extend([at] * len(long))
+            asked.extend(long)
+        lost: dict[int, set[bytes]] = {}
+        for number in np.flatnonzero(losing(np.array(rows, np.int64), asked)).tolist():
+            lost.setdefault(rows[number], set()).add(asked[number])
+        n_lines, n_dropped, kept = [], [], []
+        for at, (lines, keys) in enumerate(split, low):
+            gone = lost.get(at)
+            stay = [line for line, key in zip(lines, keys) if key not in gone] if gone else lines
             n_lines.append(len(lines))
             n_dropped.append(len(lines) - len(stay))
             kept.append(b"\n".join(stay))
         made = [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
-        rows = batch.column("row").slice(low, high - low)
-        yield pa.RecordBatch.from_arrays([rows, pa.StructArray.from_arrays(made, names=["n_lines", "n_dropped", "kept_text"])], names=["row", "made"])
+        rows_ = batch.column("row").slice(low, high - low)
+        yield pa.RecordBatch.from_arrays([rows_, pa.StructArray.from_arrays(made, names=["n_lines", "n_dropped", "kept_text"])], names=["row", "made"])
+
+
+def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids with 0 for nulls, and which are not null."""
+    return column.fill_null(0).to_numpy(), column.is_valid().to_numpy(zero_copy_only=False)
 
 
 def _probed_in_place(packed: DataFrame, index: DataFrame, shards: int) -> DataFrame:
@@ -231,16 +247,15 @@ def _probed_in_place(packed: DataFrame, index: DataFrame, shards: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indexes = {shard: LineIndex.of(row) for shard, row in sent.value.items()}
         for batch in batches:
-            ids = batch.column("doc").to_pylist()
+            docs, given = _ids(batch.column("doc"))
 
-            def losing(at: int, keys: list[bytes]) -> np.ndarray:
+            def losing(rows: np.ndarray, keys: list[bytes]) -> np.ndarray:
                 high, low = hashed(keys)
                 gone = np.zeros(len(keys), bool)
                 of = shard_of(high, max(1, shards))
-                for shard in np.unique(of).tolist():
-                    if shard in indexes:
-                        mine = of == shard
-                        gone[mine] = indexes[shard].dropped(high[mine], low[mine], ids[at])
+                for shard, index_ in indexes.items():
+                    mine = np.flatnonzero(of == shard)
+                    gone[mine] = index_.dropped(high[mine], low[mine], docs[rows[mine]], given[rows[mine]])
                 return gone
 
             yield from _answered(batch, losing)
@@ -291,10 +306,7 @@ def _probed_at_shards(packed: DataFrame, index: DataFrame, shards: int) -> DataF
                 if part.num_rows == 0:
                     continue
                 first, second = (part.column(c).to_numpy().view(np.uint64) for c in ("high", "low"))
-                number = held[2].probe(first, second)
-                docs, given = part.column("mark").field("doc").fill_null(0).to_numpy(), part.column("mark").field("doc").is_valid().to_numpy(zero_copy_only=False)
-                keeper, known = held[2].keepers[number], held[2].known[number]
-                gone = (number >= 0) & ~((given & known & (keeper == docs)) | (~given & ~known))
+                gone = held[2].dropped(first, second, *_ids(part.column("mark").field("doc")))
                 yield pa.RecordBatch.from_arrays([part.column(c).filter(pa.array(gone)) for c in ("mark", "high", "low")], names=["mark", "high", "low"])
 
     found = met.mapInArrow(answer, StructType([at["mark"], at["high"], at["low"]]))
@@ -306,10 +318,10 @@ def _probed_at_shards(packed: DataFrame, index: DataFrame, shards: int) -> DataF
         for batch in batches:
             lists = batch.column("lost")
 
-            def losing(at: int, keys: list[bytes]) -> list[bool]:
-                gone = {(p["high"], p["low"]) for p in lists[at].as_py() or ()}
+            def losing(rows: np.ndarray, keys: list[bytes]) -> np.ndarray:
+                gone = {at: {(p["high"], p["low"]) for p in lists[at].as_py() or ()} for at in np.unique(rows).tolist()}
                 first, second = (h.view(np.int64).tolist() for h in hashed(keys))
-                return [pair in gone for pair in zip(first, second)]
+                return np.array([pair in gone[at] for at, pair in zip(rows.tolist(), zip(first, second))], bool)
 
             yield from _answered(batch, losing)
 
