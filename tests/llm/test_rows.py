@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontaminate, html_text, masked_lm, pieces, pii, quality, secret_scan, sharding, simhash, toxicity
+from tidemark.llm import decontaminate, html_text, line_dedup, masked_lm, merkle, pieces, pii, quality, secret_scan, sharding, simhash, toxicity
 from tidemark.llm.queries import QUERIES, tokenizer_file
 
 CLASHING = ["row", "made", "words", "ids", "decoded", "digest", "place", "fingerprint", "stratum", "values", "kept", "score", "spans"]
@@ -53,10 +53,12 @@ def operators(labels, items):
         "op8": pii.find_personal_data,
         "op9": sharding.shard_plan,
         "op10": simhash.near_duplicates,
+        "op11": line_dedup.drop_repeated_lines,
+        "op13": merkle.tamper_evidence,
     }
 
 
-@pytest.mark.parametrize("name", ["op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10"])
+@pytest.mark.parametrize("name", ["op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10", "op11", "op13"])
 def test_one_row_for_each_document(spark, docs, labels, items, name):
     run = operators(labels, items)[name]
     got = sorted((r["doc_id"] for r in run(docs).collect()), key=str)

@@ -103,15 +103,15 @@ def places(base: DataFrame) -> DataFrame:
 def before(counts: DataFrame, key: str) -> DataFrame:
     """``counts`` (g, key, rows, …) with ``before``, the rows of smaller keys of the group: the popcount directory."""
     low, high = counts.agg(F.min(key), F.max(key)).first()
-    page = F.shiftright(key, PAGE_BITS)
-    inside = Window.partitionBy("g", "page").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    paged = counts.withColumn("page", page)
-    paged = paged.withColumn("before", F.coalesce(F.sum("rows").over(inside), F.lit(0)))
-    if low is None or low >> PAGE_BITS == high >> PAGE_BITS:
-        return paged.drop("page")
-    pages = keep(counts.groupBy("g", page.alias("page")).agg(F.sum("rows").alias("rows")), "pages")
-    start = before(pages, "page").select("g", "page", F.col("before").alias("start"))
-    return paged.join(start, ["g", "page"]).withColumn("before", F.col("before") + F.col("start")).drop("page", "start")
+    whole = low is None or high - low < 1 << PAGE_BITS
+    over = F.lit(0) if whole else F.shiftright(key, PAGE_BITS)
+    inside = Window.partitionBy("g", "over").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    paged = counts.withColumn("over", over).withColumn("before", F.coalesce(F.sum("rows").over(inside), F.lit(0)))
+    if whole:
+        return paged.drop("over")
+    pages = keep(counts.groupBy("g", over.alias("page")).agg(F.sum("rows").alias("rows")), "pages")
+    start = before(pages, "page").select("g", F.col("page").alias("over"), F.col("before").alias("start"))
+    return paged.join(start, ["g", "over"]).withColumn("before", F.col("before") + F.col("start")).drop("over", "start")
 
 
 def numbered(tops: DataFrame) -> DataFrame:
