@@ -14,6 +14,7 @@ from tidemark.streaming.stateful import (
     stream_cap_outcomes,
     stream_failure_bursts,
     stream_followed_by,
+    stream_match,
     stream_open_close_outcomes,
     stream_reconcile,
 )
@@ -34,6 +35,7 @@ __all__ = [
     "stream_failure_bursts",
     "stream_followed_by",
     "stream_interval_join",
+    "stream_match",
     "stream_open_close_outcomes",
     "stream_reconcile",
     "stream_visitors",

@@ -1,15 +1,23 @@
-"""Sequence detection over streams with per-key state and event-time timers.
+"""Sequence detection over streams with keyed state and event-time timers.
 
-Rows of a key wait in a buffer until the watermark has passed them and are then
-replayed in (event time, sequence) order, so results do not depend on how the
-stream is cut into batches. What happens on a row or at a deadline is described
-by a small rule object whose state is plain JSON.
+Rows of a key wait until the watermark has passed them and are then replayed in (event time, sequence) order, so results
+do not depend on how the stream is cut into batches. What happens on a row or at a deadline is described by a small rule.
+
+State. One value per key holds a short text: the timer, the rule's numbers, and few waiting rows. More waiting rows lie in a
+map, in sorted pieces of bounded length, and a firing reads and rewrites only pieces that the watermark has reached. Rules
+that keep rows of their own (partial matches, unmatched rows) use first-in-first-out queues whose full chunks lie in
+another map, so a key with a million waiting rows costs a firing no more than one with a few.
+
+Hot keys. Where a rule looks only a bounded time ahead (patterns) or starts anew at fixed times (daily caps), the state is
+keyed by (key, time slice): rows are copied into the earlier slices that may still wait for them, each slice answers for
+its own rows, and a key's slices lie in different state partitions.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
+from heapq import heappop, heappush
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row
@@ -17,21 +25,88 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.functions.clock import Span, micros, span_us
+from tidemark.functions.clock import DAY_US, Span, floor_div, micros, span_us
 from tidemark.operators.capping import DROP, PASS, WARN
 from tidemark.operators.pairing import LEFT_ONLY, PAIRED, RIGHT_ONLY
-from tidemark.operators.sequences import MATCHED, TIMEOUT
+from tidemark.operators.sequences import MATCHED, TIMEOUT, Pattern
+from tidemark.operators.slices import slice_width
 from tidemark.streaming.windows import event_time
 
-Output = tuple[str, int | None, int | None, int | None, int | None, int | None, int | None]
+Output = tuple
 _OUTPUT = "outcome STRING, a_us BIGINT, a_seq BIGINT, b_us BIGINT, b_seq BIGINT, n BIGINT, at_us BIGINT"
-_DAY_US = 86_400_000_000
-#: Rows of a key wait in stretches of this length.
-STRETCH_US = 60_000_000
+_PATHS = "outcome STRING, us ARRAY<BIGINT>, seq ARRAY<BIGINT>, at_us BIGINT"
+#: A key's waiting rows up to this number lie in its value.
+FEW_ROWS = 128
+#: Rows of one sorted piece, and of a chunk of a queue.
+PIECE_ROWS = 2048
+CHUNK_ROWS = 64
+#: Arriving rows of a key are sorted and stored in portions of this many.
+ARRIVING_ROWS = 4 * PIECE_ROWS
+
+
+class Queue:
+    """Items first in first out. ``place`` is [first chunk, items taken from it, next chunk, items behind the last chunk]."""
+
+    def __init__(self, chunks: Any, number: int, place: list):
+        self.chunks, self.number, self.place = chunks, number, place
+        self.front: list | None = None
+
+    def _front(self) -> list | None:
+        if self.place[0] < self.place[2] and self.front is None:
+            self.front = json.loads(self.chunks.getValue((self.number, self.place[0]))[0])
+        return self.front
+
+    def __bool__(self) -> bool:
+        return self.place[0] < self.place[2] or bool(self.place[3])
+
+    def first(self) -> list:
+        front = self._front()
+        return front[self.place[1]] if front is not None else self.place[3][0]
+
+    def append(self, item: list) -> None:
+        self.place[3].append(item)
+        if len(self.place[3]) == CHUNK_ROWS:
+            self.chunks.updateValue((self.number, self.place[2]), (json.dumps(self.place[3]),))
+            self.place[2] += 1
+            self.place[3] = []
+
+    def popleft(self) -> list:
+        front = self._front()
+        if front is None:
+            return self.place[3].pop(0)
+        item = front[self.place[1]]
+        self.place[1] += 1
+        if self.place[1] == len(front):
+            self.chunks.removeKey((self.number, self.place[0]))
+            self.place[0], self.place[1], self.front = self.place[0] + 1, 0, None
+        return item
+
+    def take(self, holds: Any) -> Iterator[list]:
+        """All items but the leading ones that ``holds`` keeps back."""
+        held = []
+        while self and holds(self.first()):
+            held.append(self.popleft())
+        while self:
+            yield self.popleft()
+        for item in held:
+            self.append(item)
+
+
+class State:
+    """What a rule knows of a key: a short list of numbers and its queues."""
+
+    def __init__(self, numbers: list, queues: list[Queue]):
+        self.numbers, self.queues = numbers, queues
+
+    def __bool__(self) -> bool:
+        return bool(self.numbers) or any(self.queues)
 
 
 class Rule:
-    """Reacts to one key's events in order. ``state`` is a JSON-able list, empty when nothing is pending."""
+    """Reacts to one key's events in order; its state is empty when nothing is pending."""
+
+    queues = 0
+    output = _OUTPUT
 
     @staticmethod
     def order(row: tuple) -> tuple:
@@ -39,37 +114,63 @@ class Rule:
         us, kind, seq = row
         return us, seq, -kind
 
-    def on_row(self, state: list, us: int, seq: int, kind: int) -> Iterator[Output]:
+    def on_row(self, state: State, us: int, seq: int, kind: int) -> Iterator[Output]:
         raise NotImplementedError
 
-    def deadline(self, state: list) -> int | None:
+    def on_untimed(self, state: State, seq: int) -> Iterator[Output]:
+        """A row without a time, as it arrives."""
+        return iter(())
+
+    def deadline(self, state: State) -> int | None:
         """Time after which ``on_deadline`` is due; rows at that very time come first."""
         return None
 
-    def on_deadline(self, state: list) -> Iterator[Output]:
+    def on_deadline(self, state: State) -> Iterator[Output]:
         return iter(())
 
 
-class FollowedBy(Rule):
-    """kind 0 opens, kind 1 closes everything opened less than ``span`` ago."""
+class Chain(Rule):
+    """A pattern as an automaton. A row's kind holds one bit for each stage it meets.
+
+    Queue ``i`` holds the partial matches whose next stage is ``i + 1``, oldest first; all of them take the same row, so a
+    row that meets no awaited stage touches none, and each partial match moves once for each stage.
+    """
+
+    output = _PATHS
 
-    def __init__(self, span: int):
-        self.span = span
+    def __init__(self, strict: list[bool], span: int):
+        self.strict, self.span = strict, span
+        self.queues = len(strict) - 1
 
     def on_row(self, state, us, seq, kind):
-        if kind == 0:
-            state.append([us, seq])
-            return
-        for opened, opened_seq in [p for p in state if us - p[0] < self.span]:
-            yield MATCHED, opened, opened_seq, us, seq, None, us
-        state[:] = [p for p in state if us - p[0] >= self.span]
+        for stage in range(self.queues, 0, -1):
+            met = kind >> stage & 1
+            if not met and not self.strict[stage] or not state.queues[stage - 1]:
+                continue
+            # One begun a whole span ago has timed out; one whose very next row is another is broken.
+            for path in state.queues[stage - 1].take(lambda path: us - path[0] >= self.span):
+                if met:
+                    yield from self._reached(state, stage, [*path, us, seq], us)
+        if kind & 1:
+            yield from self._reached(state, 0, [us, seq], us)
+
+    def _reached(self, state, stage, path, us):
+        if stage == self.queues:
+            yield MATCHED, path[::2], path[1::2], us
+        else:
+            state.queues[stage].append(path)
+
+    def _oldest(self, state):
+        waiting = [queue for queue in state.queues if queue]
+        return min(waiting, key=lambda queue: queue.first()[0]) if waiting else None
 
     def deadline(self, state):
-        return state[0][0] + self.span if state else None
+        oldest = self._oldest(state)
+        return oldest.first()[0] + self.span if oldest is not None else None
 
     def on_deadline(self, state):
-        us, seq = state.pop(0)
-        yield TIMEOUT, us, seq, None, None, None, us + self.span
+        path = self._oldest(state).popleft()
+        yield TIMEOUT, path[::2], path[1::2], path[0] + self.span
 
 
 class OpenClose(Rule):
@@ -86,69 +187,76 @@ class OpenClose(Rule):
     def on_row(self, state, us, seq, kind):
         if kind == 0:
             yield from self.on_deadline(state)
-            state.append([us, seq])
-        elif state:
-            opened, opened_seq = state.pop()
+            state.numbers = [us, seq]
+        elif state.numbers:
+            opened, opened_seq = state.numbers
+            state.numbers = []
             yield "paid" if us - opened < self.span else "paid_late", opened, opened_seq, us, seq, None, us
         else:
             yield "orphan_pay", None, None, us, seq, None, us
 
     def deadline(self, state):
-        return state[0][0] + self.patience if state else None
+        return state.numbers[0] + self.patience if state.numbers else None
 
     def on_deadline(self, state):
-        if state:
-            us, seq = state.pop()
+        if state.numbers:
+            us, seq = state.numbers
+            state.numbers = []
             yield TIMEOUT, us, seq, None, None, None, us + self.span
 
 
 class Burst(Rule):
-    """kind 0 is a failure, kind 1 a success. State: first time and number, last time, count."""
+    """kind 0 is a failure, kind 1 a success. Numbers: first time and number, last time, count."""
 
     def __init__(self, span: int, least: int):
         self.span, self.least = span, least
 
     def on_row(self, state, us, seq, kind):
         if kind == 1:
-            state.clear()
-        elif state:
-            state[2], state[3] = us, state[3] + 1
+            state.numbers = []
+        elif state.numbers:
+            state.numbers[2:] = us, state.numbers[3] + 1
         else:
-            state.extend([us, seq, us, 1])
+            state.numbers = [us, seq, us, 1]
         return iter(())
 
     def deadline(self, state):
-        return state[0] + self.span if state else None
+        return state.numbers[0] + self.span if state.numbers else None
 
     def on_deadline(self, state):
-        first, seq, last, n = state
-        state.clear()
+        first, seq, last, n = state.numbers
+        state.numbers = []
         if n >= self.least:
             yield "burst", first, seq, last, None, n, first + self.span
 
 
 class DailyCap(Rule):
-    """State: local day number and how many rows it had."""
+    """Numbers: local day number and how many rows it had. Rows without a time are a day of their own."""
 
     def __init__(self, cap: int, offset: int):
         self.cap, self.offset = cap, offset
 
     def on_row(self, state, us, seq, kind):
-        day = (us + self.offset) // _DAY_US
-        state[:] = [day, state[1] + 1 if state and state[0] == day else 1]
-        rank = state[1]
+        day = None if us is None else (us + self.offset) // DAY_US
+        state.numbers = [day, state.numbers[1] + 1 if state.numbers and state.numbers[0] == day else 1]
+        rank = state.numbers[1]
         yield PASS if rank <= self.cap else WARN if rank == self.cap + 1 else DROP, us, seq, None, None, rank, us
 
+    def on_untimed(self, state, seq):
+        return self.on_row(state, None, seq, 0)
+
     def deadline(self, state):
-        return (state[0] + 1) * _DAY_US - self.offset if state else None
+        return (state.numbers[0] + 1) * DAY_US - self.offset if state.numbers and state.numbers[0] is not None else None
 
     def on_deadline(self, state):
-        state.clear()
+        state.numbers = []
         return iter(())
 
 
 class Reconcile(Rule):
-    """kind 0 is left, kind 1 right. State: waiting rows of whichever side waits, oldest first."""
+    """kind 0 is left, kind 1 right. The queue holds waiting rows of whichever side waits, oldest first."""
+
+    queues = 1
 
     @staticmethod
     def order(row: tuple) -> tuple:
@@ -159,18 +267,20 @@ class Reconcile(Rule):
         self.waits = (left_wait, right_wait)
 
     def on_row(self, state, us, seq, kind):
-        if state and state[0][0] != kind:
-            _, other_us, other_seq = state.pop(0)
+        (waiting,) = state.queues
+        if waiting and waiting.first()[0] != kind:
+            _, other_us, other_seq = waiting.popleft()
             a, b = ((us, seq), (other_us, other_seq)) if kind == 0 else ((other_us, other_seq), (us, seq))
             yield PAIRED, *a, *b, None, us
         else:
-            state.append([kind, us, seq])
+            waiting.append([kind, us, seq])
 
     def deadline(self, state):
-        return state[0][1] + self.waits[state[0][0]] if state else None
+        (waiting,) = state.queues
+        return waiting.first()[1] + self.waits[waiting.first()[0]] if waiting else None
 
     def on_deadline(self, state):
-        side, us, seq = state.pop(0)
+        side, us, seq = state.queues[0].popleft()
         at = us + self.waits[side]
         if side == 0:
             yield LEFT_ONLY, us, seq, None, None, None, at
@@ -179,101 +289,161 @@ class Reconcile(Rule):
 
 
 class OrderedReplay(StatefulProcessor):
-    """Buffers a key's rows and replays them through a rule as the watermark passes."""
+    """Keeps a key's rows until the watermark passes them and replays them through a rule."""
 
     def __init__(self, rule: Rule, columns: list[str]):
         self.rule, self.columns = rule, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # Rows wait by stretch of time, so a firing reads those that are ready and leaves the others untouched.
-        self.buffer = handle.getMapState("buffer", "stretch BIGINT", "rows ARRAY<STRUCT<us: BIGINT, kind: INT, seq: BIGINT>>")
-        self.pending = handle.getValueState("pending", "json STRING")
-        self.timer = handle.getValueState("timer", "ms BIGINT")
+        self.value = handle.getValueState("value", "json STRING")
+        self.pieces = handle.getMapState("pieces", "number BIGINT", "json STRING")
+        self.chunks = handle.getMapState("chunks", "queue INT, number BIGINT", "json STRING")
+
+    def _load(self) -> None:
+        """``timer``, few waiting rows, stored pieces as (first time, number), and the rule's state."""
+        held = self.value.get()
+        self.timer, self.few, self.stored, self.next, numbers, places = (
+            json.loads(held[0]) if held is not None else (None, [], [], 0, [], [[0, 0, 0, []] for _ in range(self.rule.queues)])
+        )
+        self.state = State(numbers, [Queue(self.chunks, i, place) for i, place in enumerate(places)])
+
+    def _save(self) -> None:
+        if self.timer is None and not self.few and not self.stored and not self.state:
+            self.value.clear()
+            return
+        places = [queue.place for queue in self.state.queues]
+        self.value.update((json.dumps([self.timer, self.few, self.stored, self.next, self.state.numbers, places]),))
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        arrived: dict[int, list[tuple]] = {}
+        self._load()
+        arrived, untimed, first = [], [], None
         for r in rows:
-            arrived.setdefault(r["_us"] // STRETCH_US, []).append((r["_us"], r["_kind"], r["_seq"]))
-        for stretch, new in arrived.items():
-            self.buffer.updateValue((stretch,), ([*self._rows(stretch), *new],))
-        self._wake_at(min(row[0] for new in arrived.values() for row in new))
-        return iter(())
-
-    def _rows(self, stretch: int) -> list[tuple]:
-        return [tuple(r) for r in self.buffer.getValue((stretch,))[0]] if self.buffer.containsKey((stretch,)) else []
+            if r["_us"] is None:
+                untimed.append(r["_seq"])
+                continue
+            arrived.append((r["_us"], r["_kind"], r["_seq"]))
+            if len(arrived) == ARRIVING_ROWS:
+                first = self._store(arrived, first)
+                arrived = []
+        if arrived:
+            if len(self.few) + len(arrived) <= FEW_ROWS:
+                self.few += arrived
+                earliest = min(arrived)[0]
+                first = earliest if first is None else min(first, earliest)
+            else:
+                first = self._store(arrived, first)
+        for seq in sorted(untimed, key=lambda seq: (seq is not None, seq)):
+            yield from self._named(key, self.rule.on_untimed(self.state, seq))
+        if first is not None:
+            self._wake_at(first)
+        self._save()
+
+    def _store(self, rows: list[tuple], first: int | None) -> int:
+        """Put rows away in sorted pieces; the earliest time so far."""
+        rows.sort(key=self.rule.order)
+        for low in range(0, len(rows), PIECE_ROWS):
+            self._put(rows[low : low + PIECE_ROWS])
+        return rows[0][0] if first is None else min(first, rows[0][0])
+
+    def _put(self, rows: list) -> None:
+        self.pieces.updateValue((self.next,), (json.dumps(rows),))
+        self.stored.append([rows[0][0], self.next])
+        self.next += 1
+
+    def _ready(self, now: int) -> Iterator[tuple]:
+        """Waiting rows up to ``now`` in order; a piece is read when the first of its rows is due."""
+        order = self.rule.order
+        waiting: list[tuple] = []
+        later = []
+        for row in map(tuple, self.few):
+            heappush(waiting, (order(row), row)) if row[0] <= now else later.append(row)
+        self.few = later
+        self.stored.sort(reverse=True)
+        while waiting or self.stored and self.stored[-1][0] <= now:
+            while self.stored and self.stored[-1][0] <= (waiting[0][1][0] if waiting else now):
+                _, number = self.stored.pop()
+                rows = json.loads(self.pieces.getValue((number,))[0])
+                self.pieces.removeKey((number,))
+                due = sum(1 for row in rows if row[0] <= now)
+                for row in map(tuple, rows[:due]):
+                    heappush(waiting, (order(row), row))
+                if due < len(rows):
+                    self._put(rows[due:])
+                    self.stored.sort(reverse=True)
+            yield heappop(waiting)[1]
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        state = json.loads(self.pending.get()[0]) if self.pending.exists() else []
-        stretches = sorted(stretch for (stretch,) in self.buffer.keys())
-        later = [stretch for stretch in stretches if stretch * STRETCH_US > now]
-        due = [later[0] * STRETCH_US] if later else []
-        for stretch in stretches[: len(stretches) - len(later)]:
-            waiting = sorted(self._rows(stretch), key=self.rule.order)
-            ready = [r for r in waiting if r[0] <= now]
-            rest = waiting[len(ready) :]
-            if rest:
-                self.buffer.updateValue((stretch,), (rest,))
-                due.append(rest[0][0])
-            else:
-                self.buffer.removeKey((stretch,))
-            for us, kind, seq in ready:
-                yield from self._named(key, self._settled(state, us - 1))
-                yield from self._named(key, self.rule.on_row(state, us, seq, kind))
-        yield from self._named(key, self._settled(state, now))
-        if state:
-            self.pending.update((json.dumps(state),))
-        else:
-            self.pending.clear()
-        self.timer.clear()
-        if (deadline := self.rule.deadline(state)) is not None:
+        self._load()
+        self.timer = None
+        for us, kind, seq in self._ready(now):
+            yield from self._named(key, self._settled(us - 1))
+            yield from self._named(key, self.rule.on_row(self.state, us, seq, kind))
+        yield from self._named(key, self._settled(now))
+        due = [row[0] for row in self.few] + [first for first, _ in self.stored]
+        if (deadline := self.rule.deadline(self.state)) is not None:
             due.append(deadline)
         if due:
             self._wake_at(min(due))
+        self._save()
 
     def _named(self, key: Any, outputs: Iterator[Output]) -> Iterator[Row]:
         for output in outputs:
             yield Row(**dict(zip(self.columns, (*key, *output))))
 
-    def _settled(self, state: list, until: int) -> Iterator[Output]:
-        while (due := self.rule.deadline(state)) is not None and due <= until:
-            yield from self.rule.on_deadline(state)
+    def _settled(self, until: int) -> Iterator[Output]:
+        while (due := self.rule.deadline(self.state)) is not None and due <= until:
+            yield from self.rule.on_deadline(self.state)
 
     def _wake_at(self, us: int) -> None:
         """Keep one timer per key, at the earliest time anything is due."""
         ms = -(-us // 1000)
-        if self.timer.exists():
-            current = self.timer.get()[0]
-            if current <= ms:
+        if self.timer is not None:
+            if self.timer <= ms:
                 return
-            self.handle.deleteTimer(current)
+            self.handle.deleteTimer(self.timer)
         self.handle.registerTimer(ms)
-        self.timer.update((ms,))
+        self.timer = ms
 
     def close(self) -> None:
         pass
 
 
 def _replayed(
-    stream: DataFrame, keys: Sequence[str], ts: str, seq: str, kind: Column, rule: Rule, delay: Span
+    stream: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    seq: str,
+    kind: Column,
+    rule: Rule,
+    delay: Span,
+    slices: Column | None = None,
+    untimed: bool = False,
 ) -> DataFrame:
-    """Rows with a non-null ``kind`` replayed through ``rule``; one output row per result."""
+    """Rows with a non-null ``kind`` replayed through ``rule``; one output row per result.
+
+    ``slices``, an array of (slice, kind) from ``_us`` and ``_kind``, says in which time slices of its key a row counts,
+    and as what. Rows without a time are left out unless ``untimed``.
+    """
     keys = list(keys)
     timed = event_time(stream, ts, delay)
     events = timed.select(
         *keys, ts, micros(timed, ts).alias("_us"), F.col(seq).cast("bigint").alias("_seq"), kind.alias("_kind")
     )
-    if isinstance(events.schema["_kind"].dataType, T.ArrayType):
-        events = events.withColumn("_kind", F.explode_outer("_kind"))
     events = events.withColumn("_kind", F.col("_kind").cast("int"))
-    # Rows without a kind still move the watermark: a condition on the event time stays above it.
-    events = events.where(F.when(F.col("_kind").isNotNull(), F.col("_us")).isNotNull())
-    schema = T.StructType([events.schema[k] for k in keys] + T.StructType.fromDDL(_OUTPUT).fields)
-    return events.groupBy(*keys).transformWithState(OrderedReplay(rule, schema.names), schema, "Append", "EventTime")
-
-
-def _time(us: str) -> Column:
+    if not untimed:
+        # Rows without a kind still move the watermark: a condition on the event time stays above it.
+        events = events.where(F.when(F.col("_kind").isNotNull(), F.col("_us")).isNotNull())
+    by = keys
+    if slices is not None:
+        events = events.withColumn("_at", F.explode(slices)).withColumns({"_slice": F.col("_at.slice"), "_kind": F.col("_at.kind").cast("int")}).drop("_at")
+        by = [*keys, "_slice"]
+    schema = T.StructType([events.schema[k] for k in by] + T.StructType.fromDDL(rule.output).fields)
+    return events.groupBy(*by).transformWithState(OrderedReplay(rule, schema.names), schema, "Append", "EventTime")
+
+
+def _time(us: str | Column) -> Column:
     return F.timestamp_micros(us)
 
 
@@ -281,9 +451,44 @@ def _two_kinds(first: Column, second: Column) -> Column:
     return F.when(first, 0).when(second, 1)
 
 
-def _both_kinds(first: Column, second: Column) -> Column:
-    """A row that meets both conditions counts as either."""
-    return F.filter(F.array(F.when(second, 1), F.when(first, 0)), lambda kind: kind.isNotNull())
+def stream_match(
+    stream: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    seq: str,
+    pattern: Pattern,
+    delay: Span = "1 millisecond",
+    slice: Span | None = None,
+) -> DataFrame:
+    """``match`` of any ``Pattern`` over a stream, timeouts included.
+
+    State is keyed by (key, time slice); a row is also seen by the earlier slices in which a match that it may continue can
+    have begun. ``slice`` is their width, as for ``match``.
+    """
+    if pattern.span is None:
+        raise ValueError("close the pattern with within(...)")
+    stages = pattern.steps()
+    span = span_us(pattern.span)
+    width = slice_width(span, slice)
+    met = F.lit(0)
+    for number, stage in enumerate(stages):
+        met = met + F.when(F.coalesce(stage.condition, F.lit(False)), 1 << number).otherwise(0)
+    strict = any(stage.strict for stage in stages)
+    kind = met if strict else F.when(met > 0, met)
+    own = floor_div(F.col("_us"), width)
+    # A row begins matches in its own slice only, and continues those begun less than a span ago.
+    continued = F.col("_kind").bitwiseAND(-2)
+    halo = F.transform(
+        F.sequence(floor_div(F.col("_us") - (span - 1), width), own),
+        lambda at: F.struct(at.alias("slice"), F.when(at == own, F.col("_kind")).otherwise(continued).alias("kind")),
+    )
+    slices = halo if strict else F.filter(halo, lambda at: at["kind"] > 0)
+    rule = Chain([stage.strict for stage in stages], span)
+    out = _replayed(stream, keys, ts, seq, kind, rule, delay, slices)
+    columns = []
+    for number, stage in enumerate(stages):
+        columns += [_time(F.get("us", F.lit(number))).alias(f"{stage.name}_ts"), F.get("seq", F.lit(number)).alias(f"{stage.name}_seq")]
+    return out.select(*keys, *columns, "outcome", _time("at_us").alias("at"))
 
 
 def stream_followed_by(
@@ -295,13 +500,11 @@ def stream_followed_by(
     closes: Column,
     within: Span,
     delay: Span = "1 millisecond",
+    slice: Span | None = None,
 ) -> DataFrame:
-    """``match`` of "opens followed by closes within" over a stream, with timeouts."""
-    out = _replayed(stream, keys, ts, seq, _both_kinds(opens, closes), FollowedBy(span_us(within)), delay)
-    return out.select(
-        *keys, "outcome", _time("a_us").alias("open_ts"), F.col("a_seq").alias("open_seq"),
-        _time("b_us").alias("close_ts"), F.col("b_seq").alias("close_seq"), _time("at_us").alias("at"),
-    )
+    """``stream_match`` of "opens followed by closes within"."""
+    pattern = Pattern.begin("open", opens).followed_by("close", closes).within(within)
+    return stream_match(stream, keys, ts, seq, pattern, delay, slice)
 
 
 def stream_open_close_outcomes(
@@ -356,8 +559,14 @@ def stream_cap_outcomes(
     utc_offset: Span = "8 hours",
     delay: Span = "1 millisecond",
 ) -> DataFrame:
-    """``cap_outcomes`` over a stream: each event's rank of the day and whether it passes."""
-    out = _replayed(stream, keys, ts, seq, F.lit(0), DailyCap(cap, span_us(utc_offset)), delay)
+    """``cap_outcomes`` over a stream: each event's rank of the day and whether it passes.
+
+    State is keyed by (key, local day). Rows without a time rank on a day of their own as they arrive, and are answered at
+    once.
+    """
+    offset = span_us(utc_offset)
+    day = F.array(F.struct(floor_div(F.col("_us") + offset, DAY_US).alias("slice"), F.lit(0).alias("kind")))
+    out = _replayed(stream, keys, ts, seq, F.lit(0), DailyCap(cap, offset), delay, day, untimed=True)
     return out.select(
         *keys, _time("a_us").alias(ts), F.col("a_seq").alias(seq), F.col("n").alias("day_rank"), "outcome"
     )
@@ -373,13 +582,26 @@ def stream_reconcile(
     right_waits: Span,
     delay: Span = "1 millisecond",
 ) -> DataFrame:
-    """``reconcile`` of two streams with equal column names, as one keyed stream of both."""
+    """``reconcile`` of two streams with equal column names, as one keyed stream of both.
+
+    Rows without a key or a time meet nobody: they pass the state by and are single at once.
+    """
     sides = left.select(*keys, ts, seq, F.lit(0).alias("_side")).unionByName(
         right.select(*keys, ts, seq, F.lit(1).alias("_side"))
     )
+    whole = F.col(ts).isNotNull()
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
     rule = Reconcile(span_us(left_waits), span_us(right_waits))
-    out = _replayed(sides, keys, ts, seq, F.col("_side"), rule, delay)
-    return out.select(
+    out = _replayed(sides.where(whole), keys, ts, seq, F.col("_side"), rule, delay)
+    met = out.select(
         *keys, "outcome", _time("a_us").alias("pay_ts"), F.col("a_seq").alias("pay_seq"),
         _time("b_us").alias("receipt_ts"), F.col("b_seq").alias("receipt_seq"),
     )
+    lone = sides.where(~whole)
+    time, number, is_left = _time(micros(lone, ts)), F.col(seq).cast("bigint"), F.col("_side") == 0
+    return met.unionByName(lone.select(
+        *keys, F.when(is_left, LEFT_ONLY).otherwise(RIGHT_ONLY).alias("outcome"),
+        F.when(is_left, time).alias("pay_ts"), F.when(is_left, number).alias("pay_seq"),
+        F.when(~is_left, time).alias("receipt_ts"), F.when(~is_left, number).alias("receipt_seq"),
+    ))
