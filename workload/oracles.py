@@ -288,6 +288,34 @@ SELECT tx_id, 'single_pay', ts, event_id, NULL, NULL FROM all_pays WHERE tx_id I
 UNION ALL
 SELECT tx_id, 'single_receipt', NULL, NULL, ts, event_id FROM all_receipts WHERE tx_id IS NULL OR ts IS NULL"""
 
+TRIPLE_PATTERN = f"""
+{TRIPLES}
+SELECT user_id, ts2 AS fail_1_ts, id2 AS fail_1_seq, ts1 AS fail_2_ts, id1 AS fail_2_seq, ts AS fail_3_ts,
+       event_id AS fail_3_seq FROM hits"""
+INTERVAL_OUTER = f"""
+WITH {TX}
+SELECT coalesce(l.tx_id, r.tx_id) AS tx_id, l.event_id AS l_event_id, l.ts AS l_ts, r.event_id AS r_event_id,
+       r.ts AS r_ts,
+       CASE WHEN r.event_id IS NULL THEN 'single_pay' WHEN l.event_id IS NULL THEN 'single_receipt'
+            ELSE 'matched' END AS outcome
+FROM pays l FULL JOIN receipts r ON {NEAR}"""
+
+# Eight stretches of arrivals by number; the watermark of a stretch comes from those before it.
+LATE_BY_STRETCH = f"""
+WITH clicks AS (
+  SELECT event_id, user_id, CASE WHEN event_id % 10 = 0 THEN ts - INTERVAL 3 DAY ELSE ts END AS ts FROM events WHERE event_type = 'click'
+),
+requests AS (
+  SELECT *, (event_id - min(event_id) OVER ()) * 8 // (max(event_id) OVER () - min(event_id) OVER () + 1) AS stretch FROM clicks
+),
+reached AS (
+  SELECT stretch, max(max(epoch_us(ts))) OVER (ORDER BY stretch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                  - {3 * SECOND} AS wm
+  FROM requests GROUP BY stretch
+)
+SELECT event_id, user_id, ts FROM requests JOIN reached USING (stretch)
+WHERE epoch_us(ts) // {5 * SECOND} * {5 * SECOND} + {10 * MINUTE} - 1000 + {MINUTE} <= wm"""
+
 ORACLES: dict[str, str] = {
     "item_view_counts": f"WITH {BEHAVIOR} " + windows("behavior", "item_id", HOUR, 5 * MINUTE, "behavior = 'pv'"),
     "hot_items_topn": f"WITH {BEHAVIOR} {HOT_ITEMS}",
@@ -361,10 +389,7 @@ SELECT province, window_end, cnt FROM ({windows("ranked", "province", DAY, 2 * M
     ),
     "fail_triples": f"""
 {TRIPLES} SELECT user_id, ts2 AS first_ts, ts AS last_ts, id2 AS first_seq, event_id AS last_seq FROM hits""",
-    "fail_triples_pattern": f"""
-{TRIPLES}
-SELECT user_id, ts2 AS fail_1_ts, id2 AS fail_1_seq, ts1 AS fail_2_ts, id1 AS fail_2_seq, ts AS fail_3_ts,
-       event_id AS fail_3_seq FROM hits""",
+    "fail_triples_pattern": TRIPLE_PATTERN,
     "fail_bursts": BURSTS,
     "order_pay_pattern": PAY_PATTERN,
     "order_pay_outcomes": PAY_OUTCOMES,
@@ -374,13 +399,7 @@ SELECT user_id, ts2 AS fail_1_ts, id2 AS fail_1_seq, ts1 AS fail_2_ts, id1 AS fa
 WITH {TX}
 SELECT l.tx_id, l.event_id AS l_event_id, l.ts AS l_ts, r.event_id AS r_event_id, r.ts AS r_ts
 FROM pays l JOIN receipts r ON {NEAR}""",
-    "tx_interval_outer": f"""
-WITH {TX}
-SELECT coalesce(l.tx_id, r.tx_id) AS tx_id, l.event_id AS l_event_id, l.ts AS l_ts, r.event_id AS r_event_id,
-       r.ts AS r_ts,
-       CASE WHEN r.event_id IS NULL THEN 'single_pay' WHEN l.event_id IS NULL THEN 'single_receipt'
-            ELSE 'matched' END AS outcome
-FROM pays l FULL JOIN receipts r ON {NEAR}""",
+    "tx_interval_outer": INTERVAL_OUTER,
     "tx_reconcile": RECONCILE,
     "tx_reconcile_nulls": RECONCILE_PATCHY,
     "interval_join_orders": """
@@ -404,6 +423,11 @@ FROM events""",
     "stream_visitors": hourly("count(DISTINCT user_id)"),
     "stream_order_pay": PAY_PATTERN,
     "stream_reconcile": RECONCILE,
+    "stream_reconcile_nulls": RECONCILE_PATCHY,
+    "stream_interval_outer": INTERVAL_OUTER,
+    "stream_late_rows": LATE_BY_STRETCH,
+    "stream_fail_triples": TRIPLE_PATTERN,
+    "stream_pattern_next_chain": NEXT_CHAIN,
     "stream_click_cap": f"""
 WITH {AD_CLICKS}
 SELECT event_id, user_id, ad_id, ts, day_rank,

@@ -8,12 +8,13 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark import streaming
 from tidemark.functions import micros
+from tidemark.operators import Pattern
 from tidemark.session import SETTINGS
 
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -58,18 +59,33 @@ def events(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     return table.unionByName(spark.readStream.schema(EVENTS).parquet(f"{folder}/closing"))
 
 
+#: Rows of a file of a stretch, about.
+FILE_ROWS = 1_000_000
+
+
+def in_stretches(rows: DataFrame, stretch: Column, folder: str, pieces: int) -> DataFrame:
+    """``rows`` as a stream that reads one stretch, numbered from 0, after the other, and a closing row at the end.
+
+    Stretches, which should hold about equally many rows, lie in as many files as their size asks for; each trigger takes one.
+    """
+    spark = rows.sparkSession
+    placed = rows.withColumn("_stretch", stretch)
+    largest = placed.groupBy("_stretch").count().agg(F.max("count")).first()[0] or 0
+    files = max(1, -(-largest // FILE_ROWS))
+    for k in range(pieces):
+        placed.where(F.col("_stretch") == k).drop("_stretch").repartition(files).write.parquet(f"{folder}/events/{k}")
+    closing = [(1 << 60, datetime(2100, 1, 1), -1, CLOSING, 0.0, "{}")]
+    spark.createDataFrame(closing, EVENTS).coalesce(1).write.parquet(f"{folder}/events/{pieces}")
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", str(files)).parquet(f"{folder}/events/*")
+
+
 def ordered_events(spark: SparkSession, sf_dir: str, folder: str, pieces: int = 3) -> DataFrame:
-    """``events`` in several files of growing times, one per trigger, so that more than one batch has data."""
+    """``events`` in several stretches of growing times, one per trigger, so that more than one batch has data."""
     rows = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     us = micros(rows, "ts")
-    low, high = rows.agg(F.min(us), F.max(us)).first()
-    if low is not None:
-        piece = F.least(F.floor((us - low) * pieces / (high - low + 1)), F.lit(pieces - 1))
-        for k in range(pieces):
-            rows.where(piece == k).coalesce(1).write.parquet(f"{folder}/events/{k}")
-    closing = [(1 << 60, datetime(2100, 1, 1), -1, CLOSING, 0.0, "{}")]
-    spark.createDataFrame(closing, EVENTS).coalesce(1).write.parquet(f"{folder}/events/{pieces}")
-    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", "1").parquet(f"{folder}/events/*")
+    cuts = rows.select(us.alias("us")).approxQuantile("us", [k / pieces for k in range(1, pieces)], 0.001)
+    stretch = sum((F.when(us > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
+    return in_stretches(rows, stretch, folder, pieces)
 
 
 def finish(writer: DataStreamWriter, folder: str) -> None:
@@ -183,6 +199,79 @@ def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(spark.read.parquet(f"{folder}/met").drop("_batch").where("tx_id <> '-1'"))
 
 
+def stream_reconcile_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments and receipts matched when some lack an id and some a time."""
+    folder = scratch(spark)
+    with stream_settings(spark):
+        rows = ordered_events(spark, sf_dir, folder).withColumn("tx_id", F.col("user_id").cast("string"))
+        closing = F.col("event_type") == CLOSING
+        for column, every in (("tx_id", 7), ("ts", 11)):
+            missing = (F.pmod("event_id", F.lit(every)) == 0) & ~closing
+            rows = rows.withColumn(column, F.when(~missing, F.col(column)))
+        pays, receipts = (rows.where(F.col("event_type").isin(kind, CLOSING)) for kind in ("purchase", "click"))
+        met = streaming.stream_reconcile(pays, receipts, ["tx_id"], "ts", "event_id", "5 hours", "3 hours")
+        finish(streaming.changelog_sink(met, f"{folder}/met", mode="append"), folder)
+    return _zoneless(spark.read.parquet(f"{folder}/met").drop("_batch").where("coalesce(tx_id, '') <> '-1'"))
+
+
+def stream_interval_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a payment and a receipt near in time, and those of either kind that meet none."""
+    folder = scratch(spark)
+    with stream_settings(spark):
+        rows = ordered_events(spark, sf_dir, folder).select("event_id", "ts", "event_type", F.col("user_id").cast("string").alias("tx_id"))
+        pays, receipts = (rows.where(F.col("event_type").isin(kind, CLOSING)).drop("event_type") for kind in ("purchase", "click"))
+        met = streaming.stream_interval_join(pays, receipts, ["tx_id"], "ts", "ts", "3 hours", "5 hours", "fullOuter")
+        outcome = F.when(F.col("r_event_id").isNull(), "single_pay").when(F.col("l_event_id").isNull(), "single_receipt")
+        met = met.select(
+            F.coalesce("l_tx_id", "r_tx_id").alias("tx_id"), "l_event_id", "l_ts", "r_event_id", "r_ts", outcome.otherwise("matched").alias("outcome")
+        )
+        finish(streaming.changelog_sink(met, f"{folder}/met", mode="append"), folder)
+    return _zoneless(spark.read.parquet(f"{folder}/met").drop("_batch").where("tx_id <> '-1'"))
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests too late for every window as their stretch of arrivals is read, routed to a folder of their own."""
+    folder = scratch(spark)
+    rows = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").where("event_type = 'click'")
+    early = F.pmod("event_id", F.lit(10)) == 0
+    rows = rows.withColumn("ts", F.when(early, F.col("ts") - F.expr("interval 3 days")).otherwise(F.col("ts")))
+    low, high = rows.agg(F.min("event_id"), F.max("event_id")).first()
+    stretch = F.floor((F.col("event_id") - (low or 0)) * 8 / ((high or 0) - (low or 0) + 1))
+    with stream_settings(spark):
+        arriving = in_stretches(rows, stretch, folder, 8)
+
+        def counted(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{folder}/on_time/{batch_id}")
+
+        writer = streaming.route_late(
+            arriving, "ts", "3 seconds", "1 minute", "10 minutes", "5 seconds", counted, f"{folder}/late", f"{folder}/progress"
+        )
+        finish(writer, folder)
+    return _zoneless(spark.read.parquet(f"{folder}/late").select("event_id", "user_id", "ts"))
+
+
+def stream_fail_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three failures in direct succession within a day."""
+    folder = scratch(spark)
+    with stream_settings(spark):
+        failed = F.col("event_type") == "error"
+        pattern = Pattern.begin("fail", failed).times(3, consecutive=True).within("1 day")
+        found = streaming.stream_match(ordered_events(spark, sf_dir, folder), ["user_id"], "ts", "event_id", pattern)
+        finish(streaming.changelog_sink(found.where("outcome = 'matched'"), f"{folder}/found", mode="append"), folder)
+    return _zoneless(spark.read.parquet(f"{folder}/found").drop("_batch", "outcome", "at"))
+
+
+def stream_pattern_next_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view, a click right after it, and some later purchase."""
+    folder = scratch(spark)
+    with stream_settings(spark):
+        kind = F.col("event_type")
+        pattern = Pattern.begin("view", kind == "view").next("click", kind == "click").followed_by("purchase", kind == "purchase")
+        found = streaming.stream_match(ordered_events(spark, sf_dir, folder), ["user_id"], "ts", "event_id", pattern.within("2 days"))
+        finish(streaming.changelog_sink(found, f"{folder}/found", mode="append"), folder)
+    return _zoneless(spark.read.parquet(f"{folder}/found").drop("_batch"))
+
+
 def stream_click_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every click with its rank of the day and outcome, routed to a folder per outcome and read back."""
     folder = scratch(spark)
@@ -208,6 +297,11 @@ STREAM_QUERIES = {
         stream_order_outcomes,
         stream_fail_bursts,
         stream_reconcile,
+        stream_reconcile_nulls,
+        stream_interval_outer,
+        stream_late_rows,
+        stream_fail_triples,
+        stream_pattern_next_chain,
         stream_click_cap,
     )
 }
