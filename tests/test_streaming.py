@@ -218,3 +218,139 @@ def test_file_replay_and_topic_round_trip(spark, tmp_path):
     assert rows_of(spark.read.parquet(str(tmp_path / "topic")).select("key", "value")) == [
         ("1", '1,create,"",10'), ("1", "1,pay,tx,12"),
     ]
+
+
+def test_patterns_of_several_stages(replay):
+    kind = F.col("kind")
+    pattern = ops.Pattern.begin("x", kind == "a").next("y", kind == "a").followed_by("z", kind == "b").within("8 seconds")
+    for slice in (None, "8 seconds", "3 seconds"):
+        stream = streaming.stream_match(replay.stream(), ["key"], "ts", "seq", pattern, slice=slice)
+        same(replay.collect(stream, f"chain_{(slice or 'x')[0]}"), ops.match(replay.batch(), ["key"], "ts", "seq", pattern))
+    thrice = ops.Pattern.begin("x", kind == "a").times(3, consecutive=True).within("5 seconds")
+    stream = streaming.stream_match(replay.stream(), ["key"], "ts", "seq", thrice)
+    same(replay.collect(stream, "thrice"), ops.match(replay.batch(), ["key"], "ts", "seq", thrice))
+
+
+def test_a_hot_key_has_several_state_partitions(replay):
+    """Key 0 holds a third of all rows."""
+    pattern = ops.Pattern.begin("open", F.expr(A)).followed_by("close", F.expr(B)).within("6 seconds")
+    stream = streaming.stream_match(replay.stream(), ["key"], "ts", "seq", pattern, slice="6 seconds")
+    partitions = set()
+
+    def write(batch, batch_id):
+        partitions.update(r[0] for r in batch.where("key = 0").select(F.spark_partition_id()).distinct().collect())
+
+    replay.run(stream.writeStream.foreachBatch(write), "hot")
+    assert len(partitions) > 1
+
+
+def test_many_waiting_rows_lie_in_pieces(spark, tmp_path, monkeypatch):
+    """Bounds so small that rows are cut into pieces and queues into chunks."""
+    from tidemark.streaming import stateful
+
+    for name in ("FEW_ROWS", "PIECE_ROWS", "CHUNK_ROWS", "ARRIVING_ROWS"):
+        monkeypatch.setattr(stateful, name, 3)
+    replay = Replay(spark, tmp_path, random_events(5, 3, 20, ["a", "a", "b"], gap=2, hot=80))
+    a, b = replay.stream().where("kind <> 'b'"), replay.stream().where("kind <> 'a'")
+    stream = streaming.stream_reconcile(a, b, ["key"], "ts", "seq", "40 seconds", "30 seconds", delay="20 seconds")
+    batch = ops.reconcile(replay.batch().where(A), replay.batch().where(B), ["key"], "ts", "ts", "seq", "seq", "40 seconds", "30 seconds")
+    same(replay.collect(stream, "pieces"), batch)
+    stream = streaming.stream_followed_by(replay.stream(), ["key"], "ts", "seq", F.expr(A), F.expr(B), "9 seconds", delay="20 seconds")
+    pattern = ops.Pattern.begin("open", F.expr(A)).followed_by("close", F.expr(B)).within("9 seconds")
+    same(replay.collect(stream, "chunks"), ops.match(replay.batch(), ["key"], "ts", "seq", pattern))
+
+
+def test_incomplete_rows_fare_as_in_batch(spark, tmp_path):
+    events = random_events(7, 6, 20, ["a", "b"], gap=4)
+    replay = Replay(spark, tmp_path, events)
+    holes = {"key": F.when((F.col("seq") % 5 != 0) | (F.col("kind") == "flush"), F.col("key")), "ts": F.when((F.col("seq") % 7 != 0) | (F.col("kind") == "flush"), F.col("ts"))}
+    stream, batch = replay.stream().withColumns(holes), replay.batch().withColumns(holes)
+    met = streaming.stream_reconcile(stream.where("kind <> 'b'"), stream.where("kind <> 'a'"), ["key"], "ts", "seq", "5 seconds", "3 seconds")
+    want = ops.reconcile(batch.where(A), batch.where(B), ["key"], "ts", "ts", "seq", "seq", "5 seconds", "3 seconds")
+    replay.run(streaming.memory_sink(met, "holes"), "holes")
+    same(spark.table("holes").where("coalesce(key, 0) <> -1"), want)
+    capped = streaming.stream_cap_outcomes(stream, ["key"], "ts", "seq", 3, days=1)
+    replay.run(streaming.memory_sink(capped, "capped_holes"), "capped_holes")
+    got = spark.table("capped_holes").where("coalesce(key, 0) <> -1")
+    want = ops.cap_outcomes(batch, ["key"], "ts", "seq", 3)
+    same(got.where("ts is not null"), want.where("ts is not null").select("key", "ts", "seq", "day_rank", "outcome"))
+    # Without a time rows rank as they arrive; which of a batch's files comes first does not change the ranks given.
+    same(got.where("ts is null").select("key", "day_rank", "outcome"), want.where("ts is null").select("key", "day_rank", "outcome"))
+
+
+# Tables of batches
+
+
+def versions(spark, path, batches, fail_at=None):
+    """Upsert batches of (key, value); the expected table after each."""
+    from tidemark.streaming import store
+
+    table = {}
+    for number, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, "key bigint, value string")
+        store.upsert(df, path, ["key"], F.col("key") % 3, number)
+        table.update(dict(rows))
+        yield number, dict(table)
+
+
+BATCHES = [[(i, f"v{i}") for i in range(30)], [(1, "a"), (40, "b")], [], [(i, "c") for i in range(0, 30, 2)], [(None, "n")], [(41, "d"), (None, "m")], [(1, "e")]]
+
+
+def test_store_versions(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for number, want in versions(spark, path, BATCHES):
+        got = streaming.upserted(spark, path)
+        assert dict(got.collect()) == want
+        if number:
+            assert dict(streaming.upserted(spark, path, number - 1).collect()) == before
+        before = want
+
+
+def test_a_batch_that_died_is_repeated(spark, tmp_path, monkeypatch):
+    """The version before stays whole whatever part of the batch was done, and the repeated batch gives the same table."""
+    from tidemark.streaming import store
+
+    path = str(tmp_path / "table")
+    for number, want in versions(spark, path, BATCHES[:4]):
+        pass
+    fresh = spark.createDataFrame([(1, "z"), (99, "new")], "key bigint, value string")
+    for step in ("_write", "_merged", "_commit"):
+        with monkeypatch.context() as m:
+            m.setattr(store, step, lambda *args: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError, match="lost"):
+                store.MOST_DELTAS, kept = -1, store.MOST_DELTAS
+                try:
+                    store.upsert(fresh, path, ["key"], F.col("key") % 3, 4)
+                finally:
+                    store.MOST_DELTAS = kept
+        assert dict(streaming.upserted(spark, path).collect()) == want
+    for _ in range(2):
+        store.upsert(fresh, path, ["key"], F.col("key") % 3, 4)
+        assert dict(streaming.upserted(spark, path).collect()) == {**want, 1: "z", 99: "new"}
+
+
+def test_every_prefix_of_the_log_is_the_table(replay):
+    timed = streaming.event_time(replay.stream().where("key <> -1"), "ts", "63 seconds")
+    counts = timed.groupBy("key", F.window("ts", "1 minute").alias("w")).agg(F.count("*").alias("cnt"))
+    counts = counts.select("key", F.col("w.end").alias("window_end"), "cnt")
+    path, seen = str(replay.folder / "retract"), []
+    replay.run(streaming.retract_sink(counts, path, ["key", "window_end"], F.lit("all")), "retract")
+    log = streaming.retractions(replay.spark, path)
+    batches = sorted(r[0] for r in log.select("_batch").distinct().collect())
+    rows = replay.events
+    size = -(-len(rows) // 3)
+    for number in batches:
+        seen = rows[: size * (number + 1)]
+        want = ops.tumbling(frame(replay.spark, seen, COLUMNS), "ts", "1 minute", ["key"]).select("key", "window_end", "cnt")
+        same(streaming.net(log.where(F.col("_batch") <= number)), want)
+    kinds = {r[0] for r in log.select("change").distinct().collect()}
+    assert kinds == {"insert", "update_before", "update_after"}
+
+
+def test_changes_of_two_tables(spark):
+    before = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (4, None)], "k bigint, v string")
+    after = spark.createDataFrame([(1, "a"), (2, "x"), (None, "d"), (5, None)], "k bigint, v string")
+    assert rows_of(streaming.changes(before, after, ["k"])) == sorted(
+        [("update_before", 2, "b"), ("update_after", 2, "x"), ("update_before", None, "c"), ("update_after", None, "d"), ("delete", 4, None), ("insert", 5, None)],
+        key=repr,
+    )

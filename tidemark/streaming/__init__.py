@@ -1,10 +1,14 @@
 from tidemark.streaming.sinks import (
     changelog_sink,
+    changes,
     console_sink,
     corrected_ranked_sink,
     latest,
     memory_sink,
+    net,
     ranked_sink,
+    retract_sink,
+    retractions,
     route_late,
     routed_sink,
     upsert_sink,
@@ -22,12 +26,16 @@ from tidemark.streaming.windows import event_time, stream_counts, stream_interva
 
 __all__ = [
     "changelog_sink",
+    "changes",
     "console_sink",
     "corrected_ranked_sink",
     "event_time",
     "latest",
     "memory_sink",
+    "net",
     "ranked_sink",
+    "retract_sink",
+    "retractions",
     "route_late",
     "routed_sink",
     "stream_cap_outcomes",

@@ -6,12 +6,12 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.functions.clock import Span, floor_div, micros, span_us
 from tidemark.operators.lateness import LAST_INSTANT_US
 from tidemark.operators.ranking import top_n
+from tidemark.streaming import store
 
 BATCH = "_batch"
 
@@ -52,7 +52,7 @@ def changelog_sink(stream: DataFrame, path: str, mode: str = "update") -> DataSt
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch_id == 0 and _exists(batch.sparkSession, f"{path}/{BATCH}=1"):
+        if batch_id == 0 and store.exists(batch.sparkSession, f"{path}/{BATCH}=1"):
             raise ValueError(f"{path} holds the changes of an earlier stream; take a new folder for a new checkpoint")
         _append_batch(batch, path, batch_id)
 
@@ -70,59 +70,94 @@ def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
 def upsert_sink(
     stream: DataFrame, path: str, keys: Sequence[str], bucket: Column, mode: str = "update"
 ) -> DataStreamWriter:
-    """Keep one row per key in a table of buckets: each batch replaces its rows in the buckets it touches.
+    """Keep one row per key in a ``store`` table; ``bucket`` cuts it into folders, e.g. by days of the window.
 
-    ``bucket`` cuts the table, e.g. by days of the window; a batch reads and rewrites touched buckets only, so the table
-    never holds more than the current rows. A repeated batch gives the same table. Read it with ``upserted``.
+    Read it with ``upserted``, now or as it was after an earlier batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, path, keys, bucket, batch_id)
+        store.upsert(batch, path, keys, bucket, batch_id)
 
     return stream.writeStream.outputMode(mode).foreachBatch(write)
 
 
-def upsert(batch: DataFrame, path: str, keys: Sequence[str], bucket: Column, batch_id: int) -> None:
-    spark = batch.sparkSession
-    staged = f"{path}/staged/{batch_id % 2}"
-    fresh = batch.withColumns({"_bucket": bucket.cast("string"), "_new": F.lit(True)}).persist()
-    try:
-        touched = [r[0] for r in fresh.select("_bucket").distinct().toLocalIterator()]
-        if not touched:
-            return
-        schema = T.StructType([f for f in fresh.schema if f.name != "_new"])
-        both = fresh
-        if batch_id and _exists(spark, f"{path}/table"):
-            table = spark.read.schema(schema).option("basePath", f"{path}/table").parquet(f"{path}/table")
-            both = fresh.unionByName(table.where(F.col("_bucket").isin(touched)).withColumn("_new", F.lit(False)))
-        values = [c for c in batch.columns if c not in keys]
-        newest = both.groupBy(*keys, "_bucket").agg(F.max_by(F.struct(*values), "_new").alias("_row"))
-        newest.select(*keys, "_row.*", "_bucket").write.mode("overwrite").parquet(staged)
-        spark.read.schema(schema).parquet(staged).repartition("_bucket").write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic" if batch_id else "static"
-        ).partitionBy("_bucket").parquet(f"{path}/table")
-    finally:
-        fresh.unpersist()
+def upserted(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The current rows of an ``upsert_sink``, or those after batch ``version`` if that is one of the last two."""
+    return store.rows(spark, path, version).drop(store.BUCKET)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def retract_sink(
+    stream: DataFrame, path: str, keys: Sequence[str], bucket: Column, mode: str = "update"
+) -> DataStreamWriter:
+    """An ``upsert_sink`` to ``path/table`` that also logs what each batch changed in ``path/log``.
+
+    The log holds ``changes`` of each batch: a new row, or the old row taken back and the new one. Read it with
+    ``retractions``; ``net`` of any prefix of it is the table after that batch.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            before = store.rows(batch.sparkSession, f"{path}/table", batch_id - 1, kept, bucket)
+            here = kept.select(*keys)
+            before = None if before is None else before.drop(store.BUCKET).join(here, list(keys), "left_semi")
+            _append_batch(changes(before, kept, keys), f"{path}/log", batch_id)
+            store.upsert(kept, f"{path}/table", keys, bucket, batch_id)
+        finally:
+            kept.unpersist()
+
+    return stream.writeStream.outputMode(mode).foreachBatch(write)
 
 
-def upserted(spark: SparkSession, path: str) -> DataFrame:
-    """The current rows of an ``upsert_sink``."""
-    return spark.read.parquet(f"{path}/table").drop("_bucket")
+INSERT, BEFORE, AFTER, DELETE = "insert", "update_before", "update_after", "delete"
+
+
+def changes(before: DataFrame | None, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What turns the rows ``before`` into the rows ``after``, one per key in each: rows with ``change``.
+
+    ``insert`` and ``delete`` come alone; a row with other values comes as ``update_before`` (its old values, taken back) and
+    ``update_after``. Equal rows give nothing. Null keys are keys.
+    """
+    if before is None:
+        return after.select(F.lit(INSERT).alias("change"), *after.columns)
+    sides = [
+        side.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.struct(*after.columns).alias(name))
+        for side, name in ((before, "_old"), (after, "_new"))
+    ]
+    same = F.lit(True)
+    for i in range(len(keys)):
+        same = same & sides[0][f"_key{i}"].eqNullSafe(sides[1][f"_key{i}"])
+    both = sides[0].join(sides[1], same, "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
+    old, new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    pair = F.array(
+        F.when(old, F.struct(F.when(new, BEFORE).otherwise(DELETE).alias("change"), F.col("_old").alias("row"))),
+        F.when(new, F.struct(F.when(old, AFTER).otherwise(INSERT).alias("change"), F.col("_new").alias("row"))),
+    )
+    return both.select(F.explode(F.filter(pair, lambda x: x.isNotNull())).alias("c")).select("c.change", "c.row.*")
+
+
+def retractions(spark: SparkSession, path: str) -> DataFrame:
+    """The log of a ``retract_sink``, with its batches."""
+    return spark.read.parquet(f"{path}/log")
+
+
+def net(log: DataFrame) -> DataFrame:
+    """The rows that stand after a log, or a prefix of it: those put in and not taken back."""
+    columns = [c for c in log.columns if c not in ("change", BATCH)]
+    sign = F.when(F.col("change").isin(INSERT, AFTER), 1).otherwise(-1)
+    # Update pairs cancel in the map tasks.
+    return log.groupBy(*columns).agg(F.sum(sign).alias("_standing")).where("_standing > 0").drop("_standing")
 
 
 def corrected_ranked_sink(
-    counts: DataFrame, n: int, keys: Sequence[str], path: str, width: Span = "1 day"
+    counts: DataFrame, n: int, keys: Sequence[str], path: str, width: Span = "1 day", log: bool = False
 ) -> DataStreamWriter:
     """The top ``n`` of every window, early and then corrected as late rows raise counts.
 
     ``counts`` has ``window_end``, ``cnt`` and the keys, and is in update mode. Counts are kept in ``path/counts``, in
     buckets of ``width`` of the window's end; each batch ranks anew the windows it changed and replaces their rows in
-    ``path/top``. Read with ``upserted(spark, f"{path}/top")``.
+    ``path/top``. Read with ``upserted(spark, f"{path}/top")``; with ``log``, every change of a rank is also a row of
+    ``retractions(spark, path)``.
     """
     window = ["window_end"]
 
@@ -131,14 +166,22 @@ def corrected_ranked_sink(
         bucket = floor_div(micros(batch, "window_end"), span_us(width))
         kept = batch.persist()
         try:
-            upsert(kept, f"{path}/counts", [*window, *keys], bucket, batch_id)
-            if not _exists(spark, f"{path}/counts/table"):
-                return
-            changed = kept.select(*window, bucket.cast("string").alias("_bucket")).distinct()
+            store.upsert(kept, f"{path}/counts", [*window, *keys], bucket, batch_id)
+            changed = kept.select(*window, bucket.cast("string").alias(store.BUCKET)).distinct()
             # The bucket is the table's folder: only touched folders are read.
-            current = spark.read.parquet(f"{path}/counts/table").withColumn("_bucket", F.col("_bucket").cast("string"))
-            ranked = top_n(current.join(changed, ["_bucket", *window], "left_semi").drop("_bucket"), n, keys)
-            upsert(ranked, f"{path}/top", [*window, "row_num"], bucket, batch_id)
+            current = store.rows(spark, f"{path}/counts", batch_id)
+            if current is None:
+                return
+            ranked = top_n(current.join(changed, [store.BUCKET, *window], "left_semi").drop(store.BUCKET), n, keys).persist()
+            try:
+                if log:
+                    before = store.rows(spark, f"{path}/top", batch_id - 1)
+                    if before is not None:
+                        before = before.join(changed, [store.BUCKET, *window], "left_semi").select(*ranked.columns)
+                    _append_batch(changes(before, ranked, [*window, "row_num"]), f"{path}/log", batch_id)
+                store.upsert(ranked, f"{path}/top", [*window, "row_num"], bucket, batch_id)
+            finally:
+                ranked.unpersist()
         finally:
             kept.unpersist()
 

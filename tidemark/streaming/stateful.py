@@ -29,7 +29,6 @@ from tidemark.functions.clock import DAY_US, Span, floor_div, micros, span_us
 from tidemark.operators.capping import DROP, PASS, WARN
 from tidemark.operators.pairing import LEFT_ONLY, PAIRED, RIGHT_ONLY
 from tidemark.operators.sequences import MATCHED, TIMEOUT, Pattern
-from tidemark.operators.slices import slice_width
 from tidemark.streaming.windows import event_time
 
 Output = tuple
@@ -463,13 +462,14 @@ def stream_match(
     """``match`` of any ``Pattern`` over a stream, timeouts included.
 
     State is keyed by (key, time slice); a row is also seen by the earlier slices in which a match that it may continue can
-    have begun. ``slice`` is their width, as for ``match``.
+    have begun. ``slice`` is their width, 16 times the pattern's time if not given: narrower slices spread a hot key
+    further and copy more rows.
     """
     if pattern.span is None:
         raise ValueError("close the pattern with within(...)")
     stages = pattern.steps()
     span = span_us(pattern.span)
-    width = slice_width(span, slice)
+    width = span_us(slice) if slice is not None else 16 * span
     met = F.lit(0)
     for number, stage in enumerate(stages):
         met = met + F.when(F.coalesce(stage.condition, F.lit(False)), 1 << number).otherwise(0)
@@ -558,15 +558,16 @@ def stream_cap_outcomes(
     cap: int,
     utc_offset: Span = "8 hours",
     delay: Span = "1 millisecond",
+    days: int = 16,
 ) -> DataFrame:
     """``cap_outcomes`` over a stream: each event's rank of the day and whether it passes.
 
-    State is keyed by (key, local day). Rows without a time rank on a day of their own as they arrive, and are answered at
-    once.
+    State is keyed by (key, stretch of ``days`` local days); one day spreads a hot key furthest. Rows without a time rank on
+    a day of their own as they arrive, and are answered at once.
     """
     offset = span_us(utc_offset)
-    day = F.array(F.struct(floor_div(F.col("_us") + offset, DAY_US).alias("slice"), F.lit(0).alias("kind")))
-    out = _replayed(stream, keys, ts, seq, F.lit(0), DailyCap(cap, offset), delay, day, untimed=True)
+    slices = F.array(F.struct(floor_div(F.col("_us") + offset, days * DAY_US).alias("slice"), F.lit(0).alias("kind")))
+    out = _replayed(stream, keys, ts, seq, F.lit(0), DailyCap(cap, offset), delay, slices, untimed=True)
     return out.select(
         *keys, _time("a_us").alias(ts), F.col("a_seq").alias(seq), F.col("n").alias("day_rank"), "outcome"
     )

@@ -316,6 +316,8 @@ reached AS (
 SELECT event_id, user_id, ts FROM requests JOIN reached USING (stretch)
 WHERE epoch_us(ts) // {5 * SECOND} * {5 * SECOND} + {10 * MINUTE} - 1000 + {MINUTE} <= wm"""
 
+HOURLY_TOP = f"WITH {BEHAVIOR} " + top(windows("behavior", "item_id", HOUR, HOUR, "behavior = 'pv'"), "item_id", 5)
+
 ORACLES: dict[str, str] = {
     "item_view_counts": f"WITH {BEHAVIOR} " + windows("behavior", "item_id", HOUR, 5 * MINUTE, "behavior = 'pv'"),
     "hot_items_topn": f"WITH {BEHAVIOR} {HOT_ITEMS}",
@@ -418,8 +420,8 @@ FROM events""",
     "stream_page_views": hourly("count(*)"),
     "stream_order_outcomes": PAY_OUTCOMES,
     "stream_fail_bursts": BURSTS,
-    "stream_hot_items_corrected": f"WITH {BEHAVIOR} "
-    + top(windows("behavior", "item_id", HOUR, HOUR, "behavior = 'pv'"), "item_id", 5),
+    "stream_hot_items_corrected": HOURLY_TOP,
+    "stream_hot_items_retract": HOURLY_TOP,
     "stream_visitors": hourly("count(DISTINCT user_id)"),
     "stream_order_pay": PAY_PATTERN,
     "stream_reconcile": RECONCILE,

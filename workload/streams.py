@@ -151,8 +151,7 @@ def stream_fail_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(spark.read.parquet(f"{folder}/bursts").drop("_batch"))
 
 
-def stream_hot_items_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hot items ranked early and corrected as the counts grow; the final table."""
+def _hot_items_corrected(spark: SparkSession, sf_dir: str, log: bool) -> str:
     folder = scratch(spark)
     with stream_settings(spark):
         item = F.get_json_object("props", "$.k").cast("bigint")
@@ -160,10 +159,23 @@ def stream_hot_items_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
         timed = streaming.event_time(views, "ts", "63 seconds")
         counts = timed.groupBy("item_id", F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("cnt"))
         counts = counts.select("item_id", F.col("w.end").alias("window_end"), "cnt")
-        finish(streaming.corrected_ranked_sink(counts, 5, ["item_id"], folder, "7 days"), folder)
+        finish(streaming.corrected_ranked_sink(counts, 5, ["item_id"], folder, "7 days", log=log), folder)
+    return folder
+
+
+def stream_hot_items_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hot items ranked early and corrected as the counts grow; the final table."""
+    folder = _hot_items_corrected(spark, sf_dir, log=False)
     return _zoneless(streaming.upserted(spark, f"{folder}/top").select("item_id", "window_end", "cnt", "row_num"))
 
 
+def stream_hot_items_retract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hot items from the log of their changes: what was put in and not taken back."""
+    folder = _hot_items_corrected(spark, sf_dir, log=True)
+    standing = streaming.net(streaming.retractions(spark, folder))
+    return _zoneless(standing.select("item_id", "window_end", "cnt", "row_num"))
+
+
 def stream_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct visitors per hour."""
     folder = scratch(spark)
@@ -291,6 +303,7 @@ STREAM_QUERIES = {
     for f in (
         stream_hot_items,
         stream_hot_items_corrected,
+        stream_hot_items_retract,
         stream_page_views,
         stream_visitors,
         stream_order_pay,
