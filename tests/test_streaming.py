@@ -354,3 +354,19 @@ def test_changes_of_two_tables(spark):
         [("update_before", 2, "b"), ("update_after", 2, "x"), ("update_before", None, "c"), ("update_after", None, "d"), ("delete", 4, None), ("insert", 5, None)],
         key=repr,
     )
+
+
+def test_windows_answer_early_and_are_corrected(spark, tmp_path):
+    rows = [(0, 1, "a", START), (1, 1, "a", START + 1), (2, 1, "a", START + 30)]
+    late = [[(3, 1, "a", START + 2), (4, 1, "a", START + 40)], [(5, 1, "a", START + 3), (6, 1, "a", START + 90)], [(7, 1, "a", START + 4)]]
+    replay = Replay(spark, tmp_path, rows, files=1)
+    os.remove(tmp_path / "events" / "part-1.parquet")
+    for number, chunk in enumerate([*late, [(1 << 40, -1, "flush", FAR)]]):
+        target = tmp_path / "events" / f"part-9{number}.parquet"
+        frame(spark, chunk, COLUMNS).toPandas().to_parquet(target, coerce_timestamps="us", index=False)
+        os.utime(target, (1_000_010 + number, 1_000_010 + number))
+    answers = streaming.stream_counts_corrected(replay.stream(), "ts", "10 seconds", None, ["key"], "2 seconds", "40 seconds")
+    path = str(tmp_path / "answers")
+    replay.run(streaming.changelog_sink(answers, path, mode="append"), "answers")
+    found = spark.read.parquet(path).where("key = 1 and window_start = timestamp_seconds(%d)" % START).orderBy("_batch", "cnt")
+    assert [(r.answer, r.cnt) for r in found.collect()] == [("first", 2), ("corrected", 3), ("corrected", 4), ("late", 1)]

@@ -1,3 +1,4 @@
+from tidemark.streaming.corrected import stream_counts_corrected
 from tidemark.streaming.sinks import (
     changelog_sink,
     changes,
@@ -40,6 +41,7 @@ __all__ = [
     "routed_sink",
     "stream_cap_outcomes",
     "stream_counts",
+    "stream_counts_corrected",
     "stream_failure_bursts",
     "stream_followed_by",
     "stream_interval_join",

@@ -301,7 +301,7 @@ SELECT coalesce(l.tx_id, r.tx_id) AS tx_id, l.event_id AS l_event_id, l.ts AS l_
 FROM pays l FULL JOIN receipts r ON {NEAR}"""
 
 # Eight stretches of arrivals by number; the watermark of a stretch comes from those before it.
-LATE_BY_STRETCH = f"""
+STRETCHES = f"""
 WITH clicks AS (
   SELECT event_id, user_id, CASE WHEN event_id % 10 = 0 THEN ts - INTERVAL 3 DAY ELSE ts END AS ts FROM events WHERE event_type = 'click'
 ),
@@ -312,7 +312,23 @@ reached AS (
   SELECT stretch, max(max(epoch_us(ts))) OVER (ORDER BY stretch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
                   - {3 * SECOND} AS wm
   FROM requests GROUP BY stretch
-)
+)"""
+
+# A window answers when a watermark passes its end, and again for every later stretch with rows for it.
+CORRECTED = f"""
+{STRETCHES},
+entered AS (
+  SELECT user_id % 5 AS part, stretch, coalesce(wm, 0) AS wm, unnest(range((epoch_us(ts) - {DAY}) // {12 * HOUR} + 1, epoch_us(ts) // {12 * HOUR} + 1)) AS i
+  FROM requests JOIN reached USING (stretch)
+),
+timed AS (SELECT *, i * {12 * HOUR} + {DAY} - 1000 AS closes FROM entered),
+judged AS (SELECT *, closes + {2 * DAY} <= wm AS too_late, closes <= wm AS closed FROM timed)
+SELECT part, make_timestamp(i * {12 * HOUR} + {DAY}) AS window_end, nullif(count(*) FILTER (WHERE NOT too_late), 0) AS cnt,
+       count(DISTINCT stretch) FILTER (WHERE closed AND NOT too_late) + max(CASE WHEN NOT closed THEN 1 ELSE 0 END) AS answers,
+       count(*) FILTER (WHERE too_late) AS late
+FROM judged GROUP BY part, i"""
+LATE_BY_STRETCH = f"""
+{STRETCHES}
 SELECT event_id, user_id, ts FROM requests JOIN reached USING (stretch)
 WHERE epoch_us(ts) // {5 * SECOND} * {5 * SECOND} + {10 * MINUTE} - 1000 + {MINUTE} <= wm"""
 
@@ -428,6 +444,7 @@ FROM events""",
     "stream_reconcile_nulls": RECONCILE_PATCHY,
     "stream_interval_outer": INTERVAL_OUTER,
     "stream_late_rows": LATE_BY_STRETCH,
+    "stream_windows_corrected": CORRECTED,
     "stream_fail_triples": TRIPLE_PATTERN,
     "stream_pattern_next_chain": NEXT_CHAIN,
     "stream_click_cap": f"""

@@ -241,27 +241,51 @@ def stream_interval_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(spark.read.parquet(f"{folder}/met").drop("_batch").where("tx_id <> '-1'"))
 
 
-def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests too late for every window as their stretch of arrivals is read, routed to a folder of their own."""
-    folder = scratch(spark)
+def _clicks_by_arrival(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Clicks in eight stretches of arrivals; every tenth happened three days before its neighbours."""
     rows = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").where("event_type = 'click'")
     early = F.pmod("event_id", F.lit(10)) == 0
     rows = rows.withColumn("ts", F.when(early, F.col("ts") - F.expr("interval 3 days")).otherwise(F.col("ts")))
     low, high = rows.agg(F.min("event_id"), F.max("event_id")).first()
     stretch = F.floor((F.col("event_id") - (low or 0)) * 8 / ((high or 0) - (low or 0) + 1))
+    return in_stretches(rows, stretch, folder, 8)
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests too late for every window as their stretch of arrivals is read, routed to a folder of their own."""
+    folder = scratch(spark)
     with stream_settings(spark):
-        arriving = in_stretches(rows, stretch, folder, 8)
 
         def counted(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").parquet(f"{folder}/on_time/{batch_id}")
 
         writer = streaming.route_late(
-            arriving, "ts", "3 seconds", "1 minute", "10 minutes", "5 seconds", counted, f"{folder}/late", f"{folder}/progress"
+            _clicks_by_arrival(spark, sf_dir, folder), "ts", "3 seconds", "1 minute", "10 minutes", "5 seconds",
+            counted, f"{folder}/late", f"{folder}/progress",
         )
         finish(writer, folder)
     return _zoneless(spark.read.parquet(f"{folder}/late").select("event_id", "user_id", "ts"))
 
 
+def stream_windows_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks per day and sliding half day: the last answer of each window, how many it gave, and its clicks too late."""
+    folder = scratch(spark)
+    with stream_settings(spark):
+        clicks = _clicks_by_arrival(spark, sf_dir, folder)
+        kinds = clicks.withColumn("part", F.pmod("user_id", F.lit(5)))
+        answers = streaming.stream_counts_corrected(kinds, "ts", "1 day", "12 hours", ["part"], "3 seconds", "2 days")
+        finish(streaming.changelog_sink(answers, f"{folder}/answers", mode="append"), folder)
+    late = F.col("answer") == "late"
+    rows = spark.read.parquet(f"{folder}/answers").where("window_start < timestamp'2099-01-01'").groupBy("part", "window_end")
+    return _zoneless(
+        rows.agg(
+            F.max(F.when(~late, F.col("cnt"))).alias("cnt"),
+            F.count(F.when(~late, 1)).alias("answers"),
+            F.coalesce(F.sum(F.when(late, F.col("cnt"))), F.lit(0)).alias("late"),
+        )
+    )
+
+
 def stream_fail_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three failures in direct succession within a day."""
     folder = scratch(spark)
@@ -313,6 +337,7 @@ STREAM_QUERIES = {
         stream_reconcile_nulls,
         stream_interval_outer,
         stream_late_rows,
+        stream_windows_corrected,
         stream_fail_triples,
         stream_pattern_next_chain,
         stream_click_cap,
