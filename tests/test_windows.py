@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.support import START, at, expect, frame, random_events, rows_of
+from tidemark import operators as ops
 from tidemark.operators import ranking_report, sliding_counts, sliding_direct, sliding_merge, top_n, top_n_sql, tumbling
 
 EVENTS = random_events(1, 6, 60, ["a", "b"], gap=400, hot=400)
@@ -86,3 +87,18 @@ def test_top_n_is_limited_before_the_shuffle(events):
     plan = top_n(sliding_counts(events, "ts", "60 seconds", "5 seconds", ["key"]), 3, ["key"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize(("size", "slide"), [("20 seconds", "5 seconds"), ("7 seconds", "3 seconds"), ("4 seconds", "4 seconds"), ("10 seconds", "4 seconds")])
+def test_two_merges_give_every_window(spark, size, slide):
+    df = frame(spark, random_events(3, 4, 40, ["a"], gap=23, hot=50), "seq bigint, key bigint, kind string, ts timestamp_ntz")
+    partials = {"low": F.min("seq"), "high": F.max("seq"), "n": F.count("*")}
+    merges = {"low": F.min, "high": F.max, "n": F.sum}
+    got = ops.sliding_aggregate(df, "ts", size, slide, ["key"], partials, merges)
+    want = ops.sliding_merge(
+        df, "ts", size, slide, ["key"], [c.alias(f"_{n}") for n, c in partials.items()], [merges[n](f"_{n}").alias(n) for n in merges]
+    )
+    assert rows_of(got) == rows_of(want)
+    early, late = df.where("seq % 2 = 0"), df.where("seq % 2 = 1")
+    stored = [ops.pane_values(part, "ts", size, slide, ["key"], partials) for part in (early, late)]
+    assert rows_of(ops.windows_of_panes(stored[0].unionByName(stored[1]), size, slide, ["key"], merges)) == rows_of(want)

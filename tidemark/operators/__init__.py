@@ -19,7 +19,15 @@ from tidemark.operators.sequences import (
     open_close_outcomes,
 )
 from tidemark.operators.slices import fitting_width
-from tidemark.operators.windows import sliding_counts, sliding_direct, sliding_merge, tumbling
+from tidemark.operators.windows import (
+    pane_values,
+    sliding_aggregate,
+    sliding_counts,
+    sliding_direct,
+    sliding_merge,
+    tumbling,
+    windows_of_panes,
+)
 
 __all__ = [
     "Pattern",
@@ -42,10 +50,13 @@ __all__ = [
     "reconcile",
     "running_visitors",
     "salted_counts",
+    "pane_values",
+    "sliding_aggregate",
     "sliding_counts",
     "sliding_counts_with_lateness",
     "sliding_direct",
     "sliding_merge",
+    "windows_of_panes",
     "top_n",
     "top_n_sql",
     "tumbling",

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.clock import Span, floor_div, from_micros, micros, span_us
 
 COUNT = "cnt"
+PANE = "_pane"
 
 
 def tumbling(
@@ -161,3 +164,87 @@ def sliding_merge(
         from_micros(F.col("_i") * slide_us + size_us, kind).alias("window_end"),
         *results,
     )
+
+
+def pane_values(
+    df: DataFrame, ts: str, size: Span, slide: Span, keys: Sequence[str], partials: Mapping[str, Column]
+) -> DataFrame:
+    """``partials`` per key and pane: the stretches of which every window of ``size`` and ``slide`` is made up.
+
+    The frame can be written and read again: ``windows_of_panes`` turns it, or the union of several, into windows. Rows
+    without a time belong to no pane.
+    """
+    pane = floor_div(micros(df, ts), gcd(span_us(size), span_us(slide)))
+    timed = df.withColumn(PANE, pane).where(F.col(PANE).isNotNull())
+    return timed.groupBy(*keys, PANE).agg(*[value.alias(name) for name, value in partials.items()])
+
+
+def windows_of_panes(
+    panes: DataFrame,
+    size: Span,
+    slide: Span,
+    keys: Sequence[str],
+    merges: Mapping[str, Callable[[str], Column]],
+    like: T.DataType | None = None,
+) -> DataFrame:
+    """Sliding windows from ``pane_values`` at two merges a window, whatever the overlap.
+
+    ``merges`` names for each value the aggregate that combines it (``F.min``, ``F.hll_union_agg``); it need not be one
+    that can be taken back. Panes are cut into blocks as long as a window. A window is the end of one block and the
+    beginning of the next, so the running merges of each block, backwards and forwards, give every window as two values.
+    Windows per (key, block) are of at most one block of panes. Several rows of a pane are merged. Times have type ``like``
+    (zone-less if not given).
+    """
+    keys = list(keys)
+    size_us, slide_us = span_us(size), span_us(slide)
+    pane_us = gcd(size_us, slide_us)
+    wide, step = size_us // pane_us, slide_us // pane_us
+    names = list(merges)
+    single = panes.groupBy(*keys, PANE).agg(*[merge(name).alias(name) for name, merge in merges.items()])
+    start = floor_div(F.col(PANE), wide) * wide
+    blocks = single.withColumn("_start", start)
+    by = Window.partitionBy(*keys, "_start")
+    forwards = by.orderBy(PANE)
+    toward, back = (w.rowsBetween(Window.unboundedPreceding, 0) for w in (forwards, by.orderBy(F.desc(PANE))))
+    blocks = blocks.withColumns(
+        {f"_ahead{i}": merges[name](name).over(back) for i, name in enumerate(names)}
+        | {f"_behind{i}": merges[name](name).over(toward) for i, name in enumerate(names)}
+        | {"_earlier": F.lag(PANE).over(forwards), "_later": F.lead(PANE).over(forwards)}
+    )
+    # The merge from a pane to its block's end serves the windows that begin at it or in the empty panes before it. The merge
+    # from a block's start to a pane serves those that end there or before the next pane, but for the block itself.
+    ending = F.struct(
+        F.coalesce(F.col("_earlier") + 1, F.col("_start")).alias("_low"), F.col(PANE).alias("_high"),
+        *[F.col(f"_ahead{i}").alias(name) for i, name in enumerate(names)],
+    )
+    beginning = F.struct(
+        (F.col(PANE) - wide + 1).alias("_low"),
+        (F.least(F.coalesce(F.col("_later") - 1, F.col("_start") + wide), F.col("_start") + (wide - 2)) - wide + 1).alias("_high"),
+        *[F.col(f"_behind{i}").alias(name) for i, name in enumerate(names)],
+    )
+    halves = blocks.select(*keys, F.inline(F.array(ending, beginning))).where("_low <= _high")
+    first = -floor_div(-F.col("_low"), step)
+    served = halves.withColumns({"_first": first, "_last": floor_div(F.col("_high"), step)}).where("_first <= _last")
+    windows = served.select(*keys, *names, F.explode(F.sequence("_first", "_last")).alias("_i"))
+    merged = windows.groupBy(*keys, "_i").agg(*[merge(name).alias(name) for name, merge in merges.items()])
+    kind = like or T.TimestampNTZType()
+    return merged.select(
+        *keys,
+        from_micros(F.col("_i") * slide_us, kind).alias("window_start"),
+        from_micros(F.col("_i") * slide_us + size_us, kind).alias("window_end"),
+        *names,
+    )
+
+
+def sliding_aggregate(
+    df: DataFrame,
+    ts: str,
+    size: Span,
+    slide: Span,
+    keys: Sequence[str],
+    partials: Mapping[str, Column],
+    merges: Mapping[str, Callable[[str], Column]],
+) -> DataFrame:
+    """``windows_of_panes`` of ``pane_values``: any mergeable aggregate over sliding windows at a fixed cost a window."""
+    panes = pane_values(df, ts, size, slide, keys, partials)
+    return windows_of_panes(panes, size, slide, keys, merges, df.schema[ts].dataType)

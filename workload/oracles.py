@@ -375,6 +375,20 @@ FROM arrived""",
 SELECT event_type, make_timestamp(i * {HOUR} + {DAY}) AS window_end, min(value) AS low, max(value) AS high, count(value) AS n
 FROM (SELECT event_type, value, unnest(range((epoch_us(ts) - {DAY}) // {HOUR} + 1, epoch_us(ts) // {HOUR} + 1)) AS i FROM events)
 GROUP BY event_type, i""",
+    "value_range_fine": f"""
+SELECT event_type, make_timestamp(i * {5 * SECOND} + {HOUR}) AS window_end, min(value) AS low, max(value) AS high, count(value) AS n
+FROM (
+  SELECT event_type, value, unnest(range((epoch_us(ts) - {HOUR}) // {5 * SECOND} + 1, epoch_us(ts) // {5 * SECOND} + 1)) AS i
+  FROM events
+)
+GROUP BY event_type, i""",
+    "uv_sliding_sketch": f"""
+SELECT make_timestamp(i * {HOUR} + {DAY}) AS window_end, count(DISTINCT user_id) AS cnt, TRUE AS near
+FROM (
+  SELECT user_id, unnest(range((epoch_us(ts) - {DAY}) // {HOUR} + 1, epoch_us(ts) // {HOUR} + 1)) AS i
+  FROM events WHERE event_type = 'view'
+)
+GROUP BY i""",
     "uv_running": running("user_id"),
     "uv_running_hashed": running(HASH),
     "marketing_by_channel": """

@@ -13,7 +13,7 @@ from tidemark.functions import poly_hash
 from tidemark.sources import parse_access_log, parse_lines
 from tidemark.sources.lines import as_messages
 from workload import roles
-from workload.streams import STREAM_QUERIES
+from workload.streams import STREAM_QUERIES, scratch
 
 #: Sequence numbers per chunk in the lateness queries, so that even small tables have many chunks.
 CHUNK = 100
@@ -108,6 +108,33 @@ def value_range_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.drop("window_start")
 
 
+def value_range_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smallest, largest and number of values per event type in hours that slide by five seconds: two merges a window."""
+    found = ops.sliding_aggregate(
+        roles.events(spark, sf_dir), "ts", "1 hour", "5 seconds", ["event_type"],
+        {"low": F.min("value"), "high": F.max("value"), "n": F.count("value")}, {"low": F.min, "high": F.max, "n": F.sum},
+    )
+    return found.drop("window_start")
+
+
+def uv_sliding_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visitors of days that slide by the hour, from hourly sketches written and read again: exact count, and whether the
+    estimate lies within five hundredths (or one) of it."""
+    views = roles.behavior(spark, sf_dir).where(F.col("behavior") == "pv")
+    folder = scratch(spark)
+    ops.pane_values(views, "ts", "1 day", "1 hour", [], {"sketch": F.hll_sketch_agg("user_id", F.lit(14))}).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    merged = ops.windows_of_panes(stored, "1 day", "1 hour", [], {"sketch": F.hll_union_agg})
+    estimated = merged.select("window_end", F.hll_sketch_estimate("sketch").alias("estimate"))
+    # The exact count, to compare with: users once per pane, then per window.
+    sets = ops.sliding_merge(
+        views, "ts", "1 day", "1 hour", ["user_id"], [F.count("*").alias("_n")], [F.sum("_n").alias("_n")]
+    )
+    exact = sets.groupBy("window_end").agg(F.count("*").alias("cnt"))
+    near = F.abs(F.col("estimate") - F.col("cnt")) <= F.greatest(F.lit(1.0), 0.05 * F.col("cnt"))
+    return exact.join(estimated, "window_end").select("window_end", "cnt", near.alias("near"))
+
+
 def marketing_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.channel_behavior_counts(roles.marketing(spark, sf_dir), excluded="signup")
 
@@ -257,6 +284,8 @@ QUERIES: dict[str, Query] = {
         uv_bitmap,
         uv_approx,
         value_range_sliding,
+        value_range_fine,
+        uv_sliding_sketch,
         uv_running,
         uv_running_hashed,
         marketing_by_channel,
