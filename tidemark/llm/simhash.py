@@ -117,9 +117,15 @@ def close_components(nodes: DataFrame, value: str) -> DataFrame:
     for round_ in range(LEADER_ROUNDS):
         order = F.xxhash64("value", F.lit(round_))
         leaders = members.groupBy("posting").agg(F.min_by("value", order).alias("first"), F.max_by("value", order).alias("last"))
-        met = members.join(leaders, "posting").select("value", F.explode(F.array("first", "last")).alias("leader"))
-        found = met.where((F.col("value") != F.col("leader")) & _close(F.col("value"), F.col("leader")))
-        labels = _relabelled(labels, found.select(F.least("value", "leader").alias("a"), F.greatest("value", "leader").alias("b")))
+        met = members.join(leaders, "posting")
+        # Leaders stay columns; only verified links leave, each once for a value and a leader.
+        links = [
+            met.where((F.col("value") != F.col(leader)) & _close(F.col("value"), F.col(leader))).select(
+                F.least("value", leader).alias("a"), F.greatest("value", leader).alias("b")
+            )
+            for leader in ("first", "last")
+        ]
+        labels = _relabelled(labels, links[0].unionByName(links[1]).distinct())
         members = _undecided(members.select("posting", "value"), labels)
     named = members.withColumnRenamed("root", "label")
     largest = named.groupBy("posting", "label").count().groupBy("posting").agg(F.max_by("label", F.struct("count", "label")).alias("most"))
