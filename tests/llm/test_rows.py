@@ -9,7 +9,7 @@ import corpus_pipeline
 from tidemark.llm import decontaminate, html_text, line_dedup, masked_lm, merkle, pieces, pii, quality, secret_scan, sharding, simhash, toxicity
 from tidemark.llm.queries import QUERIES, tokenizer_file
 
-CLASHING = ["row", "made", "words", "ids", "decoded", "digest", "place", "fingerprint", "stratum", "values", "kept", "score", "spans"]
+CLASHING = ["row", "made", "words", "ids", "decoded", "digest", "place", "fingerprint", "stratum", "values", "kept", "score", "spans", "SHARD", "slot", "slot_", "record", "bucket", "copy"]
 LONG = "plain words about ordinary things and others " * 4000
 
 

@@ -31,12 +31,18 @@ def shuffled(records: DataFrame, shards: int, seed: int = SEED, bucket_rows: int
 
     The result depends on the records, ``shards``, ``seed`` and ``bucket_rows`` alone, not on partitions or order: all
     columns take part in the hash and in the canonical order, nulls included. Repeated records each get a slot of
-    their own; an empty frame gives an empty frame. Columns must be sortable and not named ``shard`` or ``slot``.
+    their own; an empty frame gives an empty frame. Columns must be sortable, so not maps; one named ``shard`` or ``slot``,
+    in any case, gets underscores behind its name.
     """
-    names = records.columns
-    packed = records.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("record"))
-    copies = packed.groupBy("record").agg(F.count("*").alias("times"))
+    records = without_clashes(records)
+    packed = records.select(F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias("record"))
+    # Only records whose digest occurs again are grouped as a whole to number their copies.
+    marked = packed.withColumn("digest", F.xxhash64("record"))
+    again = small(keep(marked.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"), "repeated"))
+    copies = marked.join(again, "digest", "left_semi").groupBy("record").agg(F.count("*").alias("times"))
     numbered = copies.select("record", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))).alias("copy"))
+    once = marked.join(again, "digest", "left_anti").select("record", F.lit(1).cast("bigint").alias("copy"))
+    numbered = once.unionByName(numbered)
     key = F.xxhash64(F.lit(seed), F.col("record"), F.col("copy"))
     scattered = numbered.select("record", "copy", key.alias("key"))
     buckets = max(1, math.ceil(records.count() / bucket_rows))
@@ -54,6 +60,19 @@ def shuffled(records: DataFrame, shards: int, seed: int = SEED, bucket_rows: int
     return placed.select("drawn.record.*", F.pmod(rank, F.lit(shards)).cast("int").alias("shard"), F.floor(rank / shards).cast("bigint").alias("slot"))
 
 
+def without_clashes(records: DataFrame) -> DataFrame:
+    """``records`` with other names for columns called like those that are added."""
+    taken = {c.lower() for c in records.columns}
+    names = []
+    for name in records.columns:
+        if name.lower() in ("shard", "slot"):
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+        names.append(name)
+    return records.toDF(*names)
+
+
 def bucket_rows_for(docs: DataFrame) -> int:
     """How many records of average measured size make BUCKET_BYTES."""
     measured = docs.select(F.octet_length(F.to_json(F.struct("*"))).cast("bigint").alias("bytes")).agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).first()
@@ -79,6 +98,7 @@ def write_shards(docs: DataFrame, path: str, shards: int = 16, seed: int = SEED,
 
     Without ``bucket_rows`` buckets are sized by the measured bytes of the records. Each task writes a range of one shard.
     """
+    docs = without_clashes(docs)
     rows = bucket_rows or bucket_rows_for(docs)
     dealt = shuffled(docs, shards, seed, rows)
     ranges: Column = F.floor(F.col("slot") / rows)
