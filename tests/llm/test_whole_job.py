@@ -8,7 +8,7 @@ from pathlib import Path
 
 import pytest
 
-from tidemark.llm import html_text, masked_lm, pii, sharding
+from tidemark.llm import html_text, masked_lm, pii, sharding, toxicity
 from tidemark.llm.common import keep, scratch
 
 
@@ -86,3 +86,13 @@ def test_shard_plan_is_read_from_whole_records(spark):
 def test_buckets_follow_the_bytes(spark):
     short, long = (spark.createDataFrame([(i, "x" * n) for i in range(20)], "doc_id bigint, text string") for n in (10, 1 << 20))
     assert sharding.bucket_rows_for(short) == sharding.BUCKET_ROWS and 1 <= sharding.bucket_rows_for(long) <= 16
+
+
+def test_a_common_banner_does_not_merge_training_texts(spark):
+    banner = "a banner that every document of this source begins with, word for word: "
+    rows = [(i, f"{banner} text {i // 2}") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i // 2 % 2) for i in range(80)], "doc_id bigint, toxic int")
+    learned = {i for i in range(80) if zlib.crc32(str(i).encode()) % 5}
+    texts, _ = toxicity.training_sample(docs, labels)
+    assert sorted(texts) == sorted({text for i, text in rows if i in learned})

@@ -209,12 +209,12 @@ def in_holdout():
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int]]:
-    """At most SAMPLE_DOCS texts of either label, outside the held-out fold, in an order of hashes; copies count once."""
+    """At most SAMPLE_DOCS texts of either label, outside the held-out fold, in an order of hashes; equal texts count once."""
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~in_holdout()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     short = docs.select("doc_id", "text").where(F.length("text").between(1, SAMPLE_CHARS))
     # Only ids and digests are joined and grouped; texts are read again for the few that are picked.
-    begins = short.select("doc_id", F.md5(F.substring("text", 1, 60)).alias("begin"))
-    joined = begins.join(known, "doc_id").groupBy("toxic", "begin").agg(F.min("doc_id").alias("doc_id"))
+    digests = short.select("doc_id", F.md5("text").alias("digest"))
+    joined = digests.join(known, "doc_id").groupBy("toxic", "digest").agg(F.min("doc_id").alias("doc_id"))
     picked = None
     for label in (0, 1):
         part = joined.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
