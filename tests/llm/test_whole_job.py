@@ -96,3 +96,74 @@ def test_a_common_banner_does_not_merge_training_texts(spark):
     learned = {i for i in range(80) if zlib.crc32(str(i).encode()) % 5}
     texts, _ = toxicity.training_sample(docs, labels)
     assert sorted(texts) == sorted({text for i, text in rows if i in learned})
+
+
+def _held_out_gain(spark, partitions):
+    """Scores of pairs of words that always follow each other, and the same under the words' shares alone."""
+    texts = [" ".join(f"a{(i * 7 + k) % 50} b{(i * 7 + k) % 50}" for k in range(40)) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    counts = keep(masked_lm.word_counts(docs), "words")
+    words = masked_lm.Vocabulary.of(counts)
+    net = masked_lm.train(docs.where("doc_id % 5 > 0").repartition(partitions), words)
+    unseen = docs.where("doc_id % 5 = 0").repartition(partitions)
+    trained, shares = (masked_lm.pseudo_likelihoods(unseen, words, n).collect() for n in (net, masked_lm.first_network(words)))
+    return {r["doc_id"]: r["log_likelihood"] for r in trained}, sum(r["log_likelihood"] for r in shares)
+
+
+def test_scores_do_not_depend_on_the_layout_and_beat_shares_of_words(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "REPLICA_WORDS", 10_000)
+    one, shares = _held_out_gain(spark, 1)
+    for partitions in (4, 32):
+        other, _ = _held_out_gain(spark, partitions)
+        assert one.keys() == other.keys() and all(abs(one[k] - other[k]) < 1e-6 * abs(one[k]) for k in one)
+    assert sum(one.values()) > 0.8 * shares
+
+
+def test_rare_words_by_arrays_and_by_join(spark, monkeypatch):
+    texts = ["x y x y z", "x " * 30, "y z q", None, "", "x y x y z"] + [" ".join(f"w{i}" for i in range(1200))] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    monkeypatch.setattr(masked_lm, "FREQUENT", 20)
+    words = masked_lm.Vocabulary.of(keep(masked_lm.word_counts(docs), "words"))
+    net = masked_lm.first_network(words)
+    arrays = {r["doc_id"]: r["log_likelihood"] for r in masked_lm.pseudo_likelihoods(docs, words, net).collect()}
+    monkeypatch.setattr(masked_lm, "BROADCAST_BYTES", 0)
+    joined = {r["doc_id"]: r["log_likelihood"] for r in masked_lm.pseudo_likelihoods(docs, words, net).collect()}
+    assert len(arrays) == len(texts) and all(abs(arrays[k] - joined[k]) < 1e-6 for k in arrays)
+
+
+def test_scores_equal_a_plain_computation(spark):
+    names = [f"w{i}" for i in range(30)]
+    docs = spark.createDataFrame([(1, "w1 w2 rare w3 odd odd"), (2, "w4"), (3, None)], "doc_id bigint, text string")
+    rare = spark.createDataFrame([("rare", 5), ("odd", 2)], "word string, uses bigint")
+    of_class = {}
+    for word, n in (("rare", 5), ("odd", 2)):
+        c = zlib.crc32(word.encode()) % masked_lm.RARE_CLASSES
+        of_class[c] = of_class.get(c, 0) + n
+    words = masked_lm.Vocabulary(names, of_class, rare)
+    net = masked_lm.fresh_network(3)
+    got = {r["doc_id"]: r["log_likelihood"] for r in masked_lm.pseudo_likelihoods(docs, words, net).collect()}
+
+    def token(word):
+        return names.index(word) if word in names else words.first_class + zlib.crc32(word.encode()) % masked_lm.RARE_CLASSES
+
+    def softmax(scores):
+        weights = [math.exp(s) for s in scores]
+        return [w / sum(weights) for w in weights]
+
+    for doc_id, text in ((1, "w1 w2 rare w3 odd odd"), (2, "w4"), (3, "")):
+        tokens, total = [token(w) for w in text.split()], 0.0
+        for i, word in enumerate(text.split()):
+            hidden = []
+            for d in range(masked_lm.WIDTH):
+                x = float(net["shift"][d])
+                for j, k in enumerate((-2, -1, 1, 2)):
+                    near = tokens[i + k] if 0 <= i + k < len(tokens) else masked_lm.TOKENS
+                    x += float(net["vectors"][near][d] * net["places"][j][d])
+                hidden.append(math.tanh(x))
+            g, m = divmod(tokens[i], masked_lm.GROUPS)
+            for weights, bias, which in ((net["group"], net["group_bias"], g), (net["member"][g], net["member_bias"][g], m)):
+                shares = softmax([sum(hidden[d] * float(weights[d][o]) for d in range(masked_lm.WIDTH)) + float(bias[o]) for o in range(masked_lm.GROUPS)])
+                total += math.log(shares[which])
+            if word not in names:
+                total += math.log({"rare": 5, "odd": 2}[word] / of_class[zlib.crc32(word.encode()) % masked_lm.RARE_CLASSES])
+        assert abs(got[doc_id] - total) < 1e-3

@@ -4,13 +4,16 @@ Every word is predicted from the words on both sides of it, itself masked; a doc
 conditional log-probabilities of its words.
 
 * Vocabulary: words are counted over the whole corpus. Those used at least sqrt(words of the corpus) / GROWTH times, and
-  FREQUENT ones in any case, are tokens of their own, so the network grows with the square root of the corpus. The others
-  fall into RARE_CLASSES hashed classes, within which a word has the probability (its uses) / (uses of the class).
+  FREQUENT ones in any case, are tokens of their own, MOST_WORDS at most, so what the driver holds is bounded. The others
+  fall into RARE_CLASSES hashed classes, within which a word has the probability (its uses) / (uses of the class), so every
+  word counts by its own uses. Rare words are told apart by 64 bits.
 * Network: vectors of the WINDOW words before and after, scaled by place, are added and passed through tanh; a softmax over
-  groups and one over the members of the group give the probability of the token.
-* Training: each task trains a copy on every word of all the texts it holds, each masked once in a round; copies are
-  averaged, weighted by the words they saw, and the average starts the next of ROUNDS. What is gathered is the frequent
-  words, the sizes of the classes and the averaged network. The uses of rare words stay in their table and are joined.
+  groups and one over the members of the group give the probability of the token. It begins at the words' frequencies.
+* Training: texts are dealt to copies of about REPLICA_WORDS words by a hash of their rows, and read in the order of that
+  hash, so scores do not depend on how the table is cut into files or tasks. A copy is trained on every word of its texts,
+  each masked once in a round; copies are averaged in a tree, weighted by their words, and the average starts the next of
+  ROUNDS. A copy is streamed: its memory is a block of words, whatever it holds.
+* The uses of rare words go to the tasks as sorted arrays if they measure at most BROADCAST_BYTES; else they are joined.
 """
 
 from __future__ import annotations
@@ -19,20 +22,24 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
-from .common import BLANKS, add_columns, all_of, keep, slices
+from .common import BLANKS, BROADCAST_BYTES, keep, slices
 
 #: Of the smallest network; a vocabulary of more words has more groups.
 GROUPS = 32
 TOKENS = GROUPS * GROUPS
 RARE_CLASSES = 64
 FREQUENT = TOKENS - RARE_CLASSES
+#: Own tokens of the largest network.
+MOST_WORDS = 128 * 128 - RARE_CLASSES
 GROWTH = 4
 WINDOW = 2
 WIDTH = 24
@@ -40,10 +47,15 @@ ROUNDS = 1
 BATCH = 4096
 STEP = 0.08
 SEED = 7
-AT_ONCE = 1 << 16
-CACHED_WORDS = 300_000
-#: Values of the network that are averaged as one row.
+AT_ONCE = 1 << 14
+CACHED_WORDS = 500_000
+#: Words of a copy in training, and of the block whose words are mixed.
+REPLICA_WORDS = 1 << 22
+BLOCK_WORDS = 1 << 18
+#: Values of the network that are averaged as one row, and rows averaged at once.
 CHUNK = 4096
+FAN_IN = 256
+_TOKEN = np.uint16
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _PLACES = [k for k in range(-WINDOW, WINDOW + 1) if k]
@@ -72,11 +84,11 @@ class Vocabulary:
     """Tokens of words: rank among the frequent ones, else a hashed class; and the log of each class's uses.
 
     ``rare`` has the uses of the words in the classes. It stays with the driver as a frame; a word it lacks has one use.
+    ``uses`` are those of the frequent words; without them training begins at equal probabilities.
     """
 
-    def __init__(self, frequent: list[str], class_uses: dict[int, int], rare: DataFrame | None = None) -> None:
-        self.frequent, self.class_uses, self.rare = frequent, class_uses, rare
-        self.known = {w: i for i, w in enumerate(frequent)}
+    def __init__(self, frequent: list[str], class_uses: dict[int, int], rare: DataFrame | None = None, uses: list[int] | None = None) -> None:
+        self.frequent, self.class_uses, self.rare, self.uses = frequent, class_uses, rare, uses
         self.groups = max(GROUPS, math.isqrt(len(frequent) + RARE_CLASSES - 1) + 1)
         self.first_class = self.groups**2 - RARE_CLASSES
         self.within = np.zeros(self.groups**2)
@@ -87,27 +99,86 @@ class Vocabulary:
     def of(cls, counts: DataFrame) -> Vocabulary:
         """``counts`` are read several times, so they should be kept."""
         least = math.sqrt(counts.agg(F.sum("uses")).first()[0] or 0) / GROWTH
-        top, rare = counts.where(F.col("uses") >= least), counts.where(F.col("uses") < least)
-        if top.count() < FREQUENT:
-            top = counts.orderBy(F.desc("uses"), "word").limit(FREQUENT)
-            rare = counts.join(F.broadcast(top.select("word")), "word", "left_anti")
+        often = counts.where(F.col("uses") >= least).count()
+        top = counts.orderBy(F.desc("uses"), "word").limit(min(max(often, FREQUENT), MOST_WORDS))
         rows = sorted(top.collect(), key=lambda r: (-r["uses"], r["word"]))
+        own = counts.sparkSession.createDataFrame([(r["word"],) for r in rows], "word string")
+        rare = counts.join(F.broadcast(own), "word", "left_anti")
         rare_class = F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(RARE_CLASSES)).cast("int")
         sizes = rare.groupBy(rare_class.alias("class")).agg(F.sum("uses").alias("n")).collect()
-        return cls([r["word"] for r in rows], {r["class"]: r["n"] for r in sizes}, rare)
+        return cls([r["word"] for r in rows], {r["class"]: r["n"] for r in sizes}, rare, [r["uses"] for r in rows])
 
     def token(self, word: str) -> int:
-        found = self.known.get(word)
-        if found is None:
-            found = self.first_class + zlib.crc32(word.encode()) % RARE_CLASSES
-            if len(self.known) >= CACHED_WORDS + len(self.frequent):
-                self.known = {w: i for i, w in enumerate(self.frequent)}
-            self.known[word] = found
-        return found
-
-    def tokens(self, text: str) -> np.ndarray:
-        words = _WORD.findall(text)
-        return np.fromiter(map(self.token, words), np.int32, len(words))
+        """Of one word, as ``Encoder`` finds those of many."""
+        return int(Encoder(self.frequent, self.first_class).codes([word])[0][0])
+
+    def rare_arrays(self) -> tuple[np.ndarray, np.ndarray] | None:
+        """Hashes and uses of the rare words used more than once, sorted; None if they are too many for every task."""
+        if self.rare is None:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        several = self.rare.where("uses > 1").select(F.xxhash64("word").alias("hash"), "uses")
+        if several.count() * 16 > BROADCAST_BYTES:
+            return None
+        found = several.toArrow()
+        hashes, uses = found["hash"].to_numpy(), found["uses"].to_numpy()
+        order = np.argsort(hashes, kind="stable")
+        return hashes[order], uses[order]
+
+
+class Encoder:
+    """Tokens of the words of texts and the log of their uses, many words at once."""
+
+    def __init__(self, frequent: list[str], first_class: int, hashes: np.ndarray | None = None, uses: np.ndarray | None = None) -> None:
+        self.frequent, self.first_class = frequent, first_class
+        self.hashes, self.uses = hashes, uses
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = {w: i for i, w in enumerate(self.frequent)}
+        self.token = np.arange(len(self.frequent), dtype=_TOKEN)
+        self.log = np.zeros(len(self.frequent))
+
+    def codes(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The token of each word, and the log of the uses of each rare one (else 0)."""
+        new = list(set(words).difference(self.known))
+        if len(self.known) + len(new) > CACHED_WORDS + len(self.frequent):
+            self._forget()
+            new = list(set(words).difference(self.known))
+        if new:
+            raw = [w.encode("utf-8", "surrogatepass") for w in new]
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            classes = np.fromiter((zlib.crc32(w) % RARE_CLASSES for w in raw), np.int64, len(raw)) + self.first_class
+            logs = np.zeros(len(raw))
+            if self.hashes is not None and len(self.hashes):
+                wanted = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in raw), np.uint64, len(raw)).view(np.int64)
+                at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+                logs = np.where(self.hashes[at] == wanted, np.log(self.uses[at]), 0.0)
+            self.token = np.concatenate([self.token, classes.astype(_TOKEN)])
+            self.log = np.concatenate([self.log, logs])
+        found = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return self.token[found], self.log[found]
+
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[float]]:
+        """Of each text its tokens, and the summed logs of the uses of its rare words."""
+        split = [_WORD.findall(t) for t in texts]
+        tokens, logs = self.codes(list(chain.from_iterable(split)))
+        ends = np.cumsum([len(w) for w in split])[:-1]
+        return np.split(tokens, ends), [float(part.sum()) for part in np.split(logs, ends)]
+
+
+def first_network(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
+    """A fresh network whose biases give every token its share of the corpus."""
+    groups = vocabulary.groups
+    net = fresh_network(groups=groups)
+    if vocabulary.uses:
+        uses = np.full(groups**2, 0.5)
+        uses[: len(vocabulary.uses)] += vocabulary.uses
+        for c, n in vocabulary.class_uses.items():
+            uses[vocabulary.first_class + c] += n
+        table = uses.reshape(groups, groups)
+        net["group_bias"] = np.log(table.sum(axis=1) / uses.sum()).astype(np.float32)
+        net["member_bias"] = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+    return net
 
 
 def fresh_network(seed: int = SEED, groups: int = GROUPS) -> dict[str, np.ndarray]:
@@ -143,13 +214,40 @@ def _laid_out(texts: list[np.ndarray], groups: int = GROUPS) -> tuple[np.ndarray
 
 def _hidden(net: dict[str, np.ndarray], row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     around = [row[at + k] for k in _PLACES]
-    total = net["shift"] + sum(net["vectors"][ids] * net["places"][j] for j, ids in enumerate(around))
-    return np.tanh(total), around
+    total = np.take(net["vectors"] * net["places"][0] + net["shift"], around[0], axis=0)
+    for j in range(1, len(_PLACES)):
+        total += np.take(net["vectors"] * net["places"][j], around[j], axis=0)
+    return np.tanh(total, out=total), around
+
+
+def _by_group(row: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """Positions in the order of their tokens: that order, group and member of each, and the stretch of each group."""
+    targets = row[at].astype(_TOKEN)
+    order = np.argsort(targets, kind="stable")
+    groups, members = np.divmod(targets[order].astype(np.int64), size)
+    ends = np.searchsorted(groups, np.arange(size + 1))
+    return order, groups, members, [(g, low, high) for g, (low, high) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if high > low]
+
+
+def _scores(weights: np.ndarray, bias: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """One column per row of ``h``, less its largest value."""
+    x = weights.T @ h.T
+    x += bias[:, None]
+    x -= x.max(axis=0)
+    return x
+
+
+def _chosen(x: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each column at one place."""
+    return x[which, np.arange(x.shape[1])] - np.log(np.exp(x).sum(axis=0))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _miss(x: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Gradient of ``_chosen`` by the scores, in place."""
+    np.exp(x, out=x)
+    x /= -x.sum(axis=0)
+    x[which, np.arange(x.shape[1])] += 1
+    return x
 
 
 def log_probabilities(net: dict[str, np.ndarray], row: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -157,41 +255,41 @@ def log_probabilities(net: dict[str, np.ndarray], row: np.ndarray, at: np.ndarra
     out = np.empty(len(at))
     for low in range(0, len(at), AT_ONCE):
         here = at[low : low + AT_ONCE]
-        target = row[here]
-        h, _ = _hidden(net, row, here)
-        groups, members = np.divmod(target, len(net["group_bias"]))
-        out[low : low + len(here)] = _log_softmax(h @ net["group"] + net["group_bias"])[np.arange(len(here)), groups]
-        for g in np.unique(groups):
-            own = np.flatnonzero(groups == g)
-            inside = _log_softmax(h[own] @ net["member"][g] + net["member_bias"][g])
-            out[low + own] += inside[np.arange(len(own)), members[own]]
+        order, groups, members, stretches = _by_group(row, here, len(net["group_bias"]))
+        h, _ = _hidden(net, row, here[order])
+        found = _chosen(_scores(net["group"], net["group_bias"], h), groups)
+        for g, first, last in stretches:
+            own = slice(first, last)
+            found[own] += _chosen(_scores(net["member"][g], net["member_bias"][g], h[own]), members[own])
+        out[low + order] = found
     return out
 
 
 def slopes(net: dict[str, np.ndarray], row: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     """Gradient of the mean log-probability of the tokens at these positions."""
     n = len(at)
-    h, around = _hidden(net, row, at)
-    groups, members = np.divmod(row[at], len(net["group_bias"]))
-    every = np.arange(n)
+    order, groups, members, stretches = _by_group(row, at, len(net["group_bias"]))
+    h, around = _hidden(net, row, at[order])
     out = {k: np.zeros(v.shape, np.float32) for k, v in net.items()}
-    miss = -np.exp(_log_softmax(h @ net["group"] + net["group_bias"]))
-    miss[every, groups] += 1
-    out["group"], out["group_bias"] = h.T @ miss / n, miss.sum(axis=0) / n
-    dh = miss @ net["group"].T
-    for g in np.unique(groups):
-        own = np.flatnonzero(groups == g)
-        inside = -np.exp(_log_softmax(h[own] @ net["member"][g] + net["member_bias"][g]))
-        inside[np.arange(len(own)), members[own]] += 1
-        out["member"][g], out["member_bias"][g] = h[own].T @ inside / n, inside.sum(axis=0) / n
-        dh[own] += inside @ net["member"][g].T
-    d_total = dh * (1 - h**2) / n
-    out["shift"] = d_total.sum(axis=0)
+    miss = _miss(_scores(net["group"], net["group_bias"], h), groups)
+    out["group"], out["group_bias"] = (miss @ h).T / n, miss.sum(axis=1) / n
+    # One column per position from here on.
+    d_total = net["group"] @ miss
+    for g, first, last in stretches:
+        own = slice(first, last)
+        inside = _miss(_scores(net["member"][g], net["member_bias"][g], h[own]), members[own])
+        out["member"][g], out["member_bias"][g] = (inside @ h[own]).T / n, inside.sum(axis=1) / n
+        d_total[:, own] += net["member"][g] @ inside
+    h *= h
+    np.subtract(1 / n, h / n, out=h)
+    d_total *= h.T
+    out["shift"] = d_total.sum(axis=1)
+    size = len(net["vectors"])
+    starts = np.arange(0, WIDTH * size, size)[:, None]
     for j, ids in enumerate(around):
-        out["places"][j] = (d_total * net["vectors"][ids]).sum(axis=0)
-        order = np.argsort(ids, kind="stable")
-        firsts = np.flatnonzero(np.diff(ids[order], prepend=-1))
-        out["vectors"][ids[order][firsts]] += np.add.reduceat((d_total * net["places"][j])[order], firsts, axis=0)
+        sums = np.bincount((starts + ids).ravel(), d_total.ravel(), WIDTH * size).reshape(WIDTH, size).T
+        out["places"][j] = np.einsum("tw,tw->w", sums, net["vectors"])
+        out["vectors"] += sums * net["places"][j]
     return out
 
 
@@ -202,55 +300,134 @@ def climb(net: dict[str, np.ndarray], squares: dict[str, np.ndarray], row: np.nd
         net[k] += STEP * slope / (np.sqrt(squares[k]) + 1e-6)
 
 
+class Copy:
+    """A network in training on one stream of texts; words are mixed within blocks."""
+
+    def __init__(self, flat: np.ndarray, groups: int, seed: list[int]) -> None:
+        self.groups = groups
+        self.net = {k: v.copy() for k, v in _shaped(flat, groups).items()}
+        self.squares = {k: np.full(v.shape, 1e-6, np.float32) for k, v in self.net.items()}
+        self.rng = np.random.default_rng(seed)
+        self.texts: list[np.ndarray] = []
+        self.waiting = self.seen = 0
+
+    def read(self, tokens: np.ndarray) -> None:
+        self.texts.append(tokens)
+        self.waiting += len(tokens)
+        if self.waiting >= BLOCK_WORDS:
+            self.learn()
+
+    def learn(self) -> None:
+        row, at = _laid_out(self.texts, self.groups)
+        masked = self.rng.permutation(at)
+        for k in range(0, len(masked), BATCH):
+            climb(self.net, self.squares, row, masked[k : k + BATCH])
+        self.seen += len(at)
+        self.texts, self.waiting = [], 0
+
+    def parts(self, replica: int) -> pa.RecordBatch:
+        """The network times the words it saw, in chunks; no rows if it saw none."""
+        self.learn()
+        flat = _flat(self.net).astype(float) * self.seen
+        parts = [flat[k : k + CHUNK].tobytes() for k in range(0, len(flat), CHUNK)] if self.seen else []
+        n = len(parts)
+        columns = [pa.array(range(n), pa.int32()), pa.array([replica] * n, pa.int64()), pa.array(parts, pa.binary()), pa.array([self.seen] * n, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["chunk", "replica", "total", "seen"])
+
+
+def _sum_of_parts(parts: pa.Table) -> pa.Table:
+    """One row of up to FAN_IN of a chunk, added in the order of the copies."""
+    order = np.argsort(parts["replica"].to_numpy())
+    totals = parts["total"].to_pylist()
+    total = sum(np.frombuffer(totals[i]) for i in order)
+    seen = sum(parts["seen"].to_pylist())
+    replica = int(parts["replica"][0].as_py()) // FAN_IN
+    return pa.table({"chunk": parts["chunk"][:1], "replica": pa.array([replica], pa.int64()), "total": pa.array([total.tobytes()], pa.binary()), "seen": pa.array([seen], pa.int64())})
+
+
+_PARTS = "chunk int, replica bigint, total binary, seen bigint"
+
+
 def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """The averaged network after all texts have been read ``rounds`` times."""
-    spark = docs.sparkSession
+    return train_encoded(keep(encode(docs, vocabulary, text), "tokens"), vocabulary, rounds)
+
+
+def train_encoded(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """``train`` on the kept rows of ``encode``. Rows equal in every column meet in one copy."""
+    spark = encoded.sparkSession
     groups = vocabulary.groups
-    net = fresh_network(groups=groups)
-    content = docs.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    words = spark.sparkContext.broadcast((vocabulary.frequent, vocabulary.class_uses))
-    for round_ in range(rounds):
+    net = first_network(vocabulary)
+    n_words = (encoded.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0) // np.dtype(_TOKEN).itemsize
+    replicas = -(-n_words // REPLICA_WORDS)
+    mixed = F.xxhash64(F.to_json("row"), "tokens").alias("mixed")
+    dealt = encoded.select("tokens", mixed).withColumn("replica", F.pmod("mixed", F.lit(max(1, replicas))).cast("int"))
+    dealt = dealt.repartitionById(max(1, replicas), "replica").sortWithinPartitions("replica", "mixed")
+    for round_ in range(rounds if n_words else 0):
         begin = spark.sparkContext.broadcast(_flat(net))
 
         def run(batches: Iterator[pa.RecordBatch], begin=begin, round_=round_) -> Iterator[pa.RecordBatch]:
-            known = Vocabulary(*words.value)
-            own = {k: v.copy() for k, v in _shaped(begin.value, groups).items()}
-            squares = {k: np.full(v.shape, 1e-6, np.float32) for k, v in own.items()}
-            rng = np.random.default_rng([SEED, round_])
-            seen = 0
+            copy, current = None, None
             for batch in batches:
-                texts = batch.column(0)
-                for low, high in slices(texts):
-                    row, at = _laid_out([known.tokens(t) for t in texts.slice(low, high - low).to_pylist()], groups)
-                    seen += len(at)
-                    masked = rng.permutation(at)
-                    for k in range(0, len(masked), BATCH):
-                        climb(own, squares, row, masked[k : k + BATCH])
-            if seen:
-                flat = _flat(own).astype(float) * seen
-                parts = [flat[k : k + CHUNK].tobytes() for k in range(0, len(flat), CHUNK)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts), dtype=np.int32)), pa.array(parts, pa.binary()), pa.array(np.full(len(parts), seen))], names=["chunk", "total", "seen"])
-
-        def mean(parts: pa.Table) -> pa.Table:
-            totals = sum(np.frombuffer(t) for t in parts["total"].to_pylist())
-            value = (totals / sum(parts["seen"].to_pylist())).tobytes()
-            return pa.table({"chunk": parts["chunk"][:1], "value": pa.array([value], pa.binary())})
-
-        parts = content.mapInArrow(run, "chunk int, total binary, seen bigint")
-        means = parts.groupBy("chunk").applyInArrow(mean, "chunk int, value binary").collect()
-        if means:
-            net = _shaped(np.concatenate([np.frombuffer(r["value"]) for r in sorted(means, key=lambda r: r["chunk"])]), groups)
+                for tokens, replica in zip(batch.column("tokens"), batch.column("replica").to_pylist(), strict=True):
+                    if replica != current:
+                        if copy is not None:
+                            yield copy.parts(current)
+                        copy, current = Copy(begin.value, groups, [SEED, round_, replica]), replica
+                    copy.read(np.frombuffer(tokens.as_buffer(), _TOKEN))
+            if copy is not None:
+                yield copy.parts(current)
+
+        parts = dealt.mapInArrow(run, _PARTS)
+        left = replicas
+        while True:
+            parts = parts.groupBy("chunk", F.floor(F.col("replica") / FAN_IN).alias("at")).applyInArrow(_sum_of_parts, _PARTS)
+            left = -(-left // FAN_IN)
+            if left <= 1:
+                break
+        sums = sorted(parts.collect(), key=lambda r: r["chunk"])
+        net = _shaped(np.concatenate([np.frombuffer(r["total"]) / r["seen"] for r in sums]), groups)
     return net
 
 
+def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """``row`` (a struct of ``columns``, all if not given), ``tokens`` and ``rare_log``, the summed logs of the uses of rare words."""
+    spark = docs.sparkSession
+    content = F.col(f"`{text}`").cast("string")
+    names = docs.columns if columns is None else columns
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    packed = docs.select(row, F.coalesce(content, F.lit("")).alias("text"), text_key(content).alias("text_key"))
+    made = [StructField("tokens", BinaryType()), StructField("rare_log", DoubleType())]
+    schema = StructType([packed.schema["row"], packed.schema["text_key"], *made])
+    arrays = vocabulary.rare_arrays()
+    shared = spark.sparkContext.broadcast((vocabulary.frequent, vocabulary.first_class, *(arrays or (None, None))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(*shared.value)
+        for batch in batches:
+            texts = batch.column(1)
+            for low, high in slices(texts):
+                tokens, logs = encoder.encode(texts.slice(low, high - low).to_pylist())
+                found = [pa.array([t.tobytes() for t in tokens], pa.binary()), pa.array(logs, pa.float64())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low), *found], names=schema.names)
+
+    encoded = packed.mapInArrow(run, schema)
+    if arrays is not None:
+        return encoded.drop("text_key")
+    frequent = spark.createDataFrame([(w,) for w in vocabulary.frequent], "word string")
+    logs = rare_uses(docs, vocabulary.rare, frequent, text)
+    joined = encoded.drop("rare_log").join(logs, "text_key", "left")
+    return joined.select("row", "tokens", F.coalesce("rare_log", F.lit(0.0)).alias("rare_log"))
+
+
 def rare_uses(docs: DataFrame, rare: DataFrame, frequent: DataFrame, text: str = "text") -> DataFrame:
-    """``text_key, rare_log``: per distinct text, the mean log of the uses of its rare words; copies do not change it."""
+    """``text_key, rare_log``: per distinct text, the summed logs of the uses of its rare words."""
     content = F.col(f"`{text}`").cast("string")
-    words = docs.select(text_key(content).alias("text_key"), F.explode(F.split(content, BLANKS)).alias("word")).where("word <> ''")
+    one = docs.select(content.alias("text"), text_key(content).alias("text_key")).groupBy("text_key").agg(F.first("text").alias("text"))
+    words = one.select("text_key", F.explode(F.split("text", BLANKS)).alias("word")).where("word <> ''")
     # No rare word is used often, so none weighs in its task.
-    found = words.join(F.broadcast(frequent), "word", "left_anti").join(rare, "word", "left")
-    sums = found.groupBy("text_key").agg(F.sum(F.log("uses")).alias("total"), F.count("*").alias("n"))
-    return sums.select("text_key", (F.coalesce("total", F.lit(0.0)) / F.col("n")).alias("rare_log"))
+    found = words.join(F.broadcast(frequent), "word", "left_anti").join(rare.where("uses > 1"), "word")
+    return found.groupBy("text_key").agg(F.sum(F.log("uses")).alias("rare_log"))
 
 
 def text_key(content: Column) -> Column:
@@ -264,45 +441,48 @@ def pseudo_likelihoods(docs: DataFrame, vocabulary: Vocabulary, net: dict[str, n
     Null and empty texts have no words and the sum zero; texts are read whole; equal texts get equal scores; an empty frame
     gives an empty frame. Columns of these names are replaced.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((vocabulary.frequent, vocabulary.class_uses, _flat(net)))
-    groups, joined = vocabulary.groups, vocabulary.rare is not None
-
-    def start():
-        frequent, uses, flat = shared.value
-        known, own = Vocabulary(frequent, uses), _shaped(flat, groups)
-
-        def compute(texts: list[str]) -> list[list]:
-            tokens = [known.tokens(t) for t in texts]
-            row, at = _laid_out(tokens, groups)
-            each = log_probabilities(own, row, at) + known.within[row[at]]
-            sums = [float(p.sum()) for p in np.split(each, np.cumsum([len(t) for t in tokens])[:-1])]
-            counts = [len(t) for t in tokens]
-            means = [s / n if n else None for s, n in zip(sums, counts, strict=True)]
-            return [counts, sums, means, [int((t >= known.first_class).sum()) for t in tokens]][: len(made)]
+    return score_encoded(encode(docs, vocabulary, text), vocabulary, net)
 
-        return compute
 
-    made = StructType([StructField("n_words", LongType()), StructField("log_likelihood", DoubleType()), StructField("mean_log_likelihood", DoubleType())])
-    if not joined:
-        return add_columns(docs, text, made, start)
-    made = StructType([*made, StructField("n_rare", LongType())])
-    names = [c for c in docs.columns if c not in made.names[:3]]
-    packed = docs.select(all_of(docs).alias("row"), F.col(f"`{text}`").cast("string").alias("text"), text_key(F.col(f"`{text}`").cast("string")).alias("text_key"))
-    frequent = spark.createDataFrame([(w,) for w in vocabulary.frequent], "word string")
-    logs = rare_uses(docs, vocabulary.rare, frequent, text)
-    scored = add_columns(packed, "text", made, start).drop("text").join(logs, "text_key", "left")
-    total = F.col("log_likelihood") + F.coalesce(F.col("rare_log"), F.lit(0.0)) * F.col("n_rare")
-    return scored.select(
-        *[F.col("row").getField(c).alias(c) for c in names],
-        "n_words",
-        total.alias("log_likelihood"),
-        F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_likelihood"),
-    )
+_MADE = StructType([StructField("n_words", LongType()), StructField("log_likelihood", DoubleType()), StructField("mean_log_likelihood", DoubleType())])
+
+
+def score_encoded(encoded: DataFrame, vocabulary: Vocabulary, net: dict[str, np.ndarray]) -> DataFrame:
+    """``pseudo_likelihoods`` from the rows of ``encode``."""
+    groups, within = vocabulary.groups, vocabulary.within
+    shared = encoded.sparkSession.sparkContext.broadcast((within, _flat(net)))
+    schema = StructType([encoded.schema["row"], *_MADE])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        within, flat = shared.value
+        own = _shaped(flat, groups)
+        for batch in batches:
+            tokens = [np.frombuffer(t.as_buffer(), _TOKEN) for t in batch.column("tokens")]
+            counts = [len(t) for t in tokens]
+            low = 0
+            while low < len(tokens):
+                high, size = low + 1, counts[low]
+                while high < len(tokens) and size + counts[high] <= BLOCK_WORDS:
+                    size += counts[high]
+                    high += 1
+                row, at = _laid_out(tokens[low:high], groups)
+                each = log_probabilities(own, row, at) + within[row[at]]
+                parts = np.split(each, np.cumsum(counts[low:high])[:-1])
+                rare = batch.column("rare_log").slice(low, high - low).to_pylist()
+                sums = [float(p.sum()) + more for p, more in zip(parts, rare, strict=True)]
+                means = [s / n if n else None for s, n in zip(sums, counts[low:high], strict=True)]
+                found = [pa.array(counts[low:high], pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())]
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(low, high - low), *found], names=schema.names)
+                low = high
+
+    scored = encoded.select("row", "tokens", "rare_log").mapInArrow(run, schema)
+    names = [c for c in encoded.schema["row"].dataType.names if c not in _MADE.names]
+    return scored.select(*[F.col("row").getField(c).alias(c) for c in names], *_MADE.names)
 
 
 def corpus_scores(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the scores of each document under a network trained on all of them."""
+    """``doc_id`` and the scores of each document under a network trained on all of them; texts are tokenised once."""
     rows = docs.select("doc_id", "text")
     vocabulary = Vocabulary.of(keep(word_counts(rows), "words"))
-    return pseudo_likelihoods(rows, vocabulary, train(rows, vocabulary)).drop("text")
+    encoded = keep(encode(rows, vocabulary, columns=["doc_id"]), "tokens")
+    return score_encoded(encoded, vocabulary, train_encoded(encoded, vocabulary))
