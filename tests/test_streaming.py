@@ -370,3 +370,39 @@ def test_windows_answer_early_and_are_corrected(spark, tmp_path):
     replay.run(streaming.changelog_sink(answers, path, mode="append"), "answers")
     found = spark.read.parquet(path).where("key = 1 and window_start = timestamp_seconds(%d)" % START).orderBy("_batch", "cnt")
     assert [(r.answer, r.cnt) for r in found.collect()] == [("first", 2), ("corrected", 3), ("corrected", 4), ("late", 1)]
+
+
+def test_running_visitors_of_any_id(spark, tmp_path):
+    """Ids far apart, negative and missing; several rows at one time."""
+    ids = [0, 5, 4095, 4096, -1 << 40, 1 << 61, 77, -2]
+    events = [(i, ids[i * 5 % 8], "a", START + i // 3 * 5) for i in range(120)]
+    replay = Replay(spark, tmp_path, events)
+    named = F.when(F.col("key") != 77, F.col("key"))
+    rows = replay.stream().withColumn("key", named)
+    running = streaming.stream_running_visitors(rows, "ts", "seq", "30 seconds", "key", delay="20 seconds")
+    got = replay.collect(running, "running").where(F.col("window_end") < F.lit(at(FAR)))
+    same(got, ops.running_visitors(replay.batch().withColumn("key", named), "ts", "seq", "30 seconds", "key"))
+
+
+def test_running_visitors_per_key(replay):
+    rows = replay.stream().withColumn("user", F.pmod(F.col("seq") * 7, F.lit(5)))
+    running = streaming.stream_running_visitors(rows, "ts", "seq", "1 minute", "user", keys=["key"])
+    got = {tuple(r) for r in replay.collect(running, "per_key").select("key", F.unix_micros("ts"), "seq", "cnt").collect()}
+    want, seen = set(), {}
+    for seq, key, _, ts in replay.events:
+        members = seen.setdefault((key, int(ts // 60)), set())
+        if seq * 7 % 5 not in members:
+            members.add(seq * 7 % 5)
+            want.add((key, round(ts * 1_000_000), seq, len(members)))
+    assert got == want
+
+
+def test_best_rows_of_windows_in_list_state(replay):
+    counts = streaming.stream_counts(replay.stream(), "ts", "20 seconds", "5 seconds", ["key", "kind"])
+    for salts in (1, 4):
+        path = str(replay.folder / f"best-{salts}")
+        best = streaming.stream_best_rows(counts, 2, ["key", "kind"], salts)
+        replay.run(streaming.ranked_sink(best, 2, ["key", "kind"], path), f"best-{salts}")
+        got = replay.spark.read.parquet(path).where("key <> -1").drop("_batch")
+        batch = ops.sliding_counts(replay.batch(), "ts", "20 seconds", "5 seconds", ["key", "kind"])
+        same(got, ops.top_n(batch, 2, ["key", "kind"]).select(*[c for c in got.columns]))

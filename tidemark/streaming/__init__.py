@@ -1,4 +1,5 @@
 from tidemark.streaming.corrected import stream_counts_corrected
+from tidemark.streaming.ranking import stream_best_rows
 from tidemark.streaming.sinks import (
     changelog_sink,
     changes,
@@ -22,6 +23,7 @@ from tidemark.streaming.stateful import (
     stream_match,
     stream_open_close_outcomes,
     stream_reconcile,
+    stream_running_visitors,
 )
 from tidemark.streaming.windows import event_time, stream_counts, stream_interval_join, stream_visitors
 
@@ -39,6 +41,7 @@ __all__ = [
     "retractions",
     "route_late",
     "routed_sink",
+    "stream_best_rows",
     "stream_cap_outcomes",
     "stream_counts",
     "stream_counts_corrected",
@@ -48,6 +51,7 @@ __all__ = [
     "stream_match",
     "stream_open_close_outcomes",
     "stream_reconcile",
+    "stream_running_visitors",
     "stream_visitors",
     "upsert_sink",
     "upserted",

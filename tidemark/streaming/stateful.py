@@ -39,6 +39,10 @@ FEW_ROWS = 128
 #: Rows of one sorted piece, and of a chunk of a queue.
 PIECE_ROWS = 2048
 CHUNK_ROWS = 64
+#: Neighbouring numbers of one bitmap of a set.
+BLOCK_BITS = 4096
+#: Stands for a missing visitor.
+NOBODY = -(1 << 63)
 #: Arriving rows of a key are sorted and stored in portions of this many.
 ARRIVING_ROWS = 4 * PIECE_ROWS
 
@@ -91,11 +95,42 @@ class Queue:
             self.append(item)
 
 
+class Members:
+    """A set of whole numbers as bitmaps of BLOCK_BITS neighbours; a firing reads and writes the blocks it touches once."""
+
+    def __init__(self, chunks: Any):
+        self.chunks = chunks
+        self.read: dict[int, bytearray] = {}
+        self.changed: set[int] = set()
+
+    def add(self, value: int) -> bool:
+        """Whether ``value`` is new."""
+        number, at = divmod(value, BLOCK_BITS)
+        if number not in self.read:
+            held = self.chunks.getValue((-1, number))
+            self.read[number] = bytearray.fromhex(held[0]) if held is not None else bytearray(BLOCK_BITS // 8)
+        block, mask = self.read[number], 1 << (at & 7)
+        if block[at >> 3] & mask:
+            return False
+        block[at >> 3] |= mask
+        self.changed.add(number)
+        return True
+
+    def save(self) -> None:
+        for number in self.changed:
+            self.chunks.updateValue((-1, number), (self.read[number].hex(),))
+        self.changed.clear()
+
+    def clear(self) -> None:
+        self.chunks.clear()
+        self.read, self.changed = {}, set()
+
+
 class State:
-    """What a rule knows of a key: a short list of numbers and its queues."""
+    """What a rule knows of a key: a short list of numbers, its queues and a set of members."""
 
-    def __init__(self, numbers: list, queues: list[Queue]):
-        self.numbers, self.queues = numbers, queues
+    def __init__(self, numbers: list, queues: list[Queue], members: Members | None = None):
+        self.numbers, self.queues, self.members = numbers, queues, members
 
     def __bool__(self) -> bool:
         return bool(self.numbers) or any(self.queues)
@@ -287,6 +322,31 @@ class Reconcile(Rule):
             yield RIGHT_ONLY, None, None, us, seq, None, at
 
 
+class RunningDistinct(Rule):
+    """A row's kind is its visitor. Numbers: visitors so far and the end of the window, after which all is forgotten."""
+
+    output = "us BIGINT, seq BIGINT, visitor BIGINT, n BIGINT"
+
+    def __init__(self, size: int):
+        self.size = size
+
+    def on_row(self, state, us, seq, kind):
+        if not state.numbers:
+            state.numbers = [0, (us // self.size + 1) * self.size]
+        if state.members.add(kind):
+            state.numbers[0] += 1
+            yield us, seq, kind, state.numbers[0]
+
+    def deadline(self, state):
+        # The last row of a window is before its end.
+        return state.numbers[1] if state.numbers else None
+
+    def on_deadline(self, state):
+        state.numbers = []
+        state.members.clear()
+        return iter(())
+
+
 class OrderedReplay(StatefulProcessor):
     """Keeps a key's rows until the watermark passes them and replays them through a rule."""
 
@@ -305,9 +365,10 @@ class OrderedReplay(StatefulProcessor):
         self.timer, self.few, self.stored, self.next, numbers, places = (
             json.loads(held[0]) if held is not None else (None, [], [], 0, [], [[0, 0, 0, []] for _ in range(self.rule.queues)])
         )
-        self.state = State(numbers, [Queue(self.chunks, i, place) for i, place in enumerate(places)])
+        self.state = State(numbers, [Queue(self.chunks, i, place) for i, place in enumerate(places)], Members(self.chunks))
 
     def _save(self) -> None:
+        self.state.members.save()
         if self.timer is None and not self.few and not self.stored and not self.state:
             self.value.clear()
             return
@@ -419,6 +480,7 @@ def _replayed(
     delay: Span,
     slices: Column | None = None,
     untimed: bool = False,
+    kinds: str = "int",
 ) -> DataFrame:
     """Rows with a non-null ``kind`` replayed through ``rule``; one output row per result.
 
@@ -430,13 +492,13 @@ def _replayed(
     events = timed.select(
         *keys, ts, micros(timed, ts).alias("_us"), F.col(seq).cast("bigint").alias("_seq"), kind.alias("_kind")
     )
-    events = events.withColumn("_kind", F.col("_kind").cast("int"))
+    events = events.withColumn("_kind", F.col("_kind").cast(kinds))
     if not untimed:
         # Rows without a kind still move the watermark: a condition on the event time stays above it.
         events = events.where(F.when(F.col("_kind").isNotNull(), F.col("_us")).isNotNull())
     by = keys
     if slices is not None:
-        events = events.withColumn("_at", F.explode(slices)).withColumns({"_slice": F.col("_at.slice"), "_kind": F.col("_at.kind").cast("int")}).drop("_at")
+        events = events.withColumn("_at", F.explode(slices)).withColumns({"_slice": F.col("_at.slice"), "_kind": F.col("_at.kind").cast(kinds)}).drop("_at")
         by = [*keys, "_slice"]
     schema = T.StructType([events.schema[k] for k in by] + T.StructType.fromDDL(rule.output).fields)
     return events.groupBy(*by).transformWithState(OrderedReplay(rule, schema.names), schema, "Append", "EventTime")
@@ -606,3 +668,23 @@ def stream_reconcile(
         F.when(is_left, time).alias("pay_ts"), F.when(is_left, number).alias("pay_seq"),
         F.when(~is_left, time).alias("receipt_ts"), F.when(~is_left, number).alias("receipt_seq"),
     ))
+
+
+def stream_running_visitors(
+    stream: DataFrame, ts: str, seq: str, size: Span, user: str, delay: Span = "1 millisecond", keys: Sequence[str] = ()
+) -> DataFrame:
+    """``running_visitors`` over a stream: a row for each user's first event in a window, with the distinct count so far.
+
+    Rows come out as the watermark passes them, not at the window's end. Users are whole numbers; a window's users are kept
+    as bitmaps in blocks until it ends. Rows without a user are one user (the least 64-bit number is taken for it too); rows
+    without a time are left out. Each window, and each value of ``keys`` in it, is one state.
+    """
+    size_us = span_us(size)
+    slices = F.array(F.struct(floor_div(F.col("_us"), size_us).alias("slice"), F.col("_kind").alias("kind")))
+    visitor = F.coalesce(F.col(user).cast("bigint"), F.lit(NOBODY))
+    out = _replayed(stream, keys, ts, seq, visitor, RunningDistinct(size_us), delay, slices, kinds="bigint")
+    end = (floor_div(F.col("us"), size_us) + 1) * size_us
+    return out.select(
+        *keys, _time(end).alias("window_end"), F.when(F.col("visitor") != NOBODY, F.col("visitor")).alias("visitor"),
+        _time("us").alias(ts), F.col("seq").alias(seq), F.col("n").alias("cnt"),
+    )

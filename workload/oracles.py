@@ -447,6 +447,8 @@ SELECT user_id AS order_id, ' ' || event_type || ' ' AS event_type, CASE WHEN ev
        epoch_us(ts) // 1000000 AS epoch_s
 FROM events""",
     "stream_hot_items": f"WITH {BEHAVIOR} {HOT_ITEMS}",
+    "stream_hot_items_state": f"WITH {BEHAVIOR} {HOT_ITEMS}",
+    "stream_uv_running": running("user_id"),
     "stream_page_views": hourly("count(*)"),
     "stream_order_outcomes": PAY_OUTCOMES,
     "stream_fail_bursts": BURSTS,

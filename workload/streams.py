@@ -116,6 +116,30 @@ def stream_hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(top.select("item_id", "window_end", "cnt", "row_num"))
 
 
+def stream_hot_items_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hot items: each window's best kept in list state until its end, a few rows per part of its items."""
+    folder = scratch(spark)
+    with stream_settings(spark):
+        item = F.get_json_object("props", "$.k").cast("bigint")
+        views = events(spark, sf_dir, folder).where(F.col("event_type").isin("view", CLOSING))
+        counts = streaming.stream_counts(views.withColumn("item_id", item), "ts", "1 hour", "5 minutes", ["item_id"])
+        best = streaming.stream_best_rows(counts, 5, ["item_id"])
+        finish(streaming.ranked_sink(best, 5, ["item_id"], f"{folder}/top"), folder)
+    top = spark.read.parquet(f"{folder}/top").where(F.col("item_id").isNotNull())
+    return _zoneless(top.select("item_id", "window_end", "cnt", "row_num"))
+
+
+def stream_uv_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each visitor's first view of the hour with the hour's visitors so far."""
+    folder = scratch(spark)
+    with stream_settings(spark):
+        views = ordered_events(spark, sf_dir, folder).where(F.col("event_type").isin("view", CLOSING))
+        running = streaming.stream_running_visitors(views, "ts", "event_id", "1 hour", "user_id")
+        finish(streaming.changelog_sink(running, f"{folder}/running", mode="append"), folder)
+    rows = spark.read.parquet(f"{folder}/running").where("window_end < timestamp'2099-01-01'").drop("_batch")
+    return _zoneless(rows)
+
+
 def stream_page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly page views in update mode, kept as a changelog."""
     folder = scratch(spark)
@@ -328,6 +352,8 @@ STREAM_QUERIES = {
         stream_hot_items,
         stream_hot_items_corrected,
         stream_hot_items_retract,
+        stream_hot_items_state,
+        stream_uv_running,
         stream_page_views,
         stream_visitors,
         stream_order_pay,
