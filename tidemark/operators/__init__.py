@@ -8,6 +8,7 @@ from tidemark.operators.counting import (
     running_visitors,
     salted_counts,
 )
+from tidemark.operators.custom import Aggregate, custom_aggregate, custom_sliding
 from tidemark.operators.lateness import classify_lateness, sliding_counts_with_lateness
 from tidemark.operators.pairing import interval_join, interval_outer_join, reconcile
 from tidemark.operators.ranking import ranking_report, top_n, top_n_sql
@@ -30,6 +31,7 @@ from tidemark.operators.windows import (
 )
 
 __all__ = [
+    "Aggregate",
     "Pattern",
     "adjacent_pairs_by_arrival",
     "approx_visitors",
@@ -38,6 +40,8 @@ __all__ = [
     "cap_warnings",
     "classify_lateness",
     "consecutive_hits",
+    "custom_aggregate",
+    "custom_sliding",
     "exact_visitors",
     "failure_bursts",
     "fitting_width",

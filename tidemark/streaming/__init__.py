@@ -25,6 +25,7 @@ from tidemark.streaming.stateful import (
     stream_reconcile,
     stream_running_visitors,
 )
+from tidemark.streaming.wall_clock import stream_cap_by_clock
 from tidemark.streaming.windows import event_time, stream_counts, stream_interval_join, stream_visitors
 
 __all__ = [
@@ -42,6 +43,7 @@ __all__ = [
     "route_late",
     "routed_sink",
     "stream_best_rows",
+    "stream_cap_by_clock",
     "stream_cap_outcomes",
     "stream_counts",
     "stream_counts_corrected",

@@ -382,6 +382,26 @@ FROM (
   FROM events
 )
 GROUP BY event_type, i""",
+    "value_runner_up": """
+WITH named AS (SELECT DISTINCT event_type, date_trunc('hour', ts)::TIMESTAMP AS hour, value FROM events),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY event_type, hour ORDER BY value DESC NULLS LAST) AS place FROM named),
+two AS (
+  SELECT event_type, hour, max(CASE WHEN place = 1 THEN value END) AS best, max(CASE WHEN place = 2 THEN value END) AS second
+  FROM ranked GROUP BY event_type, hour
+)
+SELECT *, best - second AS lead FROM two""",
+    "value_runner_up_sliding": f"""
+WITH spread AS (
+  SELECT DISTINCT event_type, value,
+         unnest(range((epoch_us(ts) - {DAY}) // {15 * MINUTE} + 1, epoch_us(ts) // {15 * MINUTE} + 1)) AS i
+  FROM events
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY event_type, i ORDER BY value DESC NULLS LAST) AS place FROM spread),
+two AS (
+  SELECT event_type, i, max(CASE WHEN place = 1 THEN value END) AS best, max(CASE WHEN place = 2 THEN value END) AS second
+  FROM ranked GROUP BY event_type, i
+)
+SELECT event_type, make_timestamp(i * {15 * MINUTE} + {DAY}) AS window_end, best, second, best - second AS lead FROM two""",
     "uv_sliding_sketch": f"""
 SELECT make_timestamp(i * {HOUR} + {DAY}) AS window_end, count(DISTINCT user_id) AS cnt, TRUE AS near
 FROM (
@@ -463,6 +483,14 @@ FROM events""",
     "stream_windows_corrected": CORRECTED,
     "stream_fail_triples": TRIPLE_PATTERN,
     "stream_pattern_next_chain": NEXT_CHAIN,
+    "stream_click_cap_clock": """
+WITH clicks AS (
+  SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 AS ad_id, event_id FROM events
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id ORDER BY event_id) AS place FROM clicks)
+SELECT user_id, ad_id, CASE WHEN place <= 2 THEN 'pass' WHEN place = 3 THEN 'warn' ELSE 'drop' END AS outcome,
+       count(*) AS cnt, max(place) AS last_rank
+FROM ranked GROUP BY ALL""",
     "stream_click_cap": f"""
 WITH {AD_CLICKS}
 SELECT event_id, user_id, ad_id, ts, day_rank,

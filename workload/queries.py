@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,6 +119,39 @@ def value_range_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("window_start")
 
 
+class RunnerUp(ops.Aggregate):
+    """The two largest different values and by how much the first leads."""
+
+    inputs = ("value",)
+    state = "best array<double>"
+    result = "best double, second double, lead double"
+
+    def zero(self) -> tuple:
+        return ([],)
+
+    def add(self, state: tuple, rows: pa.Table) -> tuple:
+        return self.merge(state, (np.unique(rows["value"].drop_null().to_numpy())[-2:].tolist(),))
+
+    def merge(self, one: tuple, other: tuple) -> tuple:
+        return (sorted({*one[0], *other[0]})[-2:],)
+
+    def finish(self, state: tuple) -> tuple:
+        second, best = [None, None, *state[0]][-2:]
+        return best, second, None if second is None else best - second
+
+
+def value_runner_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two largest values of an event type and hour, by an aggregate of its own."""
+    rows = roles.events(spark, sf_dir).withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return ops.custom_aggregate(rows, ["event_type", "hour"], RunnerUp())
+
+
+def value_runner_up_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in days that slide by a quarter of an hour, 96 windows to a row."""
+    found = ops.custom_sliding(roles.events(spark, sf_dir), "ts", "1 day", "15 minutes", ["event_type"], RunnerUp())
+    return found.drop("window_start")
+
+
 def uv_sliding_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visitors of days that slide by the hour, from hourly sketches written and read again: exact count, and whether the
     estimate lies within five hundredths (or one) of it."""
@@ -285,6 +320,8 @@ QUERIES: dict[str, Query] = {
         uv_approx,
         value_range_sliding,
         value_range_fine,
+        value_runner_up,
+        value_runner_up_sliding,
         uv_sliding_sketch,
         uv_running,
         uv_running_hashed,

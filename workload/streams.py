@@ -16,6 +16,7 @@ from tidemark import streaming
 from tidemark.functions import micros
 from tidemark.operators import Pattern
 from tidemark.session import SETTINGS
+from tidemark.streaming.wall_clock import NO_DATA_BATCHES
 
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 CLOSING = "closing"
@@ -35,10 +36,11 @@ def scratch(spark: SparkSession) -> str:
 
 
 @contextmanager
-def stream_settings(spark: SparkSession) -> Iterator[None]:
+def stream_settings(spark: SparkSession, empty_batches: bool = True) -> Iterator[None]:
     """State in RocksDB, one state partition per core."""
-    before = {name: spark.conf.get(name, None) for name in (PROVIDER, PARTITIONS)}
+    before = {name: spark.conf.get(name, None) for name in (PROVIDER, PARTITIONS, NO_DATA_BATCHES)}
     spark.conf.set(PROVIDER, SETTINGS[PROVIDER])
+    spark.conf.set(NO_DATA_BATCHES, str(empty_batches).lower())
     spark.conf.set(PARTITIONS, str(spark.sparkContext.defaultParallelism))
     try:
         yield
@@ -346,6 +348,23 @@ def stream_click_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(rows.drop("_batch").where("user_id <> -1"))
 
 
+def noon(ms: int) -> int:
+    """A clock that stands at noon of one day, so that a run over midnight gives the same ranks."""
+    return 4 * 3_600_000
+
+
+def stream_click_cap_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks of a user and ad that passed, warned and were dropped, had all arrived on one day; ranks by arrival."""
+    folder = scratch(spark)
+    with stream_settings(spark, empty_batches=False):
+        ad = F.pmod(F.get_json_object("props", "$.k").cast("bigint"), F.lit(3))
+        clicks = ordered_events(spark, sf_dir, folder).withColumn("ad_id", ad)
+        capped = streaming.stream_cap_by_clock(clicks, ["user_id", "ad_id"], "event_id", 2, clock=noon)
+        finish(streaming.changelog_sink(capped, f"{folder}/capped", mode="append"), folder)
+    rows = spark.read.parquet(f"{folder}/capped").where("user_id <> -1")
+    return rows.groupBy("user_id", "ad_id", "outcome").agg(F.count("*").alias("cnt"), F.max("day_rank").alias("last_rank"))
+
+
 STREAM_QUERIES = {
     f.__name__: f
     for f in (
@@ -367,5 +386,6 @@ STREAM_QUERIES = {
         stream_fail_triples,
         stream_pattern_next_chain,
         stream_click_cap,
+        stream_click_cap_clock,
     )
 }
