@@ -25,11 +25,12 @@ from pyspark.sql.types import ArrayType, FloatType, StringType, StructField, Str
 from .common import add_columns
 
 HASHED = 64
+PATHS = 128
 DENSITIES = 6
-INPUTS = 2 * HASHED + DENSITIES
+INPUTS = PATHS + HASHED + DENSITIES
 HIDDEN = 16
-TRAINING_PAGES = 480
-EPOCHS = 10
+TRAINING_PAGES = 2000
+EPOCHS = 18
 BATCH = 40
 SEED = 11
 #: Blocks times pages that one pass of the network holds; longer pages pass alone.
@@ -61,7 +62,7 @@ _MARKS = re.compile(r"[.,;:!?…]")
 @lru_cache(maxsize=100_000)
 def _place(token: str) -> tuple[int, float]:
     code = zlib.crc32(token.encode())
-    return code % HASHED, 1.0 if code & 0x10000 else -1.0
+    return code % PATHS, 1.0 if code & 0x10000 else -1.0
 
 
 class _Codes(dict):
@@ -69,6 +70,7 @@ class _Codes(dict):
 
     def __missing__(self, word: str) -> int:
         at, sign = _place(word[:12].lower())
+        at %= HASHED
         if len(self) >= CACHED_WORDS:
             self.clear()
         self[word] = code = int(sign) * (at + 1)
@@ -79,7 +81,7 @@ _codes = _Codes()
 
 
 def _path_vector(parent: np.ndarray | None, tag: str, names: list[str]) -> np.ndarray:
-    vector = np.zeros(HASHED, np.float32) if parent is None else parent.copy()
+    vector = np.zeros(PATHS, np.float32) if parent is None else parent.copy()
     for token in (tag, *(f".{n}" for n in names)):
         at, sign = _place(token)
         vector[at] += sign
@@ -97,6 +99,7 @@ def blocks_of(page: str) -> list[Block]:
     """The leaf blocks of a page in order, without empty ones; bad markup is read as browsers do, roughly."""
     root = _path_vector(None, "", [])
     stack: list[tuple[str, np.ndarray]] = [("", root)]
+    open_at: dict[str, list[int]] = {}  # of each tag: the places of its open elements in the stack
     found: list[Block] = []
     parts: list[str] = []
     linked = links = 0
@@ -157,15 +160,16 @@ def blocks_of(page: str) -> list[Block]:
             continue
         flush()
         if closing:
-            depth = next((i for i in range(len(stack) - 1, max(0, len(stack) - 64), -1) if stack[i][0] == tag), 0)
-            if depth:
-                del stack[depth:]
+            depth = open_at[tag][-1] if open_at.get(tag) else len(stack)
+            while len(stack) > depth:
+                open_at[stack.pop()[0]].pop()
             continue
         if stack[-1][0] == "p" or stack[-1][0] in ENDS.get(tag, ()):
-            stack.pop()
+            open_at[stack.pop()[0]].pop()
         if tag not in EMPTY:
             attributes = [a or b or c for _, a, b, c in _NAMES.findall(m[3])] if "=" in m[3] else []
-            names = [w.lower() for value in attributes for w in _SPLIT_NAME.findall(value)][:16]
+            names = [w.lower() for value in attributes for w in _SPLIT_NAME.findall(value)]
+            open_at.setdefault(tag, []).append(len(stack))
             stack.append((tag, _path_vector(stack[-1][1], tag, names)))
     flush()
     return found
@@ -194,7 +198,9 @@ def features(found: list[Block]) -> np.ndarray:
         order / count,
         1 / order,
     )
-    return np.concatenate([paths, hashed / (4 * np.sqrt(np.maximum(1, sizes)))[:, None], np.stack(densities, axis=1)], axis=1).astype(np.float32)
+    # However often a block repeats a word, it weighs no more than in a block of its own.
+    words_seen = np.clip(hashed / (4 * np.sqrt(np.maximum(1, sizes)))[:, None], -0.25, 0.25)
+    return np.concatenate([paths, words_seen, np.stack(densities, axis=1)], axis=1).astype(np.float32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -305,9 +311,11 @@ class PageMaker:
     LEGAL = "copyright rights reserved privacy terms imprint policy contact".split()
     NOTICE = "cookies accept consent settings subscribe newsletter agree we use".split()
     ADVERT = "sponsored advert offer buy now save free sale click".split()
+    #: An invented name stands for "?".
     ROOMS = (
-        ("article", ""), ("article", "post"), ("main", ""), ("div", "content"), ("div", "main content"), ("section", "story"),
-        ("div", "entry content"), ("div", "article body"), ("div", "post"),
+        ("article", ""), ("article", "post"), ("article", "?"), ("main", ""), ("main", "?"), ("div", "content"), ("div", "main content"),
+        ("section", "story"), ("div", "entry content"), ("div", "article body"), ("div", "post"), ("div", "text"), ("div", "?"), ("div", "?"),
+        ("section", "?"), ("div", ""), ("section", ""), ("table", ""),
     )
 
     def __init__(self, seed: int) -> None:
@@ -324,7 +332,7 @@ class PageMaker:
         out = [r.choice(extra) if extra and r.random() < 0.4 else self.word() for _ in range(r.randint(low, high))]
         for i in range(len(out)):
             if r.random() < 0.12:
-                out[i] += r.choice([".", ",", ".", "…", "&amp;", "&amp;&amp;", "###", "$$$", "%%%", "***"])
+                out[i] += r.choice([".", ",", ".", "…", "&amp;", "!", "?", ";"])
         return " ".join(out).capitalize() + r.choice([".", ".", ""])
 
     def put(self, label: int, tag: str, text: str, close: bool = True) -> None:
@@ -333,6 +341,8 @@ class PageMaker:
 
     def named(self, tag: str, *names: str) -> str:
         name = self.rng.choice(names)
+        if name and self.rng.random() < 0.2:
+            name = self.rng.choice([f"{self.word()}-{name}", f"{name} {self.word()}"])
         return f'{tag} {self.rng.choice(["class", "class", "id"])}="{name}"' if name else tag
 
     def box(self, tag: str, inside) -> None:
@@ -349,11 +359,11 @@ class PageMaker:
         self.box("ul", items)
 
     def menu(self) -> None:
-        tag = self.rng.choice(["nav", self.named("div", "menu", "nav", "navigation", "breadcrumbs"), self.named("nav", "top", "main-menu")])
+        tag = self.rng.choice(["nav", self.named(self.rng.choice(["div", "ul", "td"]), "menu", "nav", "navigation", "navbar", "breadcrumbs", "tabs", "links", "toolbar"), self.named("nav", "top", "main-menu")])
         self.box(tag, lambda: self.links(8))
 
     def head(self) -> None:
-        self.box(self.rng.choice(["header", self.named("div", "header", "site-header", "top-bar", "masthead")]), lambda: (self.put(0, self.rng.choice(["div", "p", "h2"]), self.words(1, 6)), self.rng.random() < 0.5 and self.links(5)))
+        self.box(self.rng.choice(["header", self.named("div", "header", "site-header", "top-bar", "masthead", "logo", "topbar")]), lambda: (self.put(0, self.rng.choice(["div", "p", "h2"]), self.words(1, 6)), self.rng.random() < 0.5 and self.links(5)))
 
     def foot(self) -> None:
         def inside() -> None:
@@ -362,52 +372,83 @@ class PageMaker:
             if self.rng.random() < 0.3:
                 self.links(4)
 
-        self.box(self.rng.choice(["footer", "footer", self.named("div", "footer", "site-footer", "bottom")]), inside)
+        self.box(self.rng.choice(["footer", "footer", self.named("div", "footer", "site-footer", "bottom", "legal", "copyright", "colophon")]), inside)
 
     def advert(self) -> None:
-        self.put(0, self.named("div", "ad", "ad", "ads", "advert", "banner", "sponsored", "promo"), self.words(2, 30, self.ADVERT if self.rng.random() < 0.4 else None))
+        self.put(0, self.named("div", "ad", "ads", "advert", "advertisement", "adbox", "banner", "sponsored", "promo"), self.words(2, 30, self.ADVERT if self.rng.random() < 0.4 else None))
 
     def notice(self) -> None:
-        tag = self.named("div", "cookie", "cookie-notice", "notice", "consent", "alert", "popup", "newsletter")
+        tag = self.named("div", "cookie", "cookie-notice", "notice", "consent", "gdpr", "alert", "popup", "modal", "overlay", "newsletter", "disclaimer")
         self.box(tag, lambda: (self.put(0, "p", self.words(4, 30, self.NOTICE)), self.rng.random() < 0.5 and self.put(0, "button", self.words(1, 2, self.NOTICE))))
 
     def side(self) -> None:
-        tag = self.rng.choice(["aside", "aside", self.named("div", "sidebar", "related", "widget", "side")])
+        tag = self.rng.choice(["aside", "aside", self.named(self.rng.choice(["div", "aside", "section"]), "promo", "sidebar", "related", "widget", "side", "recommended", "rail", "trending", "share", "tags")])
         self.box(tag, lambda: (self.put(0, "h3", self.words(1, 4)), self.links(6) if self.rng.random() < 0.6 else self.put(0, "p", self.words(5, 40))))
 
     def form(self) -> None:
         self.box("form", lambda: (self.put(0, "label", self.words(1, 4, self.NOTICE)), self.parts.append('<input name="q">'), self.put(0, "button", self.words(1, 2, self.MENU))))
 
     def comments(self) -> None:
-        tag = self.rng.choice([self.named("section", "comments", "responses"), self.named("div", "comments", "comment-list", "disqus", "reader-comments"), self.named("ol", "comments")])
+        r = self.rng
+        names = ("comments", "comment-list", "disqus", "reader-comments", "responses", "discussion", "replies")
+        tag = self.named(r.choice(["section", "div", "div", "ol"]), *names)
+        single = r.choice(["div", "div", "li", "article"])
+
+        def reply(deep: int) -> None:
+            self.put(0, r.choice(["p", "p", "div"]), self.words(4, 60))
+            if deep and r.random() < 0.3:
+                self.box(self.named("div", "comment", "reply", "replies", ""), lambda: reply(deep - 1))
 
         def inside() -> None:
-            self.put(0, "h3", self.words(1, 3))
-            for _ in range(self.rng.randint(1, 5)):
-                self.box(self.named("div", "comment", "reply", ""), lambda: self.put(0, "p", self.words(4, 60)))
+            if r.random() < 0.8:
+                self.put(0, r.choice(["h2", "h3"]), self.words(1, 3))
+            closed = r.random() < 0.85
+            for _ in range(r.randint(1, 6)):
+                box = self.named(single, "comment", "reply", "response", "")
+                self.parts.append(f"<{box}>")
+                reply(4)
+                self.parts.append(f"</{single}>" if closed else "")
 
         self.box(tag, inside)
 
+    def passage(self) -> None:
+        """A part of an article."""
+        r = self.rng
+        kind = r.random()
+        if kind < 0.6:
+            text = self.words(1, r.choice([4, 12, 40, 90]))
+            if r.random() < 0.03:
+                text = " ".join([self.word()] * r.randint(5, 120))
+            if r.random() < 0.15:
+                text = f"<{(t := r.choice(['b', 'em', 'strong', 'a href=x']))}>{self.words(1, 4)}</{t.split()[0]}> {text}"
+            self.put(1, r.choice(["p", "p", "p", "p", "div"]), text, close=r.random() < 0.85)
+            if r.random() < 0.05:
+                self.parts.append("<noscript>x</noscript>")
+        elif kind < 0.66:
+            self.put(1, r.choice(["h2", "h3", "h4"]), self.words(1, 8))
+        elif kind < 0.73:
+            self.box(r.choice(["ul", "ol"]), lambda: [self.put(1, "li", self.words(1, 15)) for _ in range(r.randint(1, 6))])
+        elif kind < 0.76:
+            self.box("dl", lambda: [self.put(1, t, self.words(1, 12)) for _ in range(r.randint(1, 4)) for t in ("dt", "dd")])
+        elif kind < 0.81:
+            self.put(1, r.choice(["blockquote", "pre", "figcaption"]), self.words(3, 30))
+        elif kind < 0.85:
+            self.box("table", lambda: [self.put(1, r.choice(["td", "td", "th"]), self.words(1, 5)) for _ in range(r.randint(1, 6))])
+        elif kind < 0.89:
+            self.box(r.choice(["div", "section", f"div class={self.word()}"]), lambda: [self.passage() for _ in range(r.randint(1, 3))])
+        else:
+            r.choice([self.advert, self.advert, self.side, self.form, self.notice])()
+
     def story(self) -> None:
         r = self.rng
         title = self.words(1, 12)
-        self.put(1, "h1", title)
-        if r.random() < 0.5:
-            self.put(1, "p", f"<b>{title}<br>", close=False)
-        for _ in range(r.choice([0, 1, 2, 4, 8, 14])):
-            kind = r.random()
-            if kind < 0.72:
-                self.put(1, "p", ("<b>" if r.random() < 0.1 else "") + self.words(1, 90), close=r.random() < 0.85)
-            elif kind < 0.78:
-                self.put(1, r.choice(["h2", "h3"]), self.words(1, 8))
-            elif kind < 0.83:
-                self.box(r.choice(["ul", "ol"]), lambda: [self.put(1, "li", self.words(1, 15)) for _ in range(r.randint(1, 4))])
-            elif kind < 0.87:
-                self.put(1, r.choice(["blockquote", "pre", "figcaption"]), self.words(3, 30))
-            elif kind < 0.9:
-                self.box("table", lambda: [self.put(1, "td", self.words(1, 5)) for _ in range(r.randint(1, 6))])
-            else:
-                r.choice([self.advert, self.side, self.form, self.notice])()
+        if r.random() < 0.92:
+            self.put(1, r.choice(["h1", "h1", "h1", "h2"]), title)
+        if r.random() < 0.3:
+            lead = title if r.random() < 0.5 else self.words(3, 30)
+            self.put(1, "p", f"<{(t := r.choice(['b', 'strong', 'em']))}>{lead}" + r.choice(["<br>", f"</{t}>"]), close=r.random() < 0.6)
+        for _ in range(r.choice([0, 1, 1, 2, 3, 4, 8, 14])):
+            self.passage()
 
     def page(self) -> tuple[str, list[int]]:
         r = self.rng
@@ -416,13 +457,17 @@ class PageMaker:
             if r.random() < (0.75 if part in (self.menu, self.advert) else 0.35):
                 part()
         tag, name = r.choice(self.ROOMS)
-        room = f'{tag} {r.choice(["class", "id"])}="{name}"' if name else tag
-        outer = r.random()
-        if outer < 0.3:
-            self.parts.append(r.choice(['<div class="wrapper">', '<div id="page">', "<div>"]))
-        self.box(room, self.story)
-        if outer < 0.3:
-            self.parts.append("</div>")
+        name = name.replace("?", self.word())
+        room = f'{tag} {r.choice(["class", "class", "id"])}="{name}"' if name else tag
+        inner = ["tr", "td"] if tag == "table" else ["div"] * r.choice([0, 0, 0, 1, 2])
+        around = [r.choice(['div class="wrapper"', 'div id="page"', "div", f'div class="{self.word()}"']) for _ in range(r.choice([0, 0, 1, 1, 2, 4]))]
+        self.parts += [f"<{t}>" for t in around]
+        self.parts.append(f"<{room}>")
+        self.parts += [f"<{t}>" for t in inner]
+        self.story()
+        self.parts += [f"</{t}>" for t in reversed(inner)]
+        self.parts.append(f"</{tag}>" if r.random() < 0.97 else "")
+        self.parts += ["</div>" for _ in around]
         for part in (self.advert, self.side, self.comments, self.form, self.foot):
             if r.random() < (0.9 if part == self.foot else 0.3):
                 part()
@@ -457,10 +502,11 @@ def trained(seed: int = SEED) -> BlockLabeller:
         for b in rng.permutation(len(batches)):
             slopes, _ = model.slopes(*batches[b])
             step += 1
+            rate = 0.02 * (1 - (step - 1) / (EPOCHS * len(batches)))
             for k, slope in slopes.items():
                 first[k] = 0.9 * first[k] + 0.1 * slope
                 second[k] = 0.99 * second[k] + 0.01 * slope**2
-                model.w[k] -= 0.02 * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
+                model.w[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
     return model
 
 
