@@ -260,6 +260,37 @@ def test_many_waiting_rows_lie_in_pieces(spark, tmp_path, monkeypatch):
     same(replay.collect(stream, "chunks"), ops.match(replay.batch(), ["key"], "ts", "seq", pattern))
 
 
+def test_many_keys_share_state_and_calls(spark, tmp_path, monkeypatch):
+    """State does not grow by a value and a timer for each key; keys of any type come back as they were."""
+    from tidemark.streaming import stateful
+
+    for name, value in (("BUCKETS", 4), ("FEW_KEYS", 3), ("KEY_BLOCKS", 5), ("PACKED_ROWS", 7)):
+        monkeypatch.setattr(stateful, name, value, raising=False)
+    replay = Replay(spark, tmp_path, random_events(13, 400, 6, ["a", "b"], gap=4))
+    keys = {
+        "name": F.when(F.col("key") % 50 != 0, F.concat(F.lit('k "\\ \n'), F.col("key") % 90)),
+        "since": F.timestamp_micros(F.col("key") + F.lit(10**15)).cast("timestamp_ntz"),
+    }
+    stream, batch = replay.stream().withColumns(keys), replay.batch().withColumns(keys)
+    pattern = ops.Pattern.begin("open", F.expr(A)).followed_by("close", F.expr(B)).within("6 seconds")
+    runs = {
+        "shared_match": (
+            streaming.stream_followed_by(stream, list(keys), "ts", "seq", F.expr(A), F.expr(B), "6 seconds", delay="20 seconds"),
+            ops.match(batch, list(keys), "ts", "seq", pattern),
+        ),
+        "shared_cap": (
+            streaming.stream_cap_outcomes(stream, list(keys), "ts", "seq", 2),
+            ops.cap_outcomes(batch, list(keys), "ts", "seq", 2).select(*keys, "ts", "seq", "day_rank", "outcome"),
+        ),
+    }
+    for name, (got, want) in runs.items():
+        query = streaming.memory_sink(got, name).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        query.awaitTermination()
+        found = spark.table(name)
+        same(found.where("seq < 1000000") if "seq" in found.columns else found, want)
+        assert 0 < max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) < 150, name
+
+
 def test_incomplete_rows_fare_as_in_batch(spark, tmp_path):
     events = random_events(7, 6, 20, ["a", "b"], gap=4)
     replay = Replay(spark, tmp_path, events)

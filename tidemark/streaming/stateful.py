@@ -3,21 +3,26 @@
 Rows of a key wait until the watermark has passed them and are then replayed in (event time, sequence) order, so results
 do not depend on how the stream is cut into batches. What happens on a row or at a deadline is described by a small rule.
 
-State. One value per key holds a short text: the timer, the rule's numbers, and few waiting rows. More waiting rows lie in a
-map, in sorted pieces of bounded length, and a firing reads and rewrites only pieces that the watermark has reached. Rules
-that keep rows of their own (partial matches, unmatched rows) use first-in-first-out queues whose full chunks lie in
-another map, so a key with a million waiting rows costs a firing no more than one with a few.
+State. Keys are dealt to BUCKETS groups by a hash, and the state of a group is that of all its keys: a batch calls each group
+once, however many keys it has, since most of the time of a call with few rows goes into asking for state and timers. One
+value per group holds a short text: the timer, few waiting rows, and what the rule knows of few keys. More keys lie in blocks
+of a map, of which a firing reads those with a key that has rows or a deadline. More waiting rows lie in another map, in
+sorted pieces of bounded length, and a firing reads and rewrites only pieces that the watermark has reached. Rules that keep
+rows of their own (partial matches, unmatched rows) use first-in-first-out queues whose full chunks lie in a third map, so a
+key with a million waiting rows costs a firing no more than one with a few.
 
 Hot keys. Where a rule looks only a bounded time ahead (patterns) or starts anew at fixed times (daily caps), the state is
-keyed by (key, time slice): rows are copied into the earlier slices that may still wait for them, each slice answers for
-its own rows, and a key's slices lie in different state partitions.
+that of a (key, time slice): rows are copied into the earlier slices that may still wait for them, each slice answers for
+its own rows, and a key's slices lie in different groups and state partitions.
 """
 
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Iterator, Sequence
-from heapq import heappop, heappush
+from heapq import heapify, heappop, heappush
+from itertools import islice
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row
@@ -34,8 +39,15 @@ from tidemark.streaming.windows import event_time
 Output = tuple
 _OUTPUT = "outcome STRING, a_us BIGINT, a_seq BIGINT, b_us BIGINT, b_seq BIGINT, n BIGINT, at_us BIGINT"
 _PATHS = "outcome STRING, us ARRAY<BIGINT>, seq ARRAY<BIGINT>, at_us BIGINT"
-#: A key's waiting rows up to this number lie in its value.
+#: Groups that keys are dealt to. A stream's checkpoint holds for the number it was begun with.
+BUCKETS = 512
+#: A group's waiting rows, and its keys with state, up to these numbers lie in its value.
 FEW_ROWS = 128
+FEW_KEYS = 256
+#: Blocks of a group that has more keys with state.
+KEY_BLOCKS = 64
+#: Results handed on in one text.
+PACKED_ROWS = 1000
 #: Rows of one sorted piece, and of a chunk of a queue.
 PIECE_ROWS = 2048
 CHUNK_ROWS = 64
@@ -43,20 +55,20 @@ CHUNK_ROWS = 64
 BLOCK_BITS = 4096
 #: Stands for a missing visitor.
 NOBODY = -(1 << 63)
-#: Arriving rows of a key are sorted and stored in portions of this many.
+#: Arriving rows of a group are sorted and stored in portions of this many.
 ARRIVING_ROWS = 4 * PIECE_ROWS
 
 
 class Queue:
     """Items first in first out. ``place`` is [first chunk, items taken from it, next chunk, items behind the last chunk]."""
 
-    def __init__(self, chunks: Any, number: int, place: list):
-        self.chunks, self.number, self.place = chunks, number, place
+    def __init__(self, chunks: Any, owner: int, number: int, place: list):
+        self.chunks, self.owner, self.number, self.place = chunks, owner, number, place
         self.front: list | None = None
 
     def _front(self) -> list | None:
         if self.place[0] < self.place[2] and self.front is None:
-            self.front = json.loads(self.chunks.getValue((self.number, self.place[0]))[0])
+            self.front = json.loads(self.chunks.getValue((self.owner, self.number, self.place[0]))[0])
         return self.front
 
     def __bool__(self) -> bool:
@@ -69,7 +81,7 @@ class Queue:
     def append(self, item: list) -> None:
         self.place[3].append(item)
         if len(self.place[3]) == CHUNK_ROWS:
-            self.chunks.updateValue((self.number, self.place[2]), (json.dumps(self.place[3]),))
+            self.chunks.updateValue((self.owner, self.number, self.place[2]), (json.dumps(self.place[3]),))
             self.place[2] += 1
             self.place[3] = []
 
@@ -80,7 +92,7 @@ class Queue:
         item = front[self.place[1]]
         self.place[1] += 1
         if self.place[1] == len(front):
-            self.chunks.removeKey((self.number, self.place[0]))
+            self.chunks.removeKey((self.owner, self.number, self.place[0]))
             self.place[0], self.place[1], self.front = self.place[0] + 1, 0, None
         return item
 
@@ -96,7 +108,10 @@ class Queue:
 
 
 class Members:
-    """A set of whole numbers as bitmaps of BLOCK_BITS neighbours; a firing reads and writes the blocks it touches once."""
+    """A set of whole numbers as bitmaps of BLOCK_BITS neighbours; a firing reads and writes the blocks it touches once.
+
+    Only for rules whose keys are ``alone``: ``clear`` takes all chunks of the group.
+    """
 
     def __init__(self, chunks: Any):
         self.chunks = chunks
@@ -107,7 +122,7 @@ class Members:
         """Whether ``value`` is new."""
         number, at = divmod(value, BLOCK_BITS)
         if number not in self.read:
-            held = self.chunks.getValue((-1, number))
+            held = self.chunks.getValue((-1, -1, number))
             self.read[number] = bytearray.fromhex(held[0]) if held is not None else bytearray(BLOCK_BITS // 8)
         block, mask = self.read[number], 1 << (at & 7)
         if block[at >> 3] & mask:
@@ -118,7 +133,7 @@ class Members:
 
     def save(self) -> None:
         for number in self.changed:
-            self.chunks.updateValue((-1, number), (self.read[number].hex(),))
+            self.chunks.updateValue((-1, -1, number), (self.read[number].hex(),))
         self.changed.clear()
 
     def clear(self) -> None:
@@ -126,11 +141,71 @@ class Members:
         self.read, self.changed = {}, set()
 
 
+class Crowd:
+    """What is known of the keys of a group: by name, a list that begins with the time it is due at, or None.
+
+    Up to FEW_KEYS go with the group's value; more lie in KEY_BLOCKS blocks of a map by a hash of the name. ``listed`` are
+    the blocks not read, each with the earliest time in it.
+    """
+
+    def __init__(self, blocks: Any, items: dict[str, list], listed: list):
+        self.blocks, self.items, self.listed = blocks, items, dict(listed)
+        self.read: set[int] = set()
+
+    @staticmethod
+    def _block(name: str) -> int:
+        return zlib.crc32(name.encode()) % KEY_BLOCKS
+
+    def _read(self, number: int) -> None:
+        del self.listed[number]
+        self.items.update(json.loads(self.blocks.getValue((number,))[0]))
+        self.read.add(number)
+
+    def get(self, name: str) -> list | None:
+        if self.listed and name not in self.items and (number := self._block(name)) in self.listed:
+            self._read(number)
+        return self.items.get(name)
+
+    def due(self, until: int) -> list[str]:
+        for number in [number for number, due in self.listed.items() if due is not None and due <= until]:
+            self._read(number)
+        return [name for name, item in self.items.items() if item[0] is not None and item[0] <= until]
+
+    def earliest(self) -> int | None:
+        times = [item[0] for item in self.items.values()] + list(self.listed.values())
+        return min((time for time in times if time is not None), default=None)
+
+    def take(self) -> Iterator[tuple[str, list]]:
+        """All keys, block by block; none is left."""
+        while True:
+            yield from self.items.items()
+            self.items = {}
+            if not self.listed:
+                return
+            self._read(next(iter(self.listed)))
+
+    def save(self) -> list:
+        """What goes with the group's value: few keys, and the blocks."""
+        written: dict[int, dict] = {}
+        if len(self.items) > FEW_KEYS:
+            for number in {self._block(name) for name in self.items} & self.listed.keys():
+                self._read(number)
+            for name, item in self.items.items():
+                written.setdefault(self._block(name), {})[name] = item
+            self.items = {}
+        for number, items in written.items():
+            self.blocks.updateValue((number,), (json.dumps(items),))
+            self.listed[number] = min((item[0] for item in items.values() if item[0] is not None), default=None)
+        for number in self.read - written.keys():
+            self.blocks.removeKey((number,))
+        return [self.items, list(self.listed.items())]
+
+
 class State:
     """What a rule knows of a key: a short list of numbers, its queues and a set of members."""
 
-    def __init__(self, numbers: list, queues: list[Queue], members: Members | None = None):
-        self.numbers, self.queues, self.members = numbers, queues, members
+    def __init__(self, owner: int, numbers: list, queues: list[Queue], members: Members):
+        self.owner, self.numbers, self.queues, self.members = owner, numbers, queues, members
 
     def __bool__(self) -> bool:
         return bool(self.numbers) or any(self.queues)
@@ -141,12 +216,18 @@ class Rule:
 
     queues = 0
     output = _OUTPUT
+    #: Whether each key is a group of its own, because its state is large.
+    alone = False
+
+    @staticmethod
+    def pack(us: int, name: str, kind: int, seq: int) -> list:
+        """A waiting row, so that rows sort as they are replayed. A row that closes and opens comes twice and closes first."""
+        return [us, name, seq, -kind]
 
     @staticmethod
-    def order(row: tuple) -> tuple:
-        """Sort key of (us, kind, seq). A row that closes and opens comes twice and closes first."""
-        us, kind, seq = row
-        return us, seq, -kind
+    def unpack(row: list) -> tuple[int, str, int, int]:
+        """Time, name, kind and sequence number."""
+        return row[0], row[1], -row[3], row[2]
 
     def on_row(self, state: State, us: int, seq: int, kind: int) -> Iterator[Output]:
         raise NotImplementedError
@@ -211,9 +292,11 @@ class OpenClose(Rule):
     """kind 0 opens, kind 1 closes; only the latest open row counts, and only for ``patience``."""
 
     @staticmethod
-    def order(row: tuple) -> tuple:
+    def pack(us, name, kind, seq):
         """Rows of equal time by kind first."""
-        return row
+        return [us, name, kind, seq]
+
+    unpack = staticmethod(tuple)
 
     def __init__(self, span: int, patience: int):
         self.span, self.patience = span, patience
@@ -293,9 +376,11 @@ class Reconcile(Rule):
     queues = 1
 
     @staticmethod
-    def order(row: tuple) -> tuple:
+    def pack(us, name, kind, seq):
         """Rows of equal time by kind first."""
-        return row
+        return [us, name, kind, seq]
+
+    unpack = staticmethod(tuple)
 
     def __init__(self, left_wait: int, right_wait: int):
         self.waits = (left_wait, right_wait)
@@ -326,6 +411,7 @@ class RunningDistinct(Rule):
     """A row's kind is its visitor. Numbers: visitors so far and the end of the window, after which all is forgotten."""
 
     output = "us BIGINT, seq BIGINT, visitor BIGINT, n BIGINT"
+    alone = True
 
     def __init__(self, size: int):
         self.size = size
@@ -348,7 +434,11 @@ class RunningDistinct(Rule):
 
 
 class OrderedReplay(StatefulProcessor):
-    """Keeps a key's rows until the watermark passes them and replays them through a rule."""
+    """Keeps a group's rows until the watermark passes them and replays them through a rule, which sees one key at a time.
+
+    A row's last column is a text of its time, sequence number, kind and the name of its key, as each further column costs as
+    much again; results go out as JSON texts of many, with the name as ``_name``.
+    """
 
     def __init__(self, rule: Rule, columns: list[str]):
         self.rule, self.columns = rule, columns
@@ -357,51 +447,80 @@ class OrderedReplay(StatefulProcessor):
         self.handle = handle
         self.value = handle.getValueState("value", "json STRING")
         self.pieces = handle.getMapState("pieces", "number BIGINT", "json STRING")
-        self.chunks = handle.getMapState("chunks", "queue INT, number BIGINT", "json STRING")
+        self.blocks = handle.getMapState("blocks", "number BIGINT", "json STRING")
+        self.chunks = handle.getMapState("chunks", "owner BIGINT, queue INT, number BIGINT", "json STRING")
 
     def _load(self) -> None:
-        """``timer``, few waiting rows, stored pieces as (first time, number), and the rule's state."""
+        """``timer``, few waiting rows, stored pieces as (first time, number), the next number, and the keys with state."""
         held = self.value.get()
-        self.timer, self.few, self.stored, self.next, numbers, places = (
-            json.loads(held[0]) if held is not None else (None, [], [], 0, [], [[0, 0, 0, []] for _ in range(self.rule.queues)])
-        )
-        self.state = State(numbers, [Queue(self.chunks, i, place) for i, place in enumerate(places)], Members(self.chunks))
+        self.timer, self.few, self.stored, self.next, crowd = json.loads(held[0]) if held is not None else (None, [], [], 0, ({}, []))
+        self.crowd = Crowd(self.blocks, *crowd)
+        self.states: dict[str, State] = {}
+
+    def _state(self, name: str) -> State:
+        state = self.states.get(name)
+        if state is None:
+            held = self.crowd.get(name)
+            if held is None:
+                owner, numbers, places = self.next, [], [[0, 0, 0, []] for _ in range(self.rule.queues)]
+                self.next += 1
+            else:
+                _, owner, numbers, places = held
+            queues = [Queue(self.chunks, owner, i, place) for i, place in enumerate(places)]
+            state = self.states[name] = State(owner, numbers, queues, Members(self.chunks))
+        return state
+
+    def _keep_states(self) -> None:
+        for name, state in self.states.items():
+            state.members.save()
+            if state:
+                self.crowd.items[name] = [self.rule.deadline(state), state.owner, state.numbers, [queue.place for queue in state.queues]]
+            else:
+                self.crowd.items.pop(name, None)
+        self.states = {}
 
     def _save(self) -> None:
-        self.state.members.save()
-        if self.timer is None and not self.few and not self.stored and not self.state:
+        few_keys, listed = self.crowd.save()
+        if self.timer is None and not self.few and not self.stored and not few_keys and not listed:
             self.value.clear()
             return
-        places = [queue.place for queue in self.state.queues]
-        self.value.update((json.dumps([self.timer, self.few, self.stored, self.next, self.state.numbers, places]),))
+        self.value.update((json.dumps([self.timer, self.few, self.stored, self.next, [few_keys, listed]]),))
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         self._load()
         arrived, untimed, first = [], [], None
-        for r in rows:
-            if r["_us"] is None:
-                untimed.append(r["_seq"])
+        pack = self.rule.pack
+        for *_, text in rows:
+            us, seq, kind, name = text.split(" ", 3)
+            seq = int(seq) if seq else None
+            if not us:
+                untimed.append((name, seq))
                 continue
-            arrived.append((r["_us"], r["_kind"], r["_seq"]))
+            arrived.append(pack(int(us), name, int(kind), seq))
             if len(arrived) == ARRIVING_ROWS:
                 first = self._store(arrived, first)
                 arrived = []
         if arrived:
             if len(self.few) + len(arrived) <= FEW_ROWS:
                 self.few += arrived
-                earliest = min(arrived)[0]
+                earliest = min(row[0] for row in arrived)
                 first = earliest if first is None else min(first, earliest)
             else:
                 first = self._store(arrived, first)
-        for seq in sorted(untimed, key=lambda seq: (seq is not None, seq)):
-            yield from self._named(key, self.rule.on_untimed(self.state, seq))
+        yield from self._packed(self._untimed(untimed))
         if first is not None:
             self._wake_at(first)
         self._save()
 
-    def _store(self, rows: list[tuple], first: int | None) -> int:
+    def _untimed(self, rows: list[tuple]) -> Iterator[tuple]:
+        for name, seq in sorted(rows, key=lambda row: (row[0], row[1] is not None, row[1])):
+            for output in self.rule.on_untimed(self._state(name), seq):
+                yield name, *output
+        self._keep_states()
+
+    def _store(self, rows: list[list], first: int | None) -> int:
         """Put rows away in sorted pieces; the earliest time so far."""
-        rows.sort(key=self.rule.order)
+        rows.sort()
         for low in range(0, len(rows), PIECE_ROWS):
             self._put(rows[low : low + PIECE_ROWS])
         return rows[0][0] if first is None else min(first, rows[0][0])
@@ -411,53 +530,61 @@ class OrderedReplay(StatefulProcessor):
         self.stored.append([rows[0][0], self.next])
         self.next += 1
 
-    def _ready(self, now: int) -> Iterator[tuple]:
+    def _ready(self, now: int) -> Iterator[list]:
         """Waiting rows up to ``now`` in order; a piece is read when the first of its rows is due."""
-        order = self.rule.order
-        waiting: list[tuple] = []
-        later = []
-        for row in map(tuple, self.few):
-            heappush(waiting, (order(row), row)) if row[0] <= now else later.append(row)
-        self.few = later
+        waiting = [row for row in self.few if row[0] <= now]
+        self.few = [row for row in self.few if row[0] > now]
+        heapify(waiting)
         self.stored.sort(reverse=True)
         while waiting or self.stored and self.stored[-1][0] <= now:
-            while self.stored and self.stored[-1][0] <= (waiting[0][1][0] if waiting else now):
+            while self.stored and self.stored[-1][0] <= (waiting[0][0] if waiting else now):
                 _, number = self.stored.pop()
                 rows = json.loads(self.pieces.getValue((number,))[0])
                 self.pieces.removeKey((number,))
                 due = sum(1 for row in rows if row[0] <= now)
-                for row in map(tuple, rows[:due]):
-                    heappush(waiting, (order(row), row))
+                for row in rows[:due]:
+                    heappush(waiting, row)
                 if due < len(rows):
                     self._put(rows[due:])
                     self.stored.sort(reverse=True)
-            yield heappop(waiting)[1]
+            yield heappop(waiting)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
         self._load()
         self.timer = None
-        for us, kind, seq in self._ready(now):
-            yield from self._named(key, self._settled(us - 1))
-            yield from self._named(key, self.rule.on_row(self.state, us, seq, kind))
-        yield from self._named(key, self._settled(now))
+        yield from self._packed(self._replay(now))
         due = [row[0] for row in self.few] + [first for first, _ in self.stored]
-        if (deadline := self.rule.deadline(self.state)) is not None:
+        if (deadline := self.crowd.earliest()) is not None:
             due.append(deadline)
         if due:
             self._wake_at(min(due))
         self._save()
 
-    def _named(self, key: Any, outputs: Iterator[Output]) -> Iterator[Row]:
-        for output in outputs:
-            yield Row(**dict(zip(self.columns, (*key, *output))))
-
-    def _settled(self, until: int) -> Iterator[Output]:
-        while (due := self.rule.deadline(self.state)) is not None and due <= until:
-            yield from self.rule.on_deadline(self.state)
+    def _replay(self, now: int) -> Iterator[tuple]:
+        unpack, on_row = self.rule.unpack, self.rule.on_row
+        for row in self._ready(now):
+            us, name, kind, seq = unpack(row)
+            state = self._state(name)
+            for output in self._settled(state, us - 1):
+                yield name, *output
+            for output in on_row(state, us, seq, kind):
+                yield name, *output
+        for name in [*self.states, *(name for name in self.crowd.due(now) if name not in self.states)]:
+            for output in self._settled(self._state(name), now):
+                yield name, *output
+        self._keep_states()
+
+    def _packed(self, outputs: Iterator[tuple]) -> Iterator[Row]:
+        while rows := list(islice(outputs, PACKED_ROWS)):
+            yield Row(out=json.dumps([dict(zip(self.columns, row)) for row in rows]))
+
+    def _settled(self, state: State, until: int) -> Iterator[Output]:
+        while (due := self.rule.deadline(state)) is not None and due <= until:
+            yield from self.rule.on_deadline(state)
 
     def _wake_at(self, us: int) -> None:
-        """Keep one timer per key, at the earliest time anything is due."""
+        """Keep one timer per group, at the earliest time anything is due."""
         ms = -(-us // 1000)
         if self.timer is not None:
             if self.timer <= ms:
@@ -470,6 +597,38 @@ class OrderedReplay(StatefulProcessor):
         pass
 
 
+_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def key_name(rows: DataFrame, keys: Sequence[str]) -> Column:
+    """The keys of a row as one text, equal for equal keys; nulls are equal."""
+    fields = []
+    for i, k in enumerate(keys):
+        # Of the two zeros, which are one key, the text would make two.
+        zero = isinstance(rows.schema[k].dataType, (T.FloatType, T.DoubleType))
+        fields.append((F.when(F.col(k) != 0, F.col(k)).when(F.col(k) == 0, 0.0).cast(rows.schema[k].dataType) if zero else F.col(k)).alias(f"k{i}"))
+    return F.to_json(F.struct(*fields), _EXACT) if fields else F.lit("{}")
+
+
+def named_keys(out: DataFrame, name: Column, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``out`` with the columns ``keys`` of ``rows`` read back from ``key_name``."""
+    if not keys:
+        return out
+    schema = T.StructType([T.StructField(f"k{i}", rows.schema[k].dataType) for i, k in enumerate(keys)])
+    read = out.withColumn("_keys", F.from_json(name, schema, _EXACT))
+    return read.select(*[F.col(f"_keys.k{i}").alias(k) for i, k in enumerate(keys)], *out.columns)
+
+
+def bucket_of(name: Column | str) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(BUCKETS))
+
+
+def unpacked(packed: DataFrame, output: str) -> DataFrame:
+    """Rows from texts of many, with ``_name``."""
+    schema = T.StructType([T.StructField("_name", T.StringType()), *T.StructType.fromDDL(output).fields])
+    return packed.select(F.inline(F.from_json("out", T.ArrayType(schema))))
+
+
 def _replayed(
     stream: DataFrame,
     keys: Sequence[str],
@@ -490,18 +649,25 @@ def _replayed(
     keys = list(keys)
     timed = event_time(stream, ts, delay)
     events = timed.select(
-        *keys, ts, micros(timed, ts).alias("_us"), F.col(seq).cast("bigint").alias("_seq"), kind.alias("_kind")
+        ts, micros(timed, ts).alias("_us"), F.col(seq).cast("bigint").alias("_seq"), kind.alias("_kind"),
+        key_name(timed, keys).alias("_name"),
     )
     events = events.withColumn("_kind", F.col("_kind").cast(kinds))
     if not untimed:
         # Rows without a kind still move the watermark: a condition on the event time stays above it.
         events = events.where(F.when(F.col("_kind").isNotNull(), F.col("_us")).isNotNull())
-    by = keys
+    slice = F.lit("")
     if slices is not None:
-        events = events.withColumn("_at", F.explode(slices)).withColumns({"_slice": F.col("_at.slice"), "_kind": F.col("_at.kind").cast(kinds)}).drop("_at")
-        by = [*keys, "_slice"]
-    schema = T.StructType([events.schema[k] for k in by] + T.StructType.fromDDL(rule.output).fields)
-    return events.groupBy(*by).transformWithState(OrderedReplay(rule, schema.names), schema, "Append", "EventTime")
+        events = events.withColumn("_at", F.explode(slices)).withColumn("_kind", F.col("_at.kind").cast(kinds))
+        slice = F.coalesce(F.col("_at.slice").cast("string"), F.lit("none"))
+    name = F.concat_ws(" ", slice, "_name")
+    group = name if rule.alone else bucket_of(name)
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("_us", "_seq", "_kind")]
+    events = events.select(group.alias("_group"), ts, F.concat_ws(" ", *text, name).alias("_row"))
+    columns = ["_name", *T.StructType.fromDDL(rule.output).names]
+    packed = events.groupBy("_group").transformWithState(OrderedReplay(rule, columns), "out STRING", "Append", "EventTime")
+    out = unpacked(packed, rule.output)
+    return named_keys(out, F.expr("substring(_name, locate(' ', _name) + 1)"), timed, keys).drop("_name")
 
 
 def _time(us: str | Column) -> Column:
@@ -523,7 +689,7 @@ def stream_match(
 ) -> DataFrame:
     """``match`` of any ``Pattern`` over a stream, timeouts included.
 
-    State is keyed by (key, time slice); a row is also seen by the earlier slices in which a match that it may continue can
+    State is that of a (key, time slice); a row is also seen by the earlier slices in which a match that it may continue can
     have begun. ``slice`` is their width, 16 times the pattern's time if not given: narrower slices spread a hot key
     further and copy more rows.
     """
@@ -624,7 +790,7 @@ def stream_cap_outcomes(
 ) -> DataFrame:
     """``cap_outcomes`` over a stream: each event's rank of the day and whether it passes.
 
-    State is keyed by (key, stretch of ``days`` local days); one day spreads a hot key furthest. Rows without a time rank on
+    State is that of a (key, stretch of ``days`` local days); one day spreads a hot key furthest. Rows without a time rank on
     a day of their own as they arrive, and are answered at once.
     """
     offset = span_us(utc_offset)
