@@ -46,3 +46,36 @@ def test_midnight_resets_by_timer_and_by_rows(spark, tmp_path, request):
     third = run(lambda ms: 12 * DAY_MS + 1)
     late = [row for row in third if row not in second]
     assert sorted(late, key=repr) == sorted([(7, 8, 1, "pass"), (8, 9, 1, "pass"), (8, None, 2, "reset")], key=repr)
+
+
+def test_many_keys_share_state(spark, tmp_path, monkeypatch, request):
+    """State does not grow by a value and a timer for each key; numbers of rows may be texts."""
+    from tidemark.streaming import stateful
+
+    for name, value in (("BUCKETS", 2), ("FEW_KEYS", 3), ("KEY_BLOCKS", 5), ("PACKED_ROWS", 7)):
+        monkeypatch.setattr(stateful, name, value, raising=False)
+    spark.conf.set(NO_DATA_BATCHES, "false")
+    request.addfinalizer(lambda: spark.conf.unset(NO_DATA_BATCHES))
+    (tmp_path / "events").mkdir()
+
+    def run(number, keys, clock):
+        rows = [(f"{number} {i}\n", k, f"ad {k % 3}") for i, k in enumerate(keys)]
+        columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.string()))]
+        pq.write_table(pa.table(columns, ["seq", "key", "ad"]), tmp_path / "events" / f"part-{number}.parquet")
+        stream = spark.readStream.schema("seq string, key bigint, ad string").parquet(str(tmp_path / "events"))
+        capped = streaming.stream_cap_by_clock(stream, ["key", "ad"], "seq", 1, "0 hours", clock)
+        sink = streaming.changelog_sink(capped, str(tmp_path / "out"), mode="append")
+        query = sink.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        found = spark.read.parquet(str(tmp_path / "out")).where(f"_batch = {number}")
+        return {tuple(r) for r in found.select("key", "ad", "seq", "day_rank", "outcome").collect()}, query.lastProgress.stateOperators[0].numRowsTotal
+
+    first, held = run(0, [*range(60), *range(60)], lambda ms: 11 * DAY_MS - 500)
+    want = {(k, f"ad {k % 3}", f"0 {k + 60 * n}\n", n + 1, ("pass", "warn")[n]) for k in range(60) for n in (0, 1)}
+    # Which of a key's rows is read first is not fixed.
+    assert {(k, a, n, o) for k, a, _, n, o in first} == {(k, a, n, o) for k, a, _, n, o in want}
+    assert {s for _, _, s, _, _ in first} == {s for _, _, s, _, _ in want}
+    assert 0 < held < 40
+    time.sleep(1)
+    second, _ = run(1, [60], lambda ms: 11 * DAY_MS + 1)
+    assert second == {(60, "ad 0", "1 0\n", 1, "pass")} | {(k, f"ad {k % 3}", None, 2, "reset") for k in range(60)}
