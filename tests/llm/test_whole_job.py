@@ -7,6 +7,7 @@ import zlib
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import html_text, masked_lm, pii, sharding, toxicity
 from tidemark.llm.common import keep, scratch
@@ -83,6 +84,30 @@ def test_shard_plan_is_read_from_whole_records(spark):
     assert {(r["doc_id"], r["text"]) for r in written} == {tuple(r) for r in docs.collect()}
 
 
+def test_whole_records_are_stored_once_and_files_hold_ranges(spark, tmp_path):
+    size = lambda folder: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    kept = lambda: set(Path(scratch(spark).removeprefix("file:")).glob("*-*"))
+    docs = spark.range(600).select("id", F.concat_ws(" ", *[F.sha2(F.concat_ws("-", "id", F.lit(i)), 256) for i in range(40)]).alias("text"))
+    docs = docs.unionByName(docs.where("id < 3"))
+    before = kept()
+    sharding.write_shards(docs, str(tmp_path / "s"), 7, bucket_rows=50)
+    assert sum(map(size, kept() - before)) < size(tmp_path / "s") / 20
+    slots = {}
+    for f in sorted((tmp_path / "s").rglob("*.parquet")):
+        found = [r["slot"] for r in spark.read.parquet(str(f)).select("slot").collect()]
+        assert found == list(range(found[0], found[0] + len(found)))
+        slots.setdefault(f.parent.name, []).extend(found)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and sorted(map(len, slots.values())) == [86] * 6 + [87]
+
+
+@pytest.mark.parametrize(("n", "shards"), [(0, 3), (1, 3), (2, 3), (3, 3), (50, 1), (50, 64)])
+def test_shards_differ_by_one_at_most(spark, n, shards):
+    rows = sharding.shuffled(spark.range(n), shards, bucket_rows=7).collect()
+    slots = {s: sorted(r["slot"] for r in rows if r["shard"] == s) for s in range(shards)}
+    assert sorted(r["id"] for r in rows) == list(range(n)) and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert all(s == list(range(len(s))) for s in slots.values())
+
+
 def test_buckets_follow_the_bytes(spark):
     short, long = (spark.createDataFrame([(i, "x" * n) for i in range(20)], "doc_id bigint, text string") for n in (10, 1 << 20))
     assert sharding.bucket_rows_for(short) == sharding.BUCKET_ROWS and 1 <= sharding.bucket_rows_for(long) <= 16

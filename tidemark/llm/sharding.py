@@ -3,7 +3,8 @@
 First pass: every record is scattered by a seeded hash of its content into one of so many buckets that a bucket fits in a
 task's memory. Second pass: each bucket is gathered, put in a canonical order and shuffled by Fisher-Yates
 (``shuffle`` with a seed). A record's place in its bucket plus the sizes of the buckets before it is its rank in one
-permutation of all records; ranks are dealt round, so shards differ by one record at most.
+permutation of all records; shards are stretches of ranks that differ by one record at most, so a bucket holds one range of
+one shard, or a few, and is written as it was gathered: whole records move once and are stored once.
 
 Equal records are told apart by a copy number, so that even one record repeated without end spreads over all buckets.
 """
@@ -13,7 +14,7 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
@@ -39,25 +40,32 @@ def shuffled(records: DataFrame, shards: int, seed: int = SEED, bucket_rows: int
     # Only records whose digest occurs again are grouped as a whole to number their copies.
     marked = packed.withColumn("digest", F.xxhash64("record"))
     again = small(keep(marked.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"), "repeated"))
-    copies = marked.join(again, "digest", "left_semi").groupBy("record").agg(F.count("*").alias("times"))
-    numbered = copies.select("record", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))).alias("copy"))
-    once = marked.join(again, "digest", "left_anti").select("record", F.lit(1).cast("bigint").alias("copy"))
-    numbered = once.unionByName(numbered)
-    key = F.xxhash64(F.lit(seed), F.col("record"), F.col("copy"))
-    scattered = numbered.select("record", "copy", key.alias("key"))
-    buckets = max(1, math.ceil(records.count() / bucket_rows))
+    copies = keep(marked.join(again, "digest", "left_semi").groupBy("digest", "record").agg(F.count("*").alias("times")), "copies")
+    numbered = copies.select("digest", "record", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))).alias("copy"))
+    once = marked.join(again, "digest", "left_anti").select("digest", "record", F.lit(1).cast("bigint").alias("copy"))
+    n = records.count()
+    buckets = max(1, math.ceil(n / bucket_rows))
+    key = F.xxhash64(F.lit(seed), F.col("digest"), F.col("copy"))
     # The bucket takes the upper bits of the key; the order within it all of them, then the record.
     bucket = F.pmod(F.shiftrightunsigned("key", 20), F.lit(buckets)).cast("int")
-    gathered = scattered.repartition(buckets, bucket).groupBy(bucket.alias("bucket")).agg(F.collect_list(F.struct("key", "record", "copy")).alias("all"))
-    # One order of buckets in a task and of records in a bucket, so a task that runs again draws the same numbers.
-    ordered = gathered.withColumn("all", F.array_sort("all")).sortWithinPartitions("bucket")
-    drawn = keep(ordered.select("bucket", F.size("all").cast("bigint").alias("n"), F.shuffle("all", F.lit(seed)).alias("all")), "buckets")
+    scattered = once.unionByName(numbered).select("record", "copy", key.alias("key")).withColumn("bucket", bucket)
+    # Buckets are counted by the digests alone, so ranks are known when a bucket is gathered and records move only once.
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     # One row per bucket, that is per some ten thousand records.
-    offsets = keep(drawn.select("bucket", "n").select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "offsets")
-    placed = drawn.select("bucket", F.posexplode("all").alias("at", "drawn")).join(small(offsets), "bucket")
+    sizes = scattered.groupBy("bucket").agg(F.count("*").alias("n"))
+    offsets = keep(sizes.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "offsets")
+    gathered = scattered.repartitionById(buckets, "bucket").groupBy("bucket").agg(F.collect_list(F.struct("key", "record", "copy")).alias("all"))
+    # One order of buckets in a task and of records in a bucket, so a task that runs again draws the same numbers.
+    ordered = gathered.withColumn("all", F.array_sort("all")).sortWithinPartitions("bucket")
+    drawn = ordered.select("bucket", F.shuffle("all", F.lit(seed)).alias("all")).join(small(offsets), "bucket")
+    placed = drawn.select("offset", F.posexplode("all").alias("at", "drawn"))
     rank = F.col("offset") + F.col("at")
-    return placed.select("drawn.record.*", F.pmod(rank, F.lit(shards)).cast("int").alias("shard"), F.floor(rank / shards).cast("bigint").alias("slot"))
+    # The first shards hold one record more than the others.
+    each, longer = divmod(n, shards)
+    edge = longer * (each + 1)
+    shard = F.when(rank < edge, F.floor(rank / (each + 1))).otherwise(longer + F.floor((rank - edge) / max(1, each)))
+    slot = F.when(rank < edge, rank % (each + 1)).otherwise((rank - edge) % max(1, each))
+    return placed.select("drawn.record.*", shard.cast("int").alias("shard"), slot.cast("bigint").alias("slot"))
 
 
 def without_clashes(records: DataFrame) -> DataFrame:
@@ -96,12 +104,11 @@ def shard_plan(docs: DataFrame, shards: int = 16, seed: int = SEED) -> DataFrame
 def write_shards(docs: DataFrame, path: str, shards: int = 16, seed: int = SEED, bucket_rows: int | None = None) -> DataFrame:
     """Whole records shuffled and written to ``path``, one folder per shard, each in slot order; returns what was written.
 
-    Without ``bucket_rows`` buckets are sized by the measured bytes of the records. Each task writes a range of one shard.
+    Without ``bucket_rows`` buckets are sized by the measured bytes of the records. Each task writes a bucket, which is a range
+    of one shard, or ends one shard and begins the next.
     """
     docs = without_clashes(docs)
-    rows = bucket_rows or bucket_rows_for(docs)
-    dealt = shuffled(docs, shards, seed, rows)
-    ranges: Column = F.floor(F.col("slot") / rows)
-    dealt.repartition("shard", ranges).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    dealt = shuffled(docs, shards, seed, bucket_rows or bucket_rows_for(docs))
+    dealt.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
     schema = StructType([*docs.schema, StructField("slot", LongType()), StructField("shard", IntegerType())])
     return docs.sparkSession.read.schema(schema).parquet(path)
