@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import math
+import re
 import zlib
+from collections import Counter
+from itertools import chain
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import html_text, masked_lm, pii, sharding, toxicity
@@ -27,6 +33,23 @@ def test_rare_words_keep_their_uses(spark):
     assert abs(got[5] - got[7] - math.log(3 / 2)) < 1e-5
 
 
+def test_words_are_counted_and_encoded_by_the_block(spark):
+    texts = [None, "", " \t", "a b a", "\x0ba\x0c\r\nb ", "a\u00a0b \u2003 x\x1cy\x85 \U0001f600", " a" * 1000, "é e\u0301 E a"]
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k bigint, body string")
+    counts = masked_lm.word_counts(docs, "body")
+    assert {r["word"]: r["uses"] for r in counts.collect()} == Counter(chain.from_iterable(words))
+    # A task hands on each word of a block of texts once, not one row per use.
+    assert "Generate" not in counts._jdf.queryExecution().executedPlan().toString()
+    hashes = np.array([xxhash.xxh64_intdigest(w, 42) for w in ("x\x1cy\x85", "é")], np.uint64).view(np.int64)
+    order = np.argsort(hashes)
+    encoder = masked_lm.Encoder(["a", "E"], 960, hashes[order], np.array([5, 7])[order])
+    tokens, logs = encoder.encode(pa.array([t or "" for t in texts]).slice(1))
+    token = {"a": 0, "E": 1}
+    assert [t.tolist() for t in tokens] == [[token.get(w, 960 + zlib.crc32(w.encode()) % masked_lm.RARE_CLASSES) for w in ws] for ws in words[1:]]
+    assert np.allclose(logs, [sum({"x\x1cy\x85": math.log(5), "é": math.log(7)}.get(w, 0) for w in ws) for ws in words[1:]])
+
+
 def test_vocabulary_grows_with_the_corpus(spark):
     counts = spark.createDataFrame([(f"w{i}", 200) for i in range(2000)] + [("rare", 1)], "word string, uses bigint")
     words = masked_lm.Vocabulary.of(counts)

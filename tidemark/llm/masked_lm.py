@@ -19,13 +19,13 @@ conditional log-probabilities of its words.
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,16 +48,18 @@ BATCH = 4096
 STEP = 0.08
 SEED = 7
 AT_ONCE = 1 << 14
-CACHED_WORDS = 500_000
+#: Characters of texts whose words are counted, or encoded, at once.
+COUNTED_CHARS = 1 << 25
+ENCODED_CHARS = 1 << 24
 #: Words of a copy in training, and of the block whose words are mixed.
 REPLICA_WORDS = 1 << 22
 BLOCK_WORDS = 1 << 18
+KEPT_BYTES = 1 << 24
 #: Values of the network that are averaged as one row, and rows averaged at once.
 CHUNK = 4096
 FAN_IN = 256
 _TOKEN = np.uint16
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _PLACES = [k for k in range(-WINDOW, WINDOW + 1) if k]
 
 
@@ -76,8 +78,16 @@ def shapes(groups: int) -> dict[str, tuple[int, ...]]:
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``word, uses`` over all texts, counted in the tasks first."""
-    words = F.explode(F.split(F.col(f"`{text}`").cast("string"), BLANKS)).alias("word")
-    return docs.select(words).where("word <> ''").groupBy("word").agg(F.count("*").alias("uses"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0)
+            for low, high in slices(texts, COUNTED_CHARS):
+                found = pc.ascii_split_whitespace(texts.slice(low, high - low)).flatten().value_counts()
+                yield pa.RecordBatch.from_arrays(found.flatten(), names=["word", "uses"])
+
+    words = docs.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")).mapInArrow(run, "word string, uses bigint")
+    return words.where("word <> ''").groupBy("word").agg(F.sum("uses").alias("uses"))
 
 
 class Vocabulary:
@@ -110,7 +120,7 @@ class Vocabulary:
 
     def token(self, word: str) -> int:
         """Of one word, as ``Encoder`` finds those of many."""
-        return int(Encoder(self.frequent, self.first_class).codes([word])[0][0])
+        return int(Encoder(self.frequent, self.first_class).codes(pa.array([word]))[0][0])
 
     def rare_arrays(self) -> tuple[np.ndarray, np.ndarray] | None:
         """Hashes and uses of the rare words used more than once, sorted; None if they are too many for every task."""
@@ -126,44 +136,49 @@ class Vocabulary:
 
 
 class Encoder:
-    """Tokens of the words of texts and the log of their uses, many words at once."""
+    """Tokens of the words of texts and the log of their uses; each distinct word of many texts is looked up once."""
 
     def __init__(self, frequent: list[str], first_class: int, hashes: np.ndarray | None = None, uses: np.ndarray | None = None) -> None:
-        self.frequent, self.first_class = frequent, first_class
+        self.frequent, self.first_class = pa.array(frequent, pa.string()), first_class
         self.hashes, self.uses = hashes, uses
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known = {w: i for i, w in enumerate(self.frequent)}
-        self.token = np.arange(len(self.frequent), dtype=_TOKEN)
-        self.log = np.zeros(len(self.frequent))
 
-    def codes(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def codes(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The token of each word, and the log of the uses of each rare one (else 0)."""
-        new = list(set(words).difference(self.known))
-        if len(self.known) + len(new) > CACHED_WORDS + len(self.frequent):
-            self._forget()
-            new = list(set(words).difference(self.known))
-        if new:
-            raw = [w.encode("utf-8", "surrogatepass") for w in new]
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            classes = np.fromiter((zlib.crc32(w) % RARE_CLASSES for w in raw), np.int64, len(raw)) + self.first_class
-            logs = np.zeros(len(raw))
-            if self.hashes is not None and len(self.hashes):
-                wanted = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in raw), np.uint64, len(raw)).view(np.int64)
-                at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
-                logs = np.where(self.hashes[at] == wanted, np.log(self.uses[at]), 0.0)
-            self.token = np.concatenate([self.token, classes.astype(_TOKEN)])
-            self.log = np.concatenate([self.log, logs])
-        found = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        return self.token[found], self.log[found]
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[float]]:
+        own = pc.index_in(words, value_set=self.frequent)
+        tokens, logs = own.fill_null(0).to_numpy(zero_copy_only=False).astype(_TOKEN), np.zeros(len(words))
+        rare = np.flatnonzero(own.is_null().to_numpy(zero_copy_only=False))
+        raw = _raw(words.take(pa.array(rare)))
+        tokens[rare] = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % RARE_CLASSES + self.first_class
+        if self.hashes is not None and len(self.hashes) and raw:
+            wanted = np.fromiter(map(xxhash.xxh64_intdigest, raw, repeat(42)), np.uint64, len(raw)).view(np.int64)
+            # In their order, so that the search runs through memory once.
+            order = np.argsort(wanted)
+            wanted = wanted[order]
+            at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+            logs[rare[order]] = np.where(self.hashes[at] == wanted, np.log(self.uses[at]), 0.0)
+        return tokens, logs
+
+    def encode(self, texts: pa.Array) -> tuple[list[np.ndarray], list[float]]:
         """Of each text its tokens, and the summed logs of the uses of its rare words."""
-        split = [_WORD.findall(t) for t in texts]
-        tokens, logs = self.codes(list(chain.from_iterable(split)))
-        ends = np.cumsum([len(w) for w in split])[:-1]
-        return np.split(tokens, ends), [float(part.sum()) for part in np.split(logs, ends)]
+        split = pc.ascii_split_whitespace(texts.cast(pa.string()))
+        coded = split.flatten().dictionary_encode()
+        tokens, logs = self.codes(coded.dictionary)
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        # White space at the ends of a text leaves empty strings there.
+        words = pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)[at]
+        ends = np.concatenate([[0], np.cumsum(words)])[split.offsets.to_numpy()][1:-1]
+        at = at[words]
+        return np.split(tokens[at], ends), [float(part.sum()) for part in np.split(logs[at], ends)]
+
+
+def _raw(words: pa.Array) -> list[bytes]:
+    """Strings as their UTF-8 bytes."""
+    _, offsets, values = words.buffers()
+    if not len(words) or values is None:
+        return [b""] * len(words)
+    data = values.to_pybytes()
+    ends = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].tolist()
+    return [data[low:high] for low, high in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def first_network(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
@@ -201,6 +216,12 @@ def _shaped(flat: np.ndarray, groups: int) -> dict[str, np.ndarray]:
     return {k: part.reshape(s) for (k, s), part in zip(shapes(groups).items(), np.split(flat.astype(np.float32), np.cumsum(sizes)[:-1]), strict=True)}
 
 
+def keep_freed_memory() -> None:
+    """The arrays of a step are some MB and freed after it. Once a larger array has been freed, the C library keeps as much
+    for the next step, where it would else give pages back and have them cleared again a thousand times a step."""
+    np.empty(KEPT_BYTES, np.uint8)
+
+
 def _laid_out(texts: list[np.ndarray], groups: int = GROUPS) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of all texts with edges between them, and the positions of the words."""
     edge = np.full(WINDOW, groups * groups, np.int32)
@@ -213,11 +234,18 @@ def _laid_out(texts: list[np.ndarray], groups: int = GROUPS) -> tuple[np.ndarray
 
 
 def _hidden(net: dict[str, np.ndarray], row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """One row per position, with a last column of ones for the biases; and the ids around."""
     around = [row[at + k] for k in _PLACES]
-    total = np.take(net["vectors"] * net["places"][0] + net["shift"], around[0], axis=0)
-    for j in range(1, len(_PLACES)):
-        total += np.take(net["vectors"] * net["places"][j], around[j], axis=0)
-    return np.tanh(total, out=total), around
+    total = np.take(net["vectors"], around[0], axis=0)
+    total *= net["places"][0]
+    total += net["shift"]
+    for ids, place in zip(around[1:], net["places"][1:], strict=True):
+        near = np.take(net["vectors"], ids, axis=0)
+        near *= place
+        total += near
+    h = np.ones((len(at), WIDTH + 1), total.dtype)
+    np.tanh(total, out=h[:, :WIDTH])
+    return h, around
 
 
 def _by_group(row: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
@@ -225,43 +253,41 @@ def _by_group(row: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, n
     targets = row[at].astype(_TOKEN)
     order = np.argsort(targets, kind="stable")
     groups, members = np.divmod(targets[order].astype(np.int64), size)
-    ends = np.searchsorted(groups, np.arange(size + 1))
+    ends = np.searchsorted(groups, np.arange(size + 1)).tolist()
     return order, groups, members, [(g, low, high) for g, (low, high) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if high > low]
 
 
-def _scores(weights: np.ndarray, bias: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """One column per row of ``h``, less its largest value."""
-    x = weights.T @ h.T
-    x += bias[:, None]
-    x -= x.max(axis=0)
-    return x
-
-
-def _chosen(x: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Log of the softmax of each column at one place."""
-    return x[which, np.arange(x.shape[1])] - np.log(np.exp(x).sum(axis=0))
+def _levels(net: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the groups, and of the members of each group, with the biases as their last rows."""
+    return np.vstack([net["group"], net["group_bias"]]), np.concatenate([net["member"], net["member_bias"][:, None]], axis=1)
 
 
-def _miss(x: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Gradient of ``_chosen`` by the scores, in place."""
-    np.exp(x, out=x)
-    x /= -x.sum(axis=0)
-    x[which, np.arange(x.shape[1])] += 1
+def _scores(levels: tuple[np.ndarray, np.ndarray], h: np.ndarray, stretches: list[tuple[int, int, int]]) -> np.ndarray:
+    """Of all groups and of the members of the own group: one column per row of ``h``, less its largest value."""
+    group, member = levels
+    x = np.empty((2, len(member), len(h)), h.dtype)
+    turned = h.T
+    np.matmul(group.T, turned, out=x[0])
+    inside, weights = x[1], member.transpose(0, 2, 1)
+    for g, low, high in stretches:
+        np.matmul(weights[g], turned[:, low:high], out=inside[:, low:high])
+    x -= x.max(axis=1, keepdims=True)
     return x
 
 
 def log_probabilities(net: dict[str, np.ndarray], row: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Of the token at each position, given the tokens around it."""
     out = np.empty(len(at))
+    levels = _levels(net)
     for low in range(0, len(at), AT_ONCE):
         here = at[low : low + AT_ONCE]
         order, groups, members, stretches = _by_group(row, here, len(net["group_bias"]))
         h, _ = _hidden(net, row, here[order])
-        found = _chosen(_scores(net["group"], net["group_bias"], h), groups)
-        for g, first, last in stretches:
-            own = slice(first, last)
-            found[own] += _chosen(_scores(net["member"][g], net["member_bias"][g], h[own]), members[own])
-        out[low + order] = found
+        x = _scores(levels, h, stretches)
+        each = np.arange(len(here))
+        found = x[0, groups, each] + x[1, members, each]
+        sums = np.exp(x, out=x).sum(axis=1)
+        out[low + order] = found - np.log(sums).sum(axis=0)
     return out
 
 
@@ -270,34 +296,47 @@ def slopes(net: dict[str, np.ndarray], row: np.ndarray, at: np.ndarray) -> dict[
     n = len(at)
     order, groups, members, stretches = _by_group(row, at, len(net["group_bias"]))
     h, around = _hidden(net, row, at[order])
-    out = {k: np.zeros(v.shape, np.float32) for k, v in net.items()}
-    miss = _miss(_scores(net["group"], net["group_bias"], h), groups)
-    out["group"], out["group_bias"] = (miss @ h).T / n, miss.sum(axis=1) / n
-    # One column per position from here on.
-    d_total = net["group"] @ miss
-    for g, first, last in stretches:
-        own = slice(first, last)
-        inside = _miss(_scores(net["member"][g], net["member_bias"][g], h[own]), members[own])
-        out["member"][g], out["member_bias"][g] = (inside @ h[own]).T / n, inside.sum(axis=1) / n
-        d_total[:, own] += net["member"][g] @ inside
-    h *= h
-    np.subtract(1 / n, h / n, out=h)
-    d_total *= h.T
-    out["shift"] = d_total.sum(axis=1)
-    size = len(net["vectors"])
-    starts = np.arange(0, WIDTH * size, size)[:, None]
+    levels = _levels(net)
+    # The gradients of the scores: the chosen ones count 1 less the softmax, the others 0 less it, over the n positions.
+    miss = _scores(levels, h, stretches)
+    np.exp(miss, out=miss)
+    miss /= miss.sum(axis=1, keepdims=True) * -n
+    each = np.arange(n)
+    miss[0, groups, each] += 1 / n
+    miss[1, members, each] += 1 / n
+    by_group = miss[0] @ h
+    by_member = np.zeros(levels[1].shape, h.dtype)
+    d_total = miss[0].T @ net["group"].T
+    turned, inside, weights = h.T, miss[1].T, net["member"].transpose(0, 2, 1)
+    for g, low, high in stretches:
+        np.matmul(turned[:, low:high], inside[low:high], out=by_member[g])
+        d_total[low:high] += inside[low:high] @ weights[g]
+    flat = h[:, :WIDTH]
+    d_total *= 1 - flat * flat
+    out = {"shift": d_total.sum(axis=0), "places": np.empty_like(net["places"]), "vectors": np.zeros_like(net["vectors"])}
+    out |= {"group": by_group[:, :WIDTH].T, "group_bias": by_group[:, WIDTH], "member": by_member[:, :WIDTH], "member_bias": by_member[:, WIDTH]}
     for j, ids in enumerate(around):
-        sums = np.bincount((starts + ids).ravel(), d_total.ravel(), WIDTH * size).reshape(WIDTH, size).T
-        out["places"][j] = np.einsum("tw,tw->w", sums, net["vectors"])
-        out["vectors"] += sums * net["places"][j]
+        # Sums over the positions that have the same token at this place.
+        ids = ids.astype(_TOKEN)
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+        sums = np.add.reduceat(np.take(d_total, order, axis=0), first, axis=0)
+        ids = ids[first]
+        out["places"][j] = np.einsum("tw,tw->w", sums, np.take(net["vectors"], ids, axis=0))
+        out["vectors"][ids] += sums * net["places"][j]
     return out
 
 
 def climb(net: dict[str, np.ndarray], squares: dict[str, np.ndarray], row: np.ndarray, at: np.ndarray) -> None:
     """One step of adaptive gradient ascent, in place."""
     for k, slope in slopes(net, row, at).items():
-        squares[k] += slope**2
-        net[k] += STEP * slope / (np.sqrt(squares[k]) + 1e-6)
+        squares[k] += slope * slope
+        size = np.sqrt(squares[k])
+        size += 1e-6
+        np.divide(slope, size, out=size)
+        size *= STEP
+        net[k] += size
 
 
 class Copy:
@@ -367,6 +406,7 @@ def train_encoded(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUN
         begin = spark.sparkContext.broadcast(_flat(net))
 
         def run(batches: Iterator[pa.RecordBatch], begin=begin, round_=round_) -> Iterator[pa.RecordBatch]:
+            keep_freed_memory()
             copy, current = None, None
             for batch in batches:
                 for tokens, replica in zip(batch.column("tokens"), batch.column("replica").to_pylist(), strict=True):
@@ -406,8 +446,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", columns:
         encoder = Encoder(*shared.value)
         for batch in batches:
             texts = batch.column(1)
-            for low, high in slices(texts):
-                tokens, logs = encoder.encode(texts.slice(low, high - low).to_pylist())
+            for low, high in slices(texts, ENCODED_CHARS):
+                tokens, logs = encoder.encode(texts.slice(low, high - low))
                 found = [pa.array([t.tobytes() for t in tokens], pa.binary()), pa.array(logs, pa.float64())]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low), *found], names=schema.names)
 
@@ -454,6 +494,7 @@ def score_encoded(encoded: DataFrame, vocabulary: Vocabulary, net: dict[str, np.
     schema = StructType([encoded.schema["row"], *_MADE])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed_memory()
         within, flat = shared.value
         own = _shaped(flat, groups)
         for batch in batches:
