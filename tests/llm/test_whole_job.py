@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import html_text, masked_lm, pii, sharding, toxicity
-from tidemark.llm.common import keep, scratch
+from tidemark.llm.common import keep, scratch, slices
 
 
 def test_rare_words_keep_their_uses(spark):
@@ -50,6 +50,12 @@ def test_words_are_counted_and_encoded_by_the_block(spark):
     assert np.allclose(logs, [sum({"x\x1cy\x85": math.log(5), "é": math.log(7)}.get(w, 0) for w in ws) for ws in words[1:]])
 
 
+def test_blocks_are_bounded_in_bytes():
+    texts = pa.array(["\u20ac" * 4, "abc", "", "\U0001f600" * 9, "d"])
+    assert list(slices(texts, 16, "binary_length")) == [(0, 3), (3, 4), (4, 5)]
+    assert list(slices(texts, 16)) == [(0, 4), (4, 5)]
+
+
 def test_vocabulary_grows_with_the_corpus(spark):
     counts = spark.createDataFrame([(f"w{i}", 200) for i in range(2000)] + [("rare", 1)], "word string, uses bigint")
     words = masked_lm.Vocabulary.of(counts)

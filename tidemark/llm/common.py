@@ -93,13 +93,13 @@ def add_columns(
     return out.select(*[F.col("row").getField(c).alias(c) for c in kept], *[F.col("made").getField(c).alias(c) for c in made.names])
 
 
-def slices(texts: pa.Array, chars: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``chars`` characters; one very long text is a range of its own."""
+def slices(texts: pa.Array, most: int = SLICE_CHARS, length: str = "utf8_length") -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``most`` characters (bytes with the length ``binary_length``); one very long text is a range of its own."""
     import pyarrow.compute as pc
 
     low = total = 0
-    for i, n in enumerate(pc.utf8_length(texts).to_pylist()):
-        if i > low and total + n > chars:
+    for i, n in enumerate(pc.call_function(length, [texts]).to_pylist()):
+        if i > low and total + n > most:
             yield low, i
             low = i
             total = 0

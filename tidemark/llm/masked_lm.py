@@ -48,9 +48,9 @@ BATCH = 4096
 STEP = 0.08
 SEED = 7
 AT_ONCE = 1 << 14
-#: Characters of texts whose words are counted, or encoded, at once.
-COUNTED_CHARS = 1 << 25
-ENCODED_CHARS = 1 << 24
+#: Bytes of texts whose words are counted, or encoded, at once.
+COUNTED_BYTES = 1 << 25
+ENCODED_BYTES = 1 << 24
 #: Words of a copy in training, and of the block whose words are mixed.
 REPLICA_WORDS = 1 << 22
 BLOCK_WORDS = 1 << 18
@@ -82,7 +82,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0)
-            for low, high in slices(texts, COUNTED_CHARS):
+            for low, high in slices(texts, COUNTED_BYTES, "binary_length"):
                 found = pc.ascii_split_whitespace(texts.slice(low, high - low)).flatten().value_counts()
                 yield pa.RecordBatch.from_arrays(found.flatten(), names=["word", "uses"])
 
@@ -446,7 +446,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", columns:
         encoder = Encoder(*shared.value)
         for batch in batches:
             texts = batch.column(1)
-            for low, high in slices(texts, ENCODED_CHARS):
+            for low, high in slices(texts, ENCODED_BYTES, "binary_length"):
                 tokens, logs = encoder.encode(texts.slice(low, high - low))
                 found = [pa.array([t.tobytes() for t in tokens], pa.binary()), pa.array(logs, pa.float64())]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low), *found], names=schema.names)
